@@ -10,9 +10,8 @@ from tallyframe.operators import columns as C
 from tallyframe.operators import predicates as P
 from tallyframe.plans.registry import EVENTS_AS_OF, ORDERS_AS_OF, query
 from tallyframe.session import new_table_path
-from tallyframe.sinks.loads import truncate_load
 from tallyframe.sources.files import scan_csv
-from tallyframe.sources.tables import scan_query, scan_subquery
+from tallyframe.sources.tables import scan_parquet, scan_query, scan_subquery
 
 
 @query("""
@@ -78,8 +77,6 @@ def scan_parquet_directory(t):
     upper = t.part.toDF(*[c.upper() for c in t.part.columns])
     path = new_table_path(t.spark, "part_upper")
     upper.write.parquet(path)
-    from tallyframe.sources.tables import scan_parquet
-
     return scan_parquet(t.spark, path)
 
 
