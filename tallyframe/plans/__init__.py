@@ -6,7 +6,7 @@ import importlib
 
 from tallyframe.plans.registry import QUERIES, Query
 
-MODULES = ("scans_filters", "projections", "labels", "joining", "grouping", "scalars", "documents")
+MODULES = ("scans_filters", "projections", "labels", "joining", "grouping", "scalars", "documents", "loads", "jobs_credit")
 
 
 def all_queries() -> dict[str, Query]:

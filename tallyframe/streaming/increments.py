@@ -39,15 +39,10 @@ def append_increments(
 def load_increments(
     stream: DataFrame, checkpoint: str, load: Callable[[DataFrame, int], object]
 ) -> None:
-    """Hand each micro-batch to a batch load. A batch may come twice after a failure, so
-    ``load`` must give the same table when it is run again with the same batch number."""
-
-    def run(batch: DataFrame, number: int) -> None:
-        if not batch.isEmpty():
-            load(batch, number)
-
+    """Hand each micro-batch, empty ones too, to a batch load. A batch may come twice after
+    a failure, so ``load`` must give the same table when run again with the same number."""
     query = (
-        stream.writeStream.foreachBatch(run)
+        stream.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -25,12 +25,10 @@ def cell(v):
     if isinstance(v, bool):
         return v
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else float(repr(v))
+        return ("float", "nan" if math.isnan(v) else v + 0.0)
     if hasattr(v, "isoformat"):
         return v.isoformat()
-    if isinstance(v, (int, str)):
-        return v
-    return str(v)
+    return (type(v).__name__, v)
 
 
 def as_bag(columns, rows):
