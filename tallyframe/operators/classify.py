@@ -11,18 +11,18 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.dates import run_date
 
-# Days-past-due bands (name, first day, last day).
+# Days-past-due columns of the portfolio tables (name, first day, last day).
 AGING_BANDS: tuple[tuple[str, int | None, int | None], ...] = (
-    ("not_due", 0, 0),
-    ("due_1_30", 1, 30),
-    ("due_31_60", 31, 60),
-    ("due_61_90", 61, 90),
-    ("due_91_120", 91, 120),
-    ("due_121_180", 121, 180),
-    ("due_181_360", 181, 360),
-    ("due_over_360", 361, None),
-    ("in_arrears", 1, None),
-    ("over_30", 31, None),
+    ("por_vencer", 0, 0),
+    ("mora_1_a_30", 1, 30),
+    ("mora_31_a_60", 31, 60),
+    ("mora_61_a_90", 61, 90),
+    ("mora_91_a_120", 91, 120),
+    ("mora_121_a_180", 121, 180),
+    ("mora_181_a_360", 181, 360),
+    ("mora_mayor_360", 361, None),
+    ("morageneral", 1, None),
+    ("mora_30", 31, None),
 )
 
 
@@ -47,13 +47,14 @@ def aging_buckets(df: DataFrame, days: str, balance: str, bands=AGING_BANDS) ->
     return df.select("*", *aging_columns(F.col(days), F.col(balance), bands))
 
 
-# Life-cycle texts.
+# Life-cycle texts of the originations table.
 LIFECYCLE_LABELS = {
-    "same_day": "closed the same day",
-    "same_month": "closed the same month",
-    "open": "not closed",
-    "later": "closed after the run date",
+    "same_day": "Desembolsado y Cancelado el Mismo Dia",
+    "same_month": "Desembolsado y Cancelado el Mismo Mes",
+    "open": "Desembolso No Cancelado",
+    "later": "Desembolso Cancelado Posterior a la Fecha de Consulta",
 }
+ACTIVITY_LABELS = {"same_day": "No Activo", "same_month": "No Activo", "open": "Activo", "later": "Activo"}
 
 
 def lifecycle_label(opened: Column, closed: Column, as_of: date | str, labels=LIFECYCLE_LABELS) -> Column:
@@ -67,11 +68,10 @@ def lifecycle_label(opened: Column, closed: Column, as_of: date | str, labels=LI
 
 
 def freshness_label(
-    updated: Column, as_of: date | str, days: int = 365, fresh: str = "ACTUALIZADO", stale: str = "DESACTUALIZADO"
+    updated: Column, as_of: date | str, days: int = 365, fresh: str = "Actualizado", stale: str = "Desactualizado"
 ) -> Column:
-    """Stale when older than ``days`` or never updated."""
-    old = F.datediff(run_date(as_of), updated) > days
-    return F.when(updated.isNull() | old, stale).otherwise(fresh)
+    """Stale when the update is older than ``days``; an unknown date counts as fresh."""
+    return F.when(F.datediff(run_date(as_of), updated) > days, stale).otherwise(fresh)
 
 
 def code_to_label(code: Column, labels: Mapping[object, str], default: str | None = None) -> Column:

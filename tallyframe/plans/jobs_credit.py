@@ -49,8 +49,8 @@ SELECT o_orderkey, o_custkey, opened, o_totalprice AS initial_debt, c_name, zone
   date_diff('day', opened, last_move) AS term_days, CASE WHEN last_move IS NOT NULL THEN CAST(trunc(date_diff('day', opened, last_move) / 30) AS BIGINT) END AS term_months,
   last_day(first_move) AS ledger_month, quota_capital, quota_tax, quota_insurance, coalesce(warranty, '**SIN GARANTIA**') AS warranty,
   coalesce(first_adviser, c_mktsegment) AS first_adviser, coalesce(last_adviser, c_mktsegment) AS last_adviser,
-  CASE WHEN opened = closed THEN 'closed the same day' WHEN last_day(opened) = last_day(closed) THEN 'closed the same month'
-   WHEN closed IS NULL THEN 'not closed' WHEN closed > DATE '{ORDERS_AS_OF}' THEN 'closed after the run date' END AS mark,
+  CASE WHEN opened = closed THEN 'Desembolsado y Cancelado el Mismo Dia' WHEN last_day(opened) = last_day(closed) THEN 'Desembolsado y Cancelado el Mismo Mes'
+   WHEN closed IS NULL THEN 'Desembolso No Cancelado' WHEN closed > DATE '{ORDERS_AS_OF}' THEN 'Desembolso Cancelado Posterior a la Fecha de Consulta' END AS mark,
   CASE WHEN opened = closed OR last_day(opened) = last_day(closed) THEN 'No Activo' WHEN closed IS NULL OR closed > DATE '{ORDERS_AS_OF}' THEN 'Activo' END AS active
 FROM base
 """)
@@ -105,10 +105,7 @@ def job_loan_originations(t):
         F.coalesce("first_adviser", "c_mktsegment").alias("first_adviser"),
         F.coalesce("last_adviser", "c_mktsegment").alias("last_adviser"),
         K.lifecycle_label(opened, closed, ORDERS_AS_OF).alias("mark"),
-        K.lifecycle_label(
-            opened, closed, ORDERS_AS_OF,
-            {"same_day": "No Activo", "same_month": "No Activo", "open": "Activo", "later": "Activo"},
-        ).alias("active"),
+        K.lifecycle_label(opened, closed, ORDERS_AS_OF, K.ACTIVITY_LABELS).alias("active"),
     )
 
 

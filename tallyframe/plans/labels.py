@@ -66,9 +66,9 @@ def aging_buckets(t):
 
 
 @query(f"""
-SELECT o_orderkey, CASE WHEN opened = closed THEN 'closed the same day'
-  WHEN last_day(opened) = last_day(closed) THEN 'closed the same month'
-  WHEN closed IS NULL THEN 'not closed' WHEN closed > DATE '{ORDERS_AS_OF}' THEN 'closed after the run date' END AS label
+SELECT o_orderkey, CASE WHEN opened = closed THEN 'Desembolsado y Cancelado el Mismo Dia'
+  WHEN last_day(opened) = last_day(closed) THEN 'Desembolsado y Cancelado el Mismo Mes'
+  WHEN closed IS NULL THEN 'Desembolso No Cancelado' WHEN closed > DATE '{ORDERS_AS_OF}' THEN 'Desembolso Cancelado Posterior a la Fecha de Consulta' END AS label
 FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS opened, last_ship AS closed FROM orders
       LEFT JOIN (SELECT l_orderkey, CAST(max(l_shipdate) AS DATE) AS last_ship FROM lineitem GROUP BY l_orderkey)
       ON l_orderkey = o_orderkey)
@@ -81,7 +81,7 @@ def lifecycle_label(t):
 
 @query(f"""
 SELECT c_custkey, CAST(latest AS DATE) AS updated,
-  CASE WHEN latest IS NULL OR date_diff('day', CAST(latest AS DATE), DATE '{ORDERS_AS_OF}') > 365 THEN 'DESACTUALIZADO' ELSE 'ACTUALIZADO' END AS label
+  CASE WHEN date_diff('day', CAST(latest AS DATE), DATE '{ORDERS_AS_OF}') > 365 THEN 'Desactualizado' ELSE 'Actualizado' END AS label
 FROM customer LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS latest FROM orders
   WHERE o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '{ORDERS_AS_OF}' GROUP BY o_custkey) ON o_custkey = c_custkey
 """)
