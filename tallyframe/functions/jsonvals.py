@@ -7,7 +7,7 @@ are kept, so "first match" follows the order of the document.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +43,8 @@ def _members(path: Column, text: Column) -> Column:
 
 
 def with_json_nodes(df: DataFrame, json_col: str, out: str = "nodes", max_depth: int = 4) -> DataFrame:
-    """Add the array of all nodes down to ``max_depth`` levels."""
+    """Add the named, non-null values down to ``max_depth`` levels, in match order: outer
+    containers before their children, then by position. Names are folded here, once."""
     levels = [f"__level_{n}" for n in range(max_depth)]
     root = F.array().cast("array<int>")
     df = df.withColumn(levels[0], _members(root, F.col(json_col)))
@@ -51,24 +52,22 @@ def with_json_nodes(df: DataFrame, json_col: str, out: str = "nodes", max_depth:
         df = df.withColumn(
             here, F.flatten(F.transform(F.col(above), lambda n: _members(n["path"], n["value"])))
         )
-    return df.withColumn(out, F.concat(*[F.col(c) for c in levels])).drop(*levels)
-
-
-def _fold(c: Column) -> Column:
-    return F.lower(fold_accents(c))
-
-
-def _first(nodes: Column, hit) -> Column:
-    """Value of the first hit: outer containers before their children, then by position."""
+    named = F.filter(
+        F.concat(*[F.col(c) for c in levels]), lambda n: n["key"].isNotNull() & n["value"].isNotNull()
+    )
     ranked = F.transform(
-        F.filter(nodes, lambda n: n["value"].isNotNull() & hit(n["key"])),
+        named,
         lambda n: F.struct(
             F.slice(n["path"], F.lit(1), F.size(n["path"]) - 1).alias("holder"),
             F.element_at(n["path"], -1).alias("position"),
+            n["key"].alias("key"),
+            F.lower(fold_accents(n["key"])).alias("folded"),
             n["value"].alias("value"),
         ),
     )
-    return F.array_min(ranked)["value"]
+    # One array per row through a generator: filters on found values stay above it, so
+    # the documents are opened once and not again inside a pushed-down predicate.
+    return df.select("*", F.explode(F.array(F.array_sort(ranked))).alias(out)).drop(*levels)
 
 
 def deep_find(nodes: Column, names: Sequence[str], match: str = "exact") -> Column:
@@ -77,19 +76,52 @@ def deep_find(nodes: Column, names: Sequence[str], match: str = "exact") -> Colu
     ``match``: ``exact`` name, ``folded`` (no case, no accents), or ``suffix`` (folded
     name ends with the wanted one). Names are tried in the given order.
     """
-    found = []
-    for name in names:
-        wanted = fold_name(name)
-        if match == "exact":
-            hit = lambda k, n=name: k == n
-        elif match == "folded":
-            hit = lambda k, n=wanted: _fold(k) == n
-        elif match == "suffix":
-            hit = lambda k, n=wanted: F.endswith(_fold(k), F.lit(n))
-        else:
-            raise ValueError(f"unknown match {match!r}")
-        found.append(_first(nodes, hit))
-    return F.coalesce(*found)
+    if match not in ("exact", "folded", "suffix"):
+        raise ValueError(f"unknown match {match!r}")
+
+    def first(name: str) -> Column:
+        wanted = F.lit(name if match == "exact" else fold_name(name))
+
+        def hit(n: Column) -> Column:
+            if match == "exact":
+                return n["key"] == wanted
+            return n["folded"] == wanted if match == "folded" else F.endswith(n["folded"], wanted)
+
+        return F.get(F.filter(nodes, hit), F.lit(0))["value"]
+
+    return F.coalesce(*[first(name) for name in names])
+
+
+def _each(values: Column, step: Callable[[Column], Column]) -> Column:
+    return F.transform(values, lambda v: step(v))
+
+
+def first_values_by_name(nodes: Column, clean: Sequence[Callable[[Column], Column]] = ()) -> Column:
+    """Map from folded name to its first value: for documents with very many wanted fields.
+
+    The ``clean`` steps run once per value, however many columns read it. They are separate
+    steps because a step may use its input several times.
+    """
+    names = F.array_distinct(F.transform(nodes, lambda n: n["folded"]))
+    values = F.transform(
+        names, lambda k: F.get(F.filter(nodes, lambda n: n["folded"] == k), F.lit(0))["value"]
+    )
+    for step in clean:
+        values = _each(values, step)
+    return F.map_from_arrays(names, values)
+
+
+def with_first_values(
+    df: DataFrame, nodes: str, maps: Mapping[str, Sequence[Callable[[Column], Column]]]
+) -> DataFrame:
+    """Add one map of first values per entry, each with its own cleaning steps."""
+    rows = F.struct(*[first_values_by_name(F.col(nodes), clean).alias(out) for out, clean in maps.items()])
+    return df.select("*", F.inline(F.array(rows)))
+
+
+def named_value(by_name: Column | str, name: str) -> Column:
+    """The value of a wanted field in the map of ``first_values_by_name``."""
+    return F.try_element_at(by_name, F.lit(fold_name(name)))
 
 
 def array_first_or_join(c: Column, first_only: bool = False, sep: str = ", ") -> Column:

@@ -61,14 +61,14 @@ def first_values(
 
     The order decides, not the partitioning.
     """
-    rank = F.struct(*order) if len(order) > 1 else F.col(order[0])
+    rank = f"struct({', '.join(f'`{c}`' for c in order)})"
 
     def first(c: str) -> Column:
         if skip_nulls:
-            return F.min_by(F.col(c), F.when(F.col(c).isNotNull(), rank))
-        return F.min_by(F.struct(F.col(c)), rank)[c]
+            return F.expr(f"min_by(`{c}`, {rank}) FILTER (WHERE `{c}` IS NOT NULL) AS `{c}`")
+        return F.expr(f"min_by(struct(`{c}`), {rank}).`{c}` AS `{c}`")
 
-    return df.groupBy(*keys).agg(*[first(c).alias(c) for c in columns])
+    return df.groupBy(*keys).agg(*[first(c) for c in columns])
 
 
 def group_as_distinct(df: DataFrame) -> DataFrame:

@@ -117,13 +117,16 @@ def ensure_columns(df: DataFrame, wanted: Sequence[str], default: object = "") -
 
 def null_to_blank_all(df: DataFrame) -> DataFrame:
     """Every column as text, null as the empty text."""
-    return df.select(
-        [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in df.columns]
-    )
+    return cast_all_string(df).fillna("")
 
 
 def cast_all_string(df: DataFrame) -> DataFrame:
-    return df.select([F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    return df.select(
+        [
+            F.col(f"`{f.name}`") if f.dataType == T.StringType() else F.col(f"`{f.name}`").cast("string").alias(f.name)
+            for f in df.schema.fields
+        ]
+    )
 
 
 def null_columns_to_string(df: DataFrame) -> DataFrame:
@@ -147,9 +150,8 @@ def truncate_strings(
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.StringType):
-            n = lengths.get(f.name, default)
-            c = F.when(F.length(c) > n, F.substring(c, 1, n)).otherwise(c)
-        out.append(c.alias(f.name))
+            c = F.substring(c, 1, lengths.get(f.name, default)).alias(f.name)
+        out.append(c)
     return df.select(out)
 
 

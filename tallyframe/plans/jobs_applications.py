@@ -80,18 +80,25 @@ FROM f WHERE role_known IS NOT NULL OR role_mail IS NOT NULL
 def job_application_wide(t):
     """More than 120 wanted columns from documents of unknown shape, one pass per document."""
     opened = V.with_json_nodes(_application(t), "doc")
-    nodes = F.col("nodes")
+    tidy = [X.strip_trailing_zero_decimal, X.blank_empty_list]
+    maps = V.with_first_values(
+        opened.select("turn", "nodes"), "nodes",
+        {
+            "joined": [X.list_text_normalize, *tidy],
+            "firsts": [lambda v: X.list_text_normalize(v, first_only=True), *tidy],
+        },
+    )
+    keys = ["GuidEngine", "IdFormiik"]
     wanted = [
         "Usuario", "EmailUsuario", "DI_NombreTitular", "DI_FechaNacimientoTitular", "CVD_SalarioPension",
         "REF_NombreReferencia", "DI_BienesTitular", "DI_FechaCarge", *_wide_columns(),
     ]
-    found = []
-    for name in wanted:
-        bare = C.strip_prefix(name, APPLICATION_PREFIXES)
-        value = V.deep_find(nodes, [bare], "folded")
-        found.append(X.list_text_normalize(value, first_only=name.startswith("REF_")).alias(name))
-    flat = opened.select(
-        "turn", V.deep_find(nodes, ["GuidEngine"]).alias("GuidEngine"), V.deep_find(nodes, ["IdFormiik"]).alias("IdFormiik"), *found
+    flat = maps.select(
+        "turn",
+        *[
+            V.named_value("firsts" if c.startswith("REF_") else "joined", C.strip_prefix(c, APPLICATION_PREFIXES)).alias(c)
+            for c in keys + wanted
+        ],
     )
     flat = P.drop_null_key(flat, "GuidEngine").withColumns(
         {
@@ -104,9 +111,8 @@ def job_application_wide(t):
     grouped = A.first_values(flat, ["GuidEngine", "IdFormiik"], ["turn"], wanted)
     kept = C.clean_null_rows(grouped, ["Usuario", "EmailUsuario"])
     text = C.null_to_blank_all(C.ensure_columns(kept, ["GuidEngine", "IdFormiik", *wanted]))
-    text = C.map_text_columns(text, lambda c: X.blank_empty_list(X.strip_trailing_zero_decimal(c)))
     text = M.fill_blank_date(C.truncate_strings(text), "DI_FechaCarge", EVENTS_AS_OF)
-    extra = N.null_safe_sum([F.when(F.col(c) != "", 1) for c in _wide_columns()])
+    extra = F.size(F.filter(F.array(*_wide_columns()), lambda v: v != ""))
     return text.withColumn("filled_extra", extra).drop(*_wide_columns())
 
 
