@@ -92,12 +92,16 @@ def clock_digits(c: Column) -> Column:
 
 
 def assemble_timestamp(day_col: Column, clock: Column, default_day: str = "1900-01-01") -> Column:
-    """A timestamp from a date and HHMMSS text; null when the digits are no time of day."""
+    """A timestamp from a date and HHMMSS text; null when the digits are no time of day.
+
+    The digits are checked before parsing, so bad clocks cost no exception per row.
+    """
+    digits = clock_digits(clock)
     stamp = F.concat(
-        F.date_format(F.coalesce(day_col.cast("date"), F.lit(day(default_day))), "yyyy-MM-dd"),
-        clock_digits(clock),
+        F.date_format(F.coalesce(day_col.cast("date"), F.lit(day(default_day))), "yyyy-MM-dd"), digits
     )
-    return F.try_to_timestamp(stamp, F.lit("yyyy-MM-ddHHmmss"))
+    parsed = F.try_to_timestamp(stamp, F.lit("yyyy-MM-ddHHmmss"))
+    return F.when(digits.rlike("^([01][0-9]|2[0-3])[0-5][0-9][0-5][0-9]$"), parsed)
 
 
 def format_date(c: Column, fmt: str = "yyyyMMdd") -> Column:

@@ -27,9 +27,13 @@ def _accent_table() -> tuple[str, str]:
 
 
 def fold_accents(c: Column) -> Column:
-    """Replace accented Latin letters by their base letter and drop loose accent marks."""
+    """Replace accented Latin letters by their base letter and drop loose accent marks.
+
+    Texts of one byte per character have none and pass untouched.
+    """
     accented, plain = _accent_table()
-    return F.regexp_replace(F.translate(c, accented, plain), r"[̀-ͯ]", "")
+    folded = F.regexp_replace(F.translate(c, accented, plain), r"[\u0300-\u036f]", "")
+    return F.when(F.octet_length(c) > F.length(c), folded).otherwise(c)
 
 
 def fold_name(name: str) -> str:
@@ -57,7 +61,7 @@ def clean_address(c: Column, limit: int = 500) -> Column:
 
 def clean_control_chars(c: Column) -> Column:
     """Turn each line feed, carriage return and tab into a blank."""
-    return F.translate(c, "\n\r\t", "   ")
+    return replace_chain(c, [("\n", " "), ("\r", " "), ("\t", " ")])
 
 
 def strip_non_digits(c: Column) -> Column:

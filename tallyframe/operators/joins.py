@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.operators.latest import first_per_key, keep_min_group, latest_per_key
+from tallyframe.operators.latest import first_per_key, latest_per_key
 
 Keys = str | Sequence[str] | Mapping[str, str]
 
@@ -133,6 +133,17 @@ def apply_top1(
     return lookup(left, latest_per_key(right, right_keys, order), on, columns)
 
 
+def latest_values(df: DataFrame, keys, order: Sequence[str], values: Mapping[str, tuple[Column, Column]]) -> DataFrame:
+    """Per key the newest value of several kinds, each ``name: (value, condition)``.
+
+    Several ``apply_top1`` over one table in a single map-side combined aggregate.
+    """
+    names = [keys] if isinstance(keys, str) else list(keys)
+    rank = F.struct(*order)
+    newest = [F.max_by(F.when(hit, value), F.when(hit, rank)).alias(n) for n, (value, hit) in values.items()]
+    return df.groupBy(*names).agg(*newest)
+
+
 def apply_any(left: DataFrame, right: DataFrame, on: Keys, flag: str, right_filter: Column | None = None) -> DataFrame:
     """Add 1 / 0: is there any matching right row."""
     if right_filter is not None:
@@ -174,11 +185,22 @@ def first_last_state(df: DataFrame, keys, order: Sequence[str], state: Sequence[
     )
 
 
+def _sums_at(rows: DataFrame, keys, day: str, sums: Mapping[str, Column], pick) -> DataFrame:
+    """Sum per key and day, then keep one day per key: two aggregates, no join, no window."""
+    names = [keys] if isinstance(keys, str) else list(keys)
+    per_day = rows.groupBy(*names, day).agg(*[e.alias(n) for n, e in sums.items()])
+    chosen = per_day.groupBy(*names).agg(pick(F.struct(day, *sums), F.col(day)).alias("__day"))
+    return chosen.select(*names, "__day.*")
+
+
 def first_due(schedule: DataFrame, keys, due: str, sums: Mapping[str, Column]) -> DataFrame:
     """Sums over the rows of each key's first due date."""
-    names = [keys] if isinstance(keys, str) else list(keys)
-    first = keep_min_group(schedule, names, due)
-    return first.groupBy(*names).agg(F.min(due).alias(due), *[e.alias(n) for n, e in sums.items()])
+    return _sums_at(schedule, keys, due, sums, F.min_by)
+
+
+def last_paid(payments: DataFrame, keys, paid: str, sums: Mapping[str, Column]) -> DataFrame:
+    """Sums over the rows of each key's last payment date."""
+    return _sums_at(payments, keys, paid, sums, F.max_by)
 
 
 def event_pairs(

@@ -1,6 +1,6 @@
 """One row per key.
 
-``row_number() = 1`` (or ``rank() = 1``) lets Spark put a WindowGroupLimit before the
+``row_number() = 1`` lets Spark put a WindowGroupLimit before the
 shuffle, so each map task sends at most its own winner per key: a key holding a third of
 all rows costs no more than the others.
 """
@@ -19,9 +19,9 @@ def _names(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def _pick(df: DataFrame, keys, order: Sequence[Column], ranking=F.row_number) -> DataFrame:
+def _pick(df: DataFrame, keys, order: Sequence[Column]) -> DataFrame:
     w = Window.partitionBy(*_names(keys)).orderBy(*order)
-    return df.withColumn("__rn", ranking().over(w)).filter("__rn = 1").drop("__rn")
+    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
 def latest_per_key(df: DataFrame, keys, order: Sequence[str]) -> DataFrame:
@@ -50,14 +50,22 @@ def dedupe_by_key(df: DataFrame, keys, order: Sequence[str]) -> DataFrame:
     return latest_per_key(df, keys, order)
 
 
+def _keep_extreme(df: DataFrame, keys, value: str, bound: Column) -> DataFrame:
+    """Ties may be many, so no window: the bound is aggregated and joined as a key, and a
+    hot key can be split among tasks."""
+    names = _names(keys)
+    bounds = df.groupBy(*names).agg(bound.alias(value))
+    return df.join(bounds, [*names, value], "left_semi")
+
+
 def keep_max_group(df: DataFrame, keys, value: str) -> DataFrame:
     """All rows that share the greatest value of their key (ties stay)."""
-    return _pick(df, keys, [F.col(value).desc_nulls_last()], F.rank)
+    return _keep_extreme(df, keys, value, F.max(value))
 
 
 def keep_min_group(df: DataFrame, keys, value: str) -> DataFrame:
     """All rows that share the smallest value of their key (ties stay)."""
-    return _pick(df, keys, [F.col(value).asc_nulls_last()], F.rank)
+    return _keep_extreme(df, keys, value, F.min(value))
 
 
 def keep_group_extremes(

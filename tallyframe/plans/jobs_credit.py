@@ -196,15 +196,16 @@ def job_portfolio_aging(t):
         t.lineitem.select("l_orderkey", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_returnflag"),
         "l_orderkey", F.col("l_returnflag") == "N", ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"],
     )
-    order = ["o_orderdate", "o_orderkey"]
-    person = customer_places(t).select("c_custkey", "c_name", "zone", "region")
-    on = {"c_custkey": "o_custkey"}
-    person = J.apply_top1(person, t.orders, on, order, {"o_orderpriority": "home"}, F.col("o_orderstatus") == "F")
-    person = J.apply_top1(person, t.orders, on, order, {"o_orderpriority": "business"}, F.col("o_orderstatus") == "P")
-    urgent = F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice")).otherwise(0.0)
-    person = J.apply_aggregate(
-        person, t.orders, on, {"score": F.max("o_totalprice"), "score_urgent": F.max(urgent)}
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    contacts = J.latest_values(
+        t.orders, "o_custkey", ["o_orderdate", "o_orderkey"],
+        {"home": (priority, status == "F"), "business": (priority, status == "P")},
     )
+    urgent = F.when(priority == "1-URGENT", F.col("o_totalprice")).otherwise(0.0)
+    scores = t.orders.groupBy("o_custkey").agg(F.max("o_totalprice").alias("score"), F.max(urgent).alias("score_urgent"))
+    person = customer_places(t).select("c_custkey", "c_name", "zone", "region")
+    for side in (contacts, scores):
+        person = J.lookup(person, side, {"c_custkey": "o_custkey"})
     kinds = t.events.groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
     phones = A.labelled_list(kinds, ["user_id"], "event_type", F.col("n"), "contacts")
     person = J.lookup(person, phones, {"c_custkey": "user_id"})
@@ -296,13 +297,12 @@ def job_cancelled_loans(t):
     rows = t.orders.withColumn("d", F.to_date("o_orderdate"))
     kept = L.keep_group_extremes(rows, ["o_custkey", "d"], maxima=["o_orderkey"], minima=["o_orderstatus"])
     closed = kept.filter((F.col("o_orderstatus") == "F") & (F.trim("o_orderpriority") != ""))
-    last_day = L.keep_max_group(t.lineitem.select("l_orderkey", "l_shipdate", "l_extendedprice"), "l_orderkey", "l_shipdate")
-    last_pay = last_day.groupBy("l_orderkey").agg(
-        N.sum_money(F.col("l_extendedprice")).alias("last_payment"), F.to_date(F.max("l_shipdate")).alias("paid_on")
-    )
+    last_pay = J.last_paid(
+        t.lineitem, "l_orderkey", "l_shipdate", {"last_payment": N.sum_money(F.col("l_extendedprice"))}
+    ).withColumn("paid_on", F.to_date("l_shipdate"))
     refinanced = t.events.filter((F.col("event_type") == "error") & (F.col("value") > 100))
     df = J.anti_join(closed, refinanced, {"o_custkey": "user_id"})
-    df = J.lookup(df, last_pay, {"o_orderkey": "l_orderkey"})
+    df = J.lookup(df, last_pay, {"o_orderkey": "l_orderkey"}, ["last_payment", "paid_on"])
     df = J.lookup(df, customer_places(t), {"o_custkey": "c_custkey"}, ["c_name", "zone", "region"])
     return df.select(
         "o_orderkey", "c_name", "zone", "region", F.col("o_totalprice").alias("initial_debt"), "last_payment",

@@ -95,9 +95,12 @@ def job_person_master(t):
     """One clean row per person with the newest address of each kind, loaded as an upsert."""
     birth = F.date_add(F.lit("1950-02-28").cast("date"), ((F.col("c_custkey") * 37) % 20000).cast("int"))
     people = L.any_per_key(t.customer, "c_custkey", ["c_name"]).withColumn("birth", birth)
-    order, on = ["o_orderdate", "o_orderkey"], {"c_custkey": "o_custkey"}
-    for name, status in (("home", "F"), ("work", "O"), ("biz", "P")):
-        people = J.apply_top1(people, t.orders, on, order, {"o_orderkey": name}, F.col("o_orderstatus") == status)
+    status, address = F.col("o_orderstatus"), F.col("o_orderkey")
+    newest = J.latest_values(
+        t.orders, "o_custkey", ["o_orderdate", "o_orderkey"],
+        {"home": (address, status == "F"), "work": (address, status == "O"), "biz": (address, status == "P")},
+    )
+    people = J.lookup(people, newest, {"c_custkey": "o_custkey"})
     people = J.lookup(people, t.nation, {"c_nationkey": "n_nationkey"}, {"n_name": "pais"})
     home = F.col("home")
     rows = people.select(

@@ -50,11 +50,14 @@ def truncate_load(df: DataFrame, path: str) -> DataFrame:
 def recreate_load(
     df: DataFrame, path: str, key: Sequence[str] = (), sort: Sequence[str] = (), spread: Sequence[str] = ()
 ) -> DataFrame:
-    """Replace rows and schema; check the declared key, spread and sort the files."""
+    """Replace rows and schema; check the declared key, spread and sort the files.
+
+    Rows are rebalanced by the spread columns, so a hot value becomes several files.
+    """
     if key:
         require_unique(df, key)
     if spread:
-        df = df.repartition(*spread)
+        df = df.hint("rebalance", *spread)
     if sort:
         df = df.sortWithinPartitions(*sort)
     df.write.mode("overwrite").parquet(path)
