@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime, time, timedelta
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -24,7 +24,8 @@ def any_of(*conditions: Column) -> Column:
 
 
 def _start(d: date | str) -> Column:
-    return F.lit(datetime.combine(day(d), time())).cast("timestamp_ntz")
+    """Midnight as wall-clock time: a text literal, so no time zone takes part."""
+    return F.lit(day(d).isoformat()).cast("timestamp_ntz")
 
 
 def on_day(ts: str, d: date | str) -> Column:
