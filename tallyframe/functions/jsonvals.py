@@ -92,6 +92,30 @@ def deep_find(nodes: Column, names: Sequence[str], match: str = "exact") -> Colu
     return F.coalesce(*[first(name) for name in names])
 
 
+def first_scalar(text: Column, max_depth: int = 3) -> Column:
+    """The first plain value inside JSON text, in document order; plain text is itself."""
+    nested = F.ltrim(text).rlike(r"^[{\[]")
+    if max_depth == 0:
+        return F.when(~nested, text)
+    members = F.coalesce(
+        F.map_values(F.from_json(text, "map<string,string>")), F.from_json(text, "array<string>")
+    )
+    inner = F.transform(members, lambda v: first_scalar(v, max_depth - 1))
+    return F.when(nested, F.get(F.filter(inner, lambda v: v.isNotNull()), F.lit(0))).otherwise(text)
+
+
+def unwrap_value(value: Column) -> Column:
+    """A found value without nesting: an object becomes its first plain value, a list the
+    list of the first plain value of each item; anything else stays."""
+    start = F.ltrim(value)
+    items = F.transform(F.from_json(value, "array<string>"), lambda v: first_scalar(v))
+    return (
+        F.when(start.startswith("{"), first_scalar(value))
+        .when(start.startswith("["), F.coalesce(F.to_json(F.filter(items, lambda v: v.isNotNull())), value))
+        .otherwise(value)
+    )
+
+
 def _each(values: Column, step: Callable[[Column], Column]) -> Column:
     return F.transform(values, lambda v: step(v))
 

@@ -210,18 +210,20 @@ def event_pairs(
     replacement: Column,
     order: Sequence[str],
     columns: Mapping[str, str],
-    count: str,
+    totals: Mapping[str, Column],
 ) -> DataFrame:
-    """Each original row with the first replacement of its key, and how many there are.
+    """Each original row with the first replacement of its key and totals over all of them.
 
     The replacements are reduced to one row per key before the join, so the output grows
     with the originals and not with the product of both sides.
     """
-    new = df.filter(replacement)
-    first = first_per_key(new.select(key, *dict.fromkeys([*order, *columns])), key, order)
-    many = new.groupBy(key).agg(F.count("*").alias(count))
-    paired = lookup(df.filter(original), first, key, columns)
-    return lookup(paired, many, key, [count]).withColumn(count, F.coalesce(F.col(count), F.lit(0)))
+    rank = F.struct(*order)
+    first = F.min_by(F.struct(*[F.col(c).alias(new) for c, new in columns.items()]), rank)
+    per_key = df.filter(replacement).groupBy(key).agg(
+        first.alias("__first"), *[e.alias(n) for n, e in totals.items()]
+    )
+    per_key = per_key.select(key, "__first.*", *totals)
+    return lookup(df.filter(original), per_key, key, [*columns.values(), *totals])
 
 
 def history_plus_online(history: DataFrame, online: DataFrame, transform) -> DataFrame:

@@ -73,7 +73,7 @@ f AS (SELECT guid, conv_id, arg_min(role, turn) AS role0, min(turn) AS turn0, mi
 WITH {_APP_GROUP_SQL}
 SELECT guid AS "GuidEngine", 'F' || conv_id AS "IdFormiik", coalesce(role_known, '') AS "Usuario", coalesce(upper(role_mail || '@x.co'), '') AS "EmailUsuario",
   role0 AS "DI_NombreTitular", CASE WHEN turn_odd IS NULL THEN '' ELSE '1980-05-17' END AS "DI_FechaNacimientoTitular", coalesce(CASE WHEN turn0 = 0 THEN 'NaN' ELSE CAST(turn0 AS VARCHAR) END, '') AS "CVD_SalarioPension",
-  'ref ' || role0 AS "REF_NombreReferencia", CASE WHEN turn_goods IS NULL THEN '' ELSE role_goods || ', casa' END AS "DI_BienesTitular",
+  'ref ' || role0 AS "REF_NombreReferencia", 'ref ' || role0 || ', otra' AS "DI_Referencias", coalesce(CASE WHEN turn0 = 0 THEN 'NaN' ELSE CAST(turn0 AS VARCHAR) END, '') AS "DI_Ingresos", CASE WHEN turn_goods IS NULL THEN '' ELSE role_goods || ', casa' END AS "DI_BienesTitular",
   CASE WHEN turn_pos IS NULL THEN '2024-01-15' ELSE '2024-01-10' END AS "DI_FechaCarge", 0 AS filled_extra
 FROM f WHERE role_known IS NOT NULL OR role_mail IS NOT NULL
 """)
@@ -84,14 +84,14 @@ def job_application_wide(t):
     maps = V.with_first_values(
         opened.select("turn", "nodes"), "nodes",
         {
-            "joined": [X.list_text_normalize, *tidy],
-            "firsts": [lambda v: X.list_text_normalize(v, first_only=True), *tidy],
+            "joined": [V.unwrap_value, X.list_text_normalize, *tidy],
+            "firsts": [V.unwrap_value, lambda v: X.list_text_normalize(v, first_only=True), *tidy],
         },
     )
     keys = ["GuidEngine", "IdFormiik"]
     wanted = [
         "Usuario", "EmailUsuario", "DI_NombreTitular", "DI_FechaNacimientoTitular", "CVD_SalarioPension",
-        "REF_NombreReferencia", "DI_BienesTitular", "DI_FechaCarge", *_wide_columns(),
+        "REF_NombreReferencia", "DI_BienesTitular", "DI_Referencias", "DI_Ingresos", "DI_FechaCarge", *_wide_columns(),
     ]
     flat = maps.select(
         "turn",

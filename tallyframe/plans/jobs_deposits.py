@@ -18,9 +18,9 @@ from tallyframe.plans.registry import EVENTS_AS_OF, ORDERS_AS_OF, query
 @query("""
 WITH flagged AS (SELECT *, max(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id) AS flag
   FROM events WHERE ts >= TIMESTAMP '2024-01-14' AND event_type IN ('purchase', 'error')),
-new AS (SELECT user_id AS u, arg_min(event_id, ts) AS operacion_nueva, arg_min(value, ts) AS capital_nueva, CAST(min(ts) AS DATE) AS fecha_nueva, count(*) AS nuevas
+new AS (SELECT user_id AS u, arg_min(event_id, ts) AS operacion_nueva, arg_min(value, ts) AS capital_nueva, CAST(min(ts) AS DATE) AS fecha_nueva, count(*) AS nuevas, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS capital_total
   FROM events WHERE ts >= TIMESTAMP '2024-01-14' AND event_type = 'signup' GROUP BY user_id)
-SELECT user_id AS cuenta, event_id AS operacion_original, value AS capital_original, operacion_nueva, capital_nueva, fecha_nueva, coalesce(nuevas, 0) AS nuevas
+SELECT user_id AS cuenta, event_id AS operacion_original, value AS capital_original, operacion_nueva, capital_nueva, fecha_nueva, coalesce(nuevas, 0) AS nuevas, capital_total
 FROM flagged LEFT JOIN new ON u = user_id WHERE flag = 1 AND event_type <> 'error'
 """)
 def job_deposit_renewals(t):
@@ -31,12 +31,13 @@ def job_deposit_renewals(t):
     both = originals.unionByName(recent.filter("event_type = 'signup'"))
     pairs = J.event_pairs(
         both, "user_id", F.col("event_type") == "purchase", F.col("event_type") == "signup", ["ts", "event_id"],
-        {"event_id": "operacion_nueva", "value": "capital_nueva", "ts": "ts_nueva"}, "nuevas",
+        {"event_id": "operacion_nueva", "value": "capital_nueva", "ts": "ts_nueva"},
+        {"nuevas": F.count("*"), "capital_total": N.sum_money(F.col("value"))},
     )
     return pairs.select(
         F.col("user_id").alias("cuenta"), F.col("event_id").alias("operacion_original"),
         F.col("value").alias("capital_original"), "operacion_nueva", "capital_nueva",
-        F.to_date("ts_nueva").alias("fecha_nueva"), "nuevas",
+        F.to_date("ts_nueva").alias("fecha_nueva"), N.null_default(F.col("nuevas"), 0).alias("nuevas"), "capital_total",
     )
 
 

@@ -303,9 +303,10 @@ def same_table_event_pair(t):
     recent = P.filter_recent_days(t.events, "ts", EVENTS_AS_OF, 2)
     pairs = J.event_pairs(
         recent, "user_id", F.col("event_type") == "purchase", F.col("event_type") == "signup", ["ts", "event_id"],
-        {"event_id": "new_id", "value": "new_value"}, "replacements",
+        {"event_id": "new_id", "value": "new_value"}, {"replacements": F.count("*")},
     )
-    return pairs.select("event_id", "user_id", "value", "new_id", "new_value", "replacements")
+    many = N.null_default(F.col("replacements"), 0).alias("replacements")
+    return pairs.select("event_id", "user_id", "value", "new_id", "new_value", many)
 
 
 @query("""

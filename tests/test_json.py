@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions import jsonvals as V
+from tallyframe.functions import text as X
 from tallyframe.sources import payloads as S
 
 DOCS = [
@@ -121,3 +122,12 @@ def test_array_values(spark):
     df = spark.createDataFrame([([],), (["a", None, "b"],), (None,)], T.StructType([T.StructField("v", T.ArrayType(T.StringType()))]))
     got = df.select(V.array_first_or_join(F.col("v")), V.array_first_or_join(F.col("v"), True), V.array_empty_default(F.col("v"))).collect()
     assert [tuple(r) for r in got] == [(None, None, "0"), ("a, b", "a", '["a",null,"b"]'), (None, None, None)]
+
+
+def test_unwrapped_values(spark):
+    texts = ['{"a":null,"b":{"c":"x"}}', '[{"a":1},{"b":[]},["y"]]', "[]", " plain , t ", "{}", None, "[a, b]"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, v string").orderBy("i")
+    df = df.select(F.explode(F.array(V.unwrap_value(F.col("v")))).alias("v"))
+    got = df.select(X.list_text_normalize(F.col("v")), X.list_text_normalize(F.col("v"), True)).collect()
+    assert [r[0] for r in got] == ["x", "1, y", None, "plain, t", None, None, "a, b"]
+    assert [r[1] for r in got][1] == "1"

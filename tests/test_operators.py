@@ -90,9 +90,9 @@ def test_parameters_must_be_one_row(spark):
 def test_event_pairs_grow_with_originals_only(spark):
     rows = [(1, "o", i) for i in range(50)] + [(1, "n", i) for i in range(40)] + [(2, "o", 99)]
     df = spark.createDataFrame(rows, "k int, t string, i int")
-    got = J.event_pairs(df, "k", F.col("t") == "o", F.col("t") == "n", ["i"], {"i": "new"}, "many")
+    got = J.event_pairs(df, "k", F.col("t") == "o", F.col("t") == "n", ["i"], {"i": "new"}, {"many": F.count("*")})
     assert got.count() == 51
-    assert {(r["new"], r["many"]) for r in got.collect()} == {(0, 40), (None, 0)}
+    assert {(r["new"], r["many"]) for r in got.collect()} == {(0, 40), (None, None)}
 
 
 def test_first_due_sums_ties(spark, rows):
@@ -137,6 +137,12 @@ def test_names(spark):
         C.normalize_column_names(spark.createDataFrame([(1, 2)], "`Año` int, ano int"))
 
 
+def test_candidate_names():
+    prefixes = ("DI_", "REF_")
+    assert C.candidate_names("DI_TipoCanal", prefixes) == ["TipoCanal", "DI_TipoCanal", "Canal"]
+    assert C.candidate_names("a_b", (), {"a_b": "x"}) == ["x", "a_b", "ab", "b"]
+
+
 def test_select_available(spark):
     df = spark.createDataFrame([(("n", "s"), 1)], "Peticion struct<Nombre:string,Otro:string>, `Raíz` int")
     got = C.select_available(df, ["DI_Nombre", "raiz", "otro", "Falta"], root="Peticion", prefixes=("DI_",))
