@@ -36,9 +36,8 @@ def in_band(value: Column, low: int | None, high: int | None) -> Column:
 
 def aging_columns(days: Column, balance: Column, bands=AGING_BANDS) -> list[Column]:
     """The balance in the column of its band, 0 in the others. Null days age nowhere."""
-    zero = F.lit(0).cast("double")
     return [
-        F.when(in_band(days, low, high), balance).otherwise(zero).alias(name)
+        F.when(in_band(days, low, high), balance).otherwise(F.lit(0)).alias(name)
         for name, low, high in bands
     ]
 

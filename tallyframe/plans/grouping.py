@@ -45,8 +45,11 @@ SELECT l_suppkey, CAST(sum(CAST(CASE WHEN l_returnflag = 'A' THEN l_extendedpric
 FROM lineitem GROUP BY l_suppkey
 """)
 def conditional_sum(t):
-    price = F.col("l_extendedprice")
-    return t.lineitem.groupBy("l_suppkey").agg(
+    price = F.col("price")
+    lines = t.lineitem.select(
+        "l_suppkey", "l_returnflag", "l_linestatus", "l_tax", N.money(F.col("l_extendedprice")).alias("price")
+    )
+    return lines.groupBy("l_suppkey").agg(
         *A.conditional_sums(
             price,
             {

@@ -137,7 +137,7 @@ def job_collections_mtd(t):
 
     def movements(ledger):
         rows = P.filter_month_to_date(ledger, "l_shipdate", ORDERS_AS_OF).filter("l_suppkey <> 99")
-        amount = N.sign_by(F.col("l_extendedprice"), F.col("l_returnflag") == "R")
+        amount = N.sign_by(N.money(F.col("l_extendedprice")), F.col("l_returnflag") == "R")
         return rows.select("l_orderkey", "l_shipdate", "l_linenumber", "l_tax", amount.alias("amount"))
 
     both = J.history_plus_online(

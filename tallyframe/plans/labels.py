@@ -36,13 +36,13 @@ def open_order_aging(t):
     row per customer meets the join and a customer with many orders is no hot key.
     """
     open_orders = t.orders.filter("o_orderstatus = 'O'").select(
-        "o_custkey", "o_totalprice",
+        "o_custkey", N.money(F.col("o_totalprice")).alias("o_totalprice"),
         D.days_between(F.col("o_orderdate"), D.run_date(ORDERS_AS_OF)).alias("dpd"),
     )
     aged = K.aging_buckets(open_orders, "dpd", "o_totalprice")
     bands = [name for name, _, _ in K.AGING_BANDS]
     per_customer = aged.groupBy("o_custkey").agg(
-        F.count("*").alias("n"), *[F.sum(N.money(F.col(b))).alias(b) for b in bands]
+        F.count("*").alias("n"), *[F.sum(b).alias(b) for b in bands]
     )
     named = J.lookup(per_customer, t.customer, {"o_custkey": "c_custkey"}, ["c_nationkey", "c_mktsegment"])
     named = J.lookup(named, t.nation, {"c_nationkey": "n_nationkey"}, ["n_name"])
