@@ -46,9 +46,10 @@ def sum_distinct(df: DataFrame, keys: Sequence[str], distinct: Mapping[str, Colu
 
 
 def labelled_list(df: DataFrame, keys: Sequence[str], kind: str, value: Column, out: str, sep: str = ", ") -> DataFrame:
-    """One text per key listing ``kind-value`` in order of kind.
+    """One text per key listing its distinct ``kind-value`` entries in sorted order.
 
-    Takes one row per (key, kind), so a list is never longer than the number of kinds.
+    Aggregate to one row per (key, kind) first where a key may have many rows: then a list
+    is never longer than the number of kinds.
     """
     item = F.concat(F.col(kind), F.lit("-"), value.cast("string"))
     return df.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_set(item)), sep).alias(out))

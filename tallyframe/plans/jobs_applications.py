@@ -43,7 +43,7 @@ def _application(t):
     goods = F.when(turn % 3 == 0, F.array().cast("array<string>")).otherwise(F.array("role", F.lit("casa")))
     doc = F.struct(
         F.struct(
-            guid.alias("GuidEngine"), F.concat(F.lit("F"), F.col("conv_id")).alias("IdFormiik"),
+            guid.alias("GuidEngine"), F.concat(F.lit("F"), F.col("conv_id")).alias("IdExterno"),
             F.when(known, F.concat(F.lit(" "), F.col("role"), F.lit(" "))).alias("Usuario"),
             F.when(turn > 1, F.concat(F.col("role"), F.lit("@x.co"))).alias("EmailUsuario"),
             F.when(turn > 0, F.lit("2024-01-10T10:00:00")).alias("FechaCarge"),
@@ -71,7 +71,7 @@ f AS (SELECT guid, conv_id, arg_min(role, turn) AS role0, min(turn) AS turn0, mi
 
 @query(f"""
 WITH {_APP_GROUP_SQL}
-SELECT guid AS "GuidEngine", 'F' || conv_id AS "IdFormiik", coalesce(role_known, '') AS "Usuario", coalesce(upper(role_mail || '@x.co'), '') AS "EmailUsuario",
+SELECT guid AS "GuidEngine", 'F' || conv_id AS "IdExterno", coalesce(role_known, '') AS "Usuario", coalesce(upper(role_mail || '@x.co'), '') AS "EmailUsuario",
   role0 AS "DI_NombreTitular", CASE WHEN turn_odd IS NULL THEN '' ELSE '1980-05-17' END AS "DI_FechaNacimientoTitular", coalesce(CASE WHEN turn0 = 0 THEN 'NaN' ELSE CAST(turn0 AS VARCHAR) END, '') AS "CVD_SalarioPension",
   'ref ' || role0 AS "REF_NombreReferencia", 'ref ' || role0 || ', otra' AS "DI_Referencias", coalesce(CASE WHEN turn0 = 0 THEN 'NaN' ELSE CAST(turn0 AS VARCHAR) END, '') AS "DI_Ingresos", CASE WHEN turn_goods IS NULL THEN '' ELSE role_goods || ', casa' END AS "DI_BienesTitular",
   CASE WHEN turn_pos IS NULL THEN '2024-01-15' ELSE '2024-01-10' END AS "DI_FechaCarge", 0 AS filled_extra
@@ -88,7 +88,7 @@ def job_application_wide(t):
             "firsts": [V.unwrap_value, lambda v: X.list_text_normalize(v, first_only=True), *tidy],
         },
     )
-    keys = ["GuidEngine", "IdFormiik"]
+    keys = ["GuidEngine", "IdExterno"]
     wanted = [
         "Usuario", "EmailUsuario", "DI_NombreTitular", "DI_FechaNacimientoTitular", "CVD_SalarioPension",
         "REF_NombreReferencia", "DI_BienesTitular", "DI_Referencias", "DI_Ingresos", "DI_FechaCarge", *_wide_columns(),
@@ -108,9 +108,9 @@ def job_application_wide(t):
             "DI_FechaCarge": F.substring("DI_FechaCarge", 1, 10),
         }
     )
-    grouped = A.first_values(flat, ["GuidEngine", "IdFormiik"], ["turn"], wanted)
+    grouped = A.first_values(flat, ["GuidEngine", "IdExterno"], ["turn"], wanted)
     kept = C.clean_null_rows(grouped, ["Usuario", "EmailUsuario"])
-    text = C.null_to_blank_all(C.ensure_columns(kept, ["GuidEngine", "IdFormiik", *wanted]))
+    text = C.null_to_blank_all(C.ensure_columns(kept, ["GuidEngine", "IdExterno", *wanted]))
     text = M.fill_blank_date(C.truncate_strings(text), "DI_FechaCarge", EVENTS_AS_OF)
     extra = F.size(F.filter(F.array(*_wide_columns()), lambda v: v != ""))
     return text.withColumn("filled_extra", extra).drop(*_wide_columns())
@@ -118,31 +118,31 @@ def job_application_wide(t):
 
 @query(f"""
 WITH {_APP_GROUP_SQL}
-SELECT guid AS "GuidEngine", 'F' || conv_id AS "IdFormiik", CAST(turn_pos AS DOUBLE) AS "Salario", CAST(turn_known * 100 AS DOUBLE) AS "Otros Ingresos",
+SELECT guid AS "GuidEngine", 'F' || conv_id AS "IdExterno", CAST(turn_pos AS DOUBLE) AS "Salario", CAST(turn_known * 100 AS DOUBLE) AS "Otros Ingresos",
   CASE WHEN turn0 = 0 THEN DATE '2024-01-15' ELSE DATE '2024-01-10' END AS "Fecha Carge" FROM f
 """)
 def job_application_income(t):
     """Income columns by inferred schema: numbers, default dates, first known value."""
     docs = S.json_column_infer(_application(t), "doc", "parsed")
     flat = docs.select("turn", "parsed.Peticion.*").select(
-        "turn", "GuidEngine", "IdFormiik", N.nan_to_null(F.col("titular.ingresos.`SalarioPensión`")).alias("Salario"),
+        "turn", "GuidEngine", "IdExterno", N.nan_to_null(F.col("titular.ingresos.`SalarioPensión`")).alias("Salario"),
         N.nan_to_null(F.col("titular.ingresos.OtrosIngresos")).alias("Otros Ingresos"),
         D.default_date(D.parse_date(F.substring("FechaCarge", 1, 10)), EVENTS_AS_OF).alias("Fecha Carge"),
     )
     flat = P.drop_null_key(flat, "GuidEngine")
-    return A.first_values(flat, ["GuidEngine", "IdFormiik"], ["turn"], ["Salario", "Otros Ingresos", "Fecha Carge"])
+    return A.first_values(flat, ["GuidEngine", "IdExterno"], ["turn"], ["Salario", "Otros Ingresos", "Fecha Carge"])
 
 
 @query(f"""
 WITH {_APP_GROUP_SQL}
-SELECT guid AS "GuidEngine", 'F' || conv_id AS "IdFormiik", role_known AS "Usuario", upper(role_mail || '@x.co') AS "EmailUsuario", DATE '2024-01-10' AS "FechaCarge", CAST(NULL AS VARCHAR) AS "LineaFNG"
+SELECT guid AS "GuidEngine", 'F' || conv_id AS "IdExterno", role_known AS "Usuario", upper(role_mail || '@x.co') AS "EmailUsuario", DATE '2024-01-10' AS "FechaCarge", CAST(NULL AS VARCHAR) AS "LineaFNG"
 FROM f WHERE turn_pos IS NOT NULL AND (role_known IS NOT NULL OR role_mail IS NOT NULL)
 """)
 def job_application_base(t):
     """Columns resolved against the inferred schema; what is missing is null."""
     docs = S.json_column_infer(_application(t), "doc", "parsed").select("turn", "parsed.*")
     flat = C.select_available(
-        docs, ["GuidEngine", "IdFormiik", "Usuario", "EmailUsuario", "FechaCarge", "LineaFNG"], keep=["turn"], root="Peticion"
+        docs, ["GuidEngine", "IdExterno", "Usuario", "EmailUsuario", "FechaCarge", "LineaFNG"], keep=["turn"], root="Peticion"
     )
     flat = P.drop_null_key(flat, "GuidEngine").withColumns(
         {
@@ -150,13 +150,13 @@ def job_application_base(t):
             "FechaCarge": D.parse_date(F.substring(D.sentinel_to_null(F.col("FechaCarge")), 1, 10)),
         }
     )
-    first = A.first_values(flat, ["GuidEngine", "IdFormiik"], ["turn"], ["Usuario", "EmailUsuario", "FechaCarge", "LineaFNG"])
+    first = A.first_values(flat, ["GuidEngine", "IdExterno"], ["turn"], ["Usuario", "EmailUsuario", "FechaCarge", "LineaFNG"])
     return C.clean_null_rows(first, ["Usuario", "EmailUsuario"]).filter(F.col("FechaCarge").isNotNull())
 
 
 @query(f"""
 WITH {_APP_GROUP_SQL}
-SELECT guid AS "GuidEngine", 'F' || conv_id AS "IdFormiik", role0 AS "Nombre", CASE WHEN turn0 > 0 THEN CAST(turn0 AS DOUBLE) END AS "Valor",
+SELECT guid AS "GuidEngine", 'F' || conv_id AS "IdExterno", role0 AS "Nombre", CASE WHEN turn0 > 0 THEN CAST(turn0 AS DOUBLE) END AS "Valor",
   CASE WHEN turn0 = 0 THEN DATE '2024-01-15' ELSE DATE '2024-01-10' END AS "Fecha Carge", md5(text0) AS "Observacion" FROM f
 """)
 def job_application_request(t):
@@ -164,7 +164,7 @@ def job_application_request(t):
     opened = V.with_json_nodes(_application(t), "doc")
     nodes = F.col("nodes")
     flat = opened.select(
-        "turn", V.deep_find(nodes, ["GuidEngine"]).alias("GuidEngine"), V.deep_find(nodes, ["IdFormiik"]).alias("IdFormiik"),
+        "turn", V.deep_find(nodes, ["GuidEngine"]).alias("GuidEngine"), V.deep_find(nodes, ["IdExterno"]).alias("IdExterno"),
         V.deep_find(nodes, ["NombreTitular"]).alias("Nombre"),
         N.nan_to_null(V.deep_find(nodes, ["SalarioPensión"])).alias("Valor"),
         D.default_date(D.parse_date(F.substring(V.deep_find(nodes, ["FechaCarge"]), 1, 10)), EVENTS_AS_OF).alias("Fecha Carge"),
@@ -172,7 +172,7 @@ def job_application_request(t):
     )
     flat = P.drop_null_key(flat, "GuidEngine")
     first = A.first_values(
-        flat, ["GuidEngine", "IdFormiik"], ["turn"], ["Nombre", "Valor", "Fecha Carge", "Observacion"], skip_nulls=False
+        flat, ["GuidEngine", "IdExterno"], ["turn"], ["Nombre", "Valor", "Fecha Carge", "Observacion"], skip_nulls=False
     )
     return C.clean_null_rows(first, ["Nombre", "Valor"])
 

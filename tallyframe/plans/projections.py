@@ -51,18 +51,18 @@ def normalize_and_rename_columns(t):
 
 
 @query("""
-SELECT CAST(c_custkey AS VARCHAR) AS "IdFormiik", c_name AS "DI_Nombre", c_mktsegment AS "Region", '' AS "CVD_Faltante",
+SELECT CAST(c_custkey AS VARCHAR) AS "IdExterno", c_name AS "DI_Nombre", c_mktsegment AS "Region", '' AS "CVD_Faltante",
        CASE WHEN c_acctbal < 0 THEN '' ELSE c_mktsegment END AS "REF_Segmento", 'n/a' AS "OFC_Fallback"
 FROM customer
 """)
 def select_available_columns(t):
     segment = F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment"))
     df = t.customer.select(
-        F.col("c_custkey").alias("idformiik"),
+        F.col("c_custkey").alias("idexterno"),
         F.struct(F.col("c_name").alias("Nombre"), segment.alias("Segmento")).alias("Peticion"),
         F.struct(F.struct(F.col("c_mktsegment").alias("Región")).alias("inner")).alias("outer"),
     )
-    wanted = ["IdFormiik", "DI_Nombre", "Region", "CVD_Faltante", "REF_Segmento", "OFC_Fallback"]
+    wanted = ["IdExterno", "DI_Nombre", "Region", "CVD_Faltante", "REF_Segmento", "OFC_Fallback"]
     picked = C.select_available(
         df, wanted, root="Peticion", prefixes=("DI_", "CVD_", "REF_", "AC_", "OFC_"),
         fallback={"OFC_Fallback": F.lit("n/a")},

@@ -10,6 +10,12 @@ from tallyframe.session import local_session  # noqa: E402
 SMALL = "/root/testdata/sf0.001"
 
 
+def plan_of(df):
+    """The formatted physical plan, not cut short."""
+    jvm = df.sparkSession.sparkContext._jvm
+    return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("8")

@@ -44,9 +44,11 @@ def tables_in_duckdb(folder):
     return con
 
 
-def compare(spark, con, query, folder) -> tuple[bool, str]:
+def compare(spark, con, query, folder, inspect=lambda df: None) -> tuple[bool, str]:
+    """Does the query agree with its SQL; ``inspect`` sees the DataFrame before it runs."""
     start = time.time()
     df = query(spark, folder)
+    inspect(df)
     got = [tuple(r) for r in df.collect()]
     took = time.time() - start
     if query.sql is None:
