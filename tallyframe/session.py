@@ -20,6 +20,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, **conf: str) ->
         .config("spark.driver.memory", "8g")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
+    conf = {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tallyframe-")} | conf
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -27,19 +28,25 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, **conf: str) ->
     return spark
 
 
+#: Folders chosen for local sessions that name none, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (a bare local session) is a local folder
-    chosen, and it is then set on the session so that later calls share it.
+    Only for a local master that names none is a local folder chosen, once per application; on a
+    cluster a missing setting is an error, because a machine's own folder is not shared.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="tallyframe-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local[") and context.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="tallyframe-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
