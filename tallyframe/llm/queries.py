@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import chat, repetition, toxicity
+from tallyframe.llm import chat, repetition, setjoin, toxicity
 from tallyframe.llm.base import table
 from tallyframe.llm.registry import query
 
@@ -50,3 +50,8 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     weights = toxicity.model(docs, table(spark, folder, "labels"))
     found = toxicity.scored(docs, weights)
     return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query()
+def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return setjoin.jaccard_components(table(spark, folder, "documents"))

@@ -22,7 +22,7 @@ from tallyframe.llm.base import U64, lower_ascii, mix, owners, text_runs, word_h
 BITS = 20
 #: Most labelled rows a model is learned from; fewer if there are fewer. They are drawn by a hash of the id.
 SAMPLE_ROWS = 20_000
-#: Characters of a text that would make learning in one task grow are none: a text counts by its distinct features.
+#: Times that the learner goes over the sample.
 PASSES = 2
 
 
@@ -30,10 +30,10 @@ PASSES = 2
 class Ftrl:
     """Parameters of the learner. ``alpha`` and ``beta`` set the rate per coordinate, ``l1`` and ``l2`` shrink."""
 
-    alpha: float = 0.1
+    alpha: float = 2.0
     beta: float = 1.0
-    l1: float = 1.0
-    l2: float = 0.1
+    l1: float = 4.0
+    l2: float = 0.0
     passes: int = PASSES
 
 
