@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import chat, mixing, repetition, setjoin, toxicity
+from tallyframe.llm import chat, mixing, repetition, setjoin, suffixes, toxicity
 from tallyframe.llm.base import table
 from tallyframe.llm.registry import query
 
@@ -62,3 +62,8 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_documents(table(spark, folder, "documents"))
     quotas = spark.createDataFrame(mixed.quotas, "source string, source_size long, target double").withColumn("pattern", mixing.pattern(F.array("source")))
     return mixed.rows.join(F.broadcast(quotas), "pattern").select("doc_id", "size", "source", "source_size", "target", "taken", "times")
+
+
+@query()
+def op4_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.removal_digests(table(spark, folder, "documents"))
