@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import chat, mixing, repetition, setjoin, suffixes, toxicity
+from tallyframe.llm import chat, mixing, repetition, setjoin, suffixes, toxicity, vamana
 from tallyframe.llm.base import table
 from tallyframe.llm.registry import query
 
@@ -67,3 +67,8 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op4_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.removal_digests(table(spark, folder, "documents"))
+
+
+@query()
+def op8_vamana(spark: SparkSession, folder: str) -> DataFrame:
+    return vamana.nearest(table(spark, folder, "embeddings"))
