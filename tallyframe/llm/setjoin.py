@@ -6,16 +6,17 @@ which tokens occur in which group. A class can only have a partner in a group if
 holds enough of its tokens, so only such groups are opened and their members compared exactly.
 
 1. Counts of hashed tokens in a table of fixed size give a global order, rare tokens first.
-2. Each document gives its set's digest, its smallest token hash, and its *prefix*: so many of
-   its rarest tokens that two linked documents must share one of them.
-3. Classes with the same smallest token hash form a group, in blocks of bounded size.
-4. The matrix is stored by token, from prefixes alone: columns that touch one group are dropped before any
-   join; the others give (class, group) pairs, kept if the group's range of set sizes allows a link.
+2. Each document gives its set's digest and its *prefix*: so many of its rarest tokens that two linked
+   documents must share at least ``COMMON`` of them (all that can be needed, for very small sets).
+3. Prefix tokens of one class alone go. A class left with fewer than it must share has no partner. Of the others,
+   those with the same most frequent shared token form a group, in blocks of bounded size.
+4. The matrix is stored by token, from prefixes: a class can only have a partner in a group that holds
+   enough of its prefix and whose range of set sizes allows a link.
 5. Texts of the classes concerned are read again, and each group meets its visitors: the bound on the whole
    token union first, members after. Links that follow from others inside a group are left out.
 6. Components of the links give the result.
 
-The order, the groups and the blocks change only how much work there is, not which links are found.
+The order, the groups, the blocks and the filter of ids change only how much work there is, not which links are found.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.base import U64, lower_ascii, mix, owners, settle, text_runs, word_hashes
+from tallyframe.llm.base import U64, id_filter, lower_ascii, maybe_in, mix, owners, settle, text_runs, word_hashes
 from tallyframe.llm.components import components
 
 #: Counters of hashed tokens: 2 ** BITS of 4 bytes, whatever the input.
@@ -37,6 +38,8 @@ SLICE = 1 << 12
 #: Classes of one block of a group, and visitors that meet one copy of it.
 BLOCK = 256
 VISITORS = 2048
+#: Prefix tokens that linked sets share at least, if they have so many.
+COMMON = 6
 
 
 def token_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -113,70 +116,91 @@ def _needed(n, percent: int):
 
 
 def signed(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n, digest, sig and prefix of every row; an empty set has no digest, sig or prefix."""
+    """doc_id, n, digest and prefix of every row; an empty set has no digest and no prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(token_counts(docs, width))  # 2 ** BITS counters
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
-            size, digest, sig, prefix = [], [], [], []
+            size, digest, prefix = [], [], []
             for _, tokens in _sets(batch.column(1), width):
                 n = len(tokens)
                 size.append(n)
                 if not n:
-                    digest.append(None), sig.append(None), prefix.append(None)
+                    digest.append(None), prefix.append(None)
                     continue
                 often = counts[(tokens >> U64(64 - BITS)).astype(np.int64)]
-                k = n - _needed(n, percent) + 1
+                need = _needed(n, percent)
+                k = n - need + min(COMMON, need)
                 rare = np.argpartition(often, k - 1)[:k] if k < n and not (often == often[0]).all() else np.arange(n)
                 most = often[rare].max()
                 below = tokens[often < most]
                 ties = tokens[often == most][: k - len(below)]
-                digest.append(_digest(tokens)), sig.append(int(tokens[0].view(np.int64)))
+                digest.append(_digest(tokens))
                 prefix.append(np.concatenate([below, ties]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))],
-                ["doc_id", "n", "digest", "sig", "prefix"],
+                [batch.column(0), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))],
+                ["doc_id", "n", "digest", "prefix"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, n long, digest binary, sig long, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, n long, digest binary, prefix array<long>")
 
 
-def _blocks(classes: DataFrame) -> DataFrame:
-    """Classes with the block of the group they belong to: as many blocks as the group's size asks for."""
-    many = classes.groupBy("sig").agg(F.count("*").alias("size"))
+def _must_share(percent: int):
+    """Prefix tokens that a set of ``n`` tokens shares with any partner at least."""
+    return F.least(F.lit(COMMON), F.ceil(F.col("n") * percent / 100))
+
+
+def _shared_tokens(classes: DataFrame) -> DataFrame:
+    """(token, rep, often): prefix tokens that more than one class has."""
+    often = F.count("*").over(Window.partitionBy("token"))
+    tokens = classes.select("rep", F.explode("prefix").alias("token"))
+    return settle(tokens.withColumn("often", often).filter("often > 1"), "shared_tokens")
+
+
+def _grouped(classes: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """Classes that can have a partner at all, each with the block of the group it belongs to.
+
+    The group is that of the class's most frequent shared token, so a large family of near copies makes few groups; it
+    has as many blocks as its size asks for.
+    """
+    known = shared.groupBy("rep").agg(F.count("*").alias("tokens"), F.max(F.struct("often", "token")).alias("sig"))
+    able = classes.select("rep", "digest", "n", _must_share(percent).alias("least")).join(known, "rep").filter("tokens >= least")
+    able = able.select("rep", "digest", "n", "least", F.col("sig.token").alias("sig"))
+    many = able.groupBy("sig").agg(F.count("*").alias("size"))
     block = F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / BLOCK))
-    return classes.join(many, "sig").withColumn("g", F.xxhash64("sig", block)).drop("size")
+    return settle(able.join(many, "sig").select("rep", "digest", "n", "least", F.xxhash64("sig", block).alias("g")), "groups")
 
 
-def visits(classes: DataFrame, percent: int) -> DataFrame:
-    """(rep, g): classes and the groups, not their own, that may hold a partner; each pair in one direction only.
+def visits(grouped: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """(rep, g, own): classes and the groups that may hold a partner, ``own`` telling that it is the class's own.
 
-    ``classes`` has rep, n, g and prefix. Tokens of one group alone go before the join. The direction is from the lower to
-    the higher group, so every pair of classes in different groups is met once.
+    Every pair of classes in different groups is met once, from the lower group to the higher. A group's column of the
+    matrix has for each token how many members have it, and the range of their set sizes.
     """
-    tokens = classes.select("rep", "n", "g", F.explode("prefix").alias("token"))
-    of_token = Window.partitionBy("token")
-    shared = tokens.withColumn("low", F.min("g").over(of_token)).withColumn("high", F.max("g").over(of_token)).filter("low != high")
-    shared = settle(shared.select("token", "rep", "n", "g"), "shared_tokens")
-    columns = shared.groupBy("token", F.col("g").alias("to")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    fits = (F.col("n") * percent <= F.col("most") * 100) & (F.col("least") * percent <= F.col("n") * 100)
-    return shared.join(columns, "token").filter((F.col("g") < F.col("to")) & fits).select("rep", F.col("to").alias("g")).distinct()
+    held = shared.select("token", "rep").join(grouped.select("rep", "n", "least", "g"), "rep")
+    columns = held.groupBy("token", F.col("g").alias("to")).agg(
+        F.count("*").alias("members"), F.min("n").alias("low"), F.max("n").alias("high"), F.min("least").alias("to_least")
+    )
+    fits = (F.col("n") * percent <= F.col("high") * 100) & (F.col("low") * percent <= F.col("n") * 100)
+    there = (F.col("g") < F.col("to")) | ((F.col("g") == F.col("to")) & (F.col("members") > 1))
+    met = held.join(columns, "token").filter(there & fits).groupBy("rep", "g", "to", "least").agg(F.count("*").alias("tokens"), F.min("to_least").alias("to_least"))
+    return met.filter(F.col("tokens") >= F.least("least", "to_least")).select("rep", F.col("to").alias("g"), (F.col("g") == F.col("to")).alias("own"))
 
 
-def _routes(classes: DataFrame, pairs: DataFrame) -> DataFrame:
+def _routes(grouped: DataFrame, met: DataFrame) -> DataFrame:
     """Where each class goes: (rep, digest, ways), a way being (g, part, visitor).
 
-    Members of a group go to every part of it; a visitor goes to one. Classes alone in a group that nobody visits go nowhere.
+    All members of a visited group go to every part of it, and a visitor goes to one. In a group without visitors, only
+    members that may link with each other go.
     """
-    guests = pairs.groupBy("g").agg(F.count("*").alias("guests"))
-    parts = F.greatest(F.ceil(F.col("guests") / VISITORS), F.lit(1))
-    seats = classes.groupBy("g").agg(F.count("*").alias("members")).join(guests, "g", "left").fillna(0, ["guests"])
-    open_groups = seats.filter("members > 1 or guests > 0").select("g", parts.alias("parts"))
-    members = classes.select("rep", "g").join(open_groups, "g").select("rep", "g", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("visitor"))
-    visitors = pairs.join(open_groups, "g").select("rep", "g", F.pmod(F.xxhash64("rep"), F.col("parts")).alias("part"), F.lit(1).alias("visitor"))
-    ways = members.unionByName(visitors).groupBy("rep").agg(F.collect_list(F.struct("g", "part", "visitor")).alias("ways"))
-    return ways.join(classes.select("rep", "digest"), "rep")
+    pairs, inner = met.filter("not own").select("rep", "g"), met.filter("own").select("rep", "g")
+    guests = pairs.groupBy("g").agg(F.ceil(F.count("*") / VISITORS).alias("parts"))
+    visited = grouped.select("rep", "g").join(guests, "g").select("rep", "g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    alone = inner.join(guests, "g", "left_anti").select("rep", "g", F.lit(0).cast("long").alias("part"))
+    visitors = pairs.join(guests, "g").select("rep", "g", F.pmod(F.xxhash64("rep"), F.col("parts")).alias("part"), F.lit(1).alias("visitor"))
+    ways = visited.unionByName(alone).withColumn("visitor", F.lit(0)).unionByName(visitors)
+    return ways.groupBy("rep").agg(F.collect_list(F.struct("g", "part", "visitor")).alias("ways")).join(grouped.select("rep", "digest"), "rep")
 
 
 def _expand(width: int):
@@ -295,12 +319,14 @@ def _link_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
 def linked_classes(docs: DataFrame, sets: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Classes (digest, rep, ...) and links between their representatives."""
     classes = sets.filter("digest is not null and doc_id is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("prefix").alias("prefix")
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
     )
-    classes = settle(_blocks(classes), "classes")
-    pairs = settle(visits(classes, percent), "visits")
-    ways = _routes(classes, pairs)
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(ways, "rep").select("rep", "digest", "ways", "text")
+    classes = settle(classes, "classes")
+    shared = _shared_tokens(classes)
+    grouped = _grouped(classes, shared, percent)
+    ways = settle(_routes(grouped, settle(visits(grouped, shared, percent), "visits")), "ways")
+    texts = docs.select(F.col("doc_id").alias("rep"), "text")
+    texts = texts.filter(maybe_in(id_filter(ways, "rep"), "rep")).join(ways, "rep").select("rep", "digest", "ways", "text")
     seats = texts.mapInArrow(_expand(width), "g long, part long, visitor int, rep long, tokens binary")
     seats = seats.repartition("g", "part").sortWithinPartitions("g", "part", "visitor", "rep")
     return classes, seats.mapInArrow(_meet(percent), "a long, b long")
