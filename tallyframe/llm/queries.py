@@ -5,9 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import chat, mixing, repetition, setjoin, suffixes, toxicity, vamana
+from tallyframe.llm import bpe, chat, mixing, repetition, setjoin, suffixes, tokenfiles, toxicity, vamana
 from tallyframe.llm.base import table
 from tallyframe.llm.registry import query
+from tallyframe.session import new_table_path
+
+#: The merge-type model that the queries use.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query()
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trips(table(spark, folder, "documents"), MODEL)
 
 
 @query()
@@ -72,3 +81,12 @@ def op4_suffixes(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op8_vamana(spark: SparkSession, folder: str) -> DataFrame:
     return vamana.nearest(table(spark, folder, "embeddings"))
+
+
+@query()
+def op6_separators(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as flat token files, and the length of every document found in them."""
+    path = new_table_path(spark, "llm/tokens")
+    tokenfiles.write_token_files(table(spark, folder, "documents"), path, MODEL)
+    counts = tokenfiles.token_counts(tokenfiles.blocks(spark, path))
+    return counts.withColumn("file", F.regexp_extract("file", r"part-(\d+)", 1).cast("int"))
