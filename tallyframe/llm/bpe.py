@@ -290,18 +290,27 @@ def read_model(path: str) -> bytes:
         return f.read()
 
 
-def encoded(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids): the ids of every whole text. A null or empty text has none; a null id is allowed and counts as 0
-    in the choice of variant. Equal rows give equal ids; other columns are left out."""
+def encoded(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: int = SEED, check: bool = False) -> DataFrame:
+    """(doc_id, ids, n_tokens) of every whole text of ``docs`` (doc_id, text); with ``check`` also lossless, telling whether
+    the decoded ids are the text.
+
+    A null or empty text has no ids; a null id is allowed and counts as 0 in the choice of variant. Equal rows give equal
+    ids; other columns are left out.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(read_model(model_path))
+    names = ["doc_id", "ids", "n_tokens", *["lossless"] * check]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(shared.value, dropout, seed)
         for batch in batches:
-            for own, _, ids in _encode_batch(batch, enc, seed):
-                yield pa.RecordBatch.from_arrays([own, pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+            for own, texts, ids in _encode_batch(batch, enc, seed):
+                columns = [own, pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64())]
+                if check:
+                    columns.append(pa.array([enc.pieces.decode(x.tolist()) == t for x, t in zip(ids, texts, strict=True)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
+    types = "doc_id long, ids array<int>, n_tokens long" + ", lossless boolean" * check
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, types)
 
 
 def decoded(rows: DataFrame, model_path: str) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tallyframe.llm.registry import QUERIES, SQL
+import corpus_pipeline
 from tallyframe.llm import queries  # noqa: F401  registers them
+from tallyframe.llm.registry import QUERIES, SQL
 
 
 def all_queries():
-    return dict(QUERIES)
+    return QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 def all_sql() -> dict[str, str]:

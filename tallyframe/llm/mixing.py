@@ -122,37 +122,48 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def _cut(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Per pattern the largest hash up to which all documents together stay within ``want`` words.
+def _cut(rows: DataFrame, wanted: list[tuple[str, int]]) -> dict[str, tuple[int, int]]:
+    """Per pattern the largest place up to which all documents together stay within the words wanted, and those words.
 
     The range that holds the cut gets narrower by ``STEP`` bits a pass; each pass sums words per pattern and part of its
-    range, before the shuffle. Columns: pattern, cut, got (words up to the cut).
+    range, before the shuffle. The driver keeps one row per pattern.
     """
-    state = wanted.select("pattern", "want", F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("got"))
+    state = [(p, want, 0, 0) for p, want in wanted]
     top = F.shiftrightunsigned(F.col("place"), 4)  # 60 bits: never negative
     for done in range(STEP, 60 + STEP, STEP):
         width = 1 << (60 - done)
+        now = rows.sparkSession.createDataFrame(state, "pattern string, want long, low long, got long")
         inside = (top >= F.col("low")) & (top < F.col("low") + width * (1 << STEP))
         part = F.shiftright(top - F.col("low"), 60 - done)
-        sums = rows.join(F.broadcast(state), "pattern").filter(inside).groupBy("pattern", "want", "low", "got", part.alias("part")).agg(F.sum("size").alias("size"))
+        sums = rows.join(F.broadcast(now), "pattern").filter(inside).groupBy("pattern", "want", "low", "got", part.alias("part")).agg(F.sum("size").alias("size"))
         upto = Window.partitionBy("pattern").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        sums = sums.withColumn("after", F.col("got") + F.sum("size").over(upto))
+        sums = sums.withColumn("after", F.col("got") + F.sum("size").over(upto))  # at most 2 ** STEP rows per pattern
         over = F.col("after") > F.col("want")
-        found = sums.groupBy("pattern", "want", "low", "got").agg(
-            F.min(F.when(over, F.col("part"))).alias("stop"), F.max(F.when(~over, F.col("after"))).alias("within")
-        )
-        # Where nothing exceeds, the whole range is within: go on at its last part, which is empty or exact.
-        stop = F.coalesce("stop", F.lit((1 << STEP)))
-        found = found.select("pattern", "want", (F.col("low") + stop * width).alias("low"), F.greatest("got", F.coalesce("within", "got")).cast("long").alias("got"))
-        # Bounded: one row per pattern, of which there are at most MOST_PATTERNS.
-        state = rows.sparkSession.createDataFrame([tuple(r) for r in _merge(state, found)], "pattern string, want long, low long, got long")
-    return state.select("pattern", "want", F.col("low").alias("cut"), "got")
-
-
-def _merge(old: DataFrame, new: DataFrame) -> list:
-    """Rows of ``new``, and those of ``old`` whose range holds no document any more."""
-    found = {r.pattern: r for r in new.collect()}
-    return [found.get(r.pattern, r) for r in old.collect()]
+        found = sums.groupBy("pattern").agg(F.min(F.when(over, F.col("part"))).alias("stop"), F.max(F.when(~over, F.col("after"))).alias("within"))
+        met = {r.pattern: r for r in found.collect()}
+        for i, (p, want, low, got) in enumerate(state):
+            if p in met:
+                # Where nothing exceeds, the whole range is within.
+                stop = met[p].stop if met[p].stop is not None else 1 << STEP
+                state[i] = (p, want, low + stop * width, max(got, met[p].within or 0))
+    return {p: (low, got) for p, _, low, got in state}
+
+
+def _fill(rows: DataFrame, wanted: list[tuple[str, int]], cuts: dict[str, tuple[int, int]]) -> dict[str, list[int]]:
+    """Places after the cut that fill what it leaves, which is less than the next document: the largest that fit."""
+    left = {p: want - cuts[p][1] for p, want in wanted}
+    extra: dict[str, list[int]] = {p: [] for p, _ in wanted}
+    top = F.shiftrightunsigned(F.col("place"), 4)
+    for _ in range(FILLS):
+        room = [(p, cuts[p][0], left[p], extra[p]) for p in extra if left[p] > 0]
+        if not room:
+            break
+        now = rows.sparkSession.createDataFrame(room, "pattern string, cut long, left long, had array<long>")
+        later = rows.join(F.broadcast(now), "pattern").filter((top >= F.col("cut")) & (F.col("size") > 0) & (F.col("size") <= F.col("left")) & ~F.array_contains("had", F.col("place")))
+        for r in later.groupBy("pattern").agg(F.max(F.struct("size", "place")).alias("best")).collect():
+            extra[r.pattern].append(r.best.place)
+            left[r.pattern] -= r.best.size
+    return extra
 
 
 def pattern(sources: Column) -> Column:
@@ -161,68 +172,62 @@ def pattern(sources: Column) -> Column:
     return F.when(F.size(names) > 0, F.to_json(names))
 
 
+def _placed(docs: DataFrame) -> DataFrame:
+    """Sizes without nulls, the pattern of the sources, and a place in a fixed order: a seeded hash of id and size."""
+    size = F.coalesce(F.col("size"), F.lit(0)).cast("long")
+    return docs.withColumn("size", size).withColumn("pattern", pattern(F.col("sources"))).withColumn("place", F.xxhash64("doc_id", "size", F.lit(SEED)))
+
+
 @dataclass(frozen=True)
-class Mixed:
-    """``rows``: doc_id, size, pattern, taken (words) and times (uses) of each document. ``quotas``: (source, its words, its target)."""
+class Plan:
+    """What a mix takes. ``rules``: per pattern how many whole times its documents are used, up to which place they are used
+    once more, and which single later places are. ``quotas``: (source, its words, its target)."""
 
-    rows: DataFrame
+    rules: list[tuple[str, int, int, list[int]]]
     quotas: list[tuple[str | None, int, float]]
 
+    def apply(self, docs: DataFrame) -> DataFrame:
+        """``docs`` (doc_id, size, sources and any others) with pattern and times (uses of each row), without a shuffle."""
+        spark = docs.sparkSession
+        rules = spark.createDataFrame(self.rules, "pattern string, whole long, cut long, had array<long>")
+        rows = _placed(docs).join(F.broadcast(rules), "pattern", "left")  # at most MOST_PATTERNS rules
+        once = (F.shiftrightunsigned(F.col("place"), 4) < F.col("cut")) | F.array_contains("had", F.col("place"))
+        times = F.when(F.col("size") > 0, F.col("whole") + once.cast("long"))
+        return rows.withColumn("times", F.coalesce(times, F.lit(0))).drop("place", "whole", "cut", "had")
 
-def mix(docs: DataFrame, weights=None, most: int = MOST, total: float | None = None) -> Mixed:
-    """How many words of each document the mix takes.
 
-    ``docs`` has doc_id, size (words) and sources (array of names; null stands for the missing name). ``weights`` gives each source's
-    weight; by default ``WEIGHTS`` in order of names by code point, null last. A document is used a whole number of times, at
-    most ``most``, so taken is a multiple of its size. Rows without sources and those of size 0 take nothing. Repeated rows
-    are documents of their own with one place in the order, and are used alike. Without rows there are no quotas.
+def plan(docs: DataFrame, weights=None, most: int = MOST, total: float | None = None) -> Plan:
+    """How a mix uses documents (doc_id, size in words, sources: array of names; null stands for the missing name).
+
+    ``weights`` gives each source's weight; by default ``WEIGHTS`` in order of names by code point, null last. A document is
+    used a whole number of times, at most ``most``, so the words taken are a multiple of its size. Rows without sources
+    and those of size 0 are not used. Repeated rows are documents of their own with one place in the order, and are used
+    alike. Other columns do not matter. Without rows there are no rules and no quotas.
 
     Hot patterns cost no more than others: sums are made per task first, and nothing sorts the documents of a pattern.
     """
-    rows = docs.select("doc_id", F.coalesce(F.col("size"), F.lit(0)).cast("long").alias("size"), pattern(F.col("sources")).alias("pattern"))
-    rows = settle(rows.withColumn("place", F.xxhash64("doc_id", "size", F.lit(SEED))), "sizes")
+    rows = settle(_placed(docs.select("doc_id", "size", "sources")).select("pattern", "size", "place"), "sizes")
     # Bounded: one row per pattern, checked.
     got = rows.filter("pattern is not null").groupBy("pattern").agg(F.sum("size").alias("size")).limit(MOST_PATTERNS + 1).collect()
     if len(got) > MOST_PATTERNS:
         raise ValueError(f"more than {MOST_PATTERNS} membership patterns")
-    sizes = {tuple(json.loads(r.pattern)): int(r.size) for r in got}
     text = {tuple(json.loads(r.pattern)): r.pattern for r in got}
+    sizes = {tuple(json.loads(r.pattern)): int(r.size) for r in got}
     sources = sorted({s for key in sizes for s in key}, key=lambda s: (s[0] == "t", s))
     by_source = {s: sum(n for key, n in sizes.items() if s in key) for s in sources}
     share = {s: WEIGHTS[i % len(WEIGHTS)] if weights is None else weights[s[1:] if s[0] == "s" else None] for i, s in enumerate(sources)}
     quota = targets(by_source, share, sum(sizes.values()) if total is None else total, most)
     taken = flow(sizes, quota, most)
-    plan = []
-    for key, n in sizes.items():
-        whole = min(most, int(taken[key] // n + 1e-9)) if n else 0
-        plan.append((text[key], whole, max(0, round(taken[key] - whole * n)) if whole < most else 0))
-    spark = rows.sparkSession
+    whole = {key: min(most, int(taken[key] // n + 1e-9)) if n else 0 for key, n in sizes.items()}
+    wanted = [(text[key], max(0, round(taken[key] - whole[key] * n)) if whole[key] < most else 0) for key, n in sizes.items()]
     quotas = [(s[1:] if s[0] == "s" else None, by_source[s], quota[s]) for s in sources]
-    if not plan:
-        return Mixed(rows.select("doc_id", "size", "pattern", *(F.lit(0).cast("long").alias(c) for c in ("taken", "times"))), quotas)
-    wanted = spark.createDataFrame([(p, w) for p, _, w in plan], "pattern string, want long")
-    cut = _cut(rows, wanted).collect()
-    repeats = {p: w for p, w, _ in plan}
-    # What is left after the cut is smaller than the next document: fill it with later ones that fit, largest first.
-    top = F.shiftrightunsigned(F.col("place"), 4)
-    extra: dict[str, list] = {r.pattern: [] for r in cut}
-    left = {r.pattern: r.want - r.got for r in cut}
-    cuts = {r.pattern: r.cut for r in cut}
-    for _ in range(FILLS):
-        open_ = [(p, cuts[p], left[p], extra[p]) for p in cuts if left[p] > 0]
-        if not open_:
-            break
-        room = spark.createDataFrame(open_, "pattern string, cut long, left long, had array<long>")
-        later = rows.join(F.broadcast(room), "pattern").filter((top >= F.col("cut")) & (F.col("size") > 0) & ~F.array_contains("had", F.col("place")))
-        for r in later.filter("size <= left").groupBy("pattern").agg(F.max(F.struct("size", "place")).alias("best")).collect():
-            extra[r.pattern].append(r.best.place)
-            left[r.pattern] -= r.best.size
-    final = spark.createDataFrame([(p, repeats[p], cuts[p], extra[p]) for p in cuts], "pattern string, whole long, cut long, had array<long>")
-    times = F.coalesce(F.col("whole") + ((top < F.col("cut")) | F.array_contains("had", F.col("place"))).cast("long"), F.lit(0))
-    out = rows.join(F.broadcast(final), "pattern", "left").withColumn("times", times)
-    return Mixed(out.select("doc_id", "size", "pattern", (F.col("size") * F.col("times")).alias("taken"), "times"), quotas)
+    cuts = _cut(rows, wanted) if wanted else {}
+    extra = _fill(rows, wanted, cuts)
+    return Plan([(text[key], whole[key], cuts[text[key]][0], extra[text[key]]) for key in sizes], quotas)
 
 
-def mix_documents(docs: DataFrame) -> Mixed:
-    """The mix of documents (doc_id, text, source) that belong to the one source they name."""
-    return mix(docs.select("doc_id", words(F.col("text")).alias("size"), F.array("source").alias("sources")))
+def mix_documents(docs: DataFrame) -> tuple[DataFrame, Plan]:
+    """Documents (text, source) that belong to the one source they name, with size, pattern and times; and the plan."""
+    sized = docs.withColumn("size", words(F.col("text"))).withColumn("sources", F.array("source"))
+    made = plan(sized)
+    return made.apply(sized).drop("sources"), made

@@ -63,14 +63,16 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
-    return setjoin.jaccard_components(table(spark, folder, "documents"))
+    return setjoin.jaccard_components(table(spark, folder, "documents"), width=3, percent=90)
 
 
 @query()
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    mixed = mixing.mix_documents(table(spark, folder, "documents"))
-    quotas = spark.createDataFrame(mixed.quotas, "source string, source_size long, target double").withColumn("pattern", mixing.pattern(F.array("source")))
-    return mixed.rows.join(F.broadcast(quotas), "pattern").select("doc_id", "size", "source", "source_size", "target", "taken", "times")
+    rows, plan = mixing.mix_documents(table(spark, folder, "documents").select("doc_id", "text", "source"))
+    # Bounded: one row per source, of which there are at most as many as patterns.
+    quotas = spark.createDataFrame(plan.quotas, "source string, source_size long, target double").withColumn("pattern", mixing.pattern(F.array("source")))
+    taken = (F.col("size") * F.col("times")).alias("taken")
+    return rows.drop("text", "source").join(F.broadcast(quotas), "pattern").select("doc_id", "size", "source", "source_size", "target", taken, "times")
 
 
 @query()

@@ -332,7 +332,7 @@ def linked_classes(docs: DataFrame, sets: DataFrame, width: int, percent: int) -
     return classes, seats.mapInArrow(_meet(percent), "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (the smallest id reachable by links).
 
     Two documents link when their sets of ``width``-word shingles (ASCII letters lower-cased; a shorter text as one
@@ -347,3 +347,19 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90, id_co
     label = classes.select("digest", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("digest", F.coalesce("root", "rep").alias("root"))
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
     return sets.select("doc_id", "n", "digest").join(label, "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and others) without those whose component has a smaller id.
+
+    Of rows repeated under one id the first by text stays. Rows without id stay. Only rows that may have to go meet the
+    result in a shuffle.
+    """
+    found = settle(jaccard_components(docs, width, percent), "components")
+    gone = found.filter("component_id < doc_id").select("doc_id").distinct()
+    again = found.groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1 and doc_id is not null").select("doc_id")
+    doubtful = id_filter(gone.unionByName(again), "doc_id")
+    safe = docs.filter(~maybe_in(doubtful, "doc_id"))
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    left = docs.filter(maybe_in(doubtful, "doc_id")).join(gone, "doc_id", "left_anti").withColumn("_first", first).filter("_first = 1").drop("_first")
+    return safe.unionByName(left.select(*docs.columns))
