@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bpe, chat, mixing, repetition, setjoin, suffixes, tokenfiles, toxicity, vamana
+from tallyframe.llm import bpe, chat, mixing, pages, repetition, setjoin, suffixes, tokenfiles, toxicity, vamana
 from tallyframe.llm.base import table
 from tallyframe.llm.registry import query
 from tallyframe.session import new_table_path
@@ -14,6 +14,11 @@ from tallyframe.session import new_table_path
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
+@query()
+def op1_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(table(spark, folder, "pages"))
+
+
 @query()
 def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trips(table(spark, folder, "documents"), MODEL)
