@@ -21,7 +21,7 @@ from tallyframe.llm.queries import MODEL
 def toxic_out(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents scored below 0.5 stay. The model is learned from labelled rows of ``docs``, held-out ones aside."""
     weights = toxicity.model(docs, table(spark, folder, "labels"))
-    return toxicity.scored(docs, weights, name="_score").filter("_score < 0.5").drop("_score")
+    return toxicity.scored(docs, weights, name="__score").filter("__score < 0.5").drop("__score")
 
 
 def near_copies_out(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -36,8 +36,10 @@ def repeats_out(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Each document as often as the mix of sources uses it: not at all, once, twice or three times."""
-    rows, _ = mixing.mix_documents(docs)
-    return rows.filter("times > 0").withColumn("_use", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select(*docs.columns)
+    packed = docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("row"))
+    rows, _ = mixing.mix_documents(packed)
+    uses = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))
+    return rows.filter("times > 0").select("row", uses).select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

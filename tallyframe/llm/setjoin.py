@@ -361,5 +361,5 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     doubtful = id_filter(gone.unionByName(again), "doc_id")
     safe = docs.filter(~maybe_in(doubtful, "doc_id"))
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    left = docs.filter(maybe_in(doubtful, "doc_id")).join(gone, "doc_id", "left_anti").withColumn("_first", first).filter("_first = 1").drop("_first")
+    left = docs.filter(maybe_in(doubtful, "doc_id")).join(gone, "doc_id", "left_anti").withColumn("__first", first).filter("__first = 1").drop("__first")
     return safe.unionByName(left.select(*docs.columns))
