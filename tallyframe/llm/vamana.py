@@ -205,10 +205,10 @@ def search(index: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM
     Queries meet every shard of their length, in blocks of about ``query_rows``; a shard's rows are copied once per block,
     so a task holds one shard and one block.
     """
-    queries = settle(queries.withColumn("size", F.size("vector")).dropDuplicates(["query_id", "vector"]), "queries")
-    shards = index.select("size", "shard").distinct()
+    queries = settle(queries.withColumn("q_size", F.size("vector")).dropDuplicates(["query_id", "vector"]), "queries")
+    shards = index.select(F.col("size").alias("q_size"), F.col("shard").alias("q_shard")).distinct()
     blocks = max(1, -(-queries.count() // query_rows))
-    asked = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).join(shards, "size")
+    asked = queries.withColumn("q_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks).cast("long"))).join(shards, "q_size")
     held = index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
 
     def look(held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
@@ -231,8 +231,8 @@ def search(index: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM
                         out["query_id"].append(own), out["vec_id"].append(v), out["score"].append(s)
         return pd.DataFrame(out).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
-    keys = ["size", "shard", "block"]
-    found = held.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(look, "query_id long, vec_id long, score double")
+    pairs = held.groupBy("size", "shard", "block").cogroup(asked.groupBy("q_size", "q_shard", "q_block"))
+    found = pairs.applyInPandas(look, "query_id long, vec_id long, score double")
     best = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return best.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
