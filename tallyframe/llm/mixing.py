@@ -26,7 +26,7 @@ MOST_PATTERNS = 2_000
 SEED = 11
 #: Bits of the hash that one pass over the documents resolves, and passes that fill what is left by single documents.
 STEP = 10
-FILLS = 3
+FILLS = 12
 
 
 @dataclass
@@ -149,20 +149,25 @@ def _cut(rows: DataFrame, wanted: list[tuple[str, int]]) -> dict[str, tuple[int,
     return {p: (low, got) for p, _, low, got in state}
 
 
-def _fill(rows: DataFrame, wanted: list[tuple[str, int]], cuts: dict[str, tuple[int, int]]) -> dict[str, list[int]]:
-    """Places after the cut that fill what it leaves, which is less than the next document: the largest that fit."""
+def _fill(rows: DataFrame, wanted: list[tuple[str, int]], cuts: dict[str, tuple[int, int]], whole: dict[str, int], most: int) -> dict[str, list[int]]:
+    """Places that fill what the cut leaves, which is less than the next document: each time the largest that fits, used
+    once more if that keeps it within ``most`` uses."""
     left = {p: want - cuts[p][1] for p, want in wanted}
     extra: dict[str, list[int]] = {p: [] for p, _ in wanted}
-    top = F.shiftrightunsigned(F.col("place"), 4)
     for _ in range(FILLS):
-        room = [(p, cuts[p][0], left[p], extra[p]) for p in extra if left[p] > 0]
+        room = [(p, cuts[p][0], left[p], most - whole[p], extra[p]) for p in extra if left[p] > 0]
         if not room:
             break
-        now = rows.sparkSession.createDataFrame(room, "pattern string, cut long, left long, had array<long>")
-        later = rows.join(F.broadcast(now), "pattern").filter((top >= F.col("cut")) & (F.col("size") > 0) & (F.col("size") <= F.col("left")) & ~F.array_contains("had", F.col("place")))
-        for r in later.groupBy("pattern").agg(F.max(F.struct("size", "place")).alias("best")).collect():
+        now = rows.sparkSession.createDataFrame(room, "pattern string, cut long, left long, more long, had array<long>")
+        used = (F.shiftrightunsigned(F.col("place"), 4) < F.col("cut")).cast("long")
+        fits = (F.col("size") > 0) & (F.col("size") <= F.col("left")) & (used < F.col("more")) & ~F.array_contains("had", F.col("place"))
+        found = rows.join(F.broadcast(now), "pattern").filter(fits).groupBy("pattern").agg(F.max(F.struct("size", -used, "place")).alias("best"))
+        best = found.collect()  # one row per pattern
+        for r in best:
             extra[r.pattern].append(r.best.place)
             left[r.pattern] -= r.best.size
+        if not best:
+            break
     return extra
 
 
@@ -181,7 +186,7 @@ def _placed(docs: DataFrame) -> DataFrame:
 @dataclass(frozen=True)
 class Plan:
     """What a mix takes. ``rules``: per pattern how many whole times its documents are used, up to which place they are used
-    once more, and which single later places are. ``quotas``: (source, its words, its target)."""
+    once more, and which single places are besides. ``quotas``: (source, its words, its target)."""
 
     rules: list[tuple[str, int, int, list[int]]]
     quotas: list[tuple[str | None, int, float]]
@@ -191,8 +196,8 @@ class Plan:
         spark = docs.sparkSession
         rules = spark.createDataFrame(self.rules, "pattern string, whole long, cut long, had array<long>")
         rows = _placed(docs).join(F.broadcast(rules), "pattern", "left")  # at most MOST_PATTERNS rules
-        once = (F.shiftrightunsigned(F.col("place"), 4) < F.col("cut")) | F.array_contains("had", F.col("place"))
-        times = F.when(F.col("size") > 0, F.col("whole") + once.cast("long"))
+        once = (F.shiftrightunsigned(F.col("place"), 4) < F.col("cut")).cast("long") + F.array_contains("had", F.col("place")).cast("long")
+        times = F.when(F.col("size") > 0, F.col("whole") + once)
         return rows.withColumn("times", F.coalesce(times, F.lit(0))).drop("place", "whole", "cut", "had")
 
 
@@ -222,7 +227,7 @@ def plan(docs: DataFrame, weights=None, most: int = MOST, total: float | None =
     wanted = [(text[key], max(0, round(taken[key] - whole[key] * n)) if whole[key] < most else 0) for key, n in sizes.items()]
     quotas = [(s[1:] if s[0] == "s" else None, by_source[s], quota[s]) for s in sources]
     cuts = _cut(rows, wanted) if wanted else {}
-    extra = _fill(rows, wanted, cuts)
+    extra = _fill(rows, wanted, cuts, {text[key]: n for key, n in whole.items()}, most)
     return Plan([(text[key], whole[key], cuts[text[key]][0], extra[text[key]]) for key in sizes], quotas)
 
 
