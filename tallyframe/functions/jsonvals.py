@@ -42,19 +42,43 @@ def _members(path: Column, text: Column) -> Column:
     )
 
 
-def with_json_nodes(df: DataFrame, json_col: str, out: str = "nodes", max_depth: int = 4) -> DataFrame:
-    """Add the named, non-null values down to ``max_depth`` levels, in match order: outer
-    containers before their children, then by position. Names are folded here, once."""
-    levels = [f"__level_{n}" for n in range(max_depth)]
-    root = F.array().cast("array<int>")
-    df = df.withColumn(levels[0], _members(root, F.col(json_col)))
-    for above, here in zip(levels, levels[1:]):
-        df = df.withColumn(
-            here, F.flatten(F.transform(F.col(above), lambda n: _members(n["path"], n["value"])))
-        )
-    named = F.filter(
-        F.concat(*[F.col(c) for c in levels]), lambda n: n["key"].isNotNull() & n["value"].isNotNull()
-    )
+def _openings(text: Column) -> Column:
+    """How many objects and lists a text can open, at most: no document is nested deeper."""
+    return F.coalesce(F.length(text) - F.length(F.translate(text, "{[", "")), F.lit(0))
+
+
+def _repeat(start: Column, times: Column, step: Callable[[Column], Column]) -> Column:
+    """``step`` over ``start``, once and then as often as ``times`` says beyond that."""
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(times, F.lit(1))), start, lambda state, _: step(state))
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _is_nested(text: Column) -> Column:
+    return F.ltrim(text).rlike(r"^[{\[]")
+
+
+def _all_nodes(text: Column) -> Column:
+    """The nodes of a document at every depth, level by level: each step opens the level reached so far."""
+
+    def grown(found: Column, new: Column) -> Column:
+        return F.struct(F.concat(found, new).alias("found"), F.filter(new, lambda n: _is_nested(n["value"])).alias("open"))
+
+    def deeper(state: Column) -> Column:
+        below = F.flatten(F.transform(state["open"], lambda n: _members(n["path"], n["value"])))
+        return F.when(F.size(state["open"]) == 0, state).otherwise(_with(below, lambda new: grown(state["found"], new)))
+
+    top = _with(_members(F.array().cast("array<int>"), text), lambda new: grown(F.array().cast(f"array<{NODE}>"), new))
+    return _repeat(top, _openings(text), deeper)["found"]
+
+
+def with_json_nodes(df: DataFrame, json_col: str, out: str = "nodes") -> DataFrame:
+    """Add the named, non-null values at every depth, in match order: what an object holds itself before what its
+    children hold, then by position. Names are folded here, once."""
+    named = F.filter(_all_nodes(F.col(json_col)), lambda n: n["key"].isNotNull() & n["value"].isNotNull())
     ranked = F.transform(
         named,
         lambda n: F.struct(
@@ -67,7 +91,7 @@ def with_json_nodes(df: DataFrame, json_col: str, out: str = "nodes", max_depth:
     )
     # One array per row through a generator: filters on found values stay above it, so
     # the documents are opened once and not again inside a pushed-down predicate.
-    return df.select("*", F.explode(F.array(F.array_sort(ranked))).alias(out)).drop(*levels)
+    return df.select("*", F.explode(F.array(F.array_sort(ranked))).alias(out))
 
 
 def deep_find(nodes: Column, names: Sequence[str], match: str = "exact") -> Column:
@@ -92,16 +116,22 @@ def deep_find(nodes: Column, names: Sequence[str], match: str = "exact") -> Colu
     return F.coalesce(*[first(name) for name in names])
 
 
-def first_scalar(text: Column, max_depth: int = 3) -> Column:
-    """The first plain value inside JSON text, in document order; plain text is itself."""
-    nested = F.ltrim(text).rlike(r"^[{\[]")
-    if max_depth == 0:
-        return F.when(~nested, text)
-    members = F.coalesce(
-        F.map_values(F.from_json(text, "map<string,string>")), F.from_json(text, "array<string>")
-    )
-    inner = F.transform(members, lambda v: first_scalar(v, max_depth - 1))
-    return F.when(nested, F.get(F.filter(inner, lambda v: v.isNotNull()), F.lit(0))).otherwise(text)
+def first_scalar(text: Column) -> Column:
+    """The first plain value inside JSON text at any depth, in document order; plain text is itself.
+
+    A list of what is still to be looked at starts with the text. Each step opens its first entry in place, until
+    that is a plain value or nothing is left.
+    """
+
+    def open_first(waiting: Column) -> Column:
+        first = F.get(waiting, F.lit(0))
+        members = F.coalesce(F.map_values(F.from_json(first, "map<string,string>")), F.from_json(first, "array<string>"), F.array().cast("array<string>"))
+        known = F.filter(members, lambda v: v.isNotNull())
+        rest = F.slice(waiting, F.lit(2), F.greatest(F.size(waiting) - 1, F.lit(0)))
+        return F.when(_is_nested(first), F.concat(known, rest)).otherwise(waiting)
+
+    left = F.get(_repeat(F.array(text), _openings(text), open_first), F.lit(0))
+    return F.when(~_is_nested(left), left)
 
 
 def unwrap_value(value: Column) -> Column:

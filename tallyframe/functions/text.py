@@ -53,7 +53,7 @@ def replace_chain(c: Column, pairs: Sequence[tuple[str, str]]) -> Column:
     return c
 
 
-def clean_address(c: Column, limit: int = 500) -> Column:
+def clean_address(c: Column, limit: int) -> Column:
     """Drop ``;`` and ``|``, halve double blanks, trim, drop line feeds, cut to ``limit``."""
     c = replace_chain(c, [(";", ""), ("|", ""), ("  ", " ")])
     return F.substring(replace_chain(F.trim(c), [("\n", "")]), 1, limit)

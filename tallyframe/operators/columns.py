@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -70,22 +69,6 @@ def strip_prefix(name: str, prefixes: Sequence[str]) -> str:
     return next((name[len(p):] for p in prefixes if name.startswith(p)), name)
 
 
-# How a wanted name without underscores is split into words.
-NAME_WORDS = r"[A-Z][a-z0-9]*|[a-z0-9]+"
-
-
-def candidate_names(
-    name: str, prefixes: Sequence[str] = (), aliases: Mapping[str, str] | None = None
-) -> list[str]:
-    """Names a wanted column may have in a document, best first: its alias, the name
-    without prefix, the name itself, then the endings of the bare name word by word."""
-    bare = strip_prefix(name, prefixes)
-    words = [w for w in bare.split("_") if w] if "_" in bare else re.findall(NAME_WORDS, bare)
-    endings = ["".join(words[i:]) for i in range(len(words))]
-    alias = [aliases[name]] if aliases and name in aliases else []
-    return list(dict.fromkeys([*alias, bare, name, *endings]))
-
-
 def resolve_column(
     df: DataFrame, name: str, root: str | None = None, prefixes: Sequence[str] = ()
 ) -> Column | None:
@@ -158,16 +141,13 @@ def null_columns_to_string(df: DataFrame) -> DataFrame:
     )
 
 
-def truncate_strings(
-    df: DataFrame, lengths: Mapping[str, int] | None = None, default: int = 256
-) -> DataFrame:
-    """Cut text columns to their target length, ``default`` where none is given."""
-    lengths = lengths or {}
+def truncate_strings(df: DataFrame, lengths: Mapping[str, int]) -> DataFrame:
+    """Cut the named text columns to their target length; the others stay whole."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.StringType):
-            c = F.substring(c, 1, lengths.get(f.name, default)).alias(f.name)
+        if f.name in lengths and isinstance(f.dataType, T.StringType):
+            c = F.substring(c, 1, lengths[f.name]).alias(f.name)
         out.append(c)
     return df.select(out)
 

@@ -203,27 +203,20 @@ def last_paid(payments: DataFrame, keys, paid: str, sums: Mapping[str, Column])
     return _sums_at(payments, keys, paid, sums, F.max_by)
 
 
-def event_pairs(
-    df: DataFrame,
-    key: str,
-    original: Column,
-    replacement: Column,
-    order: Sequence[str],
-    columns: Mapping[str, str],
-    totals: Mapping[str, Column],
-) -> DataFrame:
-    """Each original row with the first replacement of its key and totals over all of them.
+def event_pairs(df: DataFrame, key: str, original: Column, replacement: Column, totals: Mapping[str, Column]) -> DataFrame:
+    """Original rows and every replacement of their key as rows of one table, told apart by ``side``, with totals over the
+    key's replacements on each.
 
-    The replacements are reduced to one row per key before the join, so the output grows
-    with the originals and not with the product of both sides.
+    Replacements of a key without an original are left out, originals without a replacement stay. The result has as many
+    rows as both sides together, never their product. Totals are made per key, map-side first, before they are looked up.
     """
-    rank = F.struct(*order)
-    first = F.min_by(F.struct(*[F.col(c).alias(new) for c, new in columns.items()]), rank)
-    per_key = df.filter(replacement).groupBy(key).agg(
-        first.alias("__first"), *[e.alias(n) for n, e in totals.items()]
-    )
-    per_key = per_key.select(key, "__first.*", *totals)
-    return lookup(df.filter(original), per_key, key, [*columns.values(), *totals])
+    side = F.when(original, "original").when(replacement, "replacement")
+    rows = df.withColumn("side", side).filter(F.col("side").isNotNull())
+    replaced = rows.filter("side = 'replacement'").groupBy(key).agg(*[e.alias(n) for n, e in totals.items()])
+    known = rows.groupBy(key).agg(F.max(F.col("side") == "original").alias("__known"))
+    per_key = lookup(known.filter("__known").select(key), replaced, key, list(totals))
+    originals = lookup(rows.filter("side = 'original'"), replaced, key, list(totals))
+    return originals.unionByName(lookup(rows.filter("side = 'replacement'"), per_key, key, list(totals), how="inner"))
 
 
 def history_plus_online(history: DataFrame, online: DataFrame, transform) -> DataFrame:

@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.dates import day, month_to_date_bounds, yesterday
 
-# Above this many literals a list is joined as a table instead of written into the plan.
-LIST_AS_TABLE = 200
-
 
 def all_of(*conditions: Column) -> Column:
     return reduce(lambda a, b: a & b, conditions)
@@ -59,26 +56,20 @@ def filter_month_to_date(df: DataFrame, ts: str, as_of: date | str) -> DataFrame
     return df.filter(between_days(ts, first, last))
 
 
-def _code_table(df: DataFrame, col: str, codes: Sequence) -> DataFrame:
-    dtype = df.schema[col].dataType
-    values = [(c,) for c in sorted(set(codes))]
-    return df.sparkSession.createDataFrame(values, [col]).select(F.col(col).cast(dtype))
+def _known(codes: Sequence) -> list:
+    return [c for c in dict.fromkeys(codes) if c is not None]
 
 
 def filter_in_list(df: DataFrame, col: str, codes: Sequence) -> DataFrame:
-    """Rows whose code is listed. The list is the caller's literal, so its size is fixed
-    and it may be broadcast."""
-    if len(codes) <= LIST_AS_TABLE:
-        return df.filter(F.col(col).isin(list(codes)))
-    return df.join(F.broadcast(_code_table(df, col, codes)), col, "left_semi")
+    """Rows whose code is listed. A null in the list stands for nothing; Spark looks codes up in a hash set."""
+    return df.filter(F.col(col).isin(_known(codes)))
 
 
 def filter_not_in_list(df: DataFrame, col: str, codes: Sequence) -> DataFrame:
-    """Rows whose code is known and not listed (a null code passes neither way)."""
-    known = df.filter(F.col(col).isNotNull())
-    if len(codes) <= LIST_AS_TABLE:
-        return known.filter(~F.col(col).isin(list(codes)))
-    return known.join(F.broadcast(_code_table(df, col, codes)), col, "left_anti")
+    """Rows whose code is known and not listed. A null code passes neither way, a null in the list stands for nothing."""
+    known = _known(codes)
+    there = df.filter(F.col(col).isNotNull())
+    return there.filter(~F.col(col).isin(known)) if known else there
 
 
 def drop_null_key(df: DataFrame, *keys: str) -> DataFrame:

@@ -257,9 +257,8 @@ def overlapping_branch_union(t):
     return U.overlapping_branches(rows, branches, ["o_custkey", "d"], ["o_orderkey"]).select("o_custkey", "o_orderkey")
 
 
-@query(f"""
-SELECT o_custkey, o_orderkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '{ORDERS_AS_OF}' ORDER BY o_custkey, o_orderkey
+@query("""
+SELECT o_custkey, o_orderkey, o_totalprice FROM orders ORDER BY o_custkey, o_orderkey
 """)
 def global_sort(t):
-    rows = t.orders.filter(P.since_day("o_orderdate", ORDERS_AS_OF))
-    return rows.select("o_custkey", "o_orderkey", "o_totalprice").orderBy("o_custkey", "o_orderkey")
+    return t.orders.select("o_custkey", "o_orderkey", "o_totalprice").orderBy("o_custkey", "o_orderkey")

@@ -111,7 +111,7 @@ def job_application_wide(t):
     grouped = A.first_values(flat, ["GuidEngine", "IdExterno"], ["turn"], wanted)
     kept = C.clean_null_rows(grouped, ["Usuario", "EmailUsuario"])
     text = C.null_to_blank_all(C.ensure_columns(kept, ["GuidEngine", "IdExterno", *wanted]))
-    text = M.fill_blank_date(C.truncate_strings(text), "DI_FechaCarge", EVENTS_AS_OF)
+    text = M.fill_blank_date(C.truncate_strings(text, dict.fromkeys(wanted, 256)), "DI_FechaCarge", EVENTS_AS_OF)
     extra = F.size(F.filter(F.array(*_wide_columns()), lambda v: v != ""))
     return text.withColumn("filled_extra", extra).drop(*_wide_columns())
 

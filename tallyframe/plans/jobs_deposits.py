@@ -18,36 +18,30 @@ from tallyframe.plans.registry import EVENTS_AS_OF, ORDERS_AS_OF, query
 @query("""
 WITH flagged AS (SELECT *, max(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id) AS flag
   FROM events WHERE ts >= TIMESTAMP '2024-01-14' AND event_type IN ('purchase', 'error')),
-new AS (SELECT user_id AS u, arg_min(event_id, ts) AS operacion_nueva, arg_min(value, ts) AS capital_nueva, CAST(min(ts) AS DATE) AS fecha_nueva, count(*) AS nuevas, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS capital_total
-  FROM events WHERE ts >= TIMESTAMP '2024-01-14' AND event_type = 'signup' GROUP BY user_id)
-SELECT user_id AS cuenta, event_id AS operacion_original, value AS capital_original, operacion_nueva, capital_nueva, fecha_nueva, coalesce(nuevas, 0) AS nuevas, capital_total
+renewed AS (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-14' AND event_type = 'signup'),
+new AS (SELECT user_id AS u, count(*) AS nuevas, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS capital_total FROM renewed GROUP BY user_id)
+SELECT user_id AS cuenta, 'original' AS lado, event_id AS operacion, value AS capital, CAST(ts AS DATE) AS fecha, coalesce(nuevas, 0) AS nuevas, capital_total
 FROM flagged LEFT JOIN new ON u = user_id WHERE flag = 1 AND event_type <> 'error'
+UNION ALL
+SELECT user_id, 'replacement', event_id, value, CAST(ts AS DATE), nuevas, capital_total FROM renewed JOIN new ON u = user_id
+WHERE user_id IN (SELECT user_id FROM flagged WHERE flag = 1 AND event_type <> 'error')
 """)
 def job_deposit_renewals(t):
-    """Original deposits of flagged accounts of the last two days with their replacement."""
+    """Original deposits of flagged accounts of the last two days, and every renewal of those accounts."""
     recent = P.filter_recent_days(t.events, "ts", EVENTS_AS_OF, 2).select("user_id", "event_id", "event_type", "value", "ts")
     ledger = recent.filter(F.col("event_type").isin("purchase", "error"))
     originals = L.keep_flagged_groups(ledger, "user_id", F.col("event_type") == "error", drop_flag_rows=True)
     both = originals.unionByName(recent.filter("event_type = 'signup'"))
     pairs = J.event_pairs(
-        both, "user_id", F.col("event_type") == "purchase", F.col("event_type") == "signup", ["ts", "event_id"],
-        {"event_id": "operacion_nueva", "value": "capital_nueva", "ts": "ts_nueva"},
+        both, "user_id", F.col("event_type") == "purchase", F.col("event_type") == "signup",
         {"nuevas": F.count("*"), "capital_total": N.sum_money(F.col("value"))},
     )
     return pairs.select(
-        F.col("user_id").alias("cuenta"), F.col("event_id").alias("operacion_original"),
-        F.col("value").alias("capital_original"), "operacion_nueva", "capital_nueva",
-        F.to_date("ts_nueva").alias("fecha_nueva"), N.null_default(F.col("nuevas"), 0).alias("nuevas"), "capital_total",
+        F.col("user_id").alias("cuenta"), F.col("side").alias("lado"), F.col("event_id").alias("operacion"), F.col("value").alias("capital"),
+        F.to_date("ts").alias("fecha"), N.null_default(F.col("nuevas"), 0).alias("nuevas"), "capital_total",
     )
 
 
-# Payment modes of a deposit by its period in days.
-DEPOSIT_MODES = {
-    0: "Cuota única", 30: "Mensual", 60: "Bimensual", 90: "Trimestral", 180: "Semestral", 360: "Anual",
-}
-DEPOSIT_MODE_UNKNOWN = "Desconocido"
-
-
 @query("""
 SELECT l_orderkey, l_partkey, l_extendedprice AS valor, CASE WHEN s_name IS NULL OR TRY_CAST(s_name AS DOUBLE) IS NOT NULL THEN zone ELSE s_name END AS nombre_suc,
   CASE WHEN l_suppkey = 7 THEN 'Cartagena' ELSE zone END AS sucursal, CASE WHEN l_suppkey = 7 THEN 103 ELSE l_suppkey END AS codigo_sucursal,

@@ -56,20 +56,24 @@ def job_accrued_interest(t):
 
 
 @query(f"""
-SELECT DISTINCT p_brand || '/' || p_size AS rubro, l_suppkey AS sucursal, l_linestatus AS modulo FROM lineitem JOIN part ON l_partkey = p_partkey
-WHERE p_brand || '/' || p_size IN ({_CODES_SQL}) AND l_quantity > 45
+SELECT DISTINCT CAST(l_shipdate AS DATE) AS fecha, p_brand || '/' || p_size AS rubro, l_suppkey AS sucursal, l_linestatus AS modulo, l_extendedprice AS saldo
+FROM lineitem JOIN part ON l_partkey = p_partkey
+WHERE p_brand || '/' || p_size IN ({_CODES_SQL}) AND l_shipdate >= TIMESTAMP '{ORDERS_AS_OF}' AND l_shipdate < TIMESTAMP '{ORDERS_AS_OF}' + INTERVAL 1 DAY
 """)
 def job_ledger_codes(t):
-    """Distinct balances rows of a long list of ledger codes.
+    """Distinct balances of one day for a long list of ledger codes.
 
-    The list is applied to the chart of accounts before it meets the movements.
+    The list is applied to the chart of accounts before it meets the day's movements.
     """
     chart = t.part.select("p_partkey", F.concat_ws("/", "p_brand", "p_size").alias("rubro"))
     listed = P.filter_in_list(chart, "rubro", _code_list())
-    rows = t.lineitem.filter("l_quantity > 45").select("l_partkey", "l_suppkey", "l_linestatus").distinct()
+    rows = t.lineitem.filter(P.on_day("l_shipdate", ORDERS_AS_OF)).select("l_partkey", "l_suppkey", "l_linestatus", "l_shipdate", "l_extendedprice")
     df = J.lookup(rows, listed, {"l_partkey": "p_partkey"}, ["rubro"], how="inner")
     return A.group_as_distinct(
-        df.select("rubro", F.col("l_suppkey").alias("sucursal"), F.col("l_linestatus").alias("modulo"))
+        df.select(
+            F.to_date("l_shipdate").alias("fecha"), "rubro", F.col("l_suppkey").alias("sucursal"), F.col("l_linestatus").alias("modulo"),
+            F.col("l_extendedprice").alias("saldo"),
+        )
     )
 
 

@@ -100,15 +100,13 @@ def star_denormalize(t):
 
 @query("""
 SELECT coalesce(a.o_custkey, b.o_custkey) AS o_custkey, open_total, closed_total
-FROM (SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS open_total FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 300000 GROUP BY 1) a
-FULL JOIN (SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS closed_total FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000 GROUP BY 1) b
+FROM (SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS open_total FROM orders WHERE o_orderstatus = 'O' GROUP BY 1) a
+FULL JOIN (SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS closed_total FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) b
 ON a.o_custkey = b.o_custkey
 """)
 def full_outer_join(t):
-    large = t.orders.filter("o_totalprice > 300000")
-
     def total(status, name):
-        rows = large.filter(F.col("o_orderstatus") == status)
+        rows = t.orders.filter(F.col("o_orderstatus") == status)
         return rows.groupBy("o_custkey").agg(N.sum_money(F.col("o_totalprice")).alias(name))
 
     return J.full_outer(total("O", "open_total"), total("F", "closed_total"), ["o_custkey"])
@@ -294,19 +292,19 @@ def join_back_two_extremes(t):
 
 
 @query("""
-WITH new AS (SELECT user_id AS u, arg_min(event_id, ts) AS new_id, arg_min(value, ts) AS new_value, count(*) AS replacements
-  FROM events WHERE event_type = 'signup' AND ts >= TIMESTAMP '2024-01-14' GROUP BY user_id)
-SELECT event_id, user_id, value, new_id, new_value, coalesce(replacements, 0) AS replacements
-FROM events LEFT JOIN new ON u = user_id WHERE event_type = 'purchase' AND ts >= TIMESTAMP '2024-01-14'
+WITH recent AS (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-14'),
+new AS (SELECT user_id AS u, count(*) AS replacements FROM recent WHERE event_type = 'signup' GROUP BY user_id)
+SELECT event_id, user_id, value, 'original' AS side, coalesce(replacements, 0) AS replacements
+FROM recent LEFT JOIN new ON u = user_id WHERE event_type = 'purchase'
+UNION ALL
+SELECT event_id, user_id, value, 'replacement', replacements FROM recent JOIN new ON u = user_id
+WHERE event_type = 'signup' AND user_id IN (SELECT user_id FROM recent WHERE event_type = 'purchase')
 """)
 def same_table_event_pair(t):
-    recent = P.filter_recent_days(t.events, "ts", EVENTS_AS_OF, 2)
-    pairs = J.event_pairs(
-        recent, "user_id", F.col("event_type") == "purchase", F.col("event_type") == "signup", ["ts", "event_id"],
-        {"event_id": "new_id", "value": "new_value"}, {"replacements": F.count("*")},
-    )
+    recent = P.filter_recent_days(t.events, "ts", EVENTS_AS_OF, 2).select("event_id", "user_id", "event_type", "value")
+    pairs = J.event_pairs(recent, "user_id", F.col("event_type") == "purchase", F.col("event_type") == "signup", {"replacements": F.count("*")})
     many = N.null_default(F.col("replacements"), 0).alias("replacements")
-    return pairs.select("event_id", "user_id", "value", "new_id", "new_value", many)
+    return pairs.select("event_id", "user_id", "value", "side", many)
 
 
 @query("""
@@ -320,7 +318,7 @@ SELECT o_orderkey, priority, amount FROM (
 def history_plus_online(t):
     def movements(df):
         signed = N.sign_by(F.col("o_totalprice"), F.col("o_orderstatus") == "F")
-        return df.select("o_orderkey", F.upper(F.substring("o_orderpriority", 3, 100)).alias("priority"), signed.alias("amount"))
+        return df.select("o_orderkey", F.upper(F.expr("substring(o_orderpriority, 3)")).alias("priority"), signed.alias("amount"))
 
     history = t.orders.filter(P.before_day("o_orderdate", ORDERS_AS_OF))
     online = t.orders.filter(P.since_day("o_orderdate", ORDERS_AS_OF))

@@ -110,7 +110,7 @@ def cast_all_string_and_truncate(t):
 SELECT doc_id, substring(text, 1, 256) AS text, lang FROM documents
 """)
 def truncate_text_default(t):
-    return C.truncate_strings(t.documents.select("doc_id", "text", "lang"))
+    return C.truncate_strings(t.documents.select("doc_id", "text", "lang"), {"text": 256, "lang": 256})
 
 
 @query("""

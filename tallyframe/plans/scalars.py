@@ -22,7 +22,7 @@ def text_trim_and_replace_chain(t):
     return t.customer.select(
         "c_custkey",
         X.trim_upper(F.concat(F.lit("  "), F.col("c_name"), F.lit(" "))).alias("nombre"),
-        X.clean_address(address).alias("direccion"),
+        X.clean_address(address, 500).alias("direccion"),
     )
 
 

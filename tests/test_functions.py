@@ -22,7 +22,7 @@ def test_phone_classification(spark):
 
 def test_text_cleaning(spark):
     assert one(spark, ["a\tb\nc\rd", None, ""], "string", X.clean_control_chars) == ["a b c d", None, ""]
-    assert one(spark, [" x;y|z  w\n "], "string", X.clean_address) == ["xyz w"]
+    assert one(spark, [" x;y|z  w\n "], "string", lambda c: X.clean_address(c, 500)) == ["xyz w"]
     assert one(spark, ["Ñandú ÁÉÍ", "plain", None, "café"], "string", X.fold_accents) == ["Nandu AEI", "plain", None, "cafe"]
     assert one(spark, [" Aé ", None], "string", X.trim_upper) == ["AÉ", None]
     assert one(spark, ["12 x", "\t7 y", "x 1", "", None], "string", X.first_token_int) == [12, 7, None, None, None]

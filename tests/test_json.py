@@ -37,7 +37,7 @@ def frame(spark):
 
 
 def test_deep_find_small_documents(spark):
-    opened = V.with_json_nodes(frame(spark), "doc", max_depth=6)
+    opened = V.with_json_nodes(frame(spark), "doc")
     nodes = F.col("nodes")
     got = opened.orderBy("i").select(
         V.deep_find(nodes, ["Nombre"]), V.deep_find(nodes, ["q"]), V.deep_find(nodes, ["NUMERO"], "folded"),
@@ -66,7 +66,7 @@ def test_deep_find_against_brute_force(spark):
 
     docs = [make(i, 3) for i in range(60)]
     df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "i int, doc string")
-    opened = V.with_json_nodes(df, "doc", max_depth=8)
+    opened = V.with_json_nodes(df, "doc")
     keys = [f"k{n}" for n in range(5)]
     got = opened.select("i", *[V.deep_find(F.col("nodes"), [k]).alias(k) for k in keys]).collect()
     for r in got:
@@ -131,3 +131,27 @@ def test_unwrapped_values(spark):
     got = df.select(X.list_text_normalize(F.col("v")), X.list_text_normalize(F.col("v"), True)).collect()
     assert [r[0] for r in got] == ["x", "1, y", None, "plain, t", None, None, "a, b"]
     assert [r[1] for r in got][1] == "1"
+
+
+def nested(depth, value, name="e"):
+    """An object inside objects and lists, with an empty object before each way down."""
+    doc = {name: value}
+    for n in range(depth):
+        doc = {"void": {}, f"d{n}": [[], doc] if n % 3 == 2 else doc}
+    return doc
+
+
+def test_any_depth(spark):
+    depths = [0, 1, 3, 4, 5, 8, 12, 30]
+    texts = [json.dumps({**nested(n, f"deep{n}"), "z": "1"}) for n in depths] + ["{" * 5, '{"a":"[{"}']
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, doc string")
+    opened = V.with_json_nodes(df, "doc").select("i", V.deep_find(F.col("nodes"), ["e"]).alias("e"))
+    got = opened.join(df.select("i", V.first_scalar(F.col("doc")).alias("first"), V.unwrap_value(F.col("doc")).alias("whole")), "i").orderBy("i").collect()
+    for r, n in zip(got, depths):
+        assert r.e == r.first == r.whole == f"deep{n}"
+
+
+def test_first_value_skips_what_is_empty(spark):
+    docs = ['{"a":{},"b":[null,[]],"c":[{"x":null},{"y":[[["v"]]]}],"d":"later"}', "[[],{}]", "plain", None, '{"a":null}']
+    df = spark.createDataFrame([(d,) for d in docs], "d string")
+    assert [r[0] for r in df.select(V.first_scalar(F.col("d"))).collect()] == ["v", None, "plain", None, None]

@@ -87,12 +87,13 @@ def test_parameters_must_be_one_row(spark):
         J.with_parameters(df, one.union(one)).collect()
 
 
-def test_event_pairs_grow_with_originals_only(spark):
-    rows = [(1, "o", i) for i in range(50)] + [(1, "n", i) for i in range(40)] + [(2, "o", 99)]
+def test_event_pairs_hold_every_row_once(spark):
+    rows = [(1, "o", i) for i in range(50)] + [(1, "n", i) for i in range(40)] + [(2, "o", 99), (3, "n", 5), (None, "o", 7), (1, "x", 0)]
     df = spark.createDataFrame(rows, "k int, t string, i int")
-    got = J.event_pairs(df, "k", F.col("t") == "o", F.col("t") == "n", ["i"], {"i": "new"}, {"many": F.count("*")})
-    assert got.count() == 51
-    assert {(r["new"], r["many"]) for r in got.collect()} == {(0, 40), (None, None)}
+    got = J.event_pairs(df, "k", F.col("t") == "o", F.col("t") == "n", {"many": F.count("*"), "total": F.sum("i")}).collect()
+    assert len(got) == 50 + 40 + 1 + 1
+    assert {(r.side, r.i) for r in got if r.k == 1} == {("original", i) for i in range(50)} | {("replacement", i) for i in range(40)}
+    assert {(r.k, r.many, r.total) for r in got} == {(1, 40, 780), (2, None, None), (None, None, None)}
 
 
 def test_first_due_sums_ties(spark, rows):
@@ -109,9 +110,17 @@ def test_first_values(spark, rows):
 
 def test_lists_and_nulls(spark, rows):
     df = spark.createDataFrame([("a",), ("b",), (None,)], "c string")
-    long = ["a"] + [f"x{i}" for i in range(300)]
-    assert rows(P.filter_in_list(df, "c", ["a"])) == rows(P.filter_in_list(df, "c", long)) == [("a",)]
-    assert rows(P.filter_not_in_list(df, "c", ["a"])) == rows(P.filter_not_in_list(df, "c", long)) == [("b",)]
+    for n in (0, 198, 200, 5000):
+        for extra in ([], [None]):
+            codes = ["a", *(f"x{i}" for i in range(n)), *extra]
+            assert rows(P.filter_in_list(df, "c", codes)) == [("a",)]
+            assert rows(P.filter_not_in_list(df, "c", codes)) == [("b",)]
+    assert rows(P.filter_in_list(df, "c", [None])) == [] and rows(P.filter_not_in_list(df, "c", [None])) == [("a",), ("b",)]
+
+
+def test_only_named_columns_are_cut(spark, rows):
+    df = spark.createDataFrame([("x" * 300, "y" * 300, 5)], "a string, b string, n int")
+    assert rows(C.truncate_strings(df, {"a": 3, "n": 1})) == [("xxx", "y" * 300, 5)]
 
 
 def test_day_filters_are_half_open(spark):
@@ -137,12 +146,6 @@ def test_names(spark):
         C.normalize_column_names(spark.createDataFrame([(1, 2)], "`Año` int, ano int"))
 
 
-def test_candidate_names():
-    prefixes = ("DI_", "REF_")
-    assert C.candidate_names("DI_TipoCanal", prefixes) == ["TipoCanal", "DI_TipoCanal", "Canal"]
-    assert C.candidate_names("a_b", (), {"a_b": "x"}) == ["x", "a_b", "ab", "b"]
-
-
 def test_select_available(spark):
     df = spark.createDataFrame([(("n", "s"), 1)], "Peticion struct<Nombre:string,Otro:string>, `Raíz` int")
     got = C.select_available(df, ["DI_Nombre", "raiz", "otro", "Falta"], root="Peticion", prefixes=("DI_",))

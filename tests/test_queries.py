@@ -31,7 +31,7 @@ def duck(folder):
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_sql(spark, duck, folder, name):
     ok, note = compare(spark, duck, all_queries()[name], folder, check_plan)
-    assert ok or note.startswith("0 rows"), note
+    assert ok or (all_queries()[name].sql is not None and note.startswith("0 rows")), note
 
 
 def test_contract(spark):
