@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.dates import yesterday
 from tallyframe.functions.text import content_hash
+from tallyframe.operators.latest import latest_per_key
 
 
 def upsert_replace(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -18,13 +19,18 @@ def upsert_replace(target: DataFrame, staged: DataFrame, keys: Sequence[str]) ->
     return kept.select(target.columns).unionByName(staged.select(target.columns))
 
 
-def upsert_update_insert(target: DataFrame, staged: DataFrame, keys: Sequence[str], update: Sequence[str]) -> DataFrame:
+def upsert_update_insert(
+    target: DataFrame, staged: DataFrame, keys: Sequence[str], update: Sequence[str], order: Sequence[str] = ()
+) -> DataFrame:
     """Matched rows take the staged value of the ``update`` columns; unknown keys are added.
 
-    Both sides hold one row per key; staged rows without a key are left out.
+    Of staged rows of one key the last by ``order`` counts, then by all other columns; rows without a key are left
+    out. So staged rows that repeat a key never multiply rows of the target.
     """
+    ranked = [*order, *[c for c in staged.columns if c not in keys and c not in order]]
+    staged = latest_per_key(staged.dropna("any", subset=list(keys)), keys, ranked)
     rest = [c for c in target.columns if c not in keys]
-    new = staged.dropna("any", subset=list(keys)).select(
+    new = staged.select(
         *keys, *[F.col(c).alias(f"__new_{c}") for c in rest], F.lit(True).alias("__staged")
     )
     old = target.select(*keys, *rest, F.lit(True).alias("__known"))

@@ -31,22 +31,31 @@ _OLD_SQL = _STATE_SQL.format(f"o_orderdate < TIMESTAMP '{ORDERS_AS_OF}'")
 _NEW_SQL = _STATE_SQL.format(f"o_orderdate >= TIMESTAMP '{ORDERS_AS_OF}'")
 
 
+#: Buckets of the upserted tables; a table of a billion keys would have thousands.
+BUCKETS = 8
+
+
+def _bucketed(rows, keys):
+    return rows.withColumn("bucket", K.bucket_of(keys, BUCKETS))
+
+
 def _old_and_new(t):
     old = t.orders.filter(P.before_day("o_orderdate", ORDERS_AS_OF))
     new = t.orders.filter(P.since_day("o_orderdate", ORDERS_AS_OF))
     return old, new
 
 
-@query(f"""
-SELECT event_type, n, DATE '2024-01-15' AS as_of FROM (SELECT event_type, count(*) AS n FROM events WHERE ts < TIMESTAMP '2024-01-16' GROUP BY 1)
-UNION ALL SELECT event_type, n, DATE '2024-01-16' FROM (SELECT event_type, count(*) AS n FROM events WHERE ts < TIMESTAMP '2024-01-17' GROUP BY 1)
+@query("""
+SELECT event_type, count(*) AS n, DATE '2024-01-16' AS as_of FROM events WHERE ts < TIMESTAMP '2024-01-17' GROUP BY 1
 """)
 def load_append_snapshot(t):
-    """Two days, the second one loaded twice: a repeated run leaves no duplicates."""
+    """Three days. The last is loaded twice and leaves no duplicates; the others are loaded again without rows and are empty."""
     path = new_table_path(t.spark, "event_counts")
-    for as_of in ("2024-01-15", "2024-01-16", "2024-01-16"):
-        upto = t.events.filter(P.between_days("ts", "2024-01-01", as_of))
-        loaded = K.append_snapshot(upto.groupBy("event_type").agg(F.count("*").alias("n")), path, as_of)
+    counts = lambda first, last: t.events.filter(P.between_days("ts", first, last)).groupBy("event_type").agg(F.count("*").alias("n"))
+    for as_of in ("2024-01-14", "2024-01-15", "2024-01-16", "2024-01-16"):
+        loaded = K.append_snapshot(counts("2024-01-01", as_of), path, as_of)
+    for as_of in ("2024-01-14", "2024-01-15"):
+        loaded = K.append_snapshot(counts("2030-01-01", "2030-01-02"), path, as_of)
     return loaded
 
 
@@ -74,13 +83,11 @@ WITH o AS ({_OLD_SQL}), n AS ({_NEW_SQL})
 SELECT * FROM n UNION ALL SELECT * FROM o WHERE o_custkey NOT IN (SELECT o_custkey FROM n)
 """)
 def load_upsert_replace(t):
+    """Only buckets of staged customers are rewritten."""
     path = new_table_path(t.spark, "customer_state")
-    old, new = _old_and_new(t)
-    K.write_version(_customer_state(old), path, "2000-06-29")
-    return K.merge_version(
-        _customer_state(new), path, "2000-06-29", ORDERS_AS_OF,
-        lambda target, staged: M.upsert_replace(target, staged, ["o_custkey"]),
-    )
+    old, new = (_bucketed(_customer_state(rows), ["o_custkey"]) for rows in _old_and_new(t))
+    K.append_partitions(old, path, "bucket")
+    return K.merge_partitions(new, path, ["o_custkey"], "bucket").drop("bucket")
 
 
 @query("""
@@ -105,12 +112,10 @@ FROM o FULL JOIN n ON o.o_custkey = n.o_custkey
 def load_upsert_update_insert(t):
     """Known customers only move their last day; unknown ones are added whole."""
     path = new_table_path(t.spark, "channel_users")
-    old, new = _old_and_new(t)
-    K.write_version(_customer_state(old), path, "2000-06-29")
-    return K.merge_version(
-        _customer_state(new), path, "2000-06-29", ORDERS_AS_OF,
-        lambda target, staged: M.upsert_update_insert(target, staged, ["o_custkey"], ["last_day"]),
-    )
+    old, new = (_bucketed(_customer_state(rows), ["o_custkey"]) for rows in _old_and_new(t))
+    K.append_partitions(old, path, "bucket")
+    merge = lambda target, staged: M.upsert_update_insert(target, staged, ["o_custkey"], ["last_day"], ["last_day"])
+    return K.merge_touched(new, path, "bucket", merge).drop("bucket")
 
 
 # Run dates that cut the events of the month into four deliveries.
@@ -129,19 +134,14 @@ def load_hash_validity(t):
     path = new_table_path(t.spark, "user_products")
     content = ["user_id", "event_type", "large"]
     start = "2024-01-01"
-    before = None
+    merge = lambda target, new: _bucketed(M.hash_validity_merge(target, new, content), ["hash"])
     for run in VALIDITY_RUNS:
         rows = t.events.filter(P.since_day("ts", start) & P.before_day("ts", run))
         rows = rows.select("user_id", "event_type", F.when(F.col("value") > 20, "S").otherwise("N").alias("large"))
-        staged = M.stage_validity(rows.distinct(), content, run)
-        if before is None:
-            merged = K.write_version(staged, path, run)
-        else:
-            merged = K.merge_version(
-                staged, path, before, run, lambda target, new: M.hash_validity_merge(target, new, content)
-            )
-        start = before = run
-    return merged
+        staged = _bucketed(M.stage_validity(rows.distinct(), content, run), ["hash"])
+        merged = K.append_partitions(staged, path, "bucket") if start == "2024-01-01" else K.merge_touched(staged, path, "bucket", merge)
+        start = run
+    return merged.drop("bucket")
 
 
 @query("""
@@ -177,7 +177,7 @@ def load_snapshot_from_table(t):
     path = new_table_path(t.spark, "insurance_history")
     rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
     stamped = M.snapshot_projection(rows, F.col("o_orderstatus") == "P", ORDERS_AS_OF).drop("o_orderstatus")
-    return K.append_partitions(stamped, path, "as_of")
+    return K.append_snapshot(stamped, path, ORDERS_AS_OF)
 
 
 @query("""
@@ -243,22 +243,25 @@ def stream_append_increment(t):
 SELECT user_id, event_type, CAST(min(ts) AS DATE) AS valid_from, CAST(max(ts) AS DATE) AS valid_to FROM events GROUP BY user_id, event_type
 """)
 def stream_validity_increment(t):
-    """Each micro-batch merges into the version before it; a repeated batch rewrites its own."""
-    path = new_table_path(t.spark, "stream_validity")
-    stream = I.read_increments(t.spark, t.folder, t.events.schema, "events.parquet")
+    """Events come as five files and as many micro-batches; each merges into the buckets it touches.
+
+    A repeated batch only widens what is there already, so it leaves the same table.
+    """
+    source, path = new_table_path(t.spark, "stream_in"), new_table_path(t.spark, "stream_validity")
+    t.events.select("user_id", "event_type", "ts").repartition(5).write.parquet(source)
+    stream = I.read_increments(t.spark, source, t.spark.read.parquet(source).schema, files_per_batch=1)
     content = ["user_id", "event_type"]
+    merge = lambda target, new: _bucketed(M.hash_validity_merge(target, new, content), ["hash"])
 
     def load(batch, number):
         days = batch.groupBy(*content).agg(
             F.to_date(F.min("ts")).alias("valid_from"), F.to_date(F.max("ts")).alias("valid_to")
         )
-        merged = M.with_content_hash(days, content)
-        if number > 0:
-            target = batch.sparkSession.read.parquet(f"{path}/batch={number - 1}")
-            merged = M.hash_validity_merge(target, merged, content)
-        merged.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        staged = _bucketed(M.with_content_hash(days, content), ["hash"])
+        if number == 0:
+            K.append_partitions(staged, path, "bucket")
+        else:
+            K.merge_touched(staged, path, "bucket", merge)
 
     I.load_increments(stream, new_table_path(t.spark, "stream_validity_log"), load)
-    versions = t.spark.read.parquet(path)
-    last = versions.agg(F.max("batch")).first()[0]
-    return t.spark.read.parquet(f"{path}/batch={last}").drop("hash")
+    return t.spark.read.parquet(path).drop("bucket", "hash")

@@ -1,9 +1,9 @@
 """Loads into Parquet tables.
 
-A snapshot table is partitioned by its date and a load replaces only the partitions it
-holds rows for, so running a load again gives the same table. Upserts of an unpartitioned
-table write the version of their run date and read an earlier one, so a lost executor or
-a failed run never harms the table being read.
+A snapshot table is partitioned by its date, and a load replaces its own day, with rows or without, so running a load
+again gives the same table. Upserts go to a table partitioned by a value that follows from the key, such as a bucket of its
+hash: only partitions that get rows are read and rewritten, from a table written on the way, so no path is overwritten
+while it is read. Where a whole table is merged, the version of the run date is written and an earlier one read.
 """
 
 from __future__ import annotations
@@ -12,12 +12,14 @@ from collections.abc import Callable, Sequence
 from datetime import date, datetime
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyframe.functions.dates import day, yesterday
-from tallyframe.operators.merges import restamp_snapshot, upsert_replace
+from tallyframe.operators.merges import upsert_replace
 from tallyframe.operators.quality import require_unique
+from tallyframe.session import new_table_path
 from tallyframe.sources.calendar import NON_BUSINESS_DAY
 
 
@@ -29,15 +31,15 @@ def _replace_partitions(df: DataFrame, path: str, partition: str) -> DataFrame:
 
 
 def append_snapshot(df: DataFrame, path: str, as_of: date | str, partition: str = "as_of") -> DataFrame:
-    """Add the snapshot of one day; loading that day again replaces it."""
-    stamped = df.withColumn(partition, F.lit(day(as_of)))
-    writer = stamped.write.mode("overwrite").partitionBy(partition)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
-    return df.sparkSession.read.schema(stamped.schema).parquet(path)
+    """Add the snapshot of one day. Loading that day again replaces it, and loading it without rows empties it."""
+    rows = df.drop(partition)
+    rows.write.mode("overwrite").parquet(f"{path}/{partition}={day(as_of).isoformat()}")
+    schema = T.StructType([*rows.schema.fields, T.StructField(partition, T.DateType())])
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
 def append_partitions(df: DataFrame, path: str, partition: str) -> DataFrame:
-    """The same for a table that already carries its partition column."""
+    """Replace the partitions that ``df`` has rows for; its partition column names them."""
     return _replace_partitions(df, path, partition)
 
 
@@ -88,21 +90,36 @@ def merge_version(
     return write_version(merge(target, staged), path, as_of)
 
 
-def merge_partitions(staged: DataFrame, path: str, keys: Sequence[str], partition: str) -> DataFrame:
-    """Upsert into a partitioned table, rewriting only the partitions that get rows.
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """The bucket of a row's key: the same for the same key in every load."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def merge_touched(
+    staged: DataFrame, path: str, partition: str, merge: Callable[[DataFrame, DataFrame], DataFrame]
+) -> DataFrame:
+    """``merge`` staged rows into those partitions of a table that they belong to; no other file is read or written.
 
-    The partition value must follow from the key. Spark stages the new files and swaps
-    them in at commit, so the partitions may be read while they are replaced.
+    The partition value must follow from the key. The values found in ``staged``, at most one per partition, become
+    literals, so the scan is pruned before it starts. The merged rows are written aside before they replace anything.
     """
     spark = staged.sparkSession
     target = spark.read.parquet(path)
-    touched = target.join(staged.select(partition).distinct(), partition, "left_semi")
-    merged = upsert_replace(touched.select(target.columns), staged.select(target.columns), keys)
-    writer = merged.write.mode("overwrite").partitionBy(partition)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    values = [r[0] for r in staged.select(partition).distinct().collect()]
+    there = F.col(partition).isin([v for v in values if v is not None])
+    if None in values:
+        there = there | F.col(partition).isNull()
+    merged = merge(target.filter(there), staged.select(target.columns)).select(target.columns)
+    aside = truncate_load(merged, new_table_path(spark, "merged"))
+    _replace_partitions(aside, path, partition)
     return spark.read.schema(target.schema).parquet(path)
 
 
+def merge_partitions(staged: DataFrame, path: str, keys: Sequence[str], partition: str) -> DataFrame:
+    """Upsert into a partitioned table, rewriting only the partitions that get rows."""
+    return merge_touched(staged, path, partition, lambda old, new: upsert_replace(old, new, keys))
+
+
 def rollforward_snapshot(
     spark: SparkSession, path: str, as_of: date | str, flag: str | None,
     load: Callable[[], DataFrame], date_col: str = "cut_date",
@@ -111,10 +128,11 @@ def rollforward_snapshot(
     snapshot of the day before it is repeated, else ``load()`` provides the rows."""
     cut = yesterday(as_of)
     if flag == NON_BUSINESS_DAY:
-        rows = restamp_snapshot(spark.read.parquet(path), date_col, yesterday(cut), cut)
+        before = f"{path}/{date_col}={yesterday(cut).isoformat()}"
+        rows = spark.read.parquet(before)
     else:
-        rows = load().withColumn(date_col, F.lit(cut))
-    return append_partitions(rows, path, date_col)
+        rows = load()
+    return append_snapshot(rows, path, cut, date_col)
 
 
 def is_month_start(now: datetime, zone: str) -> bool:

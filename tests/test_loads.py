@@ -9,6 +9,7 @@ from tallyframe.sinks import loads as K
 from tallyframe.sources.calendar import business_flag, calendar_between
 from tallyframe.sources.tables import SplitColumn, jdbc_options
 from tallyframe.streaming import increments as I
+from tests.conftest import plan_of
 
 
 def table(spark, rows, ddl="k int, c string, n int"):
@@ -73,6 +74,66 @@ def test_partition_merge_leaves_other_partitions_alone(spark, rows):
     assert files(2020) == before
 
 
+def test_merge_reads_only_touched_partitions(spark):
+    path = new_table_path(spark, "parts")
+    base = table(spark, [(i, "a", i % 10) for i in range(100)])
+    K.append_partitions(base, path, "n")
+    seen = []
+
+    def merge(old, new):
+        seen.append((plan_of(old), {r.n for r in old.select("n").collect()}))
+        return M.upsert_replace(old, new, ["k"])
+
+    K.merge_touched(table(spark, [(3, "z", 3), (13, "z", 3)]), path, "n", merge)
+    assert "PartitionFilters: [isnotnull(n" in seen[0][0] and seen[0][1] == {3}
+    got = spark.read.parquet(path)
+    assert got.count() == 100 and got.filter("c = 'z'").count() == 2
+    K.merge_touched(table(spark, [(200, "n", None)]), path, "n", lambda old, new: M.upsert_replace(old, new, ["k"]))
+    assert spark.read.parquet(path).filter("n is null").count() == 1
+
+
+def test_empty_reloads_empty_their_day(spark):
+    rows = table(spark, OLD)
+    path = new_table_path(spark, "days")
+    for day in ("2024-01-14", "2024-01-15"):
+        assert K.append_snapshot(rows, path, day).filter(f"as_of = '{day}'").count() == 3
+    assert K.append_snapshot(rows.limit(0), path, "2024-01-15").select("as_of").distinct().collect() == [(date(2024, 1, 14),)]
+    roll = new_table_path(spark, "roll")
+    assert K.rollforward_snapshot(spark, roll, "2024-01-15", "S", lambda: rows).count() == 3
+    assert K.rollforward_snapshot(spark, roll, "2024-01-15", "S", lambda: rows.limit(0)).count() == 0
+    month = new_table_path(spark, "month")
+    at = datetime(2024, 2, 1, 12, tzinfo=timezone.utc)
+    assert K.month_gated_copy(rows, month, at, "UTC").count() == 3
+    assert K.month_gated_copy(rows.limit(0), month, at, "UTC").count() == 0
+
+
+def test_staged_duplicates_do_not_multiply(spark, rows):
+    old = table(spark, [(1, "a", 1)])
+    staged = table(spark, [(1, "x", 5), (1, "y", 4), (2, "p", 1), (2, "q", 2), (None, "z", 9)])
+    assert rows(M.upsert_update_insert(old, staged, ["k"], ["c"], ["n"])) == [(1, "x", 1), (2, "q", 2)]
+    assert rows(M.upsert_update_insert(old, staged, ["k"], ["c"])) == [(1, "y", 1), (2, "q", 2)]
+
+
+def test_stream_of_several_batches(spark, rows):
+    source, path, log = (new_table_path(spark, n) for n in ("in", "out", "log"))
+    for k in range(4):
+        table(spark, [(k % 2, "c", k), (9, "d", k)]).coalesce(1).write.mode("append").parquet(source)
+    numbers = []
+
+    def load(batch, number):
+        numbers.append(number)
+        for _ in range(2):  # every batch twice
+            staged = batch.withColumn("b", K.bucket_of(["k"], 4))
+            if number == 0:
+                K.append_partitions(staged, path, "b")
+            else:
+                K.merge_touched(staged, path, "b", lambda old, new: M.upsert_replace(old, new, ["k"]))
+
+    I.load_increments(I.read_increments(spark, source, table(spark, OLD).schema, files_per_batch=1), log, load)
+    assert numbers == [0, 1, 2, 3]
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == [0, 1, 9]
+
+
 def test_rollforward(spark, rows):
     path = new_table_path(spark, "roll")
     load = lambda: table(spark, [(1, "a", 1)])
