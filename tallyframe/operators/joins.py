@@ -3,8 +3,9 @@ size allows, and splits hot keys of the left side at run time (adaptive skew joi
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,23 +75,32 @@ def star_denormalize(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFr
 
 
 def salted_lookup(
-    left: DataFrame, right: DataFrame, on: Keys, columns=None, how: str = "left", salts: int = 16
+    left: DataFrame, right: DataFrame, on: Keys, columns=None, how: str = "left", salts: int = 16, heavy_rows: int = 100_000
 ) -> DataFrame:
     """``lookup`` for a left side with hot keys where adaptive skew handling cannot act.
 
-    Left rows spread over ``salts`` parts by a hash of their content (the same in every
-    retry) and each right row is repeated once per part.
+    Keys with more than ``heavy_rows`` left rows are counted first, by a map-side combined aggregate. Their left rows
+    spread over ``salts`` parts by a hash of their content (the same in every retry), and only their right rows are
+    repeated, once per part. All other rows keep the first part.
     """
     if how not in ("left", "inner"):
         raise ValueError("a salted lookup is a left or inner join")
     pairs = _pairs(on)
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
-    left = left.withColumn("__salt", spread)
-    right = right.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    heavy = left.groupBy(*[F.col(l).alias(f"__h{i}") for i, (l, _) in enumerate(pairs)]).agg(F.count("*").alias("__rows"))
+    heavy = heavy.filter(F.col("__rows") > heavy_rows).drop("__rows").withColumn("__heavy", F.lit(True))
+    marks = [f"__h{i}" for i in range(len(pairs))]
+
+    def marked(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        match = reduce(lambda a, b: a & b, [F.col(k) == F.col(m) for k, m in zip(keys, marks)])
+        return df.join(heavy, match, "left").drop(*marks)
+
     if columns is None:
-        columns = [c for c in right.columns if c not in {r for _, r in pairs} | {"__part"}]
-    keys = {**dict(pairs), "__salt": "__part"}
-    return lookup(left, right, keys, columns, how).drop("__salt")
+        columns = [c for c in right.columns if c not in {r for _, r in pairs}]
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
+    left = marked(left, [l for l, _ in pairs]).withColumn("__salt", F.when(F.col("__heavy"), spread).otherwise(0)).drop("__heavy")
+    parts = F.when(F.col("__heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = marked(right, [r for _, r in pairs]).withColumn("__part", F.explode(parts)).drop("__heavy")
+    return lookup(left, right, {**dict(pairs), "__salt": "__part"}, columns, how).drop("__salt")
 
 
 def full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -133,15 +143,17 @@ def apply_top1(
     return lookup(left, latest_per_key(right, right_keys, order), on, columns)
 
 
-def latest_values(df: DataFrame, keys, order: Sequence[str], values: Mapping[str, tuple[Column, Column]]) -> DataFrame:
-    """Per key the newest value of several kinds, each ``name: (value, condition)``.
+def latest_values(
+    df: DataFrame, keys, order: Sequence[str], values: Mapping[str, tuple[Column, Column]], others: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Per key the newest value of several kinds, each ``name: (value, condition)``, and any ``others`` aggregates.
 
     Several ``apply_top1`` over one table in a single map-side combined aggregate.
     """
     names = [keys] if isinstance(keys, str) else list(keys)
     rank = F.struct(*order)
     newest = [F.max_by(F.when(hit, value), F.when(hit, rank)).alias(n) for n, (value, hit) in values.items()]
-    return df.groupBy(*names).agg(*newest)
+    return df.groupBy(*names).agg(*newest, *[e.alias(n) for n, e in (others or {}).items()])
 
 
 def apply_any(left: DataFrame, right: DataFrame, on: Keys, flag: str, right_filter: Column | None = None) -> DataFrame:
@@ -185,22 +197,30 @@ def first_last_state(df: DataFrame, keys, order: Sequence[str], state: Sequence[
     )
 
 
-def _sums_at(rows: DataFrame, keys, day: str, sums: Mapping[str, Column], pick) -> DataFrame:
-    """Sum per key and day, then keep one day per key: two aggregates, no join, no window."""
+Overall = Mapping[str, tuple[Column, Callable[[Column], Column]]]
+
+
+def _sums_at(rows: DataFrame, keys, day: str, sums: Mapping[str, Column], pick, overall: Overall | None = None) -> DataFrame:
+    """Sum per key and day, then keep one day per key: two aggregates, no join, no window.
+
+    ``overall`` adds aggregates over all days of a key in the same pass: each an aggregate per day and how days combine.
+    """
     names = [keys] if isinstance(keys, str) else list(keys)
-    per_day = rows.groupBy(*names, day).agg(*[e.alias(n) for n, e in sums.items()])
-    chosen = per_day.groupBy(*names).agg(pick(F.struct(day, *sums), F.col(day)).alias("__day"))
-    return chosen.select(*names, "__day.*")
+    overall = overall or {}
+    per_day = rows.groupBy(*names, day).agg(*[e.alias(n) for n, e in sums.items()], *[e.alias(n) for n, (e, _) in overall.items()])
+    days = [combine(F.col(n)).alias(n) for n, (_, combine) in overall.items()]
+    chosen = per_day.groupBy(*names).agg(pick(F.struct(day, *sums), F.col(day)).alias("__day"), *days)
+    return chosen.select(*names, "__day.*", *overall)
 
 
-def first_due(schedule: DataFrame, keys, due: str, sums: Mapping[str, Column]) -> DataFrame:
+def first_due(schedule: DataFrame, keys, due: str, sums: Mapping[str, Column], overall: Overall | None = None) -> DataFrame:
     """Sums over the rows of each key's first due date."""
-    return _sums_at(schedule, keys, due, sums, F.min_by)
+    return _sums_at(schedule, keys, due, sums, F.min_by, overall)
 
 
-def last_paid(payments: DataFrame, keys, paid: str, sums: Mapping[str, Column]) -> DataFrame:
+def last_paid(payments: DataFrame, keys, paid: str, sums: Mapping[str, Column], overall: Overall | None = None) -> DataFrame:
     """Sums over the rows of each key's last payment date."""
-    return _sums_at(payments, keys, paid, sums, F.max_by)
+    return _sums_at(payments, keys, paid, sums, F.max_by, overall)
 
 
 def event_pairs(df: DataFrame, key: str, original: Column, replacement: Column, totals: Mapping[str, Column]) -> DataFrame:

@@ -14,6 +14,7 @@ from tallyframe.operators import latest as L
 from tallyframe.operators import predicates as P
 from tallyframe.operators import unions as U
 from tallyframe.plans.registry import ORDERS_AS_OF, query
+from tallyframe.sinks.loads import measured
 
 MONEY_SUM = "CAST(sum(CAST({} AS DECIMAL(18,2))) AS DOUBLE)"
 
@@ -64,9 +65,7 @@ def job_loan_originations(t):
         ["o_custkey", "o_orderdate"], ["o_orderkey"],
     )
     lines = t.lineitem
-    moves = lines.filter(F.col("l_returnflag").isin("A", "N") & F.col("l_quantity").between(2, 49)).groupBy("l_orderkey").agg(
-        F.to_date(F.min("l_shipdate")).alias("first_move"), F.to_date(F.max("l_shipdate")).alias("last_move")
-    )
+    moved = F.when(F.col("l_returnflag").isin("A", "N") & F.col("l_quantity").between(2, 49), F.col("l_shipdate"))
     quota = J.first_due(
         lines.select("l_orderkey", "l_shipdate", "l_extendedprice", "l_tax", "l_returnflag", "l_quantity"),
         "l_orderkey", "l_shipdate",
@@ -75,6 +74,7 @@ def job_loan_originations(t):
             "quota_tax": F.sum_distinct(N.money(F.col("l_tax"))).cast("double"),
             "quota_insurance": N.sum_money(F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0.0)),
         },
+        {"first_move": (F.to_date(F.min(moved)), F.min), "last_move": (F.to_date(F.max(moved)), F.max)},
     ).drop("l_shipdate")
     listed = t.part.filter(F.col("p_size").between(11, 24)).select("p_partkey", "p_type")
     warranty = J.lookup(
@@ -84,8 +84,7 @@ def job_loan_originations(t):
     df = J.star_denormalize(
         ops,
         [
-            J.Dimension(moves, {"o_orderkey": "l_orderkey"}, ["first_move", "last_move"]),
-            J.Dimension(quota, {"o_orderkey": "l_orderkey"}, ["quota_capital", "quota_tax", "quota_insurance"]),
+            J.Dimension(quota, {"o_orderkey": "l_orderkey"}, ["first_move", "last_move", "quota_capital", "quota_tax", "quota_insurance"]),
             J.Dimension(warranty, {"o_orderkey": "l_orderkey"}, ["warranty"]),
             J.Dimension(customer_places(t), {"o_custkey": "c_custkey"}, ["c_name", "c_mktsegment", "zone", "region"]),
             J.Dimension(
@@ -189,23 +188,24 @@ def job_portfolio_aging(t):
     """
     as_of = F.lit(ORDERS_AS_OF).cast("timestamp_ntz")
     credits = t.orders.filter((F.col("o_orderstatus") != "F") & (F.col("o_orderdate") <= as_of))
-    params = t.orders.agg(F.to_date(F.max("o_orderdate")).alias("bank_day"))
-    keyed = t.orders.withColumn("y", D.year_start(F.col("o_orderdate")))
-    wage = keyed.groupBy("y").agg((F.min("o_totalprice") + 90000).alias("w"))
+    years = t.orders.groupBy(D.year_start(F.col("o_orderdate")).alias("y")).agg(
+        (F.min("o_totalprice") + 90000).alias("w"), F.to_date(F.max("o_orderdate")).alias("last_day")
+    )
+    wage = measured(years)
+    params = wage.agg(F.max("last_day").alias("bank_day"))
     rate = J.latest_event(
         t.lineitem.select("l_orderkey", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_returnflag"),
         "l_orderkey", F.col("l_returnflag") == "N", ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"],
     )
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    urgent = F.when(priority == "1-URGENT", F.col("o_totalprice")).otherwise(0.0)
     contacts = J.latest_values(
         t.orders, "o_custkey", ["o_orderdate", "o_orderkey"],
         {"home": (priority, status == "F"), "business": (priority, status == "P")},
+        {"score": F.max("o_totalprice"), "score_urgent": F.max(urgent)},
     )
-    urgent = F.when(priority == "1-URGENT", F.col("o_totalprice")).otherwise(0.0)
-    scores = t.orders.groupBy("o_custkey").agg(F.max("o_totalprice").alias("score"), F.max(urgent).alias("score_urgent"))
     person = customer_places(t).select("c_custkey", "c_name", "zone", "region")
-    for side in (contacts, scores):
-        person = J.lookup(person, side, {"c_custkey": "o_custkey"})
+    person = J.lookup(person, contacts, {"c_custkey": "o_custkey"})
     kinds = t.events.groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
     phones = A.labelled_list(kinds, ["user_id"], "event_type", F.col("n"), "contacts")
     person = J.lookup(person, phones, {"c_custkey": "user_id"})
@@ -252,27 +252,23 @@ LEFT JOIN customer ON o_custkey = c_custkey
 def job_portfolio_history(t):
     """Closing and current balances side by side on a many-part key, with pivoted texts."""
 
-    def balances(rows, suffix):
-        return rows.groupBy("l_orderkey", "l_suppkey").agg(
-            N.sum_money(F.col("l_extendedprice")).alias(f"balance_{suffix}"), F.count("*").alias(f"rows_{suffix}")
-        )
-
-    cut = "2000-06-01"
-    both = J.full_outer(
-        balances(t.lineitem.filter(P.before_day("l_shipdate", cut)), "before"),
-        balances(t.lineitem.filter(P.since_day("l_shipdate", cut)), "now"), ["l_orderkey", "l_suppkey"],
+    early = P.before_day("l_shipdate", "2000-06-01")
+    price = F.col("l_extendedprice")
+    both = t.lineitem.groupBy("l_orderkey", "l_suppkey").agg(
+        N.sum_money(F.when(early, price)).alias("balance_before"), F.sum(F.when(early, 1)).alias("rows_before"),
+        N.sum_money(F.when(~early, price)).alias("balance_now"), F.sum(F.when(~early, 1)).alias("rows_now"),
     )
-    texts = t.lineitem.filter("l_linestatus = 'O'")
-    rates = A.conditional_max_pivot(
-        texts, ["l_orderkey"], "l_linenumber", F.col("l_tax"), {1: "rate_1", 2: "rate_2", 7: "rate_alco"}
+    rate = {1: "rate_1", 2: "rate_2", 7: "rate_alco"}
+    texts = t.lineitem.filter("l_linestatus = 'O'").groupBy("l_orderkey").agg(
+        *[F.max(F.when(F.col("l_linenumber") == line, F.col("l_tax"))).alias(name) for line, name in rate.items()],
+        F.to_date(F.max("l_shipdate")).alias("text_day"),
     )
-    text_day = texts.groupBy("l_orderkey").agg(F.to_date(F.max("l_shipdate")).alias("text_day"))
     instance = L.latest_per_key(t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate"), "o_orderkey", ["o_orderdate"])
     instance = J.lookup(instance, t.customer, {"o_custkey": "c_custkey"}, ["c_name"])
     df = J.star_denormalize(
         both,
         [
-            J.Dimension(J.lookup(rates, text_day, "l_orderkey"), "l_orderkey", ["rate_1", "rate_2", "rate_alco", "text_day"]),
+            J.Dimension(texts, "l_orderkey", [*rate.values(), "text_day"]),
             J.Dimension(instance, {"l_orderkey": "o_orderkey"}, ["o_orderpriority", "c_name"]),
         ],
     )

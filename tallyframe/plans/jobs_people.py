@@ -183,14 +183,11 @@ SELECT s_suppkey AS cuenta, s_name AS nombre, CASE WHEN s_suppkey IN (SELECT l_s
 """)
 def job_vendors(t):
     """Suppliers with an existence flag and the day of their last movement."""
-    df = J.apply_any(
-        t.supplier.select("s_suppkey", "s_name"), t.lineitem, {"s_suppkey": "l_suppkey"}, "hit",
-        (F.col("l_quantity") > 49) & (F.col("l_tax") == 0.08),
-    )
-    df = J.apply_aggregate(
-        df, t.lineitem, {"s_suppkey": "l_suppkey"}, {"ultimo_movimiento": F.to_date(F.max("l_shipdate"))},
-        F.col("l_returnflag") == "R",
+    lines = t.lineitem.groupBy("l_suppkey").agg(
+        F.max(F.when((F.col("l_quantity") > 49) & (F.col("l_tax") == 0.08), 1)).alias("hit"),
+        F.to_date(F.max(F.when(F.col("l_returnflag") == "R", F.col("l_shipdate")))).alias("ultimo_movimiento"),
     )
+    df = J.lookup(t.supplier.select("s_suppkey", "s_name"), lines, {"s_suppkey": "l_suppkey"}, ["hit", "ultimo_movimiento"])
     return df.select(
         F.col("s_suppkey").alias("cuenta"), F.col("s_name").alias("nombre"),
         K.yes_no(F.col("hit") == 1).alias("tiene_saldo"), "ultimo_movimiento",

@@ -10,6 +10,7 @@ from tallyframe.operators import joins as J
 from tallyframe.operators import latest as L
 from tallyframe.operators import predicates as P
 from tallyframe.plans.registry import EVENTS_AS_OF, ORDERS_AS_OF, query
+from tallyframe.sinks.loads import measured
 
 
 def branch_hierarchy(t):
@@ -135,7 +136,7 @@ def theta_range_on(t):
         (F.min("p_size") + 10).alias("lo"), (F.max("p_size") - 10).alias("hi")
     )
     return J.lookup(
-        t.part.select("p_partkey", "p_brand", "p_size"), band, {"p_brand": "brand"}, ["lo", "hi"],
+        t.part.select("p_partkey", "p_brand", "p_size"), measured(band), {"p_brand": "brand"}, ["lo", "hi"],
         condition=F.col("p_size").between(F.col("lo"), F.col("hi")),
     )
 
@@ -157,7 +158,7 @@ def date_key_join(t):
         F.max("l_tax").alias("rate"), F.count("*").alias("lines")
     )
     keyed = t.orders.select("o_orderkey", D.year_start(F.col("o_orderdate")).alias("y"))
-    return J.lookup(keyed, rate.withColumn("k", F.col("rate_day")), {"y": "k"}, ["rate_day", "rate", "lines"]).drop("y")
+    return J.lookup(keyed, measured(rate.withColumn("k", F.col("rate_day"))), {"y": "k"}, ["rate_day", "rate", "lines"]).drop("y")
 
 
 @query("""

@@ -10,6 +10,7 @@ from tallyframe.operators import classify as K
 from tallyframe.operators import joins as J
 from tallyframe.operators import predicates as P
 from tallyframe.plans.registry import EVENTS_AS_OF, ORDERS_AS_OF, query
+from tallyframe.sinks.loads import measured
 
 
 def _aging_sql(amount: str, days: str) -> str:
@@ -127,7 +128,7 @@ def threshold_segment_by_year(t):
     """The yearly wage is joined on 1 January of the row's date."""
     keyed = t.orders.withColumn("y", D.year_start(F.col("o_orderdate")))
     wage = keyed.groupBy("y").agg((F.min(N.money(F.col("o_totalprice"))).cast("double") + 100000).alias("w"))
-    df = J.lookup(keyed, wage, "y")
+    df = J.lookup(keyed, measured(wage), "y")
     is_open = F.col("o_orderstatus") == "O"
     segments = [
         K.Segment("seg_small", F.lit(0), F.lit(1), when=is_open),

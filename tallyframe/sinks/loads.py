@@ -49,6 +49,12 @@ def truncate_load(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def measured(df: DataFrame) -> DataFrame:
+    """A small result, such as one row per year, written and read again: its size on disk decides how it is joined, so a fact
+    table need not be shuffled on a handful of values."""
+    return truncate_load(df, new_table_path(df.sparkSession, "measured"))
+
+
 def recreate_load(
     df: DataFrame, path: str, key: Sequence[str] = (), sort: Sequence[str] = (), spread: Sequence[str] = ()
 ) -> DataFrame:

@@ -57,7 +57,8 @@ def test_salted_lookup_equals_plain(spark, rows):
     left = left.withColumn("k", F.when(F.col("k") == 1, 0).otherwise(F.col("id").cast("int")))
     right = spark.range(1500).select(F.col("id").cast("int").alias("rk"), (F.col("id") * 2).alias("w"))
     for how in ("left", "inner"):
-        assert rows(J.salted_lookup(left, right, {"k": "rk"}, how=how)) == rows(J.lookup(left, right, {"k": "rk"}, how=how))
+        for heavy in (1, 100, 100_000):
+            assert rows(J.salted_lookup(left, right, {"k": "rk"}, how=how, heavy_rows=heavy)) == rows(J.lookup(left, right, {"k": "rk"}, how=how))
 
 
 def test_lookup_never_grows_on_unique_keys(spark):

@@ -31,12 +31,12 @@ def test_filters_and_columns_reach_the_scan(plans):
     assert "l_suppkey" in read and "l_shipdate" not in read and "l_partkey" not in read
 
 
-def test_only_fixed_lists_are_broadcast_by_hint():
+def test_nothing_is_broadcast_by_hint():
     import pathlib
 
     root = pathlib.Path(__file__).parent.parent / "tallyframe"
-    uses = [(p.name, line) for p in root.rglob("*.py") for line in p.read_text().splitlines() if "F.broadcast(" in line]
-    assert uses and all("_code_table" in line for _, line in uses)
+    uses = [(p.name, line) for p in root.rglob("*.py") if "llm" not in p.parts for line in p.read_text().splitlines() if "F.broadcast(" in line]
+    assert not uses
 
 
 def test_snapshot_view_prunes_partitions(plans):
@@ -72,3 +72,18 @@ def test_hot_key_is_split_by_adaptive_execution(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize(("name", "table", "most"), [
+    ("job_loan_originations", "lineitem", 2), ("job_portfolio_aging", "lineitem", 1), ("job_portfolio_aging", "orders", 3),
+    ("job_portfolio_history", "lineitem", 2), ("job_vendors", "lineitem", 1),
+])
+def test_passes_over_a_table(spark, folder, name, table, most):
+    plan = plan_of(all_queries()[name](spark, folder))
+    assert 1 <= len(re.findall(rf"Location: .*/{table}\.parquet", plan)) <= most
+
+
+@pytest.mark.parametrize(("name", "column"), [("date_key_join", "y"), ("threshold_segment_by_year", "y"), ("theta_range_on", "p_brand")])
+def test_facts_are_not_shuffled_on_few_values(spark, folder, name, column):
+    plan = plan_of(all_queries()[name](spark, folder))
+    assert not re.search(rf"hashpartitioning\({column}#", plan) and "BroadcastHashJoin" in plan
