@@ -7,7 +7,8 @@ are kept, so "first match" follows the order of the document.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -146,36 +147,42 @@ def unwrap_value(value: Column) -> Column:
     )
 
 
-def _each(values: Column, step: Callable[[Column], Column]) -> Column:
-    return F.transform(values, lambda v: step(v))
+@dataclass(frozen=True)
+class Field:
+    """A wanted value: the column it fills, names it may have in a document (best first, whole and without regard to
+    case or accents), and whether a name that only ends with the last of them will do."""
 
+    column: str
+    names: tuple[str, ...]
+    by_ending: bool = False
 
-def first_values_by_name(nodes: Column, clean: Sequence[Callable[[Column], Column]] = ()) -> Column:
-    """Map from folded name to its first value: for documents with very many wanted fields.
 
-    The ``clean`` steps run once per value, however many columns read it. They are separate
-    steps because a step may use its input several times.
-    """
-    names = F.array_distinct(F.transform(nodes, lambda n: n["folded"]))
-    values = F.transform(
-        names, lambda k: F.get(F.filter(nodes, lambda n: n["folded"] == k), F.lit(0))["value"]
-    )
-    for step in clean:
-        values = _each(values, step)
-    return F.map_from_arrays(names, values)
+def field_hits(folded: Column, fields: Sequence[Field]) -> Column:
+    """The (column, rank) pairs that a folded name stands for. Whole names are looked up in one map, however many
+    fields there are; an ending ranks behind every whole name."""
+    pair = "array<struct<column:string,rank:int>>"
+    by_name: dict[str, list[tuple[str, int]]] = {}
+    for f in fields:
+        for rank, name in enumerate(dict.fromkeys(map(fold_name, f.names))):
+            by_name.setdefault(name, []).append((f.column, rank))
 
+    def pairs(found) -> Column:
+        return F.array(*[F.struct(F.lit(c).alias("column"), F.lit(r).alias("rank")) for c, r in found]).cast(pair)
 
-def with_first_values(
-    df: DataFrame, nodes: str, maps: Mapping[str, Sequence[Callable[[Column], Column]]]
-) -> DataFrame:
-    """Add one map of first values per entry, each with its own cleaning steps."""
-    rows = F.struct(*[first_values_by_name(F.col(nodes), clean).alias(out) for out, clean in maps.items()])
-    return df.select("*", F.inline(F.array(rows)))
+    whole = F.try_element_at(F.create_map(*[x for name, found in by_name.items() for x in (F.lit(name), pairs(found))]), folded)
+    tails = [(fold_name(f.names[-1]), f.column, len(f.names)) for f in fields if f.by_ending]
+    ending = [F.when(F.endswith(folded, F.lit(t)) & (folded != t), pairs([(c, r)])).otherwise(pairs([])) for t, c, r in tails]
+    return F.concat(F.coalesce(whole, pairs([])), *ending)
 
 
-def named_value(by_name: Column | str, name: str) -> Column:
-    """The value of a wanted field in the map of ``first_values_by_name``."""
-    return F.try_element_at(by_name, F.lit(fold_name(name)))
+def found_fields(df: DataFrame, nodes: str, keep: Sequence[str], fields: Sequence[Field]) -> DataFrame:
+    """One row per wanted value in a document's nodes: the ``keep`` columns, column, rank, position in the document and value.
+
+    Names nobody wants go here, so what follows is as narrow as the wanted fields are few.
+    """
+    rows = df.select(*keep, F.posexplode(nodes).alias("position", "__node"))
+    rows = rows.select(*keep, "position", F.col("__node.value").alias("value"), F.explode(field_hits(F.col("__node.folded"), fields)).alias("__hit"))
+    return rows.select(*keep, "__hit.column", "__hit.rank", "position", "value")
 
 
 def array_first_or_join(c: Column, first_only: bool = False, sep: str = ", ") -> Column:

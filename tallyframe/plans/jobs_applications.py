@@ -54,9 +54,22 @@ def _application(t):
     return t.conversations.select("conv_id", "turn", F.to_json(doc).alias("doc"))
 
 
-def _wide_columns() -> list[str]:
-    """Columns of the target table that no document holds, by rule."""
-    return [f"AC_Campo{i:03d}" for i in range(1, 121)]
+# The wanted columns of the wide table, with other names their values have in documents.
+APPLICATION_COLUMNS = (
+    "Usuario", "EmailUsuario", "DI_NombreTitular", "DI_FechaNacimientoTitular", "CVD_SalarioPension", "CVD_OtrosIngresos",
+    "REF_NombreReferencia", "DI_BienesTitular", "DI_Referencias", "DI_Ingresos", "DI_FechaCarge", "DI_Correo", "OFC_Externo",
+)
+APPLICATION_ALIASES = {"DI_Correo": "EmailUsuario"}
+
+
+def application_fields() -> list[V.Field]:
+    """A column is looked for under its alias, without its prefix, under its whole name, and last by the ending of a name."""
+    out = []
+    for column in APPLICATION_COLUMNS:
+        bare = C.strip_prefix(column, APPLICATION_PREFIXES)
+        alias = [APPLICATION_ALIASES[column]] if column in APPLICATION_ALIASES else []
+        out.append(V.Field(column, (*alias, column, bare) if bare != column else (*alias, bare), by_ending=column.startswith("OFC_")))
+    return out
 
 
 _APP_GROUP_SQL = """
@@ -74,46 +87,47 @@ WITH {_APP_GROUP_SQL}
 SELECT guid AS "GuidEngine", 'F' || conv_id AS "IdExterno", coalesce(role_known, '') AS "Usuario", coalesce(upper(role_mail || '@x.co'), '') AS "EmailUsuario",
   role0 AS "DI_NombreTitular", CASE WHEN turn_odd IS NULL THEN '' ELSE '1980-05-17' END AS "DI_FechaNacimientoTitular", coalesce(CASE WHEN turn0 = 0 THEN 'NaN' ELSE CAST(turn0 AS VARCHAR) END, '') AS "CVD_SalarioPension",
   'ref ' || role0 AS "REF_NombreReferencia", 'ref ' || role0 || ', otra' AS "DI_Referencias", coalesce(CASE WHEN turn0 = 0 THEN 'NaN' ELSE CAST(turn0 AS VARCHAR) END, '') AS "DI_Ingresos", CASE WHEN turn_goods IS NULL THEN '' ELSE role_goods || ', casa' END AS "DI_BienesTitular",
-  CASE WHEN turn_pos IS NULL THEN '2024-01-15' ELSE '2024-01-10' END AS "DI_FechaCarge", 0 AS filled_extra
+  CASE WHEN turn_pos IS NULL THEN '2024-01-15' ELSE '2024-01-10' END AS "DI_FechaCarge",
+  coalesce(CAST(turn_known * 100 AS VARCHAR), '') AS "CVD_OtrosIngresos", coalesce(role_mail || '@x.co', '') AS "DI_Correo", 'F' || conv_id AS "OFC_Externo"
 FROM f WHERE role_known IS NOT NULL OR role_mail IS NOT NULL
 """)
 def job_application_wide(t):
-    """More than 120 wanted columns from documents of unknown shape, one pass per document."""
+    """The wide application table from documents of unknown shape.
+
+    Only wanted values leave a document, as rows; the first of each application and column is taken by an aggregate of
+    narrow rows, and the columns are put side by side last.
+    """
     opened = V.with_json_nodes(_application(t), "doc")
-    tidy = [X.strip_trailing_zero_decimal, X.blank_empty_list]
-    maps = V.with_first_values(
-        opened.select("turn", "nodes"), "nodes",
-        {
-            "joined": [V.unwrap_value, X.list_text_normalize, *tidy],
-            "firsts": [V.unwrap_value, lambda v: X.list_text_normalize(v, first_only=True), *tidy],
-        },
-    )
     keys = ["GuidEngine", "IdExterno"]
-    wanted = [
-        "Usuario", "EmailUsuario", "DI_NombreTitular", "DI_FechaNacimientoTitular", "CVD_SalarioPension",
-        "REF_NombreReferencia", "DI_BienesTitular", "DI_Referencias", "DI_Ingresos", "DI_FechaCarge", *_wide_columns(),
-    ]
-    flat = maps.select(
-        "turn",
-        *[
-            V.named_value("firsts" if c.startswith("REF_") else "joined", C.strip_prefix(c, APPLICATION_PREFIXES)).alias(c)
-            for c in keys + wanted
-        ],
-    )
-    flat = P.drop_null_key(flat, "GuidEngine").withColumns(
-        {
-            "Usuario": F.trim("Usuario"),
-            "EmailUsuario": F.upper("EmailUsuario"),
-            "DI_FechaNacimientoTitular": D.parse_date(F.substring(D.sentinel_to_null(F.col("DI_FechaNacimientoTitular")), 1, 10)),
-            "DI_FechaCarge": F.substring("DI_FechaCarge", 1, 10),
-        }
+    keyed = opened.select("turn", "nodes", *[V.deep_find(F.col("nodes"), [k], "folded").alias(k) for k in keys])
+    found = V.found_fields(P.drop_null_key(keyed, "GuidEngine"), "nodes", [*keys, "turn"], application_fields())
+    column = F.col("column")
+    value = V.unwrap_value(F.col("value"))
+    found = found.withColumn("value", value)
+    first_only = column.startswith("REF_")
+    found = found.withColumn("value", F.when(first_only, X.list_text_normalize(F.col("value"), first_only=True)).otherwise(X.list_text_normalize(F.col("value"))))
+    for step in (X.strip_trailing_zero_decimal, X.blank_empty_list):
+        found = found.withColumn("value", step(F.col("value")))
+    born = D.parse_date(F.substring(D.sentinel_to_null(F.col("value")), 1, 10)).cast("string")
+    found = found.withColumn(
+        "value",
+        F.when(column == "Usuario", F.trim("value")).when(column == "EmailUsuario", F.upper("value"))
+        .when(column == "DI_FechaNacimientoTitular", born).when(column == "DI_FechaCarge", F.substring("value", 1, 10)).otherwise(F.col("value")),
     )
-    grouped = A.first_values(flat, ["GuidEngine", "IdExterno"], ["turn"], wanted)
-    kept = C.clean_null_rows(grouped, ["Usuario", "EmailUsuario"])
-    text = C.null_to_blank_all(C.ensure_columns(kept, ["GuidEngine", "IdExterno", *wanted]))
-    text = M.fill_blank_date(C.truncate_strings(text, dict.fromkeys(wanted, 256)), "DI_FechaCarge", EVENTS_AS_OF)
-    extra = F.size(F.filter(F.array(*_wide_columns()), lambda v: v != ""))
-    return text.withColumn("filled_extra", extra).drop(*_wide_columns())
+    first = found.filter("value is not null").groupBy(*keys, "column").agg(F.min_by("value", F.struct("turn", "rank", "position")).alias("value"))
+    # At most one entry per wanted column.
+    side = first.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("column", "value"))).alias("by_column"))
+    wide = side.select(*keys, *[F.try_element_at("by_column", F.lit(c)).alias(c) for c in APPLICATION_COLUMNS])
+    kept = C.clean_null_rows(wide, ["Usuario", "EmailUsuario"])
+    return M.fill_blank_date(C.null_to_blank_all(kept), "DI_FechaCarge", EVENTS_AS_OF)
+
+
+# The declared type of application documents.
+APPLICATION_TYPE = """
+Peticion STRUCT<GuidEngine: STRING, IdExterno: STRING, Usuario: STRING, EmailUsuario: STRING, FechaCarge: STRING,
+  titular: STRUCT<NombreTitular: STRING, FechaNacimientoTitular: STRING, ingresos: STRUCT<`SalarioPensión`: STRING, OtrosIngresos: STRING>>,
+  referencias: ARRAY<STRUCT<NombreReferencia: STRING>>, BienesTitular: ARRAY<STRING>, ObservacionAnalista: STRING>
+"""
 
 
 @query(f"""
@@ -122,8 +136,8 @@ SELECT guid AS "GuidEngine", 'F' || conv_id AS "IdExterno", CAST(turn_pos AS DOU
   CASE WHEN turn0 = 0 THEN DATE '2024-01-15' ELSE DATE '2024-01-10' END AS "Fecha Carge" FROM f
 """)
 def job_application_income(t):
-    """Income columns by inferred schema: numbers, default dates, first known value."""
-    docs = S.json_column_infer(_application(t), "doc", "parsed")
+    """Income columns by declared schema: numbers, default dates, first known value."""
+    docs = S.json_parse_schema(_application(t), "doc", APPLICATION_TYPE, "parsed")
     flat = docs.select("turn", "parsed.Peticion.*").select(
         "turn", "GuidEngine", "IdExterno", N.nan_to_null(F.col("titular.ingresos.`SalarioPensión`")).alias("Salario"),
         N.nan_to_null(F.col("titular.ingresos.OtrosIngresos")).alias("Otros Ingresos"),
@@ -139,8 +153,8 @@ SELECT guid AS "GuidEngine", 'F' || conv_id AS "IdExterno", role_known AS "Usuar
 FROM f WHERE turn_pos IS NOT NULL AND (role_known IS NOT NULL OR role_mail IS NOT NULL)
 """)
 def job_application_base(t):
-    """Columns resolved against the inferred schema; what is missing is null."""
-    docs = S.json_column_infer(_application(t), "doc", "parsed").select("turn", "parsed.*")
+    """Columns resolved against the declared schema; what is missing is null."""
+    docs = S.json_parse_schema(_application(t), "doc", APPLICATION_TYPE, "parsed").select("turn", "parsed.*")
     flat = C.select_available(
         docs, ["GuidEngine", "IdExterno", "Usuario", "EmailUsuario", "FechaCarge", "LineaFNG"], keep=["turn"], root="Peticion"
     )
@@ -237,7 +251,7 @@ def job_agreements(t):
         signed.alias("Fecha "),
     )
     raw = t.conversations.select(F.to_json(record).alias("raw"))
-    docs = S.json_column_infer(raw, "raw").select("doc.*")
+    docs = S.json_parse_schema(raw, "raw", "` Documento de Identidad: ` STRING, `Tipo de Acuerdo:` STRING, `Fecha ` STRING").select("doc.*")
     named = C.rename_by_pattern(docs, {("documento", "identidad"): "DocumentoIdentidad"})
     named = named.toDF(*[c.replace(":", "").replace(" ", "") for c in named.columns])
     return named.withColumn("Fecha", D.parse_date(F.col("Fecha"), "dd/MM/yyyy"))

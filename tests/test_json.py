@@ -78,13 +78,12 @@ def test_deep_find_against_brute_force(spark):
                 assert json.loads(r[k]) == want
 
 
-def test_maps_agree_with_deep_find(spark):
+def test_found_fields_agree_with_deep_find(spark):
     opened = V.with_json_nodes(frame(spark), "doc")
-    maps = V.with_first_values(opened, "nodes", {"m": [F.upper]})
-    got = maps.orderBy("i").select(
-        V.named_value("m", "NOMBRE"), F.upper(V.deep_find(F.col("nodes"), ["nombre"], "folded"))
-    ).collect()
-    assert all(a == b for a, b in got)
+    found = V.found_fields(opened, "nodes", ["i"], [V.Field("c", ("NOMBRE",))])
+    first = found.groupBy("i").agg(F.min_by("value", F.struct("rank", "position")).alias("v"))
+    want = opened.select("i", V.deep_find(F.col("nodes"), ["nombre"], "folded").alias("v")).filter("v is not null")
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, want.collect()))
 
 
 def test_opening_is_not_repeated_by_filters(spark):
@@ -155,3 +154,13 @@ def test_first_value_skips_what_is_empty(spark):
     docs = ['{"a":{},"b":[null,[]],"c":[{"x":null},{"y":[[["v"]]]}],"d":"later"}', "[[],{}]", "plain", None, '{"a":null}']
     df = spark.createDataFrame([(d,) for d in docs], "d string")
     assert [r[0] for r in df.select(V.first_scalar(F.col("d"))).collect()] == ["v", None, "plain", None, None]
+
+
+def test_fields_by_alias_name_and_ending(spark):
+    fields = [V.Field("a", ("Alias", "DI_Nombre", "Nombre")), V.Field("b", ("CóDigo",), by_ending=True), V.Field("c", ("missing",))]
+    docs = ['{"nombre":"n","x":{"ALIAS":"al"},"otro_codigo":"e"}', '{"di_nombre":"d","deep":[{"codigo":"whole","mi_codigo":"tail"}]}', '{"z":1}', None]
+    df = spark.createDataFrame(list(enumerate(docs)), "i int, doc string")
+    got = V.found_fields(V.with_json_nodes(df, "doc"), "nodes", ["i"], fields).collect()
+    assert {(r.i, r.column, r["rank"], r.value) for r in got} == {
+        (0, "a", 2, "n"), (0, "a", 0, "al"), (0, "b", 1, "e"), (1, "a", 1, "d"), (1, "b", 0, "whole"), (1, "b", 1, "tail"),
+    }

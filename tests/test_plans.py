@@ -87,3 +87,19 @@ def test_passes_over_a_table(spark, folder, name, table, most):
 def test_facts_are_not_shuffled_on_few_values(spark, folder, name, column):
     plan = plan_of(all_queries()[name](spark, folder))
     assert not re.search(rf"hashpartitioning\({column}#", plan) and "BroadcastHashJoin" in plan
+
+
+@pytest.mark.parametrize("name", ["job_application_income", "job_application_base", "job_agreements", "job_application_wide"])
+def test_building_the_plan_only_reads_the_tables_schema(spark, folder, name):
+    context = spark.sparkContext
+    context.setJobGroup(f"plan of {name}", "")
+    try:
+        all_queries()[name](spark, folder)
+        assert len(context.statusTracker().getJobIdsForGroup(f"plan of {name}")) <= 1  # the footer of one table
+    finally:
+        context.setJobGroup("tests", "")
+
+
+def test_wide_table_fills_every_column(spark, folder):
+    rows = all_queries()["job_application_wide"](spark, folder).collect()
+    assert all(any(r[c] for r in rows) for c in rows[0].asDict())
