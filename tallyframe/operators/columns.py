@@ -129,18 +129,6 @@ def cast_all_string(df: DataFrame) -> DataFrame:
     )
 
 
-def null_columns_to_string(df: DataFrame) -> DataFrame:
-    """Columns of the null type (all values unknown) become text, so they can be written."""
-    return df.select(
-        [
-            F.col(f"`{f.name}`").cast("string").alias(f.name)
-            if isinstance(f.dataType, T.NullType)
-            else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
-    )
-
-
 def truncate_strings(df: DataFrame, lengths: Mapping[str, int]) -> DataFrame:
     """Cut the named text columns to their target length; the others stay whole."""
     out = []

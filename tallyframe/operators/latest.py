@@ -63,11 +63,6 @@ def keep_max_group(df: DataFrame, keys, value: str) -> DataFrame:
     return _keep_extreme(df, keys, value, F.max(value))
 
 
-def keep_min_group(df: DataFrame, keys, value: str) -> DataFrame:
-    """All rows that share the smallest value of their key (ties stay)."""
-    return _keep_extreme(df, keys, value, F.min(value))
-
-
 def keep_group_extremes(
     df: DataFrame, keys, maxima: Sequence[str] = (), minima: Sequence[str] = ()
 ) -> DataFrame:

@@ -14,7 +14,8 @@ from tallyframe.operators import latest as L
 from tallyframe.operators import predicates as P
 from tallyframe.operators import unions as U
 from tallyframe.plans.registry import ORDERS_AS_OF, query
-from tallyframe.sinks.loads import measured
+from tallyframe.session import new_table_path
+from tallyframe.sinks.loads import measured, publish
 
 MONEY_SUM = "CAST(sum(CAST({} AS DECIMAL(18,2))) AS DOUBLE)"
 
@@ -56,6 +57,11 @@ SELECT o_orderkey, o_custkey, opened, o_totalprice AS initial_debt, c_name, zone
 FROM base
 """)
 def job_loan_originations(t):
+    """Loads ``loan_originations`` as a day's snapshot and a dated CSV, and returns the day read back."""
+    return publish(loan_originations(t), new_table_path(t.spark, "loan_originations"), ORDERS_AS_OF)
+
+
+def loan_originations(t):
     """Each side is reduced to one row per operation before it meets the operations."""
     closed_status = F.col("o_orderstatus") == "F"
     ops = U.overlapping_branches(
@@ -129,6 +135,11 @@ FROM moves JOIN orders ON l_orderkey = o_orderkey LEFT JOIN places ON o_custkey
 GROUP BY o_orderkey, o_orderstatus, c_name, zone, region, l_shipdate, o_orderpriority
 """)
 def job_collections_mtd(t):
+    """Loads ``collections_mtd`` as a day's snapshot and a dated CSV, and returns the day read back."""
+    return publish(collections_mtd(t), new_table_path(t.spark, "collections_mtd"), ORDERS_AS_OF)
+
+
+def collections_mtd(t):
     """Month-to-date collections from the history and today's ledger, per credit and day.
 
     The movements are summed per credit and day before the credit's data is looked up.
@@ -289,6 +300,11 @@ FROM kept LEFT JOIN last_pay ON last_pay.k = o_orderkey LEFT JOIN places ON o_cu
 WHERE o_orderstatus = 'F' AND trim(o_orderpriority) <> '' AND o_custkey NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND value > 100)
 """)
 def job_cancelled_loans(t):
+    """Loads ``cancelled_loans`` as a day's snapshot and a dated CSV, and returns the day read back."""
+    return publish(cancelled_loans(t), new_table_path(t.spark, "cancelled_loans"), ORDERS_AS_OF)
+
+
+def cancelled_loans(t):
     """Closed credits that are not refinanced, with the total of their last payment day."""
     rows = t.orders.withColumn("d", F.to_date("o_orderdate"))
     kept = L.keep_group_extremes(rows, ["o_custkey", "d"], maxima=["o_orderkey"], minima=["o_orderstatus"])
@@ -329,6 +345,11 @@ FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey AND o_orderstatus = 'O
 WHERE l_shipdate < TIMESTAMP '{ORDERS_AS_OF}' AND l_returnflag LIKE 'N%'
 """)
 def job_online_arrears(t):
+    """Loads ``online_arrears`` as a day's snapshot and a dated CSV, and returns the day read back."""
+    return publish(online_arrears(t), new_table_path(t.spark, "online_arrears"), ORDERS_AS_OF)
+
+
+def online_arrears(t):
     rows = t.lineitem.filter(P.before_day("l_shipdate", ORDERS_AS_OF) & F.col("l_returnflag").startswith("N"))
     df = J.lookup(
         rows.select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"), t.orders,

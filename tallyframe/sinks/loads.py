@@ -165,6 +165,14 @@ def export_dated_csv(
     return target
 
 
+def publish(df: DataFrame, path: str, as_of: date | str, partition: str = "as_of") -> DataFrame:
+    """Load the snapshot of a day, export it as dated CSV beside it, and return the day's rows read back."""
+    history = append_snapshot(df, f"{path}/table", as_of, partition)
+    own = history.filter(F.col(partition) == F.lit(day(as_of))).drop(partition)
+    export_dated_csv(own, f"{path}/csv", as_of)
+    return own
+
+
 def current_view(df: DataFrame, name: str, date_col: str | None = None, on: date | str | None = None) -> DataFrame:
     """Register a view of one day of a history table, or of the whole table."""
     view = df.filter(F.col(date_col) == F.lit(day(on))) if date_col else df

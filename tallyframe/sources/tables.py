@@ -26,15 +26,6 @@ class Tables:
         return scan_parquet(self.spark, f"{self.folder}/{name}.parquet")
 
 
-def scan_tables(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    """Load tables and register each under its name for SQL."""
-    tables = {}
-    for name, path in paths.items():
-        tables[name] = scan_parquet(spark, path)
-        tables[name].createOrReplaceTempView(name)
-    return tables
-
-
 def scan_query(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
     """Run a SELECT whose ``{name}`` placeholders stand for the given tables."""
     return spark.sql(sql, **tables)

@@ -4,7 +4,8 @@ import re
 
 import pytest
 
-from tallyframe.plans import all_queries
+from tallyframe.plans import all_queries, jobs_credit
+from tallyframe.sources.tables import Tables
 from tests.conftest import plan_of
 
 
@@ -75,11 +76,12 @@ def test_hot_key_is_split_by_adaptive_execution(spark):
 
 
 @pytest.mark.parametrize(("name", "table", "most"), [
-    ("job_loan_originations", "lineitem", 2), ("job_portfolio_aging", "lineitem", 1), ("job_portfolio_aging", "orders", 3),
+    ("loan_originations", "lineitem", 2), ("job_portfolio_aging", "lineitem", 1), ("job_portfolio_aging", "orders", 3),
     ("job_portfolio_history", "lineitem", 2), ("job_vendors", "lineitem", 1),
 ])
 def test_passes_over_a_table(spark, folder, name, table, most):
-    plan = plan_of(all_queries()[name](spark, folder))
+    made = all_queries()[name](spark, folder) if name in all_queries() else getattr(jobs_credit, name)(Tables(spark, folder))
+    plan = plan_of(made)
     assert 1 <= len(re.findall(rf"Location: .*/{table}\.parquet", plan)) <= most
 
 
