@@ -30,7 +30,7 @@ DROPOUT = 0.1
 SEED = 23
 VARIANTS = 2
 #: Words and segments a worker remembers, each and by variant; a forgotten one is worked out again, with the same result.
-REMEMBERED = 250_000
+REMEMBERED = 60_000
 
 
 #: A segment of so many characters at most is merged along with others, a longer one by itself.
@@ -99,6 +99,7 @@ class Pieces:
         self.codes, self.rank, self.whole = (np.array(c, np.int64) for c in zip(*found))
         self.lengths = np.array([len(t) for t in names], np.int64)
         self.written = [self.spell(t) for t in names]
+        self.id_of = np.array([self.ids.get(t, -1) for t in names], np.int64)
         self.of_char = np.full(0x110000, -1, np.int64)
         for t, i in symbol.items():
             if len(t) == 1:
@@ -119,8 +120,9 @@ class Pieces:
         at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
         rank = np.where(self.codes[at] == code, self.rank[at], NEVER)
         if limit:
-            skip = place_hash(keys, start, self.lengths[a], self.lengths[b]) < U64(limit)
-            rank[skip] = NEVER
+            hit = np.flatnonzero(rank < NEVER)
+            skip = place_hash(keys[hit], start[hit], self.lengths[a[hit]], self.lengths[b[hit]]) < U64(limit)
+            rank[hit[skip]] = NEVER
         return rank, self.whole[at]
 
     def merge_many(self, segments: list[str], keys: np.ndarray, limit: int) -> list[bytes]:
@@ -128,51 +130,56 @@ class Pieces:
         lengths = np.array([len(s) for s in segments], np.int64)
         out: list = [None] * len(segments)
         low = 1
-        for high in (8, 16, 32, SHORT):
+        for high in (1, 6, 10, 16, 28, SHORT):
             rows = np.flatnonzero((lengths >= low) & (lengths <= high))
             low = high + 1
             for at in range(0, len(rows), RUN):
                 some = rows[at : at + RUN]
-                for i, symbols in zip(some.tolist(), self._merge_block([segments[i] for i in some], lengths[some], keys[some], limit), strict=True):
-                    out[i] = b"".join(map(self.written.__getitem__, symbols)) if symbols is not None else self.spell(segments[i])
+                own = [segments[i] for i in some]
+                made = self._merge_block(own, lengths[some], keys[some], limit) if high > 1 else map(self.spell, own)
+                for i, x in zip(some.tolist(), made, strict=True):
+                    out[i] = x
         for i in np.flatnonzero(lengths > SHORT):
             out[i] = b"".join(map(self.spell, self._merge_long(segments[i], keys[i : i + 1], limit)))
         return out
 
-    def _merge_block(self, segments: list[str], lengths: np.ndarray, keys: np.ndarray, limit: int) -> list:
-        width = int(lengths.max()) + 1
+    def _merge_block(self, segments: list[str], lengths: np.ndarray, keys: np.ndarray, limit: int) -> list[bytes]:
+        """Segments of more than one character, side by side. A part stays in the place of its first character; ``right``
+        and ``left`` name its neighbours' places, and ``rank`` is the agenda: the rank of each part with its right neighbour."""
+        n, width = len(segments), int(lengths.max()) + 1
         chars = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        symbols = np.full((len(segments), width), -1, np.int64)
-        row, place = np.repeat(np.arange(len(segments)), lengths), np.arange(len(chars)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        symbols[row, place] = self.of_char[chars]
-        lone = symbols[:, 0] < 0  # a character in no piece
-        start = np.broadcast_to(np.arange(width), symbols.shape).copy()
-        rank, whole = self._ranked(symbols[:, :-1], symbols[:, 1:], start[:, :-1], keys[:, None], limit)
-        done: list = [None] * len(segments)
-        alive = np.arange(len(segments))
+        row, place = np.repeat(np.arange(n), lengths), np.arange(len(chars)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        symbols = np.full(n * width, -1, np.int64)
+        symbols[row * width + place] = self.of_char[chars]
+        where = np.tile(np.arange(width), n)
+        right, left = where + 1, where - 1
+        rank, whole = self._ranked(symbols, np.append(symbols[1:], -1), where, np.repeat(keys, width), limit)
+        agenda = rank.reshape(n, width)
+        alive = np.arange(n)
         while True:
-            best = rank.argmin(axis=1)
-            at = np.arange(len(alive))
-            go = rank[at, best] < NEVER
-            for i in np.flatnonzero(~go):
-                done[alive[i]] = symbols[i]
-            if not go.any():
+            best = agenda[alive].argmin(axis=1)
+            alive, best = (x[rank[alive * width + best] < NEVER] for x in (alive, best))
+            if not len(alive):
                 break
-            alive, symbols, start, rank, whole, best = (x[go] for x in (alive, symbols, start, rank, whole, best))
-            at = np.arange(len(alive))
-            symbols[at, best] = whole[at, best]
-            shift = np.arange(width - 1) + (np.arange(width - 1) > best[:, None])
-            symbols[:, :-1], start[:, :-1] = np.take_along_axis(symbols, shift, 1), np.take_along_axis(start, shift, 1)
-            symbols[:, -1] = -1
-            # The pair to the right of the merged one goes, its neighbours move up.
-            shift = np.minimum(np.arange(width - 1) + (np.arange(width - 1) > best[:, None]), width - 2)
-            rank, whole = np.take_along_axis(rank, shift, 1), np.take_along_axis(whole, shift, 1)
-            rank[:, -1] = NEVER
-            for i in (best, best - 1):
-                ok = np.flatnonzero((i >= 0) & (i < width - 1))
-                j = i[ok]
-                rank[ok, j], whole[ok, j] = self._ranked(symbols[ok, j], symbols[ok, j + 1], start[ok, j], keys[alive[ok]], limit)
-        return [None if lone[i] else [k for k in x.tolist() if k >= 0] for i, x in enumerate(done)]
+            base = alive * width
+            i, j = base + best, base + right[base + best]
+            symbols[i], symbols[j], rank[j] = whole[i], -1, NEVER
+            after, before = right[j], left[i]
+            right[i] = after
+            left[(base + after)[after < width]] = best[after < width]
+            # The merged part with its right neighbour (the last place of a row is empty, so there is one), and with its left.
+            rank[i], whole[i] = self._ranked(symbols[i], symbols[base + np.minimum(after, width - 1)], best, keys[alive], limit)
+            ok = before >= 0
+            k = (base + before)[ok]
+            rank[k], whole[k] = self._ranked(symbols[k], symbols[i[ok]], before[ok], keys[alive[ok]], limit)
+        full = symbols >= 0
+        cuts = np.concatenate([[0], np.cumsum(full.reshape(n, width).sum(axis=1))])
+        ids = self.id_of[symbols[full]]
+        packed, cuts4 = ids.astype(np.int32).tobytes(), (cuts * 4).tolist()
+        out = [packed[a:b] for a, b in zip(cuts4[:-1], cuts4[1:], strict=True)]
+        for r in np.unique(np.searchsorted(cuts, np.flatnonzero(ids < 0), side="right") - 1):  # a character without a piece of its own
+            out[r] = b"".join(map(self.written.__getitem__, symbols[full][cuts[r] : cuts[r + 1]].tolist()))
+        return out
 
     def _merge_long(self, segment: str, key: np.ndarray, limit: int) -> list[str]:
         """The same with a heap, for a segment of any length."""
