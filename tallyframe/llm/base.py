@@ -11,15 +11,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyframe.session import new_table_path
 
-#: Texts are worked on in runs of about so many bytes; a longer text is a run of its own.
-RUN_BYTES = 1 << 20
+#: Texts are worked on in runs of about so many bytes, whose arrays fit a processor's cache; a longer text is a run of its own.
+RUN_BYTES = 1 << 17
 
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -177,14 +175,22 @@ def id_filter(ids: DataFrame, column: str) -> np.ndarray:
     return bits
 
 
-def maybe_in(bits: np.ndarray, column: str) -> Column:
-    """Whether an id may be among those of the filter: true for all of them, false for most others and for null."""
-    shared = SparkSession.getActiveSession().sparkContext.broadcast(bits)
+def in_filter(bits: np.ndarray, ids: pa.Array) -> np.ndarray:
+    """Which ids may be among those of the filter: all of them, few others, and no null."""
+    at = _bit_of(ids.fill_null(0).to_numpy(zero_copy_only=False))
+    return ((bits[at >> 3] >> (7 - (at & 7))) & 1).astype(bool) & ids.is_valid().to_numpy(zero_copy_only=False)
 
-    @F.pandas_udf("boolean")
-    def test(ids: pd.Series) -> pd.Series:
-        known = ids.notna().to_numpy()
-        at = _bit_of(ids.fillna(0).to_numpy(np.int64))
-        return pd.Series(known & ((shared.value[at >> 3] >> (7 - (at & 7))) & 1).astype(bool))
 
-    return test(F.col(column))
+def rows_in_filter(df: DataFrame, bits: np.ndarray, column: str, inside: bool = True) -> DataFrame:
+    """Rows whose id may be among those of the filter, or with ``inside`` off those whose id is not.
+
+    One Python worker per task: steps in Python that follow should come after a shuffle.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(bits)
+    at = df.columns.index(column)
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_filter(shared.value, batch.column(at)) == inside))
+
+    return df.mapInArrow(test, df.schema)

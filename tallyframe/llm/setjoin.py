@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.base import U64, id_filter, lower_ascii, maybe_in, mix, owners, settle, text_runs, word_hashes
+from tallyframe.llm.base import U64, id_filter, lower_ascii, mix, owners, rows_in_filter, settle, text_runs, word_hashes
 from tallyframe.llm.components import components
 
 #: Counters of hashed tokens: 2 ** BITS of 4 bytes, whatever the input.
@@ -89,7 +89,7 @@ def token_counts(docs: DataFrame, width: int) -> np.ndarray:
         for batch in batches:
             for _, _, data, offsets in text_runs(batch.column(0)):
                 _, tokens = token_sets(lower_ascii(data), offsets, width)
-                total += np.bincount((tokens >> U64(64 - BITS)).astype(np.int64), minlength=1 << BITS).astype(np.int32)
+                np.add.at(total, (tokens >> U64(64 - BITS)).astype(np.int64), 1)
         if total.any():
             parts = total.reshape(-1, SLICE)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts), dtype=np.int64)), pa.array([p.tobytes() for p in parts])], ["slice", "counts"])
@@ -326,7 +326,7 @@ def linked_classes(docs: DataFrame, sets: DataFrame, width: int, percent: int) -
     grouped = _grouped(classes, shared, percent)
     ways = settle(_routes(grouped, settle(visits(grouped, shared, percent), "visits")), "ways")
     texts = docs.select(F.col("doc_id").alias("rep"), "text")
-    texts = texts.filter(maybe_in(id_filter(ways, "rep"), "rep")).join(ways, "rep").select("rep", "digest", "ways", "text")
+    texts = rows_in_filter(texts, id_filter(ways, "rep"), "rep").join(ways, "rep").select("rep", "digest", "ways", "text")
     seats = texts.mapInArrow(_expand(width), "g long, part long, visitor int, rep long, tokens binary")
     seats = seats.repartition("g", "part").sortWithinPartitions("g", "part", "visitor", "rep")
     return classes, seats.mapInArrow(_meet(percent), "a long, b long")
@@ -359,7 +359,7 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     gone = found.filter("component_id < doc_id").select("doc_id").distinct()
     again = found.groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1 and doc_id is not null").select("doc_id")
     doubtful = id_filter(gone.unionByName(again), "doc_id")
-    safe = docs.filter(~maybe_in(doubtful, "doc_id"))
+    safe = rows_in_filter(docs, doubtful, "doc_id", inside=False)
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    left = docs.filter(maybe_in(doubtful, "doc_id")).join(gone, "doc_id", "left_anti").withColumn("__first", first).filter("__first = 1").drop("__first")
+    left = rows_in_filter(docs, doubtful, "doc_id").join(gone, "doc_id", "left_anti").withColumn("__first", first).filter("__first = 1").drop("__first")
     return safe.unionByName(left.select(*docs.columns))

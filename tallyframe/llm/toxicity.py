@@ -8,14 +8,14 @@ The model is learned in one task from a bounded sample and then scores every who
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallyframe.llm.base import U64, lower_ascii, mix, owners, text_runs, word_hashes
 
@@ -74,7 +74,7 @@ def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             yield pa.RecordBatch.from_arrays([lists, batch.column(1).slice(at, to - at), batch.column(2).slice(at, to - at)], ["features", "label", "draw"])
 
 
-def learn(stream: Iterator[tuple[np.ndarray, float]], how: Ftrl) -> Weights:
+def learn(rows: Iterable[tuple[np.ndarray, float]], how: Ftrl) -> Weights:
     """FTRL-proximal over (places, label) in the order given, ``how.passes`` times."""
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     z0 = n0 = 0.0
@@ -82,9 +82,8 @@ def learn(stream: Iterator[tuple[np.ndarray, float]], how: Ftrl) -> Weights:
     def weight(z, n):
         return np.where(np.abs(z) <= how.l1, 0.0, -(z - np.sign(z) * how.l1) / ((how.beta + np.sqrt(n)) / how.alpha + how.l2))
 
-    seen = list(stream)
     for _ in range(how.passes):
-        for places, label in seen:
+        for places, label in rows:
             zi, ni = z[places], n[places]
             w = weight(zi, ni)
             w0 = -z0 / ((how.beta + n0**0.5) / how.alpha)
@@ -99,6 +98,21 @@ def learn(stream: Iterator[tuple[np.ndarray, float]], how: Ftrl) -> Weights:
     return Weights(places, w[places], float(-z0 / ((how.beta + n0**0.5) / how.alpha)))
 
 
+class _Sample:
+    """Features and labels of the sample in flat arrays, gone over as often as asked."""
+
+    def __init__(self, batches: Iterator[pa.RecordBatch]) -> None:
+        self.parts = []
+        for batch in batches:
+            lists = batch.column(0)
+            self.parts.append((lists.flatten().to_numpy(), np.cumsum([0, *lists.value_lengths().to_pylist()]), batch.column(1).to_pylist()))
+
+    def __iter__(self) -> Iterator[tuple[np.ndarray, float]]:
+        for flat, cuts, labels in self.parts:
+            for i, label in enumerate(labels):
+                yield flat[cuts[i] : cuts[i + 1]], float(label)
+
+
 def train(rows: DataFrame, how: Ftrl = Ftrl()) -> Weights:
     """Learn from ``rows`` (text, label 0 or 1, draw), a bounded sample, in order of ``draw``.
 
@@ -106,19 +120,16 @@ def train(rows: DataFrame, how: Ftrl = Ftrl()) -> Weights:
     ``2 ** BITS`` weights, of which L1 leaves few. Without rows all weights are 0 and every score is 0.5.
     """
 
-    def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def stream():
-            for frame in frames:
-                yield from zip(frame["features"], frame["label"].astype(float), strict=True)
-
-        w = learn(stream(), how)
-        yield pd.DataFrame({"places": [w.places], "weights": [w.values], "constant": [w.constant]})
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = learn(_Sample(batches), how)
+        yield pa.RecordBatch.from_arrays([pa.array([w.places], pa.list_(pa.int64())), pa.array([w.values], pa.list_(pa.float64())), pa.array([w.constant])], ["places", "weights", "constant"])
 
     got = (
         rows.select(F.col("text").cast("string"), F.col("label").cast("int"), F.col("draw").cast("long"))
         .mapInArrow(_feature_batches, "features array<int>, label int, draw long")
         .repartition(1).sortWithinPartitions("draw", "label", "features")
-        .mapInPandas(fit, "places array<long>, weights array<double>, constant double")
+        .select("features", "label")
+        .mapInArrow(fit, "places array<long>, weights array<double>, constant double")
         .first()
     )
     return Weights(np.array(got.places, np.int64), np.array(got.weights), got.constant) if got else Weights(np.zeros(0, np.int64), np.zeros(0), 0.0)
@@ -144,8 +155,6 @@ def scored(docs: DataFrame, weights: Weights, text_col: str = "text", name: str
     score. A column of the same name is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # at most 2 ** BITS pairs
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
     names = [c for c in docs.columns if c != name]
     schema = StructType([docs.schema[c] for c in names] + [StructField(name, DoubleType())])
     text_at = names.index(text_col)

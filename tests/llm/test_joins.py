@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from tallyframe.llm import components, mixing, setjoin, suffixes
-from tallyframe.llm.base import U64, id_filter, maybe_in
+from tallyframe.llm.base import U64, id_filter, rows_in_filter
 
 
 def shingles(text, width):
@@ -109,9 +109,11 @@ def test_components_of_chains_stars_and_loops(spark):
 def test_filter_of_ids_never_misses(spark):
     ids = spark.range(0, 3000, 3).withColumnRenamed("id", "x")
     bits = id_filter(ids, "x")
-    rows = spark.range(0, 6000).withColumnRenamed("id", "x").filter(maybe_in(bits, "x"))
-    assert ids.join(rows, "x", "left_anti").count() == 0 and rows.count() < 1100
-    assert spark.createDataFrame([(None,)], "x long").filter(maybe_in(bits, "x")).count() == 0
+    every = spark.range(0, 6000).withColumnRenamed("id", "x")
+    rows, others = rows_in_filter(every, bits, "x"), rows_in_filter(every, bits, "x", inside=False)
+    assert ids.join(rows, "x", "left_anti").count() == 0 and rows.count() < 1100 and rows.count() + others.count() == 6000
+    none = spark.createDataFrame([(None,)], "x long")
+    assert rows_in_filter(none, bits, "x").count() == 0 and rows_in_filter(none, bits, "x", inside=False).count() == 1
 
 
 def plain_removal(rows, length):
@@ -138,7 +140,7 @@ def small(docs, length, gram, reach):
     own = suffixes.with_key(docs.select("doc_id", "text"))
     starts = suffixes.repeated_starts(own, length, gram, reach)
     types = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    found = suffixes._with_runs(own, starts, lambda rows: rows.select("doc_id", "text", "runs").mapInArrow(suffixes._digest_batches(length), types))
+    found = suffixes._with_runs(own, starts, suffixes._digest_batches(length), types)
     return sorted((r.doc_id or 0, *r[1:]) for r in found.collect())
 
 
