@@ -54,13 +54,14 @@ def hash_validity_merge(
 ) -> DataFrame:
     """History by content: known content only moves its ``valid_to``, new content is added.
 
-    Content that is no longer delivered keeps its last ``valid_to``. One union and one
-    map-side combined aggregate, so repeated rows of one content cost nothing extra.
+    Content that is no longer delivered keeps its last ``valid_to``. A null and an empty text are the same content, as
+    they are for the hash; of both, the empty text is kept, so a hash has one row. One union and one map-side combined
+    aggregate, so repeated rows of one content cost nothing extra.
     """
     columns = [hash_col, *content, valid_from, valid_to]
     rows = target.select(columns).unionByName(staged.select(columns))
-    return rows.groupBy(hash_col, *content).agg(
-        F.min(valid_from).alias(valid_from), F.max(valid_to).alias(valid_to)
+    return rows.groupBy(hash_col).agg(
+        *[F.min(c).alias(c) for c in content], F.min(valid_from).alias(valid_from), F.max(valid_to).alias(valid_to)
     ).select(columns)
 
 

@@ -51,6 +51,12 @@ def test_hash_validity(spark):
     assert t3.count() == t2.count() == t3.select("hash").distinct().count()
 
 
+def test_null_and_empty_are_one_content(spark):
+    day = lambda rows, d: M.stage_validity(table(spark, rows), ["k", "c"], f"2024-01-{d}")
+    got = M.hash_validity_merge(day([(1, None, 0), (2, "b", 0)], 10), day([(1, "", 0)], 11), ["k", "c"]).collect()
+    assert {(r.k, r.c, r.valid_from.day, r.valid_to.day) for r in got} == {(1, "", 9, 10), (2, "b", 9, 9)}
+
+
 def test_version_merge_reads_one_and_writes_another(spark, rows):
     path = new_table_path(spark, "versions")
     K.write_version(table(spark, OLD), path, "2024-01-01")
