@@ -10,30 +10,51 @@ so a lost executor costs tasks of one stage.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import bpe, mixing, setjoin, suffixes, toxicity
-from tallyframe.llm.base import settle, table
+from tallyframe.llm.base import fewer_files, for_long_texts, settle, table
 from tallyframe.llm.queries import MODEL
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _stage(fn: Stage) -> Stage:
+    """A stage runs with batch sizes for long texts, whoever calls it, and gives few and full files."""
+
+    @wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+        for_long_texts(spark)
+        return fewer_files(fn(spark, docs, folder))
+
+    return run_stage
+
+
+@_stage
 def toxic_out(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents scored below 0.5 stay. The model is learned from labelled rows of ``docs``, held-out ones aside."""
     weights = toxicity.model(docs, table(spark, folder, "labels"))
     return toxicity.scored(docs, weights, name="__score").filter("__score < 0.5").drop("__score")
 
 
+@_stage
 def near_copies_out(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Of documents linked by sets of five-word shingles with a similarity of 0.8 or more, the one with the smallest id stays."""
     return setjoin.one_of_each(docs)
 
 
+@_stage
 def repeats_out(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Strings of 400 bytes that start more than once go from every text; documents stay, if need be empty."""
     return suffixes.without_repeats(docs)
 
 
+@_stage
 def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Each document as often as the mix of sources uses it: not at all, once, twice or three times."""
     packed = docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("row"))
@@ -42,6 +63,7 @@ def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return rows.filter("times > 0").select("row", uses).select("row.*")
 
 
+@_stage
 def tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """doc_id, ids, n_tokens and lossless (the decoded ids are the text), one row per row of ``docs``."""
     return bpe.encoded(docs, MODEL, check=True)

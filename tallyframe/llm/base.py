@@ -24,14 +24,34 @@ BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 
 
+#: Rows of a scan's and of Python's batches. Rows of long texts make batches of Spark's usual sizes tens of megabytes, several of
+#: which each task holds.
+TEXT_SETTINGS = {"spark.sql.parquet.columnarReaderBatchSize": "512", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
+
+
+def for_long_texts(spark: SparkSession) -> None:
+    """Set the session's batch sizes for tables of long texts. Results do not depend on them."""
+    for key, value in TEXT_SETTINGS.items():
+        spark.conf.set(key, value)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read again: later steps start from files, not from a lineage."""
+def fewer_files(df: DataFrame) -> DataFrame:
+    """The same rows from an eighth as many tasks as a shuffle has parts. A file costs time and, with a file system that
+    starts processes for each, memory."""
+    return df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8))
+
+
+def settle(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+    """Write to the shared folder and read again: later steps start from files, not from a lineage.
+
+    ``narrow`` tables have few numbers a row and go to few files.
+    """
     path = new_table_path(df.sparkSession, f"llm/{name}")
-    df.write.parquet(path)
+    (fewer_files(df) if narrow else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -233,14 +233,16 @@ class Encoder:
         out: list = [None] * len(texts)
         for v in set(variants):
             own = [i for i, x in enumerate(variants) if x == v]
-            words, spaced = self.words[v], [i for i in own if split[i] and "" in split[i]]
-            plain = [i for i in own if split[i] and "" not in split[i]]
+            words = self.words[v]
+            spaced = [i for i in own if split[i] and ("" in split[i] or MARK in texts[i])]
+            plain = [i for i in own if split[i] and not ("" in split[i] or MARK in texts[i])]
             if len(words) > REMEMBERED:
                 words.clear()
                 self.segments[v].clear()
             new = set().union(*(split[i] for i in plain)).difference(words)
-            cuts = {w: self.pieces.segments(w) for w in new}
-            # A text with spaces in a row, in front or at the end is cut as a whole.
+            find = self.pieces.cut.findall
+            cuts = {w: find(MARK + w) for w in new}
+            # A text with a mark of its own, or with spaces in a row, in front or at the end is cut as a whole.
             whole = {i: self.pieces.segments(texts[i]) for i in spaced}
             known = self.segments[v]
             fresh = list(set().union(*cuts.values(), *whole.values()).difference(known))

@@ -31,7 +31,7 @@ def components(links: DataFrame) -> DataFrame:
     node with very many links costs one row per task in the shuffle of its minimum, and its links can be split.
     Links stay in tables throughout; the driver sees two numbers a round.
     """
-    now = settle(links.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a != b").distinct(), "links")
+    now = settle(links.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a != b").distinct(), "links", narrow=True)
     seen = None
     while True:
         # Bounded: one row. The same links again mean that every node hangs on its root.
@@ -39,4 +39,4 @@ def components(links: DataFrame) -> DataFrame:
         if tuple(state) == seen:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         seen = tuple(state)
-        now = settle(_small_star(_large_star(now)), "links")
+        now = settle(_small_star(_large_star(now)), "links", narrow=True)

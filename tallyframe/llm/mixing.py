@@ -150,8 +150,8 @@ def _cut(rows: DataFrame, wanted: list[tuple[str, int]]) -> dict[str, tuple[int,
 
 
 def _fill(rows: DataFrame, wanted: list[tuple[str, int]], cuts: dict[str, tuple[int, int]], whole: dict[str, int], most: int) -> dict[str, list[int]]:
-    """Places that fill what the cut leaves, which is less than the next document: each time the largest that fits, used
-    once more if that keeps it within ``most`` uses."""
+    """Places that fill what the cut leaves, which is less than the next document: each time the largest that fits, first among
+    those after the cut, then among those before it if another use keeps them within ``most``."""
     left = {p: want - cuts[p][1] for p, want in wanted}
     extra: dict[str, list[int]] = {p: [] for p, _ in wanted}
     for _ in range(FILLS):
@@ -161,7 +161,7 @@ def _fill(rows: DataFrame, wanted: list[tuple[str, int]], cuts: dict[str, tuple[
         now = rows.sparkSession.createDataFrame(room, "pattern string, cut long, left long, more long, had array<long>")
         used = (F.shiftrightunsigned(F.col("place"), 4) < F.col("cut")).cast("long")
         fits = (F.col("size") > 0) & (F.col("size") <= F.col("left")) & (used < F.col("more")) & ~F.array_contains("had", F.col("place"))
-        found = rows.join(F.broadcast(now), "pattern").filter(fits).groupBy("pattern").agg(F.max(F.struct("size", -used, "place")).alias("best"))
+        found = rows.join(F.broadcast(now), "pattern").filter(fits).groupBy("pattern").agg(F.max(F.struct(-used, "size", "place")).alias("best"))
         best = found.collect()  # one row per pattern
         for r in best:
             extra[r.pattern].append(r.best.place)
@@ -211,7 +211,7 @@ def plan(docs: DataFrame, weights=None, most: int = MOST, total: float | None =
 
     Hot patterns cost no more than others: sums are made per task first, and nothing sorts the documents of a pattern.
     """
-    rows = settle(_placed(docs.select("doc_id", "size", "sources")).select("pattern", "size", "place"), "sizes")
+    rows = settle(_placed(docs.select("doc_id", "size", "sources")).select("pattern", "size", "place"), "sizes", narrow=True)
     # Bounded: one row per pattern, checked.
     got = rows.filter("pattern is not null").groupBy("pattern").agg(F.sum("size").alias("size")).limit(MOST_PATTERNS + 1).collect()
     if len(got) > MOST_PATTERNS:

@@ -155,7 +155,7 @@ def _shared_tokens(classes: DataFrame) -> DataFrame:
     """(token, rep, often): prefix tokens that more than one class has."""
     often = F.count("*").over(Window.partitionBy("token"))
     tokens = classes.select("rep", F.explode("prefix").alias("token"))
-    return settle(tokens.withColumn("often", often).filter("often > 1"), "shared_tokens")
+    return settle(tokens.withColumn("often", often).filter("often > 1"), "shared_tokens", narrow=True)
 
 
 def _grouped(classes: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
@@ -169,7 +169,7 @@ def _grouped(classes: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
     able = able.select("rep", "digest", "n", "least", F.col("sig.token").alias("sig"))
     many = able.groupBy("sig").agg(F.count("*").alias("size"))
     block = F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / BLOCK))
-    return settle(able.join(many, "sig").select("rep", "digest", "n", "least", F.xxhash64("sig", block).alias("g")), "groups")
+    return settle(able.join(many, "sig").select("rep", "digest", "n", "least", F.xxhash64("sig", block).alias("g")), "groups", narrow=True)
 
 
 def visits(grouped: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
@@ -321,10 +321,10 @@ def linked_classes(docs: DataFrame, sets: DataFrame, width: int, percent: int) -
     classes = sets.filter("digest is not null and doc_id is not null").groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
     )
-    classes = settle(classes, "classes")
+    classes = settle(classes, "classes", narrow=True)
     shared = _shared_tokens(classes)
     grouped = _grouped(classes, shared, percent)
-    ways = settle(_routes(grouped, settle(visits(grouped, shared, percent), "visits")), "ways")
+    ways = settle(_routes(grouped, settle(visits(grouped, shared, percent), "visits", narrow=True)), "ways", narrow=True)
     texts = docs.select(F.col("doc_id").alias("rep"), "text")
     texts = rows_in_filter(texts, id_filter(ways, "rep"), "rep").join(ways, "rep").select("rep", "digest", "ways", "text")
     seats = texts.mapInArrow(_expand(width), "g long, part long, visitor int, rep long, tokens binary")
@@ -341,7 +341,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     nothing and has a null component. Rows repeated under one id get the same result; other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sets = settle(signed(docs, width, percent), "sets")
+    sets = settle(signed(docs, width, percent), "sets", narrow=True)
     classes, links = linked_classes(docs, sets, width, percent)
     roots = components(links)
     label = classes.select("digest", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("digest", F.coalesce("root", "rep").alias("root"))
@@ -355,7 +355,7 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     Of rows repeated under one id the first by text stays. Rows without id stay. Only rows that may have to go meet the
     result in a shuffle.
     """
-    found = settle(jaccard_components(docs, width, percent), "components")
+    found = settle(jaccard_components(docs, width, percent), "components", narrow=True)
     gone = found.filter("component_id < doc_id").select("doc_id").distinct()
     again = found.groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1 and doc_id is not null").select("doc_id")
     doubtful = id_filter(gone.unionByName(again), "doc_id")
