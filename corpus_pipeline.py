@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import bpe, mixing, setjoin, suffixes, toxicity
-from tallyframe.llm.base import fewer_files, for_long_texts, settle, table
+from tallyframe.llm.base import for_long_texts, settle, table
 from tallyframe.llm.queries import MODEL
 
 
@@ -25,12 +25,12 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def _stage(fn: Stage) -> Stage:
-    """A stage runs with batch sizes for long texts, whoever calls it, and gives few and full files."""
+    """A stage runs with batch sizes for long texts, whoever calls it."""
 
     @wraps(fn)
     def run_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
         for_long_texts(spark)
-        return fewer_files(fn(spark, docs, folder))
+        return fn(spark, docs, folder)
 
     return run_stage
 

@@ -39,19 +39,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def fewer_files(df: DataFrame) -> DataFrame:
-    """The same rows from an eighth as many tasks as a shuffle has parts. A file costs time and, with a file system that
-    starts processes for each, memory."""
-    return df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8))
-
-
 def settle(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     """Write to the shared folder and read again: later steps start from files, not from a lineage.
 
-    ``narrow`` tables have few numbers a row and go to few files.
+    ``narrow`` tables, of few numbers a row after a shuffle, go to a quarter as many files as a shuffle has parts: a file
+    costs time and, with a file system that starts processes for each, memory.
     """
     path = new_table_path(df.sparkSession, f"llm/{name}")
-    (fewer_files(df) if narrow else df).write.parquet(path)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.coalesce(max(1, parts // 4)) if narrow else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
