@@ -149,9 +149,15 @@ def _cut(rows: DataFrame, wanted: list[tuple[str, int]]) -> dict[str, tuple[int,
     return {p: (low, got) for p, _, low, got in state}
 
 
+def _more_uses() -> Column:
+    """Uses of a row beyond the whole ones: once up to the cut, and as often as its place fills what the cut leaves."""
+    filling = F.size(F.filter("had", lambda p: p == F.col("place")))
+    return ((F.shiftrightunsigned(F.col("place"), 4) < F.col("cut")).cast("int") + filling).cast("long")
+
+
 def _fill(rows: DataFrame, wanted: list[tuple[str, int]], cuts: dict[str, tuple[int, int]], whole: dict[str, int], most: int) -> dict[str, list[int]]:
-    """Places that fill what the cut leaves, which is less than the next document: each time the largest that fits, first among
-    those after the cut, then among those before it if another use keeps them within ``most``."""
+    """Places that fill what the cut leaves, which is less than the next document: each time the largest that fits, of those
+    used least, if another use keeps it within ``most``."""
     left = {p: want - cuts[p][1] for p, want in wanted}
     extra: dict[str, list[int]] = {p: [] for p, _ in wanted}
     for _ in range(FILLS):
@@ -159,8 +165,8 @@ def _fill(rows: DataFrame, wanted: list[tuple[str, int]], cuts: dict[str, tuple[
         if not room:
             break
         now = rows.sparkSession.createDataFrame(room, "pattern string, cut long, left long, more long, had array<long>")
-        used = (F.shiftrightunsigned(F.col("place"), 4) < F.col("cut")).cast("long")
-        fits = (F.col("size") > 0) & (F.col("size") <= F.col("left")) & (used < F.col("more")) & ~F.array_contains("had", F.col("place"))
+        used = _more_uses()
+        fits = (F.col("size") > 0) & (F.col("size") <= F.col("left")) & (used < F.col("more"))
         found = rows.join(F.broadcast(now), "pattern").filter(fits).groupBy("pattern").agg(F.max(F.struct(-used, "size", "place")).alias("best"))
         best = found.collect()  # one row per pattern
         for r in best:
@@ -196,8 +202,7 @@ class Plan:
         spark = docs.sparkSession
         rules = spark.createDataFrame(self.rules, "pattern string, whole long, cut long, had array<long>")
         rows = _placed(docs).join(F.broadcast(rules), "pattern", "left")  # at most MOST_PATTERNS rules
-        once = (F.shiftrightunsigned(F.col("place"), 4) < F.col("cut")).cast("long") + F.array_contains("had", F.col("place")).cast("long")
-        times = F.when(F.col("size") > 0, F.col("whole") + once)
+        times = F.when(F.col("size") > 0, F.col("whole") + _more_uses())
         return rows.withColumn("times", F.coalesce(times, F.lit(0))).drop("place", "whole", "cut", "had")
 
 
