@@ -3,8 +3,11 @@
 A text is cut where no piece can cross: before a run of space marks that follows other characters, between characters that
 no piece brings together, and around those in no longer piece. Each segment starts as single characters; the agenda holds its neighbouring pairs that form a
 piece, best score first and the leftmost of equals. A candidate taken from the agenda is skipped for good when a keyed
-hash of the seed, the document's variant, the segment, and the candidate's place says so. So every document is segmented in its own
-way, the same way in every run. Without dropout the ids are those of the library.
+hash of the seed, the document's id, the segment's place in the document, and the candidate's place says so. So every occurrence of
+a word is segmented in its own way, the same way in every run. Without dropout the ids are those of the library.
+
+What is remembered does not depend on the key: for a segment, a tree of its candidates in the order they are taken, each with what
+follows if it is merged and if it is skipped. The hashes of an occurrence lead to a leaf, which holds the ids.
 
 Decoding gives back the text: what has no piece is written as bytes, and the space mark itself, which a
 piece cannot tell from a space, always is.
@@ -15,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,22 +26,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.base import U64, Rolling, mix
+from tallyframe.llm.base import U64, mix
 
 MARK = "▁"
-#: Share of merge candidates that are skipped, the key of the hash, and ways in which a segment may be cut in a corpus.
+#: Share of merge candidates that are skipped, and the key of the hash.
 DROPOUT = 0.1
 SEED = 23
-VARIANTS = 2
-#: Words and segments a worker remembers, each and by variant; a forgotten one is worked out again, with the same result.
-REMEMBERED = 60_000
-
+#: Words, segments, and nodes of their trees that a worker remembers; a forgotten one is worked out again, with the same result.
+REMEMBERED = 300_000
+NODES = 1 << 20
+#: A tree grows where so many occurrences among the texts at hand need it; others are merged by themselves, with the same result.
+OFTEN = 4
 
 #: A segment of so many characters at most is merged along with others, a longer one by itself.
 SHORT = 64
-#: Segments merged together, and texts whose ids are held at a time.
+#: Segments merged together; texts, and characters unless it is one text, whose ids are held at a time.
 RUN = 8192
 ROWS = 512
+CHARS = 1 << 21
 NEVER = np.iinfo(np.int64).max
 #: Stands for a space mark of the text itself while spaces are marks.
 HELD = "\ufffe"
@@ -97,6 +103,7 @@ class Pieces:
         ]
         found.sort()
         self.codes, self.rank, self.whole = (np.array(c, np.int64) for c in zip(*found))
+        self.merges = {code: (rank, whole) for code, rank, whole in found}
         self.lengths = np.array([len(t) for t in names], np.int64)
         self.written = [self.spell(t) for t in names]
         self.id_of = np.array([self.ids.get(t, -1) for t in names], np.int64)
@@ -215,56 +222,169 @@ class Pieces:
         return b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace")[1:]  # without the mark in front
 
 
+class Trees:
+    """Per segment what its merge candidates lead to, as far as occurrences have needed it.
+
+    A node is the next candidate of the agenda (``place``) or a leaf (``leaf``: where in ``ids``); ``child`` holds the nodes that
+    follow a merge (even) and a skip (odd), or -1 for one not worked out yet.
+    """
+
+    def __init__(self, pieces: Pieces) -> None:
+        self.pieces, self.n, self.ids = pieces, 0, []
+        self.place, self.leaf = np.zeros(1024, np.int64), np.zeros(1024, np.int32)
+        self.child, self.above = np.full(2048, -1, np.int32), []
+
+    def _node(self, above: int, place: int, leaf: int) -> int:
+        """A new node; ``above`` is the slot of ``child`` it belongs to, or -1 for a root."""
+        if self.n == len(self.place):
+            self.place, self.leaf = (np.concatenate([x, np.zeros_like(x)]) for x in (self.place, self.leaf))
+            self.child = np.concatenate([self.child, np.full_like(self.child, -1)])
+        at, self.n = self.n, self.n + 1
+        self.place[at], self.leaf[at] = place, leaf
+        self.above.append(above)
+        if above >= 0:
+            self.child[above] = at
+        return at
+
+    def grow(self, segment: str, slot: int) -> int:
+        """Add what follows a slot without a node (-1: the root), up to the leaf where no more is skipped; the first new node."""
+        skips, at = [], slot
+        while at >= 0:
+            skips.append(at & 1)
+            at = self.above[at >> 1]
+        first = -1
+        for place, ids in self._taken(segment, skips[::-1]):
+            if ids is not None:
+                self.ids.append(ids)
+            node = self._node(slot, place, -1 if ids is None else len(self.ids) - 1)
+            first, slot = node if first < 0 else first, 2 * node
+        return first
+
+    def _taken(self, segment: str, skips: list[int]) -> Iterator[tuple[int, bytes | None]]:
+        """The candidates after those that ``skips`` decides, all merged, and at the end the ids."""
+        p, n = self.pieces, len(segment)
+        symbol, lengths = p.of_char[[ord(c) for c in segment]].tolist(), [1] * n
+        right, left = list(range(1, n + 1)), list(range(-1, n - 1))
+        agenda: list[tuple[int, int, int, int, int]] = []
+
+        def offer(i: int) -> None:
+            j = right[i]
+            if j < n and symbol[i] >= 0 and symbol[j] >= 0:
+                found = p.merges.get(symbol[i] * p.many + symbol[j])
+                if found is not None:
+                    heapq.heappush(agenda, (found[0], i, lengths[i], lengths[j], found[1]))
+
+        for i in range(n - 1):
+            offer(i)
+        done = 0
+        while agenda:
+            _, a, la, lb, whole = heapq.heappop(agenda)
+            b = right[a]
+            if lengths[a] != la or b >= n or lengths[b] != lb:
+                continue  # one of the two has been merged meanwhile
+            if done >= len(skips):
+                yield (a << 42) | (la << 21) | lb, None
+            done += 1
+            if done <= len(skips) and skips[done - 1]:
+                continue
+            lengths[a], lengths[b], symbol[a], right[a] = la + lb, 0, whole, right[b]
+            if right[b] < n:
+                left[right[b]] = a
+            if left[a] >= 0:
+                offer(left[a])
+            offer(a)
+        yield 0, b"".join(p.spell(segment[i : i + k]) for i, k in enumerate(lengths) if k)
+
+
 class Encoder:
-    """Encodes texts, remembering words and segments by variant."""
+    """Encodes texts, remembering the segments of words and the trees of segments."""
 
     def __init__(self, pieces: Pieces, dropout: float = DROPOUT, seed: int = SEED) -> None:
         self.pieces, self.seed = pieces, seed
         self.limit = min(int(min(max(dropout, 0.0), 1.0) * 2**64), 2**64 - 1)
-        self.segments: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
-        self.words: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
-
-    def encode(self, text: str, variant: int = 0) -> np.ndarray:
-        return self.encode_many([text], [variant])[0]
-
-    def encode_many(self, texts: list[str], variants: list[int]) -> list[np.ndarray]:
-        """Ids of texts, each in one of ``VARIANTS`` ways to skip candidates. New words of all texts are worked out together."""
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words: dict[str, bytes] = {}
+        self.numbers: dict[str, int] = {}
+        self.segments: list[str] = []
+        self.roots = np.zeros(0, np.int32)
+        self.trees = Trees(self.pieces)
+
+    def encode(self, text: str, doc: int = 0) -> np.ndarray:
+        return self.encode_many([text], [doc])[0]
+
+    def encode_many(self, texts: list[str], docs: list[int]) -> list[np.ndarray]:
+        """Ids of texts, each of the document with the given id. All occurrences of segments in all texts are led to their ids together."""
+        if len(self.words) > REMEMBERED or len(self.segments) > REMEMBERED or self.trees.n > NODES:
+            self._forget()
         split = [None if HELD in t else t.split(" ") if t else [] for t in texts]
-        out: list = [None] * len(texts)
-        for v in set(variants):
-            own = [i for i, x in enumerate(variants) if x == v]
-            words = self.words[v]
-            spaced = [i for i in own if split[i] and ("" in split[i] or MARK in texts[i])]
-            plain = [i for i in own if split[i] and not ("" in split[i] or MARK in texts[i])]
-            if len(words) > REMEMBERED:
-                words.clear()
-                self.segments[v].clear()
-            new = set().union(*(split[i] for i in plain)).difference(words)
-            find = self.pieces.cut.findall
-            cuts = {w: find(MARK + w) for w in new}
-            # A text with a mark of its own, or with spaces in a row, in front or at the end is cut as a whole.
-            whole = {i: self.pieces.segments(texts[i]) for i in spaced}
-            known = self.segments[v]
-            fresh = list(set().union(*cuts.values(), *whole.values()).difference(known))
-            known.update(zip(fresh, self.pieces.merge_many(fresh, self._keys(fresh, v), self.limit), strict=True))
-            for w, parts in cuts.items():
-                words[w] = b"".join(map(known.__getitem__, parts))
-            for i in plain:
-                out[i] = b"".join(map(words.__getitem__, split[i]))
-            for i, parts in whole.items():
-                out[i] = b"".join(map(known.__getitem__, parts))
-        for i, t in enumerate(texts):
-            if split[i] is None:  # HELD stands for the mark inside this module, so such a text is written as bytes
-                out[i] = np.array([self.pieces.ids[MARK], *(self.pieces.byte_ids[b] for b in t.encode("utf-8", "surrogatepass"))], np.int32).tobytes()
-        return [np.frombuffer(x or b"", np.int32) for x in out]
-
-    def _keys(self, segments: list[str], variant: int) -> np.ndarray:
-        """The hash key of each segment under the seed and the variant."""
-        packed = [s.encode("utf-8", "surrogatepass") for s in segments]
-        ends = np.cumsum([len(p) for p in packed], dtype=np.int64) if packed else np.zeros(0, np.int64)
-        starts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if packed else ends
-        own = Rolling(np.frombuffer(b"".join(packed), np.uint8)).of(starts, ends)
-        return mix(own + mix(np.array([self.seed * VARIANTS + variant], np.int64).view(U64)))
+        # A text with a mark of its own, or with spaces in a row, in front or at the end is cut as a whole.
+        whole = {i: self.pieces.segments(texts[i]) for i, x in enumerate(split) if x and ("" in x or MARK in texts[i])}
+        plain = [i for i, x in enumerate(split) if x and i not in whole]
+        find, words = self.pieces.cut.findall, self.words
+        for w in set().union(*(split[i] for i in plain)).difference(words):
+            words[w] = self._numbered(find(MARK + w))
+        own = [b""] * len(texts)
+        for i in plain:
+            own[i] = b"".join(map(words.__getitem__, split[i]))
+        for i, parts in whole.items():
+            own[i] = self._numbered(parts)
+        counts = np.array([len(x) // 4 for x in own], np.int64)
+        at = np.cumsum(counts) - counts
+        place = np.arange(counts.sum()) - np.repeat(at, counts)
+        docs_hash = mix(np.array(docs, np.int64).view(U64) ^ mix(np.array([self.seed], np.int64).view(U64)))
+        keys = mix(np.repeat(docs_hash, counts) + place.astype(U64))
+        which, ids = self._led(np.frombuffer(b"".join(own), np.int32), keys)
+        which = which.tolist()
+        out = []
+        for t, x, a, n in zip(texts, split, at.tolist(), counts.tolist(), strict=True):
+            if x is None:  # HELD stands for the mark inside this module, so such a text is written as bytes
+                out.append(np.array([self.pieces.ids[MARK], *(self.pieces.byte_ids[b] for b in t.encode("utf-8", "surrogatepass"))], np.int32))
+            else:
+                out.append(np.frombuffer(b"".join(map(ids.__getitem__, which[a : a + n])), np.int32))
+        return out
+
+    def _numbered(self, parts: list[str]) -> bytes:
+        """Segments as numbers of 4 bytes, new ones added."""
+        numbers = self.numbers
+        for x in parts:
+            if x not in numbers:
+                numbers[x] = len(numbers)
+                self.segments.append(x)
+        return array("i", map(numbers.__getitem__, parts)).tobytes()
+
+    def _led(self, numbers: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+        """For each occurrence of a segment where in a list its ids are, and the list."""
+        trees, limit = self.trees, U64(self.limit)
+        self.roots = np.concatenate([self.roots, np.full(len(self.segments) - len(self.roots), -1, np.int32)])
+        which = np.full(len(numbers), -1, np.int64)
+        alone = [np.zeros(0, np.int64)]
+        rows, slots, nodes = np.arange(len(numbers)), np.full(len(numbers), -1), self.roots[numbers]
+        while len(rows):
+            missing = nodes < 0
+            if missing.any():
+                lost, slot, own = rows[missing], slots[missing], numbers[rows[missing]]
+                _, first, of, count = np.unique((slot + 1) * len(self.segments) + own, return_index=True, return_inverse=True, return_counts=True)
+                new = np.full(len(first), -1, np.int64)
+                for k in np.flatnonzero(count >= OFTEN):
+                    segment, above = self.segments[own[first[k]]], int(slot[first[k]])
+                    if len(segment) <= SHORT:
+                        new[k] = trees.grow(segment, above)
+                        if above < 0:
+                            self.roots[own[first[k]]] = new[k]
+                nodes = nodes.astype(np.int64)
+                nodes[missing] = new[of]
+                alone.append(lost[new[of] < 0])
+                rows, nodes = rows[nodes >= 0], nodes[nodes >= 0]
+            ends = trees.leaf[nodes]
+            which[rows[ends >= 0]] = ends[ends >= 0]
+            rows, nodes = rows[ends < 0], nodes[ends < 0]
+            slots = 2 * nodes + (mix(keys[rows] ^ trees.place[nodes].view(U64)) < limit)
+            nodes = trees.child[slots]
+        left = np.concatenate(alone)
+        which[left] = len(trees.ids) + np.arange(len(left))
+        return which, trees.ids + self.pieces.merge_many([self.segments[i] for i in numbers[left].tolist()], keys[left], self.limit)
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -279,18 +399,18 @@ def encoder(model: bytes, dropout: float, seed: int) -> Encoder:
     return _ENCODERS[key]
 
 
-def variants_of(doc_ids: pa.Array, seed: int = SEED) -> list[int]:
-    """The variant of each document; a null id counts as 0."""
-    ids = doc_ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    return (mix(ids.view(U64) ^ mix(np.array([seed], np.int64).view(U64))) % U64(VARIANTS)).astype(int).tolist()
-
-
-def _encode_batch(batch: pa.RecordBatch, enc: Encoder, seed: int) -> Iterator[tuple[pa.Array, list[str], list[np.ndarray]]]:
-    """(ids of documents, texts, ids of tokens) of a few rows at a time."""
-    for at in range(0, batch.num_rows, ROWS):
-        own = batch.column(0).slice(at, ROWS)
-        texts = [t or "" for t in batch.column(1).slice(at, ROWS).to_pylist()]
-        yield own, texts, enc.encode_many(texts, variants_of(own, seed))
+def _encode_batch(batch: pa.RecordBatch, enc: Encoder) -> Iterator[tuple[pa.Array, list[str], list[np.ndarray]]]:
+    """(ids of documents, texts, ids of tokens) of a few rows at a time; a null id counts as 0."""
+    all_texts = [t or "" for t in batch.column(1).to_pylist()]
+    at = 0
+    while at < batch.num_rows:
+        to, held = at + 1, len(all_texts[at])
+        while to < min(at + ROWS, batch.num_rows) and held + len(all_texts[to]) <= CHARS:
+            held += len(all_texts[to])
+            to += 1
+        own, texts = batch.column(0).slice(at, to - at), all_texts[at:to]
+        yield own, texts, enc.encode_many(texts, own.fill_null(0).to_pylist())
+        at = to
 
 
 def read_model(path: str) -> bytes:
@@ -303,7 +423,7 @@ def encoded(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: in
     """(doc_id, ids, n_tokens) of every whole text of ``docs`` (doc_id, text); with ``check`` also lossless, telling whether
     the decoded ids are the text.
 
-    A null or empty text has no ids; a null id is allowed and counts as 0 in the choice of variant. Equal rows give equal
+    A null or empty text has no ids; a null id is allowed and counts as 0 in the key of the hash. Equal rows give equal
     ids; other columns are left out.
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_model(model_path))
@@ -312,7 +432,7 @@ def encoded(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(shared.value, dropout, seed)
         for batch in batches:
-            for own, texts, ids in _encode_batch(batch, enc, seed):
+            for own, texts, ids in _encode_batch(batch, enc):
                 columns = [own, pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64())]
                 if check:
                     columns.append(pa.array([enc.pieces.decode(x.tolist()) == t for x, t in zip(ids, texts, strict=True)], pa.bool_()))
@@ -347,7 +467,7 @@ def round_trips(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed
         enc = encoder(shared.value, dropout, seed)
         decode, first, last = enc.pieces.decode, enc.pieces.byte_ids[0], enc.pieces.byte_ids[255]
         for batch in batches:
-            for own, texts, found in _encode_batch(batch, enc, seed):
+            for own, texts, found in _encode_batch(batch, enc):
                 columns = [
                     own, [len(x) for x in found], [int(((x >= first) & (x <= last)).sum()) for x in found],
                     [hashlib.sha256(x.tobytes()).hexdigest() for x in found], [decode(x.tolist()) == t for x, t in zip(found, texts, strict=True)],

@@ -192,3 +192,26 @@ def test_recall_of_the_query_over_shards(spark, folder, monkeypatch):
         got.setdefault(r.query_id, set()).add(r.vec_id)
     want = nearest_by_all(rows, 10, 50)
     assert sum(len(got[q] & {i for _, i in x}) for q, x in want.items()) >= 0.95 * sum(map(len, want.values()))
+
+
+def test_every_occurrence_of_a_word_is_cut_in_its_own_way():
+    def cuts(doc):
+        written = "/".join(LIB.id_to_piece(i) for i in DROPPED.encode(" ".join(["segmentation"] * 300), doc).tolist())
+        return written.split("▁")[1:]
+
+    own = [cuts(doc) for doc in range(20)]
+    assert all(len(set(x)) > 10 for x in own) and len(set(map(tuple, own))) == 20
+    assert len({x[0] for x in own}) > 2  # the same place in documents
+
+
+def test_trees_and_merges_agree():
+    """What the trees lead to is what merging each occurrence by itself under its key gives."""
+    texts = ["therein lies the wordsmith's antidisestablishmentarianism, the the  the", "ho" * 60, "the end of the lies", "日本 é the"] * 40
+    enc = bpe.Encoder(PIECES, 0.3)
+    for _ in range(2):  # with trees to be grown and with grown ones
+        for doc, (text, got) in enumerate(zip(texts, enc.encode_many(texts, range(len(texts))), strict=True)):
+            parts = PIECES.segments(text)
+            base = bpe.mix(np.array([doc], np.int64).view(U64) ^ bpe.mix(np.array([enc.seed], np.int64).view(U64)))
+            keys = bpe.mix(base + np.arange(len(parts)).astype(U64))
+            assert got.tobytes() == b"".join(PIECES.merge_many(parts, keys, enc.limit))
+    assert enc.trees.n > 100
