@@ -4,7 +4,8 @@ Documents may belong to several sources. Those with the same set of sources (a m
 supply: so many words, which may be used up to ``most`` times, each further time at a higher cost. Sources are the
 demands: their quotas. The flow from patterns to sources is solved on the driver over patterns and sources alone;
 it says how many words of each pattern the mix takes. Which documents these are follows from a seeded hash: all
-documents of a pattern are taken so many whole times, and the remainder goes to those that come first in hash order.
+documents of a pattern are taken so many whole times, and the remainder goes to those that come first in hash order. A document
+larger than what is left is skipped, and the next ones that fit are taken, until nothing fits.
 """
 
 from __future__ import annotations
@@ -24,9 +25,9 @@ MOST = 3
 #: Most patterns and most sources that one mix may have; more is an error, not a cut.
 MOST_PATTERNS = 2_000
 SEED = 11
-#: Bits of the hash that one pass over the documents resolves, and passes that fill what is left by single documents.
+#: Bits of the hash that one pass over the documents resolves, of so many.
 STEP = 10
-FILLS = 12
+BITS = 60
 
 
 @dataclass
@@ -122,59 +123,79 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def _cut(rows: DataFrame, wanted: list[tuple[str, int]]) -> dict[str, tuple[int, int]]:
-    """Per pattern the largest place up to which all documents together stay within the words wanted, and those words.
+def _top() -> Column:
+    """A row's place as a number of ``BITS`` bits, never negative."""
+    return F.shiftrightunsigned(F.col("place"), 64 - BITS)
 
-    The range that holds the cut gets narrower by ``STEP`` bits a pass; each pass sums words per pattern and part of its
-    range, before the shuffle. The driver keeps one row per pattern.
+
+def _cut(rows: DataFrame, wanted: list[tuple[str, int, int]]) -> dict[str, tuple[int, int, int | None]]:
+    """Per pattern, with words wanted and a first place: the place up to which all documents from there that are no larger than
+    the words wanted stay within them together, those words, and where to go on behind the document that exceeds (None: nothing does).
+
+    The range that holds the cut gets narrower by ``STEP`` bits a pass, until it holds one document; each pass sums words per
+    pattern and part of its range, before the shuffle. The driver keeps one row per pattern.
     """
-    state = [(p, want, 0, 0) for p, want in wanted]
-    top = F.shiftrightunsigned(F.col("place"), 4)  # 60 bits: never negative
-    for done in range(STEP, 60 + STEP, STEP):
-        width = 1 << (60 - done)
-        now = rows.sparkSession.createDataFrame(state, "pattern string, want long, low long, got long")
-        inside = (top >= F.col("low")) & (top < F.col("low") + width * (1 << STEP))
-        part = F.shiftright(top - F.col("low"), 60 - done)
-        sums = rows.join(F.broadcast(now), "pattern").filter(inside).groupBy("pattern", "want", "low", "got", part.alias("part")).agg(F.sum("size").alias("size"))
+    state = {p: (want, low, 0) for p, want, low in wanted}
+    cuts: dict[str, tuple[int, int, int | None]] = {}
+    for done in range(STEP, BITS + STEP, STEP):
+        if not state:
+            break
+        width = 1 << (BITS - done)
+        now = rows.sparkSession.createDataFrame([(p, *x) for p, x in state.items()], "pattern string, want long, low long, got long")
+        inside = (F.col("size") <= F.col("want")) & (_top() >= F.col("low")) & (_top() < F.col("low") + width * (1 << STEP))
+        part = F.shiftright(_top() - F.col("low"), BITS - done)
+        sums = rows.join(F.broadcast(now), "pattern").filter(inside).groupBy("pattern", "want", "got", part.alias("part"))
         upto = Window.partitionBy("pattern").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        sums = sums.withColumn("after", F.col("got") + F.sum("size").over(upto))  # at most 2 ** STEP rows per pattern
+        # At most 2 ** STEP rows per pattern.
+        sums = sums.agg(F.sum("size").alias("size"), F.count("*").alias("rows")).withColumn("after", F.col("got") + F.sum("size").over(upto))
         over = F.col("after") > F.col("want")
-        found = sums.groupBy("pattern").agg(F.min(F.when(over, F.col("part"))).alias("stop"), F.max(F.when(~over, F.col("after"))).alias("within"))
-        met = {r.pattern: r for r in found.collect()}
-        for i, (p, want, low, got) in enumerate(state):
-            if p in met:
-                # Where nothing exceeds, the whole range is within.
-                stop = met[p].stop if met[p].stop is not None else 1 << STEP
-                state[i] = (p, want, low + stop * width, max(got, met[p].within or 0))
-    return {p: (low, got) for p, _, low, got in state}
+        stop = F.min(F.when(over, F.struct("part", "rows"))).alias("stop")
+        met = {r.pattern: r for r in sums.groupBy("pattern").agg(stop, F.max(F.when(~over, F.col("after"))).alias("within")).collect()}
+        for p, (want, low, got) in list(state.items()):
+            r = met.get(p)
+            got = max(got, (r and r.within) or 0)
+            if r is None or r.stop is None:  # nothing exceeds, so the whole range is within
+                cuts[p] = (1 << BITS, got, None)
+                del state[p]
+                continue
+            low += r.stop.part * width
+            state[p] = (want, low, got)
+            if r.stop.rows == 1 or width == 1:  # one document, larger than what is left; or rows of one place, which go together
+                cuts[p] = (low, got, low if r.stop.rows == 1 else low + 1)
+                del state[p]
+    return cuts
 
 
 def _more_uses() -> Column:
-    """Uses of a row beyond the whole ones: once up to the cut, and as often as its place fills what the cut leaves."""
-    filling = F.size(F.filter("had", lambda p: p == F.col("place")))
-    return ((F.shiftrightunsigned(F.col("place"), 4) < F.col("cut")).cast("int") + filling).cast("long")
-
-
-def _fill(rows: DataFrame, wanted: list[tuple[str, int]], cuts: dict[str, tuple[int, int]], whole: dict[str, int], most: int) -> dict[str, list[int]]:
-    """Places that fill what the cut leaves, which is less than the next document: each time the largest that fits, of those
-    used least, if another use keeps it within ``most``."""
-    left = {p: want - cuts[p][1] for p, want in wanted}
-    extra: dict[str, list[int]] = {p: [] for p, _ in wanted}
-    for _ in range(FILLS):
-        room = [(p, cuts[p][0], left[p], most - whole[p], extra[p]) for p in extra if left[p] > 0]
-        if not room:
-            break
-        now = rows.sparkSession.createDataFrame(room, "pattern string, cut long, left long, more long, had array<long>")
-        used = _more_uses()
-        fits = (F.col("size") > 0) & (F.col("size") <= F.col("left")) & (used < F.col("more"))
-        found = rows.join(F.broadcast(now), "pattern").filter(fits).groupBy("pattern").agg(F.max(F.struct(-used, "size", "place")).alias("best"))
-        best = found.collect()  # one row per pattern
-        for r in best:
-            extra[r.pattern].append(r.best.place)
-            left[r.pattern] -= r.best.size
-        if not best:
-            break
-    return extra
+    """Uses of a row beyond the whole ones: one for each span that holds its place and sizes like its own."""
+    return F.size(F.filter("spans", lambda s: (_top() >= s["low"]) & (_top() < s["high"]) & (F.col("size") <= s["largest"]))).cast("long")
+
+
+def _spans(rows: DataFrame, wanted: dict[str, int], rounds: dict[str, int]) -> dict[str, list[tuple[int, int, int]]]:
+    """Per pattern the spans (first place, place behind the last, largest size) whose documents are used once more.
+
+    A span ends before a document larger than what is left; the next goes on behind it with those no larger, so each ends
+    with less left than the size it stopped at. What is left at the last place is filled from the first one again, as ``rounds`` allow; the
+    documents that still fit have then all been used equally often. In the end no document fits, whatever number of spans that takes.
+    """
+    spans: dict[str, list[tuple[int, int, int]]] = {p: [] for p in wanted}
+    todo = {p: (want, 0, rounds[p], False) for p, want in wanted.items() if want > 0 and rounds[p] > 0}
+    while todo:
+        cuts = _cut(rows, [(p, left, low) for p, (left, low, _, _) in todo.items()])
+        for p, (left, low, more, used) in list(todo.items()):
+            high, got, behind = cuts[p]
+            if got:
+                spans[p].append((low, high, left))
+            left, used = left - got, used or got > 0
+            if behind is None:
+                more, used, ended = more - 1, False, not used
+                behind = 0
+            else:
+                ended = False
+            todo[p] = (left, behind, more, used)
+            if ended or left <= 0 or more <= 0:
+                del todo[p]
+    return spans
 
 
 def pattern(sources: Column) -> Column:
@@ -191,19 +212,19 @@ def _placed(docs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Plan:
-    """What a mix takes. ``rules``: per pattern how many whole times its documents are used, up to which place they are used
-    once more, and which single places are besides. ``quotas``: (source, its words, its target)."""
+    """What a mix takes. ``rules``: per pattern how many whole times its documents are used, and the spans of places and sizes
+    in which they are used once more. ``quotas``: (source, its words, its target)."""
 
-    rules: list[tuple[str, int, int, list[int]]]
+    rules: list[tuple[str, int, list[tuple[int, int, int]]]]
     quotas: list[tuple[str | None, int, float]]
 
     def apply(self, docs: DataFrame) -> DataFrame:
         """``docs`` (doc_id, size, sources and any others) with pattern and times (uses of each row), without a shuffle."""
         spark = docs.sparkSession
-        rules = spark.createDataFrame(self.rules, "pattern string, whole long, cut long, had array<long>")
+        rules = spark.createDataFrame(self.rules, "pattern string, whole long, spans array<struct<low: long, high: long, largest: long>>")
         rows = _placed(docs).join(F.broadcast(rules), "pattern", "left")  # at most MOST_PATTERNS rules
         times = F.when(F.col("size") > 0, F.col("whole") + _more_uses())
-        return rows.withColumn("times", F.coalesce(times, F.lit(0))).drop("place", "whole", "cut", "had")
+        return rows.withColumn("times", F.coalesce(times, F.lit(0))).drop("place", "whole", "spans")
 
 
 def plan(docs: DataFrame, weights=None, most: int = MOST, total: float | None = None) -> Plan:
@@ -229,11 +250,10 @@ def plan(docs: DataFrame, weights=None, most: int = MOST, total: float | None =
     quota = targets(by_source, share, sum(sizes.values()) if total is None else total, most)
     taken = flow(sizes, quota, most)
     whole = {key: min(most, int(taken[key] // n + 1e-9)) if n else 0 for key, n in sizes.items()}
-    wanted = [(text[key], max(0, round(taken[key] - whole[key] * n)) if whole[key] < most else 0) for key, n in sizes.items()]
+    wanted = {text[key]: max(0, round(taken[key] - whole[key] * n)) for key, n in sizes.items()}
     quotas = [(s[1:] if s[0] == "s" else None, by_source[s], quota[s]) for s in sources]
-    cuts = _cut(rows, wanted) if wanted else {}
-    extra = _fill(rows, wanted, cuts, {text[key]: n for key, n in whole.items()}, most)
-    return Plan([(text[key], whole[key], cuts[text[key]][0], extra[text[key]]) for key in sizes], quotas)
+    spans = _spans(rows.filter("size > 0"), wanted, {text[key]: most - n for key, n in whole.items()})
+    return Plan([(text[key], whole[key], spans[text[key]]) for key in sizes], quotas)
 
 
 def mix_documents(docs: DataFrame) -> tuple[DataFrame, Plan]:

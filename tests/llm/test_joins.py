@@ -265,6 +265,29 @@ def test_mix_with_overlaps_and_odd_rows(spark):
     assert none.quotas == [] and none.apply(sized(spark, rows)).filter("times > 0").count() == 0
 
 
+@pytest.mark.parametrize("order", range(3))
+def test_a_long_document_does_not_end_the_mix(spark, monkeypatch, order):
+    monkeypatch.setattr(mixing, "SEED", order)
+    rows = [(0, 100_000, ["a"], "x", 1)] + [(i, 300, ["a"], "x", 1) for i in range(1, 334)]
+    made = mixing.plan(sized(spark, rows), most=1, total=99_000)
+    got = made.apply(sized(spark, rows)).collect()
+    assert sum(r.size * r.times for r in got) == 99_000 and all(r.times in (0, 1) for r in got)
+
+
+@pytest.mark.parametrize("most", [1, 3])
+def test_in_the_end_nothing_fits(spark, most):
+    rng = random.Random(most)
+    rows = [(i, int(rng.paretovariate(0.6) * 20), [rng.choice("abc")], "x", 1) for i in range(400)]
+    rows += [(i, 7, ["a"], "x", 1) for i in (1000, 1000, 1000)]  # rows of one place, used alike
+    made = mixing.plan(sized(spark, rows), most=most, total=sum(r[1] for r in rows) * 0.6)
+    got = made.apply(sized(spark, rows)).collect()
+    for s, _, target in made.quotas:
+        own = [r for r in got if r.sources == [s]]
+        left = round(target) - sum(r.size * r.times for r in own)
+        assert left >= 0 and not any(r.size <= left and r.times < most for r in own if r.doc_id != 1000) and max(r.times for r in own) <= most
+    assert len({r.times for r in got if r.doc_id == 1000}) == 1
+
+
 def test_words(spark):
     texts = [" a  b\tc ", "", None, "é x\x0by"]
     got = [r.w for r in spark.createDataFrame([(t,) for t in texts], "t string").select(mixing.words(mixing.F.col("t")).alias("w")).collect()]
