@@ -42,6 +42,16 @@ def test_any_markup_is_read(page):
     pages.main_text(page, "/html/body")
 
 
+@pytest.mark.parametrize(("before", "after"), [("<body>", ""), ("<body><div class='content with-sidebar'>", "</div>"), ("<body><div id='page-comments-on'>", "</div>"), ("<body><form id='aspnetForm'>", "</form>")])
+def test_no_text_of_the_article_is_left_out(before, after):
+    body = "".join(f"<p>{'a long paragraph of the article ' * 5}{i}</p>" for i in range(6))
+    page = f"{before}<div class='cookie-notice'>We use cookies</div><article><h1>The title</h1><p>A lead</p><div class=body>{body}</div></article><ul><li><a href=x>Linked story</a></ul>{after}"
+    tags, _, slots = pages.measured(page)
+    slot = next(t.rpartition("<")[0] for t in tags if t.endswith("div.body<div"))
+    want = "The title\nA lead\n" + "\n".join(f"{('a long paragraph of the article ' * 5)}{i}" for i in range(6))
+    assert pages.main_text(page, None) == want == pages.main_text(page, slot)
+
+
 def test_extract_by_host(spark):
     made = [(i, f"http://one.example/{i}", PAGE.format(title=f"Title {i}", n=i)) for i in range(30)]
     other = [(100 + i, f"https://u@Two.example:80/{i}", f"<body><div class=x1><p>menu text here</p></div><div class=x2><p>{'long text %d ' % i * 20}</p><p>more {i}</p></div></body>") for i in range(12)]
