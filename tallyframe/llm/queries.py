@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bpe, chat, mixing, pages, repetition, setjoin, suffixes, tokenfiles, toxicity, vamana
+from tallyframe.llm import bpe, chat, mixing, pages, piecetable, repetition, setjoin, suffixes, tokenfiles, toxicity, vamana
 from tallyframe.llm.base import table
 from tallyframe.llm.registry import query
 from tallyframe.session import new_table_path
@@ -97,3 +97,33 @@ def op6_separators(spark: SparkSession, folder: str) -> DataFrame:
     tokenfiles.write_token_files(table(spark, folder, "documents"), path, MODEL)
     counts = tokenfiles.token_counts(tokenfiles.blocks(spark, path))
     return counts.withColumn("file", F.regexp_extract("file", r"part-(\d+)", 1).cast("int"))
+
+
+@query(
+    r"""
+    WITH d AS (
+      SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+    u AS (
+      SELECT doc_id, text, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+             CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+             CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+      FROM d),
+    c AS (
+      SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                  WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+      FROM u),
+    p AS (
+      SELECT doc_id, text, n, form, coalesce(array_to_string(units[1:a], ''), '') AS prefix,
+             coalesce(array_to_string(units[a + 1:b], ''), '') AS middle, coalesce(array_to_string(units[b + 1:], ''), '') AS suffix
+      FROM c)
+    SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                  ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(CASE form WHEN 'plain' THEN text ELSE prefix || middle || suffix END) AS restored_sha256
+    FROM p
+    """
+)
+def op13_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return piecetable.restored(piecetable.filled(table(spark, folder, "documents"))).drop("restored")
