@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bpe, chat, mixing, pages, piecetable, repetition, setjoin, suffixes, tokenfiles, toxicity, vamana
+from tallyframe.llm import bpe, chat, filteraudit, mixing, pages, piecetable, repetition, setjoin, suffixes, tokenfiles, toxicity, vamana
 from tallyframe.llm.base import table
 from tallyframe.llm.registry import query
 from tallyframe.session import new_table_path
@@ -127,3 +127,40 @@ def op6_separators(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op13_middle(spark: SparkSession, folder: str) -> DataFrame:
     return piecetable.restored(piecetable.filled(table(spark, folder, "documents"))).drop("restored")
+
+
+@query(
+    r"""
+    WITH l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+    d AS (
+      SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    m AS (
+      SELECT part, CASE WHEN len(words) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END
+             + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 4 ELSE 0 END
+             + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > first THEN 16 ELSE 0 END AS mask,
+             coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+      FROM d LEFT JOIN l USING (doc_id)),
+    cells AS (SELECT part, mask, count(*) AS docs, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask),
+    f(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+    o AS (
+      SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+      FROM f a, f b, f c, f d, f e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+        AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31),
+    s AS (SELECT filter_order, step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INT) AS before FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+    r AS (
+      SELECT part, filter_order, step, bit,
+             coalesce(sum(docs) FILTER ((mask & (bit | before)) = 0), 0)::BIGINT AS kept,
+             coalesce(sum(docs) FILTER ((mask & bit) <> 0 AND (mask & before) = 0), 0)::BIGINT AS removed,
+             coalesce(sum(docs) FILTER ((mask & bit) <> 0 AND (mask & before) <> 0), 0)::BIGINT AS redundant,
+             coalesce(sum(docs) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+             coalesce(sum(good) FILTER ((mask & bit) <> 0 AND (mask & before) = 0), 0)::BIGINT AS good_lost,
+             coalesce(sum(toxic) FILTER ((mask & bit) <> 0 AND (mask & before) = 0), 0)::BIGINT AS toxic_lost
+      FROM cells, s GROUP BY part, filter_order, step, bit)
+    SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+           (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+    FROM r
+    """
+)
+def op12_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return filteraudit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
