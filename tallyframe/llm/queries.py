@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bpe, chat, filteraudit, mixing, pages, piecetable, repetition, setjoin, suffixes, tokenfiles, toxicity, vamana
+from tallyframe.llm import bpe, bytebpe, chat, filteraudit, mixing, pages, piecetable, repetition, setjoin, suffixes, tokenfiles, toxicity, vamana
 from tallyframe.llm.base import table
 from tallyframe.llm.registry import query
 from tallyframe.session import new_table_path
 
 #: The merge-type model that the queries use.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: The byte-level ranks that the queries use.
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
 @query()
@@ -164,3 +166,8 @@ def op13_middle(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op12_filters(spark: SparkSession, folder: str) -> DataFrame:
     return filteraudit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op11_bytebpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bytebpe.digests(bytebpe.encoded(table(spark, folder, "documents"), RANKS), RANKS)
