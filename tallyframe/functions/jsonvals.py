@@ -1,98 +1,28 @@
 """Values inside JSON text of unknown shape.
 
-One document is opened level by level into an array of nodes that stays in its row:
-no shuffle, no Python worker, and every wanted field reads the same array. Positions
-are kept, so "first match" follows the order of the document.
+One document is parsed once, to a variant, and opened level by level into an array of nodes that stays in its row: no
+shuffle, no Python worker, and every wanted field reads the same array. Positions are kept, so "first match" follows the
+order of the document. ``variants`` has the steps, and what works on documents that are stored parsed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions.text import fold_accents, fold_name
+from tallyframe.functions import variants as W
+from tallyframe.functions.text import fold_name
+from tallyframe.functions.variants import Field, found_fields
 
-NODE = "struct<path:array<int>,key:string,value:string>"
-
-
-def _members(path: Column, text: Column) -> Column:
-    """Child nodes of one JSON object or array, in document order."""
-    in_object = F.transform(
-        F.map_entries(F.from_json(text, "map<string,string>")),
-        lambda e, i: F.struct(
-            F.concat(path, F.array(i)).alias("path"),
-            e["key"].alias("key"),
-            e["value"].alias("value"),
-        ),
-    )
-    in_array = F.transform(
-        F.from_json(text, "array<string>"),
-        lambda v, i: F.struct(
-            F.concat(path, F.array(i)).alias("path"),
-            F.lit(None).cast("string").alias("key"),
-            v.alias("value"),
-        ),
-    )
-    empty = F.array().cast(f"array<{NODE}>")
-    start = F.ltrim(text)
-    return F.coalesce(
-        F.when(start.startswith("{"), in_object).when(start.startswith("["), in_array), empty
-    )
-
-
-def _openings(text: Column) -> Column:
-    """How many objects and lists a text can open, at most: no document is nested deeper."""
-    return F.coalesce(F.length(text) - F.length(F.translate(text, "{[", "")), F.lit(0))
-
-
-def _repeat(start: Column, times: Column, step: Callable[[Column], Column]) -> Column:
-    """``step`` over ``start``, once and then as often as ``times`` says beyond that."""
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(times, F.lit(1))), start, lambda state, _: step(state))
-
-
-def _with(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is worked out once, however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def _is_nested(text: Column) -> Column:
-    return F.ltrim(text).rlike(r"^[{\[]")
-
-
-def _all_nodes(text: Column) -> Column:
-    """The nodes of a document at every depth, level by level: each step opens the level reached so far."""
-
-    def grown(found: Column, new: Column) -> Column:
-        return F.struct(F.concat(found, new).alias("found"), F.filter(new, lambda n: _is_nested(n["value"])).alias("open"))
-
-    def deeper(state: Column) -> Column:
-        below = F.flatten(F.transform(state["open"], lambda n: _members(n["path"], n["value"])))
-        return F.when(F.size(state["open"]) == 0, state).otherwise(_with(below, lambda new: grown(state["found"], new)))
-
-    top = _with(_members(F.array().cast("array<int>"), text), lambda new: grown(F.array().cast(f"array<{NODE}>"), new))
-    return _repeat(top, _openings(text), deeper)["found"]
+__all__ = ["Field", "array_empty_default", "array_first_or_join", "deep_find", "first_scalar", "found_fields", "unwrap_value", "with_json_nodes"]
 
 
 def with_json_nodes(df: DataFrame, json_col: str, out: str = "nodes") -> DataFrame:
-    """Add the named, non-null values at every depth, in match order: what an object holds itself before what its
-    children hold, then by position. Names are folded here, once."""
-    named = F.filter(_all_nodes(F.col(json_col)), lambda n: n["key"].isNotNull() & n["value"].isNotNull())
-    ranked = F.transform(
-        named,
-        lambda n: F.struct(
-            F.slice(n["path"], F.lit(1), F.size(n["path"]) - 1).alias("holder"),
-            F.element_at(n["path"], -1).alias("position"),
-            n["key"].alias("key"),
-            F.lower(fold_accents(n["key"])).alias("folded"),
-            n["value"].alias("value"),
-        ),
-    )
-    # One array per row through a generator: filters on found values stay above it, so
-    # the documents are opened once and not again inside a pushed-down predicate.
-    return df.select("*", F.explode(F.array(F.array_sort(ranked))).alias(out))
+    """Add the named, non-null values at every depth of a JSON text column, as ``variants.with_nodes`` does for a parsed one."""
+    parsed = df.withColumn("__document", W.parsed(F.col(json_col)))
+    return W.with_nodes(parsed, "__document", out).drop("__document")
 
 
 def deep_find(nodes: Column, names: Sequence[str], match: str = "exact") -> Column:
@@ -118,73 +48,27 @@ def deep_find(nodes: Column, names: Sequence[str], match: str = "exact") -> Colu
 
 
 def first_scalar(text: Column) -> Column:
-    """The first plain value inside JSON text at any depth, in document order; plain text is itself.
-
-    A list of what is still to be looked at starts with the text. Each step opens its first entry in place, until
-    that is a plain value or nothing is left.
-    """
-
-    def open_first(waiting: Column) -> Column:
-        first = F.get(waiting, F.lit(0))
-        members = F.coalesce(F.map_values(F.from_json(first, "map<string,string>")), F.from_json(first, "array<string>"), F.array().cast("array<string>"))
-        known = F.filter(members, lambda v: v.isNotNull())
-        rest = F.slice(waiting, F.lit(2), F.greatest(F.size(waiting) - 1, F.lit(0)))
-        return F.when(_is_nested(first), F.concat(known, rest)).otherwise(waiting)
-
-    left = F.get(_repeat(F.array(text), _openings(text), open_first), F.lit(0))
-    return F.when(~_is_nested(left), left)
+    """The first plain value inside JSON text at any depth, in document order; plain text is itself."""
+    inside = W.once(W.parsed(text), lambda d: W.first_plain(d["tree"], d["opens"]))
+    return F.when(W.looks_nested(text), inside).otherwise(text)
 
 
 def unwrap_value(value: Column) -> Column:
     """A found value without nesting: an object becomes its first plain value, a list the
     list of the first plain value of each item; anything else stays."""
     start = F.ltrim(value)
-    items = F.transform(F.from_json(value, "array<string>"), lambda v: first_scalar(v))
+
+    def each(d: Column) -> Column:
+        items = F.try_variant_get(d["tree"], "$", "array<variant>")
+        return F.to_json(F.filter(F.transform(items, lambda v: W.first_plain(v, d["opens"])), lambda v: v.isNotNull()))
+
     return (
         F.when(start.startswith("{"), first_scalar(value))
-        .when(start.startswith("["), F.coalesce(F.to_json(F.filter(items, lambda v: v.isNotNull())), value))
+        .when(start.startswith("["), F.coalesce(W.once(W.parsed(value), each), value))
         .otherwise(value)
     )
 
 
-@dataclass(frozen=True)
-class Field:
-    """A wanted value: the column it fills, names it may have in a document (best first, whole and without regard to
-    case or accents), and whether a name that only ends with the last of them will do."""
-
-    column: str
-    names: tuple[str, ...]
-    by_ending: bool = False
-
-
-def field_hits(folded: Column, fields: Sequence[Field]) -> Column:
-    """The (column, rank) pairs that a folded name stands for. Whole names are looked up in one map, however many
-    fields there are; an ending ranks behind every whole name."""
-    pair = "array<struct<column:string,rank:int>>"
-    by_name: dict[str, list[tuple[str, int]]] = {}
-    for f in fields:
-        for rank, name in enumerate(dict.fromkeys(map(fold_name, f.names))):
-            by_name.setdefault(name, []).append((f.column, rank))
-
-    def pairs(found) -> Column:
-        return F.array(*[F.struct(F.lit(c).alias("column"), F.lit(r).alias("rank")) for c, r in found]).cast(pair)
-
-    whole = F.try_element_at(F.create_map(*[x for name, found in by_name.items() for x in (F.lit(name), pairs(found))]), folded)
-    tails = [(fold_name(f.names[-1]), f.column, len(f.names)) for f in fields if f.by_ending]
-    ending = [F.when(F.endswith(folded, F.lit(t)) & (folded != t), pairs([(c, r)])).otherwise(pairs([])) for t, c, r in tails]
-    return F.concat(F.coalesce(whole, pairs([])), *ending)
-
-
-def found_fields(df: DataFrame, nodes: str, keep: Sequence[str], fields: Sequence[Field]) -> DataFrame:
-    """One row per wanted value in a document's nodes: the ``keep`` columns, column, rank, position in the document and value.
-
-    Names nobody wants go here, so what follows is as narrow as the wanted fields are few.
-    """
-    rows = df.select(*keep, F.posexplode(nodes).alias("position", "__node"))
-    rows = rows.select(*keep, "position", F.col("__node.value").alias("value"), F.explode(field_hits(F.col("__node.folded"), fields)).alias("__hit"))
-    return rows.select(*keep, "__hit.column", "__hit.rank", "position", "value")
-
-
 def array_first_or_join(c: Column, first_only: bool = False, sep: str = ", ") -> Column:
     """First element, or all non-null elements joined; null for an empty array."""
     kept = F.filter(c, lambda x: x.isNotNull())

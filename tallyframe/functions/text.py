@@ -136,25 +136,35 @@ def blank_empty_list(c: Column, blank: str = "") -> Column:
     return F.when(F.trim(c).rlike(r"^\[\s*\]$"), F.lit(blank)).otherwise(c)
 
 
-def _tidy(c: Column) -> Column:
+def tidy(c: Column) -> Column:
+    """Text without brackets, without quotes around it, and with one blank behind each comma."""
     bare = F.regexp_replace(c, r"[\[\]]", "")
     bare = F.regexp_replace(F.trim(bare), r"""^["']+|["']+$""", "")
     return F.regexp_replace(bare, r"\s*,\s*", ", ")
 
 
+def list_like(text: Column) -> Column:
+    return F.trim(text).rlike(r"(?s)^\[.*\]$")
+
+
+def loose_items(text: Column) -> Column:
+    """The items of text that looks like a list but is not JSON: cut at its commas, without quotes around an item."""
+    bare = F.trim(text)
+    inner = F.substring(bare, F.lit(2), F.greatest(F.length(bare) - 2, F.lit(0)))
+    return F.transform(F.split(inner, ","), lambda x: F.regexp_replace(F.trim(x), r"""^["']+|["']+$""", ""))
+
+
+def list_items_normalize(items: Column, first_only: Column | bool = False) -> Column:
+    """The texts of a list as one: ``a, b``, or ``a`` alone; null for a list without any."""
+    known = F.filter(items, lambda x: x.isNotNull() & (F.trim(x) != ""))
+    only = first_only if isinstance(first_only, Column) else F.lit(first_only)
+    return F.get(F.transform(F.array(known), lambda k: F.when(F.size(k) > 0, tidy(F.when(only, F.get(k, F.lit(0))).otherwise(F.array_join(k, ", "))))), F.lit(0))
+
+
 def list_text_normalize(c: Column, first_only: bool = False) -> Column:
     """``["a","b"]`` to ``a, b`` (or ``a``); an empty list to null; plain text is tidied.
 
     Text that looks like a list but is not JSON is split at its commas.
     """
-    text = F.trim(c)
-    listed = text.rlike(r"(?s)^\[.*\]$")
-    loose = F.transform(
-        F.split(F.substring(text, F.lit(2), F.greatest(F.length(text) - 2, F.lit(0))), ","),
-        lambda x: F.regexp_replace(F.trim(x), r"""^["']+|["']+$""", ""),
-    )
-    items = F.coalesce(F.from_json(text, "array<string>"), loose)
-    items = F.filter(items, lambda x: x.isNotNull() & (F.trim(x) != ""))
-    joined = F.get(items, F.lit(0)) if first_only else F.array_join(items, ", ")
-    parsed = F.when(F.size(items) > 0, _tidy(joined))
-    return F.when(listed, parsed).otherwise(_tidy(text))
+    items = F.coalesce(F.from_json(F.trim(c), "array<string>"), loose_items(c))
+    return F.when(list_like(c), list_items_normalize(items, first_only)).otherwise(tidy(F.trim(c)))

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions import jsonvals as V
-from tallyframe.functions import numbers as N
+from tallyframe.functions import variants as W
 from tallyframe.plans.registry import query
+from tallyframe.session import new_table_path
 from tallyframe.sources import payloads as S
 
 
@@ -105,14 +106,20 @@ def application_document():
     )
 
 
-@query("""
+DEEP_FIND_SQL = """
 SELECT conv_id, turn, 'G' || conv_id AS guid, md5(text) AS text_md5, role AS canal, role AS referencia, CAST(turn AS VARCHAR) AS secuencial,
   '1' AS n, CAST(NULL AS VARCHAR) AS nada, role AS segundo FROM conversations
-""")
+"""
+
+
+@query(DEEP_FIND_SQL)
 def json_deep_find(t):
     """Keys anywhere in whole documents, by exact, folded and ending match."""
     docs = t.conversations.select("conv_id", "turn", application_document().alias("doc"))
-    opened = V.with_json_nodes(docs, "doc")
+    return _found(V.with_json_nodes(docs, "doc"))
+
+
+def _found(opened):
     nodes = F.col("nodes")
     return opened.select(
         "conv_id", "turn",
@@ -127,6 +134,16 @@ def json_deep_find(t):
     )
 
 
+@query(DEEP_FIND_SQL)
+def json_documents_stored(t):
+    """The same search over documents that were parsed once and stored as variants: no text is parsed again."""
+    docs = t.conversations.select("conv_id", "turn", application_document().alias("doc"))
+    path = new_table_path(docs.sparkSession, "documents")
+    W.with_document(docs, "doc").drop("doc").write.parquet(path)
+    stored = docs.sparkSession.read.parquet(path)
+    return _found(W.with_nodes(stored, "document"))
+
+
 @query("""
 SELECT c_custkey, '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","c_nationkey":' || c_nationkey || ',"c_mktsegment":"' || c_mktsegment || '"}' AS doc FROM customer
 """)

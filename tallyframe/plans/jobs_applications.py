@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -9,6 +11,7 @@ from tallyframe.functions import dates as D
 from tallyframe.functions import jsonvals as V
 from tallyframe.functions import numbers as N
 from tallyframe.functions import text as X
+from tallyframe.functions import variants as W
 from tallyframe.operators import aggregates as A
 from tallyframe.operators import columns as C
 from tallyframe.operators import latest as L
@@ -23,6 +26,48 @@ from tallyframe.sources.files import scan_csv
 APPLICATION_PREFIXES = ("DI_", "CVD_", "REF_", "AC_", "OFC_")
 
 
+class SectionField(NamedTuple):
+    """A form field of the wide table: its number, column, section of the document, and key there."""
+
+    number: int
+    column: str
+    section: str
+    key: str
+
+
+def section_fields() -> list[SectionField]:
+    """The numbered fields of an application's forms, by rule: data of two persons, three loans, references, a business and obligations.
+
+    Keys differ from columns as they do in documents: without the prefix, in capitals, with an accent, under the whole name, or
+    (obligations) with something before them.
+    """
+    names = [("DI_", f"Dato{n}{person}", person.lower()) for person in ("Titular", "Conyuge") for n in range(1, 46)]
+    names += [("CVD_", f"Cuota{n}Credito{k}", f"vigente{k}") for k in (1, 2, 3) for n in range(1, 9)]
+    names += [("REF_", f"Contacto{n}", "contactos") for n in range(1, 9)]
+    names += [("AC_", f"Negocio{n}Conyuge", "negocio") for n in range(1, 45)]
+    names += [("OFC_", f"Plazo{n}Obligacion", "obligaciones") for n in range(1, 24)]
+    out = []
+    for i, (prefix, bare, section) in enumerate(names):
+        keys = (bare, bare.upper(), bare.replace("o", "\u00f3", 1), prefix + bare)
+        out.append(SectionField(i, prefix + bare, section, f"Linea_{bare}" if prefix == "OFC_" else keys[i % 4]))
+    return out
+
+
+SECTION_FIELDS = section_fields()
+
+
+def _section_value(field: SectionField):
+    """One of five messages has a field."""
+    text = F.concat(F.col("role"), F.lit(f"-{field.number}-"), (F.col("conv_id") % 7).cast("string"))
+    return F.when((F.col("turn") + field.number) % 5 == 0, text)
+
+
+def _section_sql() -> str:
+    return ", ".join(
+        f"""coalesce(arg_min(role, turn) FILTER ((turn + {f.number}) % 5 = 0) || '-{f.number}-' || (conv_id % 7), '') AS "{f.column}\"""" for f in SECTION_FIELDS
+    )
+
+
 def _application(t):
     """One nested document per message; the first message of some talks has gaps."""
     known = F.col("role") != "system"
@@ -40,6 +85,9 @@ def _application(t):
         F.struct(F.concat(F.lit("ref "), F.col("role")).alias("NombreReferencia")),
         F.struct(F.lit("otra").alias("NombreReferencia")),
     )
+    sections = F.struct(
+        *[F.struct(*[_section_value(f).alias(f.key) for f in SECTION_FIELDS if f.section == name]).alias(name) for name in dict.fromkeys(f.section for f in SECTION_FIELDS)]
+    )
     goods = F.when(turn % 3 == 0, F.array().cast("array<string>")).otherwise(F.array("role", F.lit("casa")))
     doc = F.struct(
         F.struct(
@@ -48,7 +96,7 @@ def _application(t):
             F.when(turn > 1, F.concat(F.col("role"), F.lit("@x.co"))).alias("EmailUsuario"),
             F.when(turn > 0, F.lit("2024-01-10T10:00:00")).alias("FechaCarge"),
             applicant.alias("titular"), references.alias("referencias"), goods.alias("BienesTitular"),
-            F.col("text").alias("ObservacionAnalista"),
+            F.col("text").alias("ObservacionAnalista"), sections.alias("formulario"),
         ).alias("Peticion")
     )
     return t.conversations.select("conv_id", "turn", F.to_json(doc).alias("doc"))
@@ -60,12 +108,13 @@ APPLICATION_COLUMNS = (
     "REF_NombreReferencia", "DI_BienesTitular", "DI_Referencias", "DI_Ingresos", "DI_FechaCarge", "DI_Correo", "OFC_Externo",
 )
 APPLICATION_ALIASES = {"DI_Correo": "EmailUsuario"}
+WIDE_COLUMNS = (*APPLICATION_COLUMNS, *(f.column for f in SECTION_FIELDS))
 
 
 def application_fields() -> list[V.Field]:
-    """A column is looked for under its alias, without its prefix, under its whole name, and last by the ending of a name."""
+    """A column is looked for under its alias, under its whole name, without its prefix, and last by the ending of a name."""
     out = []
-    for column in APPLICATION_COLUMNS:
+    for column in WIDE_COLUMNS:
         bare = C.strip_prefix(column, APPLICATION_PREFIXES)
         alias = [APPLICATION_ALIASES[column]] if column in APPLICATION_ALIASES else []
         out.append(V.Field(column, (*alias, column, bare) if bare != column else (*alias, bare), by_ending=column.startswith("OFC_")))
@@ -88,40 +137,56 @@ SELECT guid AS "GuidEngine", 'F' || conv_id AS "IdExterno", coalesce(role_known,
   role0 AS "DI_NombreTitular", CASE WHEN turn_odd IS NULL THEN '' ELSE '1980-05-17' END AS "DI_FechaNacimientoTitular", coalesce(CASE WHEN turn0 = 0 THEN 'NaN' ELSE CAST(turn0 AS VARCHAR) END, '') AS "CVD_SalarioPension",
   'ref ' || role0 AS "REF_NombreReferencia", 'ref ' || role0 || ', otra' AS "DI_Referencias", coalesce(CASE WHEN turn0 = 0 THEN 'NaN' ELSE CAST(turn0 AS VARCHAR) END, '') AS "DI_Ingresos", CASE WHEN turn_goods IS NULL THEN '' ELSE role_goods || ', casa' END AS "DI_BienesTitular",
   CASE WHEN turn_pos IS NULL THEN '2024-01-15' ELSE '2024-01-10' END AS "DI_FechaCarge",
-  coalesce(CAST(turn_known * 100 AS VARCHAR), '') AS "CVD_OtrosIngresos", coalesce(role_mail || '@x.co', '') AS "DI_Correo", 'F' || conv_id AS "OFC_Externo"
-FROM f WHERE role_known IS NOT NULL OR role_mail IS NOT NULL
+  coalesce(CAST(turn_known * 100 AS VARCHAR), '') AS "CVD_OtrosIngresos", coalesce(role_mail || '@x.co', '') AS "DI_Correo", 'F' || conv_id AS "OFC_Externo", g.* EXCLUDE (gid)
+FROM f JOIN (SELECT conv_id AS gid, {_section_sql()} FROM d WHERE guid IS NOT NULL GROUP BY conv_id) g ON f.conv_id = g.gid
+WHERE role_known IS NOT NULL OR role_mail IS NOT NULL
 """)
 def job_application_wide(t):
     """The wide application table from documents of unknown shape.
 
-    Only wanted values leave a document, as rows; the first of each application and column is taken by an aggregate of
-    narrow rows, and the columns are put side by side last.
+    A document is parsed once. Only wanted values leave it, as rows that meet the catalogue of fields; each is put in order
+    by itself, the first of each application and column is taken by an aggregate of narrow rows, and the columns are put side by
+    side last.
     """
-    opened = V.with_json_nodes(_application(t), "doc")
+    opened = W.with_document(_application(t), "doc")
     keys = ["GuidEngine", "IdExterno"]
-    keyed = opened.select("turn", "nodes", *[V.deep_find(F.col("nodes"), [k], "folded").alias(k) for k in keys])
-    found = V.found_fields(P.drop_null_key(keyed, "GuidEngine"), "nodes", [*keys, "turn"], application_fields())
-    column = F.col("column")
-    value = V.unwrap_value(F.col("value"))
-    found = found.withColumn("value", value)
-    first_only = column.startswith("REF_")
-    found = found.withColumn("value", F.when(first_only, X.list_text_normalize(F.col("value"), first_only=True)).otherwise(X.list_text_normalize(F.col("value"))))
-    for step in (X.strip_trailing_zero_decimal, X.blank_empty_list):
-        found = found.withColumn("value", step(F.col("value")))
-    born = D.parse_date(F.substring(D.sentinel_to_null(F.col("value")), 1, 10)).cast("string")
-    found = found.withColumn(
-        "value",
-        F.when(column == "Usuario", F.trim("value")).when(column == "EmailUsuario", F.upper("value"))
-        .when(column == "DI_FechaNacimientoTitular", born).when(column == "DI_FechaCarge", F.substring("value", 1, 10)).otherwise(F.col("value")),
-    )
+    wanted = [*[V.Field(k, (k,)) for k in keys], *application_fields()]
+    names = W.with_nodes(opened, "document", "nodes", W.wants(wanted))
+    keyed = names.select("turn", "nodes", F.col("document.opens").alias("opens"), *[V.deep_find(F.col("nodes"), [k], "folded").alias(k) for k in keys])
+    found = V.found_fields(P.drop_null_key(keyed, "GuidEngine"), "nodes", [*keys, "turn", "opens"], application_fields())
+    # Through a generator, so that the filter on values does not work them out a second time.
+    found = found.withColumn("value", F.explode(F.array(_application_value(F.col("item"), F.col("value"), F.col("opens"), F.col("column")))))
     first = found.filter("value is not null").groupBy(*keys, "column").agg(F.min_by("value", F.struct("turn", "rank", "position")).alias("value"))
     # At most one entry per wanted column.
     side = first.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("column", "value"))).alias("by_column"))
-    wide = side.select(*keys, *[F.try_element_at("by_column", F.lit(c)).alias(c) for c in APPLICATION_COLUMNS])
+    wide = side.select(*keys, *[F.try_element_at("by_column", F.lit(c)).alias(c) for c in WIDE_COLUMNS])
     kept = C.clean_null_rows(wide, ["Usuario", "EmailUsuario"])
     return M.fill_blank_date(C.null_to_blank_all(kept), "DI_FechaCarge", EVENTS_AS_OF)
 
 
+def _application_value(item, text, opens, column):
+    """A found value as the wide table wants it: lists as one text, the first entry alone for references, dates cut and checked.
+
+    Each step is worked out once, whatever the next one does with it.
+    """
+    one = W.once(
+        W.listed(item, opens),
+        lambda items: F.when(items.isNotNull(), X.list_items_normalize(items, column.startswith("REF_"))).otherwise(_plain_application_value(item, text, opens)),
+    )
+    whole = W.once(one, X.strip_trailing_zero_decimal)
+    born = lambda v: D.parse_date(F.substring(D.sentinel_to_null(v), 1, 10)).cast("string")
+    return W.once(
+        whole,
+        lambda v: F.when(column == "Usuario", F.trim(v)).when(column == "EmailUsuario", F.upper(v))
+        .when(column == "DI_FechaNacimientoTitular", born(v)).when(column == "DI_FechaCarge", F.substring(v, 1, 10)).otherwise(v),
+    )
+
+
+def _plain_application_value(item, text, opens):
+    nested = F.startswith(F.ltrim(text), F.lit("{"))
+    return W.once(F.when(nested, W.first_plain(item, opens)).otherwise(text), lambda v: X.tidy(F.trim(v)))
+
+
 # The declared type of application documents.
 APPLICATION_TYPE = """
 Peticion STRUCT<GuidEngine: STRING, IdExterno: STRING, Usuario: STRING, EmailUsuario: STRING, FechaCarge: STRING,

@@ -1,10 +1,13 @@
 import json
+import random
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions import jsonvals as V
 from tallyframe.functions import text as X
+from tallyframe.functions import variants as W
+from tallyframe.session import new_table_path
 from tallyframe.sources import payloads as S
 
 DOCS = [
@@ -164,3 +167,87 @@ def test_fields_by_alias_name_and_ending(spark):
     assert {(r.i, r.column, r["rank"], r.value) for r in got} == {
         (0, "a", 2, "n"), (0, "a", 0, "al"), (0, "b", 1, "e"), (1, "a", 1, "d"), (1, "b", 0, "whole"), (1, "b", 1, "tail"),
     }
+
+
+def random_document(rnd, depth):
+    kind = rnd.random()
+    names = ["b", "a", "Número", "c x", 'q"t', "n", "é\\n", "", "123456789q"]
+    if depth and kind < 0.4:
+        return {k: random_document(rnd, depth - 1) for k in rnd.sample(names, rnd.randrange(5))}
+    if depth and kind < 0.6:
+        return [random_document(rnd, depth - 1) for _ in range(rnd.randrange(4))]
+    if depth and kind < 0.65:
+        return json.dumps(random_document(rnd, 2))
+    return rnd.choice([None, "v", "", " {", "[1,2", 'a"b\\c', "123456789x", 1, 1.5, True, "é日", "line\nbreak", -2.25])
+
+
+def plain_nodes(doc, path=()):
+    """(holder, place, name, value) of every named value, read with the standard library; text inside that is JSON is opened."""
+    if isinstance(doc, str) and doc.lstrip()[:1] in ("{", "["):
+        try:
+            doc = json.loads(doc)
+        except ValueError:
+            return
+    if isinstance(doc, dict):
+        entries = [(k, v) for k, v in doc.items()]
+    elif isinstance(doc, list):
+        entries = [(None, v) for v in doc]
+    else:
+        return
+    for i, (k, v) in enumerate(entries):
+        if v is not None:
+            if k is not None:
+                yield path, i, k, v
+            yield from plain_nodes(v, (*path, i))
+
+
+def test_nodes_in_match_order(spark):
+    """Names, order and values of random documents, stored as variants and read again."""
+    rnd = random.Random(11)
+    docs = [random_document(rnd, 5) for _ in range(400)] + [nested(12, "far")]
+    df = spark.createDataFrame([(i, json.dumps(d, ensure_ascii=i % 2 == 0, indent=i % 3 or None)) for i, d in enumerate(docs)], "i int, doc string")
+    path = new_table_path(spark, "variants")
+    W.with_document(df, "doc").drop("doc").write.parquet(path)
+    got = W.with_nodes(spark.read.parquet(path), "document").select("i", F.transform("nodes", lambda n: F.struct(n["key"], n["value"])).alias("n"))
+    for r in got.collect():
+        doc = json.loads(json.dumps(docs[r.i]))
+        want = sorted(plain_nodes(doc), key=lambda n: n[:2])
+        assert [n[0] for n in r.n] == [k for _, _, k, _ in want], docs[r.i]
+        for (_, text), (*_, v) in zip(r.n, want, strict=True):
+            if isinstance(v, (dict, list)):
+                assert json.loads(text) == v
+            else:
+                assert text == (v if isinstance(v, str) else json.dumps(v))
+
+
+def test_broken_and_doubled_names(spark):
+    texts = ['{"a":1,"a":2}', '{"a":1}"', '{"a', "", None, "7", '{"000000001a":{"000000002b":"000000003{"}}']
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, doc string")
+    got = W.with_nodes(W.with_document(df, "doc"), "document").orderBy("i").select(F.transform("nodes", lambda n: F.struct(n["key"], n["value"])).alias("n"))
+    assert [[tuple(x) for x in r.n] for r in got.collect()] == [
+        [("a", "1"), ("a", "2")], [], [], [], [], [], [("000000001a", '{"000000002b":"000000003{"}'), ("000000002b", "000000003{")],
+    ]
+
+
+def test_a_catalogue_of_any_length_is_one_join(spark):
+    """The plan of a search does not grow with the fields, and every field finds its value."""
+    docs = [json.dumps({"s": {f"Campo{n}": f"v{n}" for n in range(0, 600, 3)}, "Mi_Final7": "e"})]
+    df = W.with_document(spark.createDataFrame([(1, docs[0])], "i int, doc string"), "doc")
+
+    def search(n):
+        fields = [V.Field(f"c{k}", (f"campo{k}",)) for k in range(n)] + [V.Field(f"f{k}", (f"final{k}",), by_ending=True) for k in range(12)]
+        return W.wanted_fields(df, "document", ["i"], fields)
+
+    sizes = [search(n)._jdf.queryExecution().optimizedPlan().toString().count("lambda") for n in (20, 600)]
+    assert sizes[0] == sizes[1]
+    got = {(r.column, r.value) for r in search(600).collect()}
+    assert got == {(f"c{k}", f"v{k}") for k in range(0, 600, 3)} | {("f7", "e")}
+
+
+def test_lists_and_plain_values_of_variants(spark):
+    texts = ['[{"a":1},{"b":[]},["y"]]', '"[a, b]"', '"[\\"p\\",null]"', '{"a":null,"b":{"c":"x"}}', '"plain"', "[]", "3.5", "null"]
+    df = W.with_document(spark.createDataFrame(list(enumerate(texts)), "i int, doc string"), "doc").orderBy("i")
+    tree, opens = F.col("document.tree"), F.col("document.opens")
+    got = df.select(W.listed(tree, opens).alias("l"), W.first_plain(tree, opens).alias("p")).collect()
+    assert [r.l for r in got] == [["1", "y"], ["a", "b"], ["p"], None, None, [], None, None]
+    assert [r.p for r in got] == ["1", None, "p", "x", "plain", None, "3.5", None]
