@@ -12,6 +12,7 @@ from tallyframe.operators import classify as K
 from tallyframe.operators import joins as J
 from tallyframe.operators import latest as L
 from tallyframe.operators import predicates as P
+from tallyframe.operators import sides as S
 from tallyframe.operators import unions as U
 from tallyframe.plans.registry import ORDERS_AS_OF, query
 from tallyframe.session import new_table_path
@@ -171,82 +172,137 @@ def collections_mtd(t):
     )
 
 
+_LINE_ORDER = "(l_shipdate, l_partkey, l_suppkey, l_extendedprice, l_tax)"
+_AGING_SQL = {
+    # Per credit, from its lines: balances by kind, rates, days, instalments and the guarantee.
+    "credit": f"""SELECT l_orderkey AS k, arg_max(l_discount, (l_shipdate, l_partkey, l_suppkey, l_extendedprice)) FILTER (l_returnflag = 'N') AS event_rate,
+  arg_max(l_tax, {_LINE_ORDER}) FILTER (l_returnflag = 'R') AS arrears_rate,
+  {', '.join(f"arg_max(l_extendedprice, {_LINE_ORDER}) FILTER (l_linenumber = {n}{more}) AS {name}" for name, n, more in (('interest', 1, ''), ('arrears', 2, ''), ('commission', 3, ''), ('insurance', 4, ' AND l_quantity >= 10')))},
+  CAST(max(l_shipdate) FILTER (l_shipdate <= TIMESTAMP '{ORDERS_AS_OF}') AS DATE) AS last_payment, CAST(min(l_shipdate) FILTER (l_shipdate > TIMESTAMP '{ORDERS_AS_OF}') AS DATE) AS next_due,
+  count(*) AS instalments, arg_max(l_partkey, (l_shipdate, l_partkey)) FILTER (l_linenumber >= 5) AS guarantee, coalesce(bool_or(l_quantity >= 40), false) AS guaranteed
+  FROM lineitem GROUP BY l_orderkey""",
+    # Per customer, from all its credits: three addresses, scores, the first credit, how many there are.
+    "client": """SELECT o_custkey AS k, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) FILTER (o_orderstatus = 'F') AS home,
+  arg_max(o_orderpriority, (o_orderdate, o_orderkey)) FILTER (o_orderstatus = 'P') AS business, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) FILTER (o_orderstatus = 'O') AS work,
+  max(o_totalprice) AS score, max(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice ELSE 0 END) AS score_urgent, CAST(min(o_orderdate) AS DATE) AS first_credit, count(*) AS credits
+  FROM orders GROUP BY o_custkey""",
+    "kinds": "SELECT user_id, event_type, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM events GROUP BY 1, 2",
+    "talks": """SELECT user_id, string_agg(event_type || '-' || n, ', ' ORDER BY event_type) AS contacts, arg_min(event_type, (first_ts, event_type)) AS first_adviser,
+  arg_max(event_type, (last_ts, event_type)) AS last_adviser FROM kinds GROUP BY user_id""",
+    "people": "SELECT c_custkey, c_name, zone, region, client.* EXCLUDE (k), talks.* EXCLUDE (user_id) FROM places LEFT JOIN client ON client.k = c_custkey LEFT JOIN talks ON user_id = c_custkey",
+}
+#: Segments by the wage of the credit's year: name, from and up to so many wages, condition in SQL.
+AGING_SEGMENTS = (("popular", 0, 2, "O"), ("productive", 2, 9, None), ("expanded", 9, 16, None), ("small_business", 16, 25, None), ("large", 25, 10**9, None))
+
+
+def _segment_sql(name, low, high, status):
+    own = f"o_orderstatus = '{status}' AND o_totalprice >= w * {low}" if status else f"o_totalprice > w * {low}"
+    return f"CASE WHEN {own} AND o_totalprice <= w * {high} THEN 1 ELSE 0 END AS {name}"
+
+
 @query(f"""
-WITH {_PLACES_SQL},
+WITH {_PLACES_SQL}, {', '.join(f'{name} AS ({sql})' for name, sql in _AGING_SQL.items())},
 params AS (SELECT CAST(max(o_orderdate) AS DATE) AS bank_day FROM orders),
-wage AS (SELECT CAST(date_trunc('year', o_orderdate) AS DATE) AS y, min(o_totalprice) + 90000 AS w FROM orders GROUP BY 1),
-rate AS (SELECT l_orderkey AS k, arg_max(l_discount, (l_shipdate, l_partkey, l_suppkey, l_extendedprice)) AS event_rate FROM lineitem WHERE l_returnflag = 'N' GROUP BY l_orderkey),
-addr AS (SELECT o_custkey AS k, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS home FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey),
-biz AS (SELECT o_custkey AS k, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS business FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey),
-phones AS (SELECT user_id, string_agg(event_type || '-' || n, ', ' ORDER BY event_type) AS contacts FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY user_id),
-score AS (SELECT o_custkey AS k, max(o_totalprice) AS score, max(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice ELSE 0 END) AS score_urgent FROM orders GROUP BY o_custkey),
+wage AS (SELECT CAST(date_trunc('year', o_orderdate) AS DATE) AS y, min(o_totalprice) + 9000 AS w FROM orders GROUP BY 1),
 base AS (SELECT *, date_diff('day', CAST(o_orderdate AS DATE), DATE '{ORDERS_AS_OF}') AS dpd FROM orders WHERE o_orderstatus <> 'F' AND o_orderdate <= TIMESTAMP '{ORDERS_AS_OF}')
-SELECT o_orderkey, c_name, zone, region, date_diff('day', CAST(o_orderdate AS DATE), bank_day) AS seniority,
+SELECT o_orderkey, p.c_name, p.zone, p.region, date_diff('day', CAST(o_orderdate AS DATE), bank_day) AS seniority,
  {', '.join(f"CASE WHEN dpd {'>= ' + str(lo) if hi is None else f'BETWEEN {lo} AND {hi}'} THEN o_totalprice ELSE 0 END AS {name}" for name, lo, hi in K.AGING_BANDS)},
- CASE WHEN event_rate IS NULL OR event_rate = 0 THEN 0.5 ELSE event_rate END AS rate, coalesce(home, business) AS address,
- coalesce(contacts, '**SIN TELEFONO**') AS contacts, score, score_urgent,
- CASE WHEN o_orderstatus = 'O' AND o_totalprice >= w * 0 AND o_totalprice <= w * 2 THEN 1 ELSE 0 END AS popular,
- CASE WHEN o_totalprice > w * 2 AND o_totalprice <= w * 9 THEN 1 ELSE 0 END AS productive
-FROM base CROSS JOIN params LEFT JOIN places ON o_custkey = c_custkey LEFT JOIN wage ON y = CAST(date_trunc('year', o_orderdate) AS DATE)
-LEFT JOIN rate ON rate.k = o_orderkey LEFT JOIN addr ON addr.k = o_custkey LEFT JOIN biz ON biz.k = o_custkey
-LEFT JOIN phones ON user_id = o_custkey LEFT JOIN score ON score.k = o_custkey
+ CASE WHEN event_rate IS NULL OR event_rate = 0 THEN 0.5 ELSE event_rate END AS rate, arrears_rate, interest, arrears, commission, insurance, last_payment, next_due,
+ coalesce(instalments, 0) AS instalments, guarantee, coalesce(guaranteed, false) AS guaranteed,
+ coalesce(p.home, p.business, p.work) AS address, coalesce(p.business, p.work) AS business_address, coalesce(p.contacts, '**SIN TELEFONO**') AS contacts, p.score, p.score_urgent,
+ p.first_credit, coalesce(p.credits, 0) AS credits, p.first_adviser, p.last_adviser, q.c_name AS codebtor, q.zone AS codebtor_zone, coalesce(q.business, q.home) AS codebtor_address,
+ {', '.join(_segment_sql(*s) for s in AGING_SEGMENTS)}
+FROM base CROSS JOIN params LEFT JOIN wage ON y = CAST(date_trunc('year', o_orderdate) AS DATE) LEFT JOIN credit ON credit.k = o_orderkey
+LEFT JOIN people p ON p.c_custkey = o_custkey LEFT JOIN people q ON q.c_custkey = o_custkey + 1
 """)
 def job_portfolio_aging(t):
     """The daily collections table: one row per open credit with all that is known about it.
 
-    Everything known per customer is put on one customer row first, so the credits meet
-    the customers in a single join however many side tables there are.
+    What is known per credit and per customer is declared as sides, so each table is read once per key. Everything known
+    per customer is put on one customer row first and written, since a credit meets two customers: its debtor and its co-debtor.
     """
     as_of = F.lit(ORDERS_AS_OF).cast("timestamp_ntz")
     credits = t.orders.filter((F.col("o_orderstatus") != "F") & (F.col("o_orderdate") <= as_of))
     years = t.orders.groupBy(D.year_start(F.col("o_orderdate")).alias("y")).agg(
-        (F.min("o_totalprice") + 90000).alias("w"), F.to_date(F.max("o_orderdate")).alias("last_day")
+        (F.min("o_totalprice") + 9000).alias("w"), F.to_date(F.max("o_orderdate")).alias("last_day")
     )
     wage = measured(years)
     params = wage.agg(F.max("last_day").alias("bank_day"))
-    rate = J.latest_event(
-        t.lineitem.select("l_orderkey", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_returnflag"),
-        "l_orderkey", F.col("l_returnflag") == "N", ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"],
-    )
-    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-    urgent = F.when(priority == "1-URGENT", F.col("o_totalprice")).otherwise(0.0)
-    contacts = J.latest_values(
-        t.orders, "o_custkey", ["o_orderdate", "o_orderkey"],
-        {"home": (priority, status == "F"), "business": (priority, status == "P")},
-        {"score": F.max("o_totalprice"), "score_urgent": F.max(urgent)},
-    )
-    person = customer_places(t).select("c_custkey", "c_name", "zone", "region")
-    person = J.lookup(person, contacts, {"c_custkey": "o_custkey"})
-    kinds = t.events.groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
-    phones = A.labelled_list(kinds, ["user_id"], "event_type", F.col("n"), "contacts")
-    person = J.lookup(person, phones, {"c_custkey": "user_id"})
+    person = measured(_aging_people(t))
     df = J.with_parameters(credits, params).withColumn("y", D.year_start(F.col("o_orderdate")))
+    df = J.lookup(S.gather(df, {"lines": t.lineitem}, _credit_sides(as_of)), wage, "y", ["w"])
+    codebtor = {"c_name": "codebtor", "zone": "codebtor_zone", "codebtor_address": "codebtor_address"}
+    second = person.withColumn("codebtor_address", F.coalesce("business", "home")).withColumn("c_custkey", F.col("c_custkey") - 1)
     df = J.star_denormalize(
         df,
         [
-            J.Dimension(wage, "y", ["w"]),
-            J.Dimension(rate, {"o_orderkey": "l_orderkey"}, {"l_discount": "event_rate"}),
             J.Dimension(
                 person, {"o_custkey": "c_custkey"},
-                ["c_name", "zone", "region", "home", "business", "score", "score_urgent", "contacts"],
+                ["c_name", "zone", "region", "home", "business", "work", "score", "score_urgent", "first_credit", "credits", "contacts", "first_adviser", "last_adviser"],
             ),
+            J.Dimension(second, {"o_custkey": "c_custkey"}, codebtor),
         ],
     )
     amount = F.col("o_totalprice")
     dpd = D.days_between(F.col("o_orderdate"), D.run_date(ORDERS_AS_OF))
     segments = [
-        K.Segment("popular", F.lit(0), F.lit(2), when=F.col("o_orderstatus") == "O"),
-        K.Segment("productive", F.lit(2), F.lit(9), low_open=True),
+        K.Segment(name, F.lit(low), F.lit(high), low_open=status is None, when=None if status is None else F.col("o_orderstatus") == status)
+        for name, low, high, status in AGING_SEGMENTS
     ]
     return df.select(
         "o_orderkey", "c_name", "zone", "region",
         D.days_between(F.col("o_orderdate"), F.col("bank_day")).alias("seniority"), *K.aging_columns(dpd, amount),
-        N.fallback_if_zero(F.col("event_rate"), F.lit(0.5)).alias("rate"), F.coalesce("home", "business").alias("address"),
-        N.null_default(F.col("contacts"), "**SIN TELEFONO**").alias("contacts"), "score", "score_urgent",
+        N.fallback_if_zero(F.col("event_rate"), F.lit(0.5)).alias("rate"), "arrears_rate", "interest", "arrears", "commission", "insurance",
+        F.to_date("last_payment").alias("last_payment"), F.to_date("next_due").alias("next_due"), "instalments", "guarantee", "guaranteed",
+        F.coalesce("home", "business", "work").alias("address"), F.coalesce("business", "work").alias("business_address"),
+        N.null_default(F.col("contacts"), "**SIN TELEFONO**").alias("contacts"), "score", "score_urgent", "first_credit",
+        F.coalesce("credits", F.lit(0).cast("long")).alias("credits"), "first_adviser", "last_adviser", "codebtor", "codebtor_zone", "codebtor_address",
         *K.threshold_segments(amount, F.col("w"), segments),
     )
 
 
+def _credit_sides(as_of) -> list[S.Side]:
+    """What the lines of a credit say about it."""
+    on, line = {"o_orderkey": "l_orderkey"}, F.col("l_linenumber")
+    newest = [F.col(c) for c in ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")]
+    day, flag, quantity = F.col("l_shipdate"), F.col("l_returnflag"), F.col("l_quantity")
+
+    def balance(name: str, where) -> S.Side:
+        return S.Side("lines", on, S.Pick({name: F.col("l_extendedprice")}, [*newest, F.col("l_tax")]), where)
+
+    return [
+        balance("interest", line == 1), balance("arrears", line == 2), balance("commission", line == 3), balance("insurance", (line == 4) & (quantity >= 10)),
+        S.Side("lines", on, S.Pick({"event_rate": F.col("l_discount")}, newest), flag == "N"),
+        S.Side("lines", on, S.Pick({"arrears_rate": F.col("l_tax")}, [*newest, F.col("l_tax")]), flag == "R"),
+        S.Side("lines", on, S.Value("last_payment", "max", day), day <= as_of), S.Side("lines", on, S.Value("next_due", "min", day), day > as_of),
+        S.Side("lines", on, S.Value("instalments", "count")), S.Side("lines", on, S.Value("guaranteed", "exists"), quantity >= 40),
+        S.Side("lines", on, S.Pick({"guarantee": F.col("l_partkey")}, [day, F.col("l_partkey")]), line >= 5),
+    ]
+
+
+def _aging_people(t):
+    """One row per customer: its place, and what its credits and events say about it."""
+    credit, event = {"c_custkey": "o_custkey"}, {"c_custkey": "user_id"}
+    status, price = F.col("o_orderstatus"), F.col("o_totalprice")
+
+    def address(name: str, of: str) -> S.Side:
+        return S.Side("credits", credit, S.Pick({name: F.col("o_orderpriority")}, [F.col("o_orderdate"), F.col("o_orderkey")]), status == of)
+
+    urgent = F.when(F.col("o_orderpriority") == "1-URGENT", price).otherwise(0.0)
+    kinds = t.events.groupBy("user_id", "event_type").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    kind = F.col("event_type")
+    sides = [
+        address("home", "F"), address("business", "P"), address("work", "O"),
+        S.Side("credits", credit, S.Value("score", "max", price)), S.Side("credits", credit, S.Value("score_urgent", "max", urgent)),
+        S.Side("credits", credit, S.Value("first_credit", "min", F.to_date("o_orderdate"))), S.Side("credits", credit, S.Value("credits", "count")),
+        S.Side("kinds", event, S.Listing("contacts", F.concat(kind, F.lit("-"), F.col("n").cast("string")))),
+        S.Side("kinds", event, S.Pick({"first_adviser": kind}, [F.col("first_ts"), kind], oldest=True)),
+        S.Side("kinds", event, S.Pick({"last_adviser": kind}, [F.col("last_ts"), kind])),
+    ]
+    places = customer_places(t).select("c_custkey", "c_name", "zone", "region")
+    return S.gather(places, {"credits": t.orders, "kinds": kinds}, sides)
+
+
 @query(f"""
 WITH before AS (SELECT l_orderkey, l_suppkey, {MONEY_SUM.format('l_extendedprice')} AS balance_before, count(*) AS rows_before FROM lineitem WHERE l_shipdate < TIMESTAMP '2000-06-01' GROUP BY 1, 2),
 now AS (SELECT l_orderkey, l_suppkey, {MONEY_SUM.format('l_extendedprice')} AS balance_now, count(*) AS rows_now FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-06-01' GROUP BY 1, 2),
