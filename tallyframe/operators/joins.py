@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyframe.operators.latest import first_per_key, latest_per_key
 
@@ -103,6 +104,72 @@ def salted_lookup(
     return lookup(left, right, {**dict(pairs), "__salt": "__part"}, columns, how).drop("__salt")
 
 
+#: A bin of one level is so many bins of the level below, and a range lies in the lowest level where it is about that many bins long.
+BINS_PER_RANGE = 8
+
+
+def _number(df: DataFrame, name: str) -> Column:
+    """A column as a number that keeps its order: days of a date, seconds of a timestamp."""
+    kind, c = df.schema[name].dataType, F.col(f"`{name}`")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")) / F.lit(1e6)
+    return c.cast("double")
+
+
+def range_lookup(
+    left: DataFrame, right: DataFrame, on: Keys, point: str, low: str, high: str, columns: Mapping[str, str] | Sequence[str],
+    width: float, how: str = "left",
+) -> DataFrame:
+    """Join on equal keys and ``low <= point <= high`` where there are few keys, or none, and many ranges.
+
+    Ranges are cut into bins; key and bin are joined, and the exact test comes last, so a hot key is split by its bins. Bins of
+    ``width`` hold short ranges, bins of the levels above are eight times as wide each, and a range goes to the lowest level where
+    it is at most eight bins long: a range of any length becomes at most ten rows. A point looks into one bin of each level that has ranges.
+    A null end leaves a range open on that side. A null point or key matches nothing; with ``how="left"`` its row stays, like every
+    other row without a match. Whether a row has a match follows from its keys and point, so these find the rows without one.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("a range lookup is a left or inner join")
+    pairs = _pairs(on)
+    if not isinstance(columns, Mapping):
+        columns = {c: c for c in columns}
+    names = left.columns
+    points = left.withColumn("__at", _number(left, point))
+    # No range is cut into bins beyond the first and the last point.
+    ends = points.agg(F.min("__at").alias("__least"), F.max("__at").alias("__greatest"))
+    ranges = right.select(
+        *[F.col(r).alias(f"__k{i}") for i, (_, r) in enumerate(pairs)], *[F.col(c).alias(new) for c, new in columns.items()],
+        _number(right, low).alias("__low"), _number(right, high).alias("__high"),
+    )
+    ranges = with_parameters(ranges, ends)
+    start, stop = F.greatest(F.coalesce("__low", "__least"), "__least"), F.least(F.coalesce("__high", "__greatest"), "__greatest")
+    ranges = ranges.withColumn("__start", start).withColumn("__stop", stop).filter("__start <= __stop")
+    span = (F.col("__stop") - F.col("__start")) / F.lit(float(width * BINS_PER_RANGE))
+    ranges = ranges.withColumn("__level", F.ceil(F.log(float(BINS_PER_RANGE), F.greatest(span, F.lit(1.0)))).cast("int"))
+
+    def bin_of(value: str) -> Column:
+        return F.floor(F.col(value) / (F.lit(float(width)) * F.pow(F.lit(float(BINS_PER_RANGE)), F.col("__level")))).cast("long")
+
+    top = ranges.agg(F.coalesce(F.max("__level"), F.lit(0)).alias("__top"))
+    ranges = ranges.withColumn("__bin", F.explode(F.sequence(bin_of("__start"), bin_of("__stop")))).drop("__start", "__stop", "__least", "__greatest")
+    looks = with_parameters(points.filter(F.col("__at").isNotNull()), top)
+    looks = looks.withColumn("__level", F.explode(F.sequence(F.lit(0), F.col("__top")))).withColumn("__bin", bin_of("__at"))
+    looks = looks.withColumnsRenamed({"__level": "__l", "__bin": "__b"})
+    match = (F.col("__l") == F.col("__level")) & (F.col("__b") == F.col("__bin"))
+    for i, (key, _) in enumerate(pairs):
+        match = match & (F.col(f"`{key}`") == F.col(f"__k{i}"))
+    match = match & (F.col("__at") >= F.coalesce("__low", "__at")) & (F.col("__at") <= F.coalesce("__high", "__at"))
+    hits = looks.join(ranges, match, "inner").select(*[F.col(f"`{c}`") for c in names], *columns.values())
+    if how == "inner":
+        return hits
+    known = [*dict.fromkeys([*(key for key, _ in pairs), point])]
+    matched = hits.select(*[F.col(f"`{c}`").alias(f"__m{i}") for i, c in enumerate(known)]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"__m{i}")) for i, c in enumerate(known)])
+    return hits.unionByName(left.join(matched, same, "left_anti"), allowMissingColumns=True)
+
+
 def full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep both sides; the key comes from whichever side has it."""
     return left.join(right, list(keys), "full")

@@ -6,7 +6,7 @@ import importlib
 
 from tallyframe.plans.registry import QUERIES, Query
 
-MODULES = ("scans_filters", "projections", "labels", "joining", "grouping", "scalars", "documents", "loads", "jobs_credit", "jobs_deposits", "jobs_people", "jobs_channels", "jobs_ledger", "jobs_applications")
+MODULES = ("scans_filters", "projections", "labels", "joining", "grouping", "scalars", "documents", "loads", "stored_tables", "jobs_credit", "jobs_deposits", "jobs_people", "jobs_channels", "jobs_ledger", "jobs_applications")
 
 
 def all_queries() -> dict[str, Query]:

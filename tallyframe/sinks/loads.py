@@ -72,6 +72,21 @@ def recreate_load(
     return df.sparkSession.read.parquet(path)
 
 
+def bucketed_load(
+    df: DataFrame, name: str, key: Sequence[str], buckets: int, path: str | None = None, unique: bool = False
+) -> DataFrame:
+    """Replace the catalog table ``name`` with rows bucketed and sorted by ``key``, and return it.
+
+    Two tables bucketed alike by their join key are joined, and aggregated by it, without a shuffle. ``path`` is the table's
+    folder (the warehouse's own if none is given); rows are dealt to buckets before they are written, so a bucket is one file.
+    """
+    if unique:
+        require_unique(df, key)
+    writer = df.repartition(buckets, *key).write.mode("overwrite").bucketBy(buckets, *key).sortBy(*key)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def version_path(path: str, as_of: date | str) -> str:
     return f"{path}/version={day(as_of).isoformat()}"
 
@@ -178,3 +193,33 @@ def current_view(df: DataFrame, name: str, date_col: str | None = None, on: date
     view = df.filter(F.col(date_col) == F.lit(day(on))) if date_col else df
     view.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
+
+
+def partition_values(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Partition columns of a table's first level and their values, from the names of its folders: no file is opened."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    out: dict[str, list[str]] = {}
+    for status in system.listStatus(folder):
+        column, _, value = status.getPath().getName().partition("=")
+        if status.isDirectory() and value and system.listStatus(status.getPath()):
+            out.setdefault(column, []).append(value)
+    return out
+
+
+def last_day(spark: SparkSession, path: str, partition: str = "as_of") -> date:
+    """The newest day of a snapshot table, from the names of its partitions."""
+    days = [d for d in partition_values(spark, path).get(partition, []) if d != "__HIVE_DEFAULT_PARTITION__"]
+    if not days:
+        raise ValueError(f"the table at {path} has no {partition}")
+    return date.fromisoformat(max(days))
+
+
+def latest_view(spark: SparkSession, path: str, name: str | None = None, schema: T.StructType | None = None, partition: str = "as_of") -> DataFrame:
+    """The newest day of a snapshot table, as a view if it gets a name. Files of other days are not read, not even for the schema."""
+    found = last_day(spark, path, partition).isoformat()
+    reader = spark.read.option("basePath", path)
+    view = (reader.schema(schema) if schema else reader).parquet(f"{path}/{partition}={found}")
+    if name:
+        view.createOrReplaceTempView(name)
+    return view

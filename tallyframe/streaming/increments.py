@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -17,6 +18,20 @@ def read_increments(
     return reader.parquet(folder)
 
 
+def once_each(stream: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
+    """Each event once, however many files bring it: the first one that comes stays.
+
+    Keys that were seen are state, kept until the watermark (the newest ``time`` less ``delay``) has passed them, so the state is bounded by
+    the events of ``delay`` and not by the table. ``delay`` must be at least as long as repeats and late events take: an event older
+    than the watermark is not counted. Of a table that is no stream, one row per key stays.
+    """
+    if not stream.isStreaming:
+        return stream.dropDuplicates(list(keys))
+    # A watermark wants an instant; a local time column stays as it is beside it.
+    timed = stream.withColumn("__at", F.col(time).cast("timestamp")).withWatermark("__at", delay)
+    return timed.dropDuplicatesWithinWatermark(list(keys)).drop("__at")
+
+
 def append_increments(
     stream: DataFrame, path: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df
 ) -> DataFrame:
