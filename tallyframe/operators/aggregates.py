@@ -46,13 +46,13 @@ def sum_distinct(df: DataFrame, keys: Sequence[str], distinct: Mapping[str, Colu
 
 
 def labelled_list(df: DataFrame, keys: Sequence[str], kind: str, value: Column, out: str, sep: str = ", ") -> DataFrame:
-    """One text per key listing its distinct ``kind-value`` entries in sorted order.
+    """One text per key listing its kinds as ``kind-value`` in sorted order; ``value`` is an aggregate over the rows of a kind.
 
-    Aggregate to one row per (key, kind) first where a key may have many rows: then a list
-    is never longer than the number of kinds.
+    Rows are reduced to one per (key, kind) first, so a list is never longer than the number of kinds, however many rows a key has.
     """
-    item = F.concat(F.col(kind), F.lit("-"), value.cast("string"))
-    return df.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_set(item)), sep).alias(out))
+    kinds = df.groupBy(*keys, kind).agg(value.cast("string").alias("__value"))
+    item = F.concat(F.col(kind), F.lit("-"), F.col("__value"))
+    return kinds.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_list(item)), sep).alias(out))
 
 
 def first_values(

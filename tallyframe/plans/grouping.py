@@ -106,8 +106,7 @@ SELECT o_custkey, string_agg(kind || '-' || n, ', ' ORDER BY kind) AS contacts F
 """)
 def string_agg_labelled(t):
     """Counted per kind first, so a list holds at most one entry per kind."""
-    kinds = t.orders.groupBy("o_custkey", F.col("o_orderpriority").alias("kind")).agg(F.count("*").alias("n"))
-    return A.labelled_list(kinds, ["o_custkey"], "kind", F.col("n"), "contacts")
+    return A.labelled_list(t.orders, ["o_custkey"], "o_orderpriority", F.count("*"), "contacts")
 
 
 @query("""

@@ -261,9 +261,9 @@ def job_portfolio_aging(t):
     )
 
 
-def _credit_sides(as_of) -> list[S.Side]:
-    """What the lines of a credit say about it."""
-    on, line = {"o_orderkey": "l_orderkey"}, F.col("l_linenumber")
+def _credit_sides(as_of, key: str = "o_orderkey") -> list[S.Side]:
+    """What the lines of a credit say about it; ``key`` is the credit's column in the fact."""
+    on, line = {key: "l_orderkey"}, F.col("l_linenumber")
     newest = [F.col(c) for c in ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")]
     day, flag, quantity = F.col("l_shipdate"), F.col("l_returnflag"), F.col("l_quantity")
 
@@ -304,45 +304,79 @@ def _aging_people(t):
 
 
 @query(f"""
-WITH before AS (SELECT l_orderkey, l_suppkey, {MONEY_SUM.format('l_extendedprice')} AS balance_before, count(*) AS rows_before FROM lineitem WHERE l_shipdate < TIMESTAMP '2000-06-01' GROUP BY 1, 2),
+WITH {_PLACES_SQL}, {', '.join(f'{name} AS ({sql})' for name, sql in _AGING_SQL.items())},
+before AS (SELECT l_orderkey, l_suppkey, {MONEY_SUM.format('l_extendedprice')} AS balance_before, count(*) AS rows_before FROM lineitem WHERE l_shipdate < TIMESTAMP '2000-06-01' GROUP BY 1, 2),
 now AS (SELECT l_orderkey, l_suppkey, {MONEY_SUM.format('l_extendedprice')} AS balance_now, count(*) AS rows_now FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-06-01' GROUP BY 1, 2),
-texts AS (SELECT l_orderkey AS k, max(CASE WHEN l_linenumber = 1 THEN l_tax END) AS rate_1, max(CASE WHEN l_linenumber = 2 THEN l_tax END) AS rate_2,
+texts AS (SELECT l_orderkey AS k, max(CASE WHEN l_linenumber = 1 THEN l_tax END) AS rate_1, max(CASE WHEN l_linenumber = 2 THEN l_tax END) AS rate_2, max(CASE WHEN l_linenumber = 3 THEN l_tax END) AS rate_3,
   max(CASE WHEN l_linenumber = 7 THEN l_tax END) AS rate_alco, CAST(max(l_shipdate) AS DATE) AS text_day FROM lineitem WHERE l_linestatus = 'O' GROUP BY l_orderkey),
-instance AS (SELECT o_orderkey AS k, o_custkey, o_orderpriority FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate DESC) AS rn FROM orders) WHERE rn = 1)
-SELECT coalesce(before.l_orderkey, now.l_orderkey) AS l_orderkey, coalesce(before.l_suppkey, now.l_suppkey) AS l_suppkey, balance_before, balance_now,
-  coalesce(rows_before, 0) + coalesce(rows_now, 0) AS movements, rate_1, rate_2, rate_alco, text_day, o_orderpriority, c_name,
-  CASE WHEN now.l_orderkey IS NULL THEN 'S' ELSE 'N' END AS settled
-FROM before FULL JOIN now ON before.l_orderkey = now.l_orderkey AND before.l_suppkey = now.l_suppkey
-LEFT JOIN texts ON texts.k = coalesce(before.l_orderkey, now.l_orderkey) LEFT JOIN instance ON instance.k = coalesce(before.l_orderkey, now.l_orderkey)
-LEFT JOIN customer ON o_custkey = c_custkey
+more AS (SELECT l_orderkey AS k, arg_max(l_discount, (l_shipdate, l_linenumber, l_discount)) FILTER (l_linenumber IN (2, 3) AND l_discount > 0) AS small_business_rate,
+  coalesce(bool_or(l_quantity < 5), false) AS other_guarantee, 'FNG-' || min(l_partkey) FILTER (l_quantity >= 40) AS guarantee_code FROM lineitem GROUP BY l_orderkey),
+instance AS (SELECT o_orderkey AS k, o_custkey, o_orderpriority, o_orderstatus, o_totalprice, o_orderdate FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate DESC) AS rn FROM orders) WHERE rn = 1),
+lists AS (SELECT o_custkey AS lk, string_agg(o_orderpriority || '-' || n, ', ' ORDER BY o_orderpriority || '-' || n) AS credit_kinds FROM (SELECT o_custkey, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2) GROUP BY 1),
+wage AS (SELECT CAST(date_trunc('year', o_orderdate) AS DATE) AS y, min(o_totalprice) + 9000 AS w FROM orders GROUP BY 1),
+base AS (SELECT *, coalesce(before.l_orderkey, now.l_orderkey) AS credit_key, coalesce(before.l_suppkey, now.l_suppkey) AS office FROM before FULL JOIN now ON before.l_orderkey = now.l_orderkey AND before.l_suppkey = now.l_suppkey)
+SELECT credit_key AS l_orderkey, office AS l_suppkey, balance_before, balance_now, coalesce(rows_before, 0) + coalesce(rows_now, 0) AS movements, CASE WHEN rows_now IS NULL THEN 'S' ELSE 'N' END AS settled,
+  rate_1, rate_2, rate_3, rate_alco, text_day, small_business_rate, event_rate, arrears_rate, interest, arrears, commission, insurance, last_payment, next_due, credit.instalments, guaranteed, other_guarantee, guarantee, guarantee_code,
+  o_orderpriority, o_orderstatus, p.c_name, p.zone, p.region, p.home, p.business, p.work, p.contacts, credit_kinds, p.score, p.first_adviser, p.last_adviser,
+  q.c_name AS codebtor, q.contacts AS codebtor_contacts, date_diff('day', CAST(o_orderdate AS DATE), DATE '{ORDERS_AS_OF}') AS days_since,
+  {', '.join(_segment_sql(*x) for x in AGING_SEGMENTS)}
+FROM base LEFT JOIN texts ON texts.k = credit_key LEFT JOIN credit ON credit.k = credit_key LEFT JOIN more ON more.k = credit_key LEFT JOIN instance ON instance.k = credit_key
+LEFT JOIN wage ON y = CAST(date_trunc('year', o_orderdate) AS DATE) LEFT JOIN people p ON p.c_custkey = o_custkey LEFT JOIN people q ON q.c_custkey = o_custkey + 1 LEFT JOIN lists ON lk = o_custkey
 """)
 def job_portfolio_history(t):
-    """Closing and current balances side by side on a many-part key, with pivoted texts."""
+    """Closing and current balances side by side on a many-part key, with all that is known about the credit and its people.
+
+    Values of a credit's lines and of its instance are sides of one key, so the lines are read twice in all: by credit and office, and
+    by credit.
+    """
 
     early = P.before_day("l_shipdate", "2000-06-01")
-    price = F.col("l_extendedprice")
+    price, line, quantity = F.col("l_extendedprice"), F.col("l_linenumber"), F.col("l_quantity")
     both = t.lineitem.groupBy("l_orderkey", "l_suppkey").agg(
         N.sum_money(F.when(early, price)).alias("balance_before"), F.sum(F.when(early, 1)).alias("rows_before"),
         N.sum_money(F.when(~early, price)).alias("balance_now"), F.sum(F.when(~early, 1)).alias("rows_now"),
     )
-    rate = {1: "rate_1", 2: "rate_2", 7: "rate_alco"}
-    texts = t.lineitem.filter("l_linestatus = 'O'").groupBy("l_orderkey").agg(
-        *[F.max(F.when(F.col("l_linenumber") == line, F.col("l_tax"))).alias(name) for line, name in rate.items()],
-        F.to_date(F.max("l_shipdate")).alias("text_day"),
-    )
-    instance = L.latest_per_key(t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate"), "o_orderkey", ["o_orderdate"])
-    instance = J.lookup(instance, t.customer, {"o_custkey": "c_custkey"}, ["c_name"])
+    on, own = {"l_orderkey": "l_orderkey"}, {"l_orderkey": "o_orderkey"}
+    text = F.col("l_linestatus") == "O"
+    rates = {"rate_1": 1, "rate_2": 2, "rate_3": 3, "rate_alco": 7}
+    instance = {c: F.col(c) for c in ("o_custkey", "o_orderpriority", "o_orderstatus", "o_totalprice", "o_orderdate")}
+    newest = [F.col(c) for c in ("l_shipdate", "l_linenumber", "l_discount")]
+    sides = [
+        *_credit_sides(F.lit(ORDERS_AS_OF).cast("timestamp_ntz"), "l_orderkey"),
+        *[S.Side("lines", on, S.Value(name, "max", F.col("l_tax")), text & (line == n)) for name, n in rates.items()],
+        S.Side("lines", on, S.Value("text_day", "max", F.to_date("l_shipdate")), text),
+        S.Side("lines", on, S.Pick({"small_business_rate": F.col("l_discount")}, newest), line.isin(2, 3) & (F.col("l_discount") > 0)),
+        S.Side("lines", on, S.Value("other_guarantee", "exists"), quantity < 5),
+        S.Side("lines", on, S.Value("guarantee_part", "min", F.col("l_partkey")), quantity >= 40),
+        S.Side("credits", own, S.Pick(instance, [F.col("o_orderdate")])),
+    ]
+    df = S.gather(both, {"lines": t.lineitem, "credits": t.orders}, sides)
+    person = measured(_aging_people(t))
+    kinds = t.orders.groupBy("o_custkey", "o_orderpriority").agg(F.count("*").alias("n"))
+    listed = S.Side("kinds", {"o_custkey": "o_custkey"}, S.Listing("credit_kinds", F.concat("o_orderpriority", F.lit("-"), F.col("n").cast("string"))))
+    years = measured(t.orders.groupBy(D.year_start(F.col("o_orderdate")).alias("y")).agg((F.min("o_totalprice") + 9000).alias("w")))
+    second = person.withColumn("c_custkey", F.col("c_custkey") - 1)
+    df = S.gather(df.withColumn("y", D.year_start(F.col("o_orderdate"))), {"kinds": kinds}, [listed])
     df = J.star_denormalize(
-        both,
+        df,
         [
-            J.Dimension(texts, "l_orderkey", [*rate.values(), "text_day"]),
-            J.Dimension(instance, {"l_orderkey": "o_orderkey"}, ["o_orderpriority", "c_name"]),
+            J.Dimension(years, "y", ["w"]),
+            J.Dimension(person, {"o_custkey": "c_custkey"}, ["c_name", "zone", "region", "home", "business", "work", "contacts", "score", "first_adviser", "last_adviser"]),
+            J.Dimension(second, {"o_custkey": "c_custkey"}, {"c_name": "codebtor", "contacts": "codebtor_contacts"}),
         ],
     )
+    segments = [
+        K.Segment(name, F.lit(low), F.lit(high), low_open=status is None, when=None if status is None else F.col("o_orderstatus") == status)
+        for name, low, high, status in AGING_SEGMENTS
+    ]
     return df.select(
         "l_orderkey", "l_suppkey", "balance_before", "balance_now",
-        N.null_safe_sum([F.col("rows_before"), F.col("rows_now")]).alias("movements"), "rate_1", "rate_2", "rate_alco",
-        "text_day", "o_orderpriority", "c_name", K.yes_no(F.col("rows_now").isNull(), "S", "N").alias("settled"),
+        N.null_safe_sum([F.col("rows_before"), F.col("rows_now")]).alias("movements"), K.yes_no(F.col("rows_now").isNull(), "S", "N").alias("settled"),
+        *rates, "text_day", "small_business_rate", "event_rate", "arrears_rate", "interest", "arrears", "commission", "insurance",
+        F.to_date("last_payment").alias("last_payment"), F.to_date("next_due").alias("next_due"), "instalments", "guaranteed", "other_guarantee", "guarantee",
+        F.concat(F.lit("FNG-"), F.col("guarantee_part").cast("string")).alias("guarantee_code"), "o_orderpriority", "o_orderstatus",
+        "c_name", "zone", "region", "home", "business", "work", "contacts", "credit_kinds", "score", "first_adviser", "last_adviser", "codebtor", "codebtor_contacts",
+        D.days_between(F.col("o_orderdate"), D.run_date(ORDERS_AS_OF)).alias("days_since"), *K.threshold_segments(F.col("o_totalprice"), F.col("w"), segments),
     )
 
 
