@@ -130,18 +130,17 @@ FROM (SELECT user_id, event_type, CASE WHEN value > 20 THEN 'S' ELSE 'N' END AS
 GROUP BY user_id, event_type, large
 """)
 def load_hash_validity(t):
-    """Four weekly deliveries of the products each user has used."""
+    """Four weekly deliveries of the products each user has used; each writes its own rows, and the first two are merged on the way."""
     path = new_table_path(t.spark, "user_products")
     content = ["user_id", "event_type", "large"]
     start = "2024-01-01"
-    merge = lambda target, new: _bucketed(M.hash_validity_merge(target, new, content), ["hash"])
     for run in VALIDITY_RUNS:
         rows = t.events.filter(P.since_day("ts", start) & P.before_day("ts", run))
         rows = rows.select("user_id", "event_type", F.when(F.col("value") > 20, "S").otherwise("N").alias("large"))
-        staged = _bucketed(M.stage_validity(rows.distinct(), content, run), ["hash"])
-        merged = K.append_partitions(staged, path, "bucket") if start == "2024-01-01" else K.merge_touched(staged, path, "bucket", merge)
+        K.append_validity(M.stage_validity(rows.distinct(), content, run), path, run)
         start = run
-    return merged.drop("bucket")
+    K.compact_validity(t.spark, path, content, VALIDITY_RUNS[1])
+    return K.read_validity(t.spark, path, content)
 
 
 @query("""

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions.dates import day, yesterday
-from tallyframe.operators.merges import upsert_replace
+from tallyframe.operators.merges import hash_validity_merge, upsert_replace
 from tallyframe.operators.quality import require_unique
 from tallyframe.session import new_table_path
 from tallyframe.sources.calendar import NON_BUSINESS_DAY
@@ -195,6 +195,34 @@ def current_view(df: DataFrame, name: str, date_col: str | None = None, on: date
     return df.sparkSession.table(name)
 
 
+def append_validity(staged: DataFrame, path: str, as_of: date | str) -> None:
+    """Add one delivery of a history by content: its own rows are written, nothing is read or rewritten.
+
+    Running the delivery of a day again replaces that day's rows.
+    """
+    append_snapshot(staged, path, as_of, "delivered")
+
+
+def read_validity(spark: SparkSession, path: str, content: Sequence[str], **columns: str) -> DataFrame:
+    """The history: one row per content over all deliveries, by a map-side combined aggregate."""
+    rows = spark.read.parquet(path).drop("delivered")
+    return hash_validity_merge(rows.limit(0), rows, content, **columns)
+
+
+def compact_validity(spark: SparkSession, path: str, content: Sequence[str], as_of: date | str, **columns: str) -> None:
+    """Merge the deliveries up to a day into that day's, so that readers find each content of theirs once.
+
+    The merged rows are written aside, then replace the day, and only then the earlier days are emptied. A history in which both
+    are still there reads the same, so a run that stops half way does no harm and can be run again.
+    """
+    rows = spark.read.parquet(path).filter(F.col("delivered") <= F.lit(day(as_of))).drop("delivered")
+    merged = truncate_load(hash_validity_merge(rows.limit(0), rows, content, **columns), new_table_path(spark, "validity"))
+    append_snapshot(merged, path, as_of, "delivered")
+    for earlier in partition_values(spark, path).get("delivered", []):
+        if earlier < day(as_of).isoformat():
+            append_snapshot(merged.limit(0), path, earlier, "delivered")
+
+
 def partition_values(spark: SparkSession, path: str) -> dict[str, list[str]]:
     """Partition columns of a table's first level and their values, from the names of its folders: no file is opened."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

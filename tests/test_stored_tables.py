@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.operators import joins as J
+from tallyframe.operators import merges as M
 from tallyframe.operators import sides as S
 from tallyframe.plans import all_queries
 from tallyframe.session import new_table_path
@@ -189,3 +190,24 @@ def test_sides_of_a_key_are_one_shuffle(spark, folder, no_broadcast):
     plan = plan_of(S.gather(tables["customer"], tables, sides))
     assert len(re.findall(r"Location: .*/orders\.parquet", plan)) == 1 and len(re.findall(r"Location: .*/events\.parquet", plan)) == 1
     assert len(re.findall(r"\) SortMergeJoin", plan)) == 1 and len(re.findall(r"Arguments: hashpartitioning", plan)) == 2
+
+
+def test_history_by_deliveries(spark, rows):
+    """A delivery adds its rows alone; merging deliveries, whole or half done, and loading one again change nothing."""
+    path, content = new_table_path(spark, "validity"), ["c"]
+    days = {"2024-01-02": ["a", "b"], "2024-01-03": ["b", None], "2024-01-04": ["a", "", "d"]}
+    for day, values in days.items():
+        staged = M.stage_validity(spark.createDataFrame([(v,) for v in values], "c string"), content, day)
+        K.append_validity(staged, path, day)
+        K.append_validity(staged, path, day)
+
+    def found():
+        return sorted((r.c or "", str(r.valid_from), str(r.valid_to)) for r in K.read_validity(spark, path, content).collect())
+
+    want = [("", "2024-01-02", "2024-01-03"), ("a", "2024-01-01", "2024-01-03"), ("b", "2024-01-01", "2024-01-02"), ("d", "2024-01-03", "2024-01-03")]
+    assert found() == want
+    before = K.read_validity(spark, path, content).collect()
+    K.append_snapshot(spark.createDataFrame(before).select("hash", "c", "valid_from", "valid_to"), path, "2024-01-03", "delivered")  # as if stopped half way
+    assert found() == want
+    K.compact_validity(spark, path, content, "2024-01-03")
+    assert found() == want and spark.read.parquet(path).filter("delivered < DATE '2024-01-03'").count() == 0
