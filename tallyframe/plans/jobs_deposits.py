@@ -10,6 +10,7 @@ from tallyframe.operators import classify as K
 from tallyframe.operators import joins as J
 from tallyframe.operators import latest as L
 from tallyframe.operators import predicates as P
+from tallyframe.operators import sides as G
 from tallyframe.plans.jobs_credit import customer_places
 from tallyframe.plans.joining import branch_hierarchy
 from tallyframe.plans.registry import EVENTS_AS_OF, ORDERS_AS_OF, query
@@ -53,28 +54,53 @@ DEPOSIT_MODE_UNKNOWN = "Desconocido"
 SELECT l_orderkey, l_partkey, l_extendedprice AS valor, CASE WHEN s_name IS NULL OR TRY_CAST(s_name AS DOUBLE) IS NOT NULL THEN zone ELSE s_name END AS nombre_suc,
   CASE WHEN l_suppkey = 7 THEN 'Cartagena' ELSE zone END AS sucursal, CASE WHEN l_suppkey = 7 THEN 103 ELSE l_suppkey END AS codigo_sucursal,
   coalesce(s_acct, l_suppkey) AS asesor, p_type AS producto,
-  CASE (l_linenumber - 1) * 30 WHEN 0 THEN 'Cuota única' WHEN 30 THEN 'Mensual' WHEN 60 THEN 'Bimensual' WHEN 90 THEN 'Trimestral' WHEN 180 THEN 'Semestral' ELSE 'Desconocido' END AS modalidad
-FROM lineitem LEFT JOIN (SELECT s_suppkey, CASE WHEN s_acctbal > 5000 THEN CAST(s_suppkey AS VARCHAR) WHEN s_acctbal > 1000 THEN s_name END AS s_name,
-   CASE WHEN s_acctbal > 1000 THEN s_suppkey + 1000 END AS s_acct, n_name AS zone FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey) ON l_suppkey = s_suppkey
+  CASE (l_linenumber - 1) * 30 WHEN 0 THEN 'Cuota única' WHEN 30 THEN 'Mensual' WHEN 60 THEN 'Bimensual' WHEN 90 THEN 'Trimestral' WHEN 180 THEN 'Semestral' ELSE 'Desconocido' END AS modalidad,
+  adviser_region, p_brand AS marca, o_orderstatus AS estado, c_name AS titular, c_mktsegment AS segmento, titular_zone, titular_region, first_day AS apertura, last_day AS vencimiento, titles AS titulos, coalesce(renewed, false) AS renovado, last_contact, contacts
+FROM lineitem LEFT JOIN (SELECT l_orderkey AS dk, CAST(min(l_shipdate) AS DATE) AS first_day, CAST(max(l_shipdate) AS DATE) AS last_day, count(*) AS titles, bool_or(l_returnflag = 'R') AS renewed FROM lineitem GROUP BY 1) ON dk = l_orderkey
+LEFT JOIN orders ON o_orderkey = l_orderkey LEFT JOIN (SELECT c_custkey, c_name, c_mktsegment, n_name AS titular_zone, r_name AS titular_region FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey) ON c_custkey = o_custkey
+LEFT JOIN (SELECT user_id, arg_max(event_type, (ts, event_id)) AS last_contact, count(*) AS contacts FROM events GROUP BY 1) ON user_id = o_custkey
+LEFT JOIN (SELECT s_suppkey, CASE WHEN s_acctbal > 5000 THEN CAST(s_suppkey AS VARCHAR) WHEN s_acctbal > 1000 THEN s_name END AS s_name,
+   CASE WHEN s_acctbal > 1000 THEN s_suppkey + 1000 END AS s_acct, n_name AS zone, r_name AS adviser_region FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey) ON l_suppkey = s_suppkey
 LEFT JOIN part ON l_partkey = p_partkey WHERE l_returnflag IN ('A', 'N') AND l_linestatus <> 'F' AND l_discount <> l_tax
 """)
 def job_deposits_by_day(t):
-    """Open deposits with adviser, office and payment mode; one office is booked elsewhere."""
+    """Open deposits with adviser, office, payment mode, holder and history; one office is booked elsewhere.
+
+    The holder's row is put together from the contract, the customer, its place and its contacts before the deposits meet it, and what all
+    titles of a contract say is one side.
+    """
     balance = F.col("s_acctbal")
     advisers = t.supplier.select(
         "s_suppkey", "s_nationkey",
         F.when(balance > 5000, F.col("s_suppkey").cast("string")).when(balance > 1000, F.col("s_name")).alias("agent"),
         F.when(balance > 1000, F.col("s_suppkey") + 1000).alias("agent_id"),
     )
-    advisers = J.lookup(advisers, t.nation, {"s_nationkey": "n_nationkey"}, {"n_name": "zone"})
+    places = J.lookup(t.nation, t.region, {"n_regionkey": "r_regionkey"}, ["r_name"])
+    advisers = J.lookup(advisers, places, {"s_nationkey": "n_nationkey"}, {"n_name": "zone", "r_name": "adviser_region"})
+    holders = J.lookup(t.customer, places, {"c_nationkey": "n_nationkey"}, {"n_name": "titular_zone", "r_name": "titular_region"})
+    event, order = {"c_custkey": "user_id"}, [F.col("ts"), F.col("event_id")]
+    holders = G.gather(holders, {"events": t.events}, [G.Side("events", event, G.Pick({"last_contact": F.col("event_type")}, order)), G.Side("events", event, G.Value("contacts", "count"))])
+    contracts = J.lookup(
+        t.orders, holders, {"o_custkey": "c_custkey"}, ["c_name", "c_mktsegment", "titular_zone", "titular_region", "last_contact", "contacts"],
+    )
+    contract, day = {"o_orderkey": "l_orderkey"}, F.to_date("l_shipdate")
+    sides = [
+        G.Side("titles", contract, G.Value("first_day", "min", day)), G.Side("titles", contract, G.Value("last_day", "max", day)),
+        G.Side("titles", contract, G.Value("titles", "count")), G.Side("titles", contract, G.Value("renewed", "exists"), F.col("l_returnflag") == "R"),
+    ]
+    contracts = G.gather(contracts, {"titles": t.lineitem}, sides)
     rows = t.lineitem.filter(
         F.col("l_returnflag").isin("A", "N") & (F.col("l_linestatus") != "F") & (F.col("l_discount") != F.col("l_tax"))
     ).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
     df = J.star_denormalize(
         rows,
         [
-            J.Dimension(advisers, {"l_suppkey": "s_suppkey"}, ["agent", "agent_id", "zone"]),
-            J.Dimension(t.part, {"l_partkey": "p_partkey"}, ["p_type"]),
+            J.Dimension(advisers, {"l_suppkey": "s_suppkey"}, ["agent", "agent_id", "zone", "adviser_region"]),
+            J.Dimension(t.part, {"l_partkey": "p_partkey"}, ["p_type", "p_brand"]),
+            J.Dimension(
+                contracts, {"l_orderkey": "o_orderkey"},
+                ["o_orderstatus", "c_name", "c_mktsegment", "titular_zone", "titular_region", "first_day", "last_day", "titles", "renewed", "last_contact", "contacts"],
+            ),
         ],
     )
     moved = F.col("l_suppkey") == 7
@@ -85,7 +111,10 @@ def job_deposits_by_day(t):
         F.when(moved, "Cartagena").otherwise(F.col("zone")).alias("sucursal"),
         F.when(moved, F.lit(103).cast("long")).otherwise(F.col("l_suppkey")).alias("codigo_sucursal"),
         F.coalesce("agent_id", "l_suppkey").alias("asesor"), F.col("p_type").alias("producto"),
-        K.code_to_label(period, DEPOSIT_MODES, DEPOSIT_MODE_UNKNOWN).alias("modalidad"),
+        K.code_to_label(period, DEPOSIT_MODES, DEPOSIT_MODE_UNKNOWN).alias("modalidad"), "adviser_region", F.col("p_brand").alias("marca"),
+        F.col("o_orderstatus").alias("estado"), F.col("c_name").alias("titular"), F.col("c_mktsegment").alias("segmento"), "titular_zone", "titular_region",
+        F.col("first_day").alias("apertura"), F.col("last_day").alias("vencimiento"), F.col("titles").alias("titulos"), F.coalesce("renewed", F.lit(False)).alias("renovado"),
+        "last_contact", F.when(F.col("contacts") > 0, F.col("contacts")).alias("contacts"),
     )
 
 

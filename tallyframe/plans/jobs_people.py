@@ -13,6 +13,7 @@ from tallyframe.operators import joins as J
 from tallyframe.operators import latest as L
 from tallyframe.operators import merges as M
 from tallyframe.operators import predicates as P
+from tallyframe.operators import sides as G
 from tallyframe.operators import unions as U
 from tallyframe.plans.joining import branch_hierarchy
 from tallyframe.plans.registry import EVENTS_AS_OF, ORDERS_AS_OF, query
@@ -81,34 +82,64 @@ def job_phone_directory(t):
     return U.unpivot_columns(both, ["pendoc"], {"m": "celular", "l": "fijo"}, "tipo_tel", "numero_tel").distinct()
 
 
+#: Kinds of addresses of a person, and the status of the credits that stand for them.
+ADDRESSES = {"home": "F", "work": "O", "biz": "P"}
+_ADDRESS_SQL = ", ".join(
+    f"arg_max(o_orderkey, (o_orderdate, o_orderkey)) FILTER (o_orderstatus = '{status}') AS {name}, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) FILTER (o_orderstatus = '{status}') AS {name}_street"
+    for name, status in ADDRESSES.items()
+)
+
+
 @query(f"""
-WITH person AS (SELECT c_custkey, c_name, c_nationkey, c_mktsegment, DATE '1950-02-28' + CAST((c_custkey * 37) % 20000 AS INTEGER) AS birth FROM customer),
-home AS (SELECT o_custkey AS k, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS home FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
-work AS (SELECT o_custkey AS k, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS work FROM orders WHERE o_orderstatus = 'O' GROUP BY 1),
-biz AS (SELECT o_custkey AS k, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS biz FROM orders WHERE o_orderstatus = 'P' GROUP BY 1)
-SELECT CAST(c_custkey AS VARCHAR) AS cuenta, trim(c_name) AS nombre, n_name AS pais, CASE WHEN c_mktsegment = 'BUILDING' THEN 'Titular' ELSE 'No titular' END AS titularidad,
+WITH person AS (SELECT *, DATE '1950-02-28' + CAST((c_custkey * 37) % 20000 AS INTEGER) AS birth FROM customer),
+account AS (SELECT o_custkey AS k, {_ADDRESS_SQL}, CAST(min(o_orderdate) AS DATE) AS opened, count(*) AS accounts, coalesce(bool_or(o_totalprice > 400000 AND o_orderstatus = 'F'), false) AS moved,
+  max(o_totalprice) FILTER (o_orderpriority = '1-URGENT') AS assets, min(o_totalprice) FILTER (o_orderpriority = '5-LOW') AS debts FROM orders GROUP BY 1),
+life AS (SELECT user_id, arg_max(event_type, (ts, event_id)) AS education, arg_min(event_type, (ts, event_id)) FILTER (value > 20) AS job, CAST(arg_min(ts, (ts, event_id)) FILTER (value > 20) AS DATE) AS job_since,
+  CAST(sum(CAST(value AS DECIMAL(18,2))) FILTER (event_type = 'purchase') AS DOUBLE) AS income, CAST(sum(CAST(value AS DECIMAL(18,2))) FILTER (event_type = 'click') AS DOUBLE) AS outgo,
+  coalesce(bool_or(event_type = 'error' AND value > 50), false) AS exposed, count(*) FILTER (event_type = 'signup') AS children FROM events GROUP BY 1),
+places AS (SELECT n_nationkey, n_name, r_name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey)
+SELECT CAST(c_custkey AS VARCHAR) AS cuenta, trim(c_name) AS nombre, b.n_name AS pais, b.r_name AS continente, CASE WHEN c_mktsegment = 'BUILDING' THEN 'Titular' ELSE 'No titular' END AS titularidad,
   date_diff('year', birth, DATE '{EVENTS_AS_OF}') - CASE WHEN birth + to_years(CAST(date_diff('year', birth, DATE '{EVENTS_AS_OF}') AS INTEGER)) > DATE '{EVENTS_AS_OF}' THEN 1 ELSE 0 END AS edad,
-  home, coalesce(work, 0) AS work, biz, CASE WHEN home IS NULL THEN 'No' WHEN home % 2 = 1 THEN 'SI' ELSE 'Otro' END AS pep
-FROM person LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN home ON home.k = c_custkey LEFT JOIN work ON work.k = c_custkey LEFT JOIN biz ON biz.k = c_custkey
+  home, coalesce(work, 0) AS work, biz, CASE WHEN home IS NULL THEN 'No' WHEN home % 2 = 1 THEN 'SI' ELSE 'Otro' END AS pep,
+  home_street, work_street, biz_street, h.n_name AS home_place, h.r_name AS home_region, w.n_name AS work_place, w.r_name AS work_region, coalesce(z.n_name, '0') AS biz_place, z.r_name AS biz_region, center.r_name AS center,
+  opened, date_diff('day', opened, DATE '{EVENTS_AS_OF}') AS seniority, coalesce(accounts, 0) AS accounts, CASE WHEN moved THEN 'Migrado ESAL' ELSE 'No Migrado ESAL' END AS moved, assets, debts,
+  coalesce(education, '0') AS education, coalesce(job, '9999') AS job, job_since, income, outgo, coalesce(exposed, false) AS exposed, coalesce(children, 0) AS children,
+  CASE c_mktsegment WHEN 'BUILDING' THEN 'Constructor' WHEN 'MACHINERY' THEN 'Industrial' ELSE 'Otro' END AS clase
+FROM person LEFT JOIN places b ON c_nationkey = b.n_nationkey LEFT JOIN account ON account.k = c_custkey LEFT JOIN life ON user_id = c_custkey
+LEFT JOIN places h ON h.n_nationkey = home % 30 LEFT JOIN places w ON w.n_nationkey = work % 30 LEFT JOIN places z ON z.n_nationkey = biz % 30 LEFT JOIN region center ON center.r_regionkey = biz % 7
 """)
 def job_person_master(t):
-    """One clean row per person with the newest address of each kind, loaded as an upsert."""
+    """One clean row per person with the newest address of each kind and its place, account, work and income, loaded as an upsert.
+
+    What credits and events say about a person is declared as sides of one key: each table is read once, and the person meets
+    all of it in one join. Places come in under four names.
+    """
     birth = F.date_add(F.lit("1950-02-28").cast("date"), ((F.col("c_custkey") * 37) % 20000).cast("int"))
     people = L.any_per_key(t.customer, "c_custkey", ["c_name"]).withColumn("birth", birth)
-    status, address = F.col("o_orderstatus"), F.col("o_orderkey")
-    newest = J.latest_values(
-        t.orders, "o_custkey", ["o_orderdate", "o_orderkey"],
-        {"home": (address, status == "F"), "work": (address, status == "O"), "biz": (address, status == "P")},
-    )
-    people = J.lookup(people, newest, {"c_custkey": "o_custkey"})
-    people = J.lookup(people, t.nation, {"c_nationkey": "n_nationkey"}, {"n_name": "pais"})
-    home = F.col("home")
+    places = J.lookup(t.nation, t.region, {"n_regionkey": "r_regionkey"}, ["r_name"])
+    people = G.gather(people, {"credits": t.orders, "events": t.events}, _person_sides())
+    for name in ADDRESSES:
+        people = people.withColumn(f"{name}_code", F.col(name) % 30)
+    people = J.star_denormalize(
+        people.withColumn("center_code", F.col("biz") % 7),
+        [
+            J.Dimension(places, {"c_nationkey": "n_nationkey"}, {"n_name": "pais", "r_name": "continente"}),
+            *[J.Dimension(places, {f"{name}_code": "n_nationkey"}, {"n_name": f"{name}_place", "r_name": f"{name}_region"}) for name in ADDRESSES],
+            J.Dimension(t.region, {"center_code": "r_regionkey"}, {"r_name": "center"}),
+        ],
+    )
+    home, run = F.col("home"), D.run_date(EVENTS_AS_OF)
     rows = people.select(
-        F.trim(F.col("c_custkey").cast("string")).alias("cuenta"), F.col("c_name").alias("nombre"), "pais",
+        F.trim(F.col("c_custkey").cast("string")).alias("cuenta"), F.col("c_name").alias("nombre"), "pais", "continente",
         F.when(F.col("c_mktsegment") == "BUILDING", "Titular").otherwise("No titular").alias("titularidad"),
-        N.null_default(D.age_years(F.col("birth"), D.run_date(EVENTS_AS_OF)), 0).alias("edad"),
+        N.null_default(D.age_years(F.col("birth"), run), 0).alias("edad"),
         "home", N.null_default(F.col("work"), 0).alias("work"), "biz",
         F.when(home.isNull(), "No").when(home % 2 == 1, "SI").otherwise("Otro").alias("pep"),
+        *[f"{name}_street" for name in ADDRESSES], "home_place", "home_region", "work_place", "work_region",
+        N.null_default(F.col("biz_place"), "0").alias("biz_place"), "biz_region", "center", "opened", D.days_between(F.col("opened"), run).alias("seniority"), "accounts",
+        F.when(F.col("moved"), "Migrado ESAL").otherwise("No Migrado ESAL").alias("moved"), "assets", "debts",
+        N.null_default(F.col("education"), "0").alias("education"), N.null_default(F.col("job"), "9999").alias("job"), F.to_date("job_since").alias("job_since"),
+        "income", "outgo", "exposed", "children", K.code_to_label(F.col("c_mktsegment"), {"BUILDING": "Constructor", "MACHINERY": "Industrial"}, "Otro").alias("clase"),
     )
     clean = C.map_text_columns(rows, lambda c: F.trim(X.clean_control_chars(c)))
     path = new_table_path(t.spark, "persons")
@@ -117,6 +148,22 @@ def job_person_master(t):
     return S.merge_version(clean, path, "2024-01-15", EVENTS_AS_OF, lambda old, new: M.upsert_replace(old, new, ["cuenta"]))
 
 
+def _person_sides() -> list[G.Side]:
+    credit, event = {"c_custkey": "o_custkey"}, {"c_custkey": "user_id"}
+    status, price, priority = F.col("o_orderstatus"), F.col("o_totalprice"), F.col("o_orderpriority")
+    kind, value, order = F.col("event_type"), F.col("value"), [F.col("ts"), F.col("event_id")]
+    newest = [F.col("o_orderdate"), F.col("o_orderkey")]
+    return [
+        *[G.Side("credits", credit, G.Pick({name: F.col("o_orderkey"), f"{name}_street": priority}, newest), status == of) for name, of in ADDRESSES.items()],
+        G.Side("credits", credit, G.Value("opened", "min", F.to_date("o_orderdate"))), G.Side("credits", credit, G.Value("accounts", "count")),
+        G.Side("credits", credit, G.Value("moved", "exists"), (price > 400000) & (status == "F")),
+        G.Side("credits", credit, G.Value("assets", "max", price), priority == "1-URGENT"), G.Side("credits", credit, G.Value("debts", "min", price), priority == "5-LOW"),
+        G.Side("events", event, G.Pick({"education": kind}, order)), G.Side("events", event, G.Pick({"job": kind, "job_since": F.col("ts")}, order, oldest=True), value > 20),
+        G.Side("events", event, G.Value("income", "sum", value), kind == "purchase"), G.Side("events", event, G.Value("outgo", "sum", value), kind == "click"),
+        G.Side("events", event, G.Value("exposed", "exists"), (kind == "error") & (value > 50)), G.Side("events", event, G.Value("children", "count"), kind == "signup"),
+    ]
+
+
 @query(f"""
 SELECT documento, fecha_financiera, date_diff('day', fecha_financiera, DATE '{ORDERS_AS_OF}') AS dias_a_hoy,
  CASE WHEN date_diff('day', fecha_financiera, DATE '{ORDERS_AS_OF}') > 365 THEN 'Desactualizado' ELSE 'Actualizado' END AS estado_financiera
