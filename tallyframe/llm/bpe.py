@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.base import U64, mix
+from tallyframe.llm.base import U64, Numbers, mix, spread
 
 MARK = "▁"
 #: Share of merge candidates that are skipped, and the key of the hash.
@@ -73,6 +73,9 @@ class Pieces:
         self.spelled = [t.replace(MARK, " ").encode() for t in texts]
         for b, i in enumerate(self.byte_ids):
             self.spelled[i] = bytes([b])
+        self.size = np.array([len(x) for x in self.spelled], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(self.spelled), np.uint8)
         joined = {c for t in self.ids if len(t) > 1 for c in t}
         # A segment is space marks and the characters after them up to the next mark, cut where characters are of sets that
         # no piece brings together; or one character that is in no longer piece.
@@ -103,6 +106,8 @@ class Pieces:
         ]
         found.sort()
         self.codes, self.rank, self.whole = (np.array(c, np.int64) for c in zip(*found))
+        self.place = Numbers(len(found))
+        self.place.put(self.codes.view(U64), np.arange(len(found), dtype=np.int32))
         self.merges = {code: (rank, whole) for code, rank, whole in found}
         self.lengths = np.array([len(t) for t in names], np.int64)
         self.written = [self.spell(t) for t in names]
@@ -124,8 +129,8 @@ class Pieces:
     def _ranked(self, a: np.ndarray, b: np.ndarray, start: np.ndarray, keys: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
         """Rank and symbol of the merge of each pair; ``NEVER`` where there is none or it is skipped."""
         code = np.where((a >= 0) & (b >= 0), a * self.many + b, -1)
-        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-        rank = np.where(self.codes[at] == code, self.rank[at], NEVER)
+        at = self.place.get(code.view(U64))
+        rank = np.where(at >= 0, self.rank[at], NEVER)
         if limit:
             hit = np.flatnonzero(rank < NEVER)
             skip = place_hash(keys[hit], start[hit], self.lengths[a[hit]], self.lengths[b[hit]]) < U64(limit)
@@ -222,6 +227,16 @@ class Pieces:
         return b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace")[1:]  # without the mark in front
 
 
+    def decodes_to(self, ids: list[np.ndarray], texts: list[str]) -> list[bool]:
+        """Whether ids decode to their texts, for a run of documents: one gather from the flat table of spelled bytes."""
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        every = np.concatenate([np.zeros(0, np.int32), *ids])
+        sizes = self.size[every]
+        data = self.flat[np.repeat(self.start[every], sizes) + spread(sizes)].tobytes()
+        ends = np.append(0, np.cumsum(sizes))[np.cumsum(counts)].tolist()
+        return [data[min(a + 1, b) : b] == t.encode("utf-8", "surrogatepass") for a, b, t in zip([0, *ends], ends, texts)]  # without the mark in front
+
+
 class Trees:
     """Per segment what its merge candidates lead to, as far as occurrences have needed it.
 
@@ -435,7 +450,7 @@ def encoded(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: in
             for own, texts, ids in _encode_batch(batch, enc):
                 columns = [own, pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64())]
                 if check:
-                    columns.append(pa.array([enc.pieces.decode(x.tolist()) == t for x, t in zip(ids, texts, strict=True)], pa.bool_()))
+                    columns.append(pa.array(enc.pieces.decodes_to(ids, texts), pa.bool_()))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     types = "doc_id long, ids array<int>, n_tokens long" + ", lossless boolean" * check
@@ -465,12 +480,12 @@ def round_trips(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(shared.value, dropout, seed)
-        decode, first, last = enc.pieces.decode, enc.pieces.byte_ids[0], enc.pieces.byte_ids[255]
+        first, last = enc.pieces.byte_ids[0], enc.pieces.byte_ids[255]
         for batch in batches:
             for own, texts, found in _encode_batch(batch, enc):
                 columns = [
                     own, [len(x) for x in found], [int(((x >= first) & (x <= last)).sum()) for x in found],
-                    [hashlib.sha256(x.tobytes()).hexdigest() for x in found], [decode(x.tolist()) == t for x, t in zip(found, texts, strict=True)],
+                    [hashlib.sha256(x.tobytes()).hexdigest() for x in found], enc.pieces.decodes_to(found, texts),
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, ROUND_TRIP)], schema=ROUND_TRIP)
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.base import RUN_BYTES, U64, Rolling, mix, text_runs
+from tallyframe.llm.base import RUN_BYTES, U64, Numbers, Rolling, mix, spread, text_runs
 
 # Classes of characters. An apostrophe that the ending of a word follows is told from others by its two classes.
 LETTER, DIGIT, OTHER, BLANK, SPACE, ENDING_2, ENDING_3, BREAK = range(8)
@@ -206,41 +206,6 @@ def cuts(points: np.ndarray) -> np.ndarray:
     return starts
 
 
-class Numbers:
-    """A table from 64-bit numbers to small ones in flat arrays, looked up many at a time."""
-
-    def __init__(self, expected: int) -> None:
-        self.bits = max(int(expected * 3).bit_length(), 4)
-        self.keys = np.zeros(1 << self.bits, U64)
-        self.values = np.full(1 << self.bits, -1, np.int32)
-
-    def _first(self, keys: np.ndarray) -> np.ndarray:
-        return (mix(keys) >> U64(64 - self.bits)).astype(np.int64)
-
-    def get(self, keys: np.ndarray) -> np.ndarray:
-        """The value of each key, -1 where there is none."""
-        at = self._first(keys)
-        out = self.values[at]
-        open_ = np.flatnonzero((out >= 0) & (self.keys[at] != keys))
-        while len(open_):
-            at[open_] = (at[open_] + 1) & (len(self.keys) - 1)
-            out[open_] = found = self.values[at[open_]]
-            open_ = open_[(found >= 0) & (self.keys[at[open_]] != keys[open_])]
-        return out
-
-    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
-        """Add keys that are not there yet and differ from each other."""
-        at = self._first(keys)
-        left = np.arange(len(keys))
-        while len(left):
-            free = left[self.values[at[left]] < 0]
-            _, one = np.unique(at[free], return_index=True)
-            free = free[one]
-            self.keys[at[free]], self.values[at[free]] = keys[free], values[free]
-            left = left[self.keys[at[left]] != keys[left]]
-            at[left] = (at[left] + 1) & (len(self.keys) - 1)
-
-
 #: Stands for the rank of a pair that is no token.
 NO_RANK = np.int32(2**31 - 1)
 
@@ -428,11 +393,6 @@ def ranks_of(path: str) -> Ranks:
     return Ranks(path)
 
 
-def _spread(counts: np.ndarray) -> np.ndarray:
-    """0, 1, ... within each of the counted groups."""
-    return np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-
-
 def encode_run(data: np.ndarray, offsets: np.ndarray, ranks: Ranks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of all tokens of a run of texts, where each ends in the run, and the place of each text's first token (one entry more than texts)."""
     points, size = code_points(data, offsets)
@@ -451,7 +411,7 @@ def encode_run(data: np.ndarray, offsets: np.ndarray, ranks: Ranks) -> tuple[np.
         count[long] = [len(t) for t in tokens]
         at[long] = len(flat) + np.cumsum(count[long]) - count[long]
         flat = np.concatenate([flat, np.concatenate([np.array(t, np.int32) for t in tokens])])
-    ids = flat[np.repeat(at, count) + _spread(count)].astype(np.int64)
+    ids = flat[np.repeat(at, count) + spread(count)].astype(np.int64)
     ends = np.cumsum(ranks.size[ids])
     return ids, ends, np.searchsorted(ends, offsets, side="right")
 
@@ -489,7 +449,7 @@ def decode_run(ids: np.ndarray, ends: np.ndarray, ranks: Ranks) -> np.ndarray:
     """The bytes of tokens, each put where its offset says."""
     size = ranks.size[ids]
     out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
-    step = _spread(size)
+    step = spread(size)
     out[np.repeat(ends - size, size) + step] = ranks.bytes[np.repeat(ranks.start[ids], size) + step]
     return out
 
