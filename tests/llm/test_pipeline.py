@@ -19,7 +19,7 @@ from tools.compare import as_bag, tables_in_duckdb
 ROOT = Path(entry_module.__file__).parent
 
 
-def plain_cut(rows, length=400):
+def plain_cut(rows, length=corpus_pipeline.REPEAT_BYTES):
     """Texts without repeated strings, by counting every string."""
     count = Counter(t[p : p + length] for t in rows for p in range(len(t) - length + 1))
     out = []
@@ -93,12 +93,32 @@ def test_run_is_the_stages(spark, folder, stages):
 
 
 def test_stages_on_odd_documents(spark, folder, documents, odd_texts):
-    for docs in (documents(odd_texts), documents([])):
+    """Of the odd texts the one repeated under a larger id goes, and of two equal rows one; the mix decides on the rest; every mixed row has its tokens."""
+    kept = sorted({i for i, _ in odd_texts if i is not None} - {6})
+    for rows in (odd_texts, []):
+        made = [documents(rows)]
         for _, stage in corpus_pipeline.STAGES:
-            columns = docs.columns
-            docs = settle(stage(spark, docs, folder), "odd")
-            assert docs.columns == columns or "ids" in docs.columns
-        assert docs.count() == (0 if not odd_texts or docs.count() == 0 else docs.count())
+            made.append(settle(stage(spark, made[-1], folder), "odd"))
+            assert made[-1].columns == made[0].columns or "ids" in made[-1].columns
+        if not rows:
+            assert [d.count() for d in made] == [0] * 6
+            continue
+        for at in (2, 3):
+            assert sorted(r.doc_id for r in made[at].filter("doc_id is not null").collect()) == kept
+            assert made[at].filter("doc_id is null").count() == 1
+        assert {r.doc_id for r in made[4].collect()} <= {*kept, None} and 0 < made[4].count() <= 3 * made[3].count()
+        assert made[5].count() == made[4].count() and made[5].filter("not lossless").count() == 0
+
+
+def test_a_passage_of_51_words_goes(spark, folder, documents):
+    """A passage that two documents share goes from both; what stands around it, and a text of its own, stays."""
+    words = "alder birch cedar daphne elm fir gorse hazel iris jasmine kelp larch maple nettle oak pine quince rose sage thyme".split()
+    passage = " ".join(f"{words[i % 20]}{words[(i * 7 + 3) % 20][:2]}" for i in range(51))
+    texts = [f"first part {passage} of one", f"others {passage} stand here", "a text alone " + " ".join(reversed(passage.split()))]
+    assert len(passage) >= corpus_pipeline.REPEAT_BYTES
+    docs = documents(list(enumerate(texts)))
+    got = {r.doc_id: r.text for r in corpus_pipeline.repeats_out(spark, docs, folder).collect()}
+    assert got == {0: "first partof one", 1: "othersstand here", 2: texts[2]}
 
 
 @pytest.mark.parametrize("name", sorted(all_sql()))
@@ -118,7 +138,7 @@ def test_plans_have_no_cross_join(spark, folder):
 
 def test_names():
     ops = [n for n in all_queries() if n != "pipeline"]
-    assert sorted(int(n[2:].split("_")[0]) for n in ops) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in ops) == list(range(1, 14))
     assert set(all_queries()) <= set(entry_module.queries()) and set(all_sql()) <= set(entry_module.oracle_sql())
 
 
