@@ -48,10 +48,15 @@ def near_copies_out(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
     return setjoin.one_of_each(docs)
 
 
+#: Repeated strings of so many bytes go: 51 words reach it unless they are shorter than 3.7 letters on average. The operator's
+#: other two lengths are in proportion.
+REPEAT_BYTES, REPEAT_GRAM, REPEAT_REACH = 240, 20, 110
+
+
 @_stage
 def repeats_out(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Strings of 400 bytes that start more than once go from every text; documents stay, if need be empty."""
-    return suffixes.without_repeats(docs)
+    """Strings of 240 bytes that start more than once go from every text; documents stay, if need be empty."""
+    return suffixes.without_repeats(docs, REPEAT_BYTES, REPEAT_GRAM, REPEAT_REACH)
 
 
 @_stage
