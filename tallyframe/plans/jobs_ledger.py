@@ -11,6 +11,8 @@ from tallyframe.operators import joins as J
 from tallyframe.operators import predicates as P
 from tallyframe.operators import unions as U
 from tallyframe.plans.registry import ORDERS_AS_OF, query
+from tallyframe.session import new_table_path
+from tallyframe.sinks.loads import publish
 from tallyframe.plans.scans_filters import _CODES_SQL, _code_list
 
 MONEY_SUM = "CAST(sum(CAST({} AS DECIMAL(18,2))) AS DOUBLE)"
@@ -105,6 +107,11 @@ SELECT DISTINCT s_nationkey AS sucursal, s_suppkey AS centro, -s_acctbal AS sald
 UNION ALL SELECT DISTINCT c_nationkey, c_custkey, -c_acctbal, DATE '{ORDERS_AS_OF}' FROM customer WHERE c_acctbal <> 0 AND c_mktsegment IN ('BUILDING', 'MACHINERY')
 """)
 def job_balance_monitor(t):
+    """Loads ``balance_monitor`` as a day's snapshot and a dated CSV, and returns the day read back."""
+    return publish(balance_monitor(t), new_table_path(t.spark, "balance_monitor"), ORDERS_AS_OF)
+
+
+def balance_monitor(t):
     """Distinct current balances with flipped sign and the load date."""
 
     def balances(rows, office, centre, amount):

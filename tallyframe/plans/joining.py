@@ -58,7 +58,7 @@ def left_join_filtered_on(t):
 SELECT event_id, user_id, value, c_name FROM events LEFT JOIN customer ON user_id = c_custkey
 """)
 def left_equi_join_salted(t):
-    """Users may be hot: their events spread over salts, customers repeat once per salt."""
+    """Users may be hot: the events of heavy ones spread over salts, and only the customers of these repeat, once per salt."""
     events = t.events.select("event_id", "user_id", "value")
     return J.salted_lookup(events, t.customer.select("c_custkey", "c_name"), {"user_id": "c_custkey"})
 

@@ -31,7 +31,10 @@ def _replace_partitions(df: DataFrame, path: str, partition: str) -> DataFrame:
 
 
 def append_snapshot(df: DataFrame, path: str, as_of: date | str, partition: str = "as_of") -> DataFrame:
-    """Add the snapshot of one day. Loading that day again replaces it, and loading it without rows empties it."""
+    """Add the snapshot of one day. Loading that day again replaces it, and loading it without rows empties it.
+
+    While a day is replaced, a reader does not see it; other days stay as they are.
+    """
     rows = df.drop(partition)
     rows.write.mode("overwrite").parquet(f"{path}/{partition}={day(as_of).isoformat()}")
     schema = T.StructType([*rows.schema.fields, T.StructField(partition, T.DateType())])

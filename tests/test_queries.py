@@ -12,6 +12,8 @@ from tests.conftest import plan_of
 from tools.compare import compare, tables_in_duckdb
 
 NAMES = list(all_queries())
+#: Queries that look for what the tables do not have.
+EMPTY = {"duplicate_order_keys"}
 
 
 def check_plan(df):
@@ -31,7 +33,7 @@ def duck(folder):
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_sql(spark, duck, folder, name):
     ok, note = compare(spark, duck, all_queries()[name], folder, check_plan)
-    assert ok or (all_queries()[name].sql is not None and note.startswith("0 rows")), note
+    assert ok or (name in EMPTY and note.startswith("0 rows")), note
 
 
 def test_contract(spark):
