@@ -5,22 +5,38 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyframe.session import new_table_path
+
 
 def infer_json_schema(df: DataFrame, json_col: str) -> str:
     """DDL type of a JSON text column, merged over all rows (one aggregate, one row back)."""
-    row = df.select(F.schema_of_variant_agg(F.try_parse_json(json_col)).alias("s")).first()
+    return _inferred(df, F.try_parse_json(json_col))
+
+
+def _inferred(df: DataFrame, tree: Column) -> str:
+    row = df.select(F.schema_of_variant_agg(tree).alias("s")).first()
     text = row["s"] or "OBJECT<>"
     text = re.sub(r"\bOBJECT<", "STRUCT<", text)
     return re.sub(r"\bVOID\b", "STRING", text)
 
 
 def json_column_infer(df: DataFrame, json_col: str, out: str = "doc") -> DataFrame:
-    """Parse a JSON text column by its inferred schema; the other columns stay."""
-    return df.withColumn(out, F.from_json(json_col, infer_json_schema(df, json_col)))
+    """Parse a JSON text column by its inferred schema; the other columns stay.
+
+    The text is parsed once, to a variant that is written to the shared folder with the other columns: the schema is inferred
+    from there, and values are taken from there by it.
+    """
+    path = new_table_path(df.sparkSession, "parsed")
+    df.withColumn("__tree", F.try_parse_json(json_col)).write.parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    schema = _inferred(stored, F.col("__tree"))
+    if schema == "STRUCT<>":  # no object anywhere, so there is nothing to take
+        return stored.withColumn(out, F.from_json(json_col, schema)).drop("__tree")
+    return stored.withColumn(out, F.try_variant_get("__tree", "$", schema)).drop("__tree")
 
 
 def json_parse_schema(df: DataFrame, json_col: str, schema: T.StructType | str, out: str = "doc") -> DataFrame:

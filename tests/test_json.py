@@ -252,3 +252,14 @@ def test_lists_and_plain_values_of_variants(spark):
     got = df.select(W.listed(tree, opens).alias("l"), W.first_plain(tree, opens).alias("p")).collect()
     assert [r.l for r in got] == [["1", "y"], ["a", "b"], ["p"], None, None, [], None, None]
     assert [r.p for r in got] == ["1", None, "p", "x", "plain", None, "3.5", None]
+
+
+def test_inferred_documents_are_parsed_once(spark):
+    texts = ['{"a":1,"b":{"c":"x"},"l":[1,2]}', '{"a":2.5,"b":{"d":null}}', "bad", None, '{"n b":true}']
+    df = S.json_column_infer(spark.createDataFrame(list(enumerate(texts)), "i int, j string"), "j")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and "parse_json" not in plan
+    got = {r.i: r.doc for r in df.select("i", "doc").collect()}
+    assert got[0]["b"]["c"] == "x" and got[0]["l"] == [1, 2] and float(got[1]["a"]) == 2.5 and got[4]["n b"] is True and got[3] is None
+    none = S.json_column_infer(spark.createDataFrame([(1, "bad")], "i int, j string"), "j")
+    assert none.columns == ["i", "j", "doc"] and none.count() == 1
