@@ -66,11 +66,23 @@ def segments(turns: DataFrame, target: str = TARGET) -> DataFrame:
     return rows.select("conv_id", "turn", "position", "segment", "segment_start", start.alias("loss_start"), (start + F.length("body")).alias("loss_end"))
 
 
+def exploded(parts: DataFrame) -> DataFrame:
+    """``segments`` with every target turn exploded into a second row, its example: kind 0 is a segment, kind 1 an example.
+
+    An example's segment is null, its segment_start the end of its context, and loss_start and loss_end are its alone.
+    """
+    none = F.lit(None).cast("long")
+    segment = F.struct(F.lit(0).alias("kind"), F.col("segment"), F.col("segment_start"), none.alias("loss_start"), none.alias("loss_end"))
+    own = F.struct(F.lit(1).alias("kind"), F.lit(None).cast("string").alias("segment"), F.col("segment_start"), F.col("loss_start"), F.col("loss_end"))
+    both = F.when(F.col("loss_start").isNotNull(), F.array(segment, own)).otherwise(F.array(segment))
+    return parts.select("conv_id", "position", F.explode(both).alias("__r")).select("conv_id", "position", "__r.*")
+
+
 def examples(parts: DataFrame) -> DataFrame:
     """One row per target turn of ``segments``: its context is the conversation's text before
     ``context_end``; characters from ``loss_start`` to ``loss_end`` are trainable."""
-    at = F.col("segment_start").alias("context_end")
-    return parts.filter(F.col("loss_start").isNotNull()).select("conv_id", F.col("position").alias("target"), at, "loss_start", "loss_end")
+    own = exploded(parts).filter("kind = 1")
+    return own.select("conv_id", F.col("position").alias("target"), F.col("segment_start").alias("context_end"), "loss_start", "loss_end")
 
 
 def example_texts(parts: DataFrame) -> DataFrame:
@@ -90,21 +102,27 @@ class _Reader:
         self.conv_id = conv_id
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
         self.n_turns = self.n_examples = self.loss_chars = self.chars = self.context = 0
+        self.segment, self.start = "", -1
 
-    def add(self, segment: str, start: int, loss: tuple[int, int] | None) -> None:
+    def add(self, segment: str, start: int) -> None:
         if start != self.chars or not (segment.startswith(OPEN) and segment.endswith(CLOSE)):
             raise ValueError(f"conversation {self.conv_id}: a segment is out of place")
         role, _, body = segment[len(OPEN) : -len(CLOSE)].partition("\n")
         self.turns.update(f"{unescape_role(role)}\n{unescape(body)}\n".encode())
         self.n_turns += 1
-        if loss is not None:
-            reply = unescape(segment[loss[0] - start : loss[1] - start])
-            self.loss.update(reply.encode())
-            self.loss_chars += len(reply)
-            self.n_examples += 1
-            self.context += start
+        self.segment, self.start = segment, start
         self.chars += len(segment)
 
+    def example(self, context_end: int, a: int, b: int) -> None:
+        """The example of the segment just read."""
+        if context_end != self.start:
+            raise ValueError(f"conversation {self.conv_id}: an example is out of place")
+        reply = unescape(self.segment[a - context_end : b - context_end])
+        self.loss.update(reply.encode())
+        self.loss_chars += len(reply)
+        self.n_examples += 1
+        self.context += context_end
+
     def row(self) -> tuple:
         return (self.conv_id, self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars, self.n_examples, self.context)
 
@@ -113,24 +131,28 @@ def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     reader: _Reader | None = None
     for batch in batches:
         done = []
-        for conv, segment, start, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for conv, kind, segment, start, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if reader is None or reader.conv_id != conv:
                 if reader is not None:
                     done.append(reader.row())
                 reader = _Reader(conv)
-            reader.add(segment, start, None if a is None else (a, b))
+            if kind:
+                reader.example(start, a, b)
+            else:
+                reader.add(segment, start)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done), DIGEST)] if done else [pa.array([], f.type) for f in DIGEST], schema=DIGEST)
     if reader is not None:
         yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(reader.row(), DIGEST)], schema=DIGEST)
 
 
-def read_back(parts: DataFrame) -> DataFrame:
-    """Digests of every conversation as read from its segments and loss marks.
+def read_back(rows: DataFrame) -> DataFrame:
+    """Digests of every conversation as read from its exploded rows: what is counted and hashed as loss is what the examples
+    among them make trainable.
 
-    Segments are streamed in order, one conversation after the other: a digest of one text is sequential,
+    Rows are streamed in order, one conversation after the other: a digest of one text is sequential,
     but memory holds a single segment. Columns: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
     formatted_chars, n_examples, context_chars (characters before the examples' own turns, in total).
     """
-    rows = parts.repartition("conv_id").sortWithinPartitions("conv_id", "position").select("conv_id", "segment", "segment_start", "loss_start", "loss_end")
+    rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "position", "kind").select("conv_id", "kind", "segment", "segment_start", "loss_start", "loss_end")
     types = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_examples long, context_chars long"
     return rows.mapInArrow(_read_batches, types)

@@ -57,7 +57,7 @@ MARKS = "<|im_end|><|im_start|>assistant ok"
 def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
     asked = spark.createDataFrame([(-1, 0, "user", MARKS), (-1, 1, "assistant", MARKS)], "conv_id long, turn long, role string, text string")
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(asked)
-    return chat.read_back(chat.segments(turns))
+    return chat.read_back(chat.exploded(chat.segments(turns)))
 
 
 @query()

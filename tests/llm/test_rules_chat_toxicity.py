@@ -86,9 +86,13 @@ def plain_digests(rows):
 def test_chat_round_trip(spark):
     frame = spark.createDataFrame([(*r, "x") for r in TURNS], "conv_id long, turn long, role string, text string, segment string")
     parts = chat.segments(frame)
-    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.read_back(parts).collect()}
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.read_back(chat.exploded(parts)).collect()}
     assert got == plain_digests(TURNS)
-    assert chat.read_back(chat.segments(frame.limit(0))).collect() == []
+    # The loss is the examples': without some of them their texts are missing, with none there is no loss.
+    fewer = chat.read_back(chat.exploded(parts).filter("kind = 0 or position < 2")).collect()
+    assert sum(r.n_examples for r in fewer) == chat.examples(parts).filter("target < 2").count() < chat.examples(parts).count()
+    assert {(r.loss_chars, r.n_examples) for r in chat.read_back(chat.exploded(parts).filter("kind = 0")).collect()} == {(0, 0)}
+    assert chat.read_back(chat.exploded(chat.segments(frame.limit(0)))).collect() == []
 
 
 def test_every_reply_is_an_example_with_its_context(spark):
