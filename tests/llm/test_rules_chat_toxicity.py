@@ -152,3 +152,38 @@ def test_sample_is_bounded_and_without_held_out_rows(spark, documents):
     assert toxicity.sample(docs, labels, rows=30).count() == 30
     drawn = toxicity.sample(docs, labels, where=~toxicity.held_out()).collect()
     assert {int(r.text.split()[1]) for r in drawn} == {i for i in range(100) if zlib.crc32(b"%d" % i) % 5}
+
+
+def plain_shares(text):
+    """Characters in words inside n-grams that occur twice, and of the most frequent short n-gram, by counting."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    out = {}
+    for n in range(2, 11):
+        grams = Counter(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+        inside = {j for i in range(len(words) - n + 1) if grams[tuple(words[i : i + n])] > 1 for j in range(i, i + n)}
+        if n in repetition.COVER:
+            out[f"dup_{n}_chars"] = sum(len(words[j]) for j in inside)
+        most = max(grams.values(), default=0)
+        if n in repetition.TOP:
+            longest = max((len("".join(g)) for g, k in grams.items() if k == most), default=0)
+            out[f"top_{n}_chars"] = min(most * longest, sum(map(len, words))) if most >= repetition.TOP_LEAST else 0
+    return out
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["a", "bb", "é", "word", "x", "日本"]), max_size=60).map(" ".join))
+def test_coverage_of_any_text(text):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array([text], pa.string())], ["doc_id", "text"])
+    row = next(repetition._measure_batches([batch])).to_pylist()[0]
+    assert {c: row[c] for c in plain_shares(text)} == plain_shares(text)
+
+
+def test_coverage_decides_beyond_the_base_rule(spark, documents):
+    """A passage of long words quoted twice: a tenth of the words, most of the characters. With short words it stays."""
+    own = [f"{a}{b}" for a in "ka lo mi nu pe ra so tu ve wi".split() for b in "na re ti bo du fe gi ha jo".split()]
+    long, short = " ".join(w * 12 for w in own[:5]), " ".join(own[:5])
+    texts = {i: " ".join([x, *own[5:45], x, *own[45:]]) for i, x in enumerate((long, short))}
+    got = {r.doc_id: (r.base_failed, r.kept) for r in repetition.quality(documents(list(texts.items()))).collect()}
+    assert got == {0: (False, False), 1: (False, True)}
