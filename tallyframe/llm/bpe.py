@@ -33,8 +33,8 @@ MARK = "▁"
 DROPOUT = 0.1
 SEED = 23
 #: Words, segments, and nodes of their trees that a worker remembers; a forgotten one is worked out again, with the same result.
-REMEMBERED = 300_000
-NODES = 1 << 20
+REMEMBERED = 100_000
+NODES = 1 << 18
 #: A tree grows where so many occurrences among the texts at hand need it; others are merged by themselves, with the same result.
 OFTEN = 4
 
@@ -43,7 +43,7 @@ SHORT = 64
 #: Segments merged together; texts, and characters unless it is one text, whose ids are held at a time.
 RUN = 8192
 ROWS = 512
-CHARS = 1 << 21
+CHARS = 1 << 20
 NEVER = np.iinfo(np.int64).max
 #: Stands for a space mark of the text itself while spaces are marks.
 HELD = "\ufffe"
