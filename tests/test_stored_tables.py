@@ -147,6 +147,17 @@ def test_a_hot_key_of_ranges_is_split_by_bins(spark, folder, no_broadcast):
     assert re.search(r"hashpartitioning\([^)]*__b#", plan) and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_pairs_of_points_and_ranges_are_listed_once(spark):
+    """Rows without a match are found by distinct points and semi join; long ranges lie in many narrow bins."""
+    left = spark.createDataFrame([("a", d % 900) for d in range(4000)], "k string, p long")
+    right = spark.createDataFrame([("a", d, None, d) for d in range(40)] + [("a", 2000, 2001, 99)], "k string, lo long, hi long, r int")
+    found = J.range_lookup(left, right, "k", "p", "lo", "hi", ["r"], width=1)
+    assert found.count() == sum(min(d % 900, 39) + 1 for d in range(4000))
+    logical = found._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Join Inner", logical)) == 1 and "Join LeftSemi" in logical
+    assert J.BINS_PER_RANGE >= 64
+
+
 def test_rejected_lines(spark, rows, tmp_path):
     lines = ["1;2.5;2024-01-01", "", "2;x;2024-01-01", "3;1.0", "4;1.0;2024-13-01", '5;"1.5";2024-01-02', "6;1;2024-01-01;z", "q;1;2024-01-01", ";;", "7;;2024-01-03"]
     (tmp_path / "in").mkdir()
