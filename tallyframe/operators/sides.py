@@ -5,7 +5,8 @@ A wide job brings dozens of single values to a fact: the newest row of some kind
 with one pass over each table and one join per key: the tables of a key are narrowed to entries, put under each other,
 shuffled once and aggregated together, so a further value costs a column and neither a scan nor a join.
 
-An aggregate combines on the map side, so a key that holds a third of a table sends one row per task.
+An aggregate combines on the map side, so a key that holds a third of a table sends one row per task. Many values of one table make
+entries several times as wide as its rows; there the rows are shuffled as they are, and entries are made and aggregated where they arrive.
 """
 
 from __future__ import annotations
@@ -91,6 +92,10 @@ class Side:
     where: Column | None = None
 
 
+#: From so many values of a single table on, its rows are shuffled instead of their entries.
+WIDE = 8
+
+
 def _entries(table: DataFrame, keys: Sequence[str], sides: Sequence[tuple[int, Side]]) -> DataFrame:
     """A table as its keys and one entry per side, without rows that no side wants and without null keys."""
     if all(s.where is not None for _, s in sides):
@@ -105,6 +110,9 @@ def gathered(tables: Mapping[str, DataFrame], sides: Sequence[Side]) -> DataFram
     by_table: dict[tuple[str, tuple[str, ...]], list[tuple[int, Side]]] = {}
     for i, s in enumerate(sides):
         by_table.setdefault((s.table, tuple(s.on.values())), []).append((i, s))
+    if len(by_table) == 1 and len(sides) >= WIDE:
+        (name, keys), = by_table
+        tables = {name: tables[name].repartition(*[F.expr(k) for k in keys])}
     parts = [_entries(tables[name], keys, own) for (name, keys), own in by_table.items()]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     names = [c for c in rows.columns if c.startswith("__k")]

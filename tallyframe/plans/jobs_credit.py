@@ -326,17 +326,17 @@ LEFT JOIN wage ON y = CAST(date_trunc('year', o_orderdate) AS DATE) LEFT JOIN pe
 def job_portfolio_history(t):
     """Closing and current balances side by side on a many-part key, with all that is known about the credit and its people.
 
-    Values of a credit's lines and of its instance are sides of one key, so the lines are read twice in all: by credit and office, and
-    by credit.
+    The lines are read twice in all: by credit and office, and by credit. Both times narrow rows are shuffled, by credit, so that neither their
+    aggregates nor their join move them again. What is known about people is joined to credits, and the lines meet it once, by credit.
     """
 
     early = P.before_day("l_shipdate", "2000-06-01")
     price, line, quantity = F.col("l_extendedprice"), F.col("l_linenumber"), F.col("l_quantity")
-    both = t.lineitem.groupBy("l_orderkey", "l_suppkey").agg(
+    both = t.lineitem.repartition("l_orderkey").groupBy("l_orderkey", "l_suppkey").agg(
         N.sum_money(F.when(early, price)).alias("balance_before"), F.sum(F.when(early, 1)).alias("rows_before"),
         N.sum_money(F.when(~early, price)).alias("balance_now"), F.sum(F.when(~early, 1)).alias("rows_now"),
     )
-    on, own = {"l_orderkey": "l_orderkey"}, {"l_orderkey": "o_orderkey"}
+    on = {"l_orderkey": "l_orderkey"}
     text = F.col("l_linestatus") == "O"
     rates = {"rate_1": 1, "rate_2": 2, "rate_3": 3, "rate_alco": 7}
     instance = {c: F.col(c) for c in ("o_custkey", "o_orderpriority", "o_orderstatus", "o_totalprice", "o_orderdate")}
@@ -348,23 +348,24 @@ def job_portfolio_history(t):
         S.Side("lines", on, S.Pick({"small_business_rate": F.col("l_discount")}, newest), line.isin(2, 3) & (F.col("l_discount") > 0)),
         S.Side("lines", on, S.Value("other_guarantee", "exists"), quantity < 5),
         S.Side("lines", on, S.Value("guarantee_part", "min", F.col("l_partkey")), quantity >= 40),
-        S.Side("credits", own, S.Pick(instance, [F.col("o_orderdate")])),
     ]
-    df = S.gather(both, {"lines": t.lineitem, "credits": t.orders}, sides)
+    newest_credit = S.Side("credits", {"credit": "o_orderkey"}, S.Pick(instance, [F.col("o_orderdate")]))
+    credit = S.gathered({"credits": t.orders}, [newest_credit]).select(F.col("__k0").alias("credit"), *newest_credit.make.out(F.col("__v0")))
     person = measured(_aging_people(t))
     kinds = t.orders.groupBy("o_custkey", "o_orderpriority").agg(F.count("*").alias("n"))
     listed = S.Side("kinds", {"o_custkey": "o_custkey"}, S.Listing("credit_kinds", F.concat("o_orderpriority", F.lit("-"), F.col("n").cast("string"))))
     years = measured(t.orders.groupBy(D.year_start(F.col("o_orderdate")).alias("y")).agg((F.min("o_totalprice") + 9000).alias("w")))
     second = person.withColumn("c_custkey", F.col("c_custkey") - 1)
-    df = S.gather(df.withColumn("y", D.year_start(F.col("o_orderdate"))), {"kinds": kinds}, [listed])
-    df = J.star_denormalize(
-        df,
+    credit = S.gather(credit.withColumn("y", D.year_start(F.col("o_orderdate"))), {"kinds": kinds}, [listed])
+    credit = J.star_denormalize(
+        credit,
         [
             J.Dimension(years, "y", ["w"]),
             J.Dimension(person, {"o_custkey": "c_custkey"}, ["c_name", "zone", "region", "home", "business", "work", "contacts", "score", "first_adviser", "last_adviser"]),
             J.Dimension(second, {"o_custkey": "c_custkey"}, {"c_name": "codebtor", "contacts": "codebtor_contacts"}),
         ],
     )
+    df = J.lookup(S.gather(both, {"lines": t.lineitem}, sides), credit, {"l_orderkey": "credit"})
     segments = [
         K.Segment(name, F.lit(low), F.lit(high), low_open=status is None, when=None if status is None else F.col("o_orderstatus") == status)
         for name, low, high, status in AGING_SEGMENTS

@@ -85,6 +85,14 @@ def test_passes_over_a_table(spark, folder, name, table, most):
     assert 1 <= len(re.findall(rf"Location: .*/{table}\.parquet", plan)) <= most
 
 
+def test_lines_of_the_history_move_as_narrow_rows_and_once(spark, folder):
+    """Neither their totals per office nor the people of their credits shuffle the lines again, and no wide entry is shuffled."""
+    plan = plan_of(all_queries()["job_portfolio_history"](spark, folder))
+    moved = [x.split("\n\n")[0] for x in re.split(r"\n\(\d+\) Exchange\n", plan)[1:]]
+    assert not any(re.search(r"hashpartitioning\(l_orderkey#\d+L?, l_suppkey", x) for x in moved)
+    assert not any("balance_before" in x for x in moved) and sum("l_suppkey" in x.split("Arguments")[0] for x in moved) == 2
+
+
 @pytest.mark.parametrize(("name", "column"), [("date_key_join", "y"), ("threshold_segment_by_year", "y"), ("theta_range_on", "p_brand")])
 def test_facts_are_not_shuffled_on_few_values(spark, folder, name, column):
     plan = plan_of(all_queries()[name](spark, folder))
