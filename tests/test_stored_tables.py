@@ -37,6 +37,15 @@ def test_bucketed_tables_join_without_a_shuffle(spark, folder, no_broadcast):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
+def test_buckets_grow_with_the_tables(spark, folder, monkeypatch):
+    """A bucket is one task's work: no bucket holds more than its share, and the join still needs no shuffle."""
+    assert [K.buckets_for(n, 8) for n in (0, 8_000_000, 8_000_001, 216_000_000)] == [8, 8, 16, 256]
+    monkeypatch.setattr(K.buckets_for, "__defaults__", (100,))
+    made = all_queries()["load_bucketed_join"](spark, folder)
+    assert int(re.search(r"SelectedBucketsCount: \d+ out of (\d+)", plan_of(made)).group(1)) > 8
+    assert made.count() == spark.read.parquet(f"{folder}/orders.parquet").count()
+
+
 def test_bucketed_load_replaces_and_checks(spark, rows):
     name, path = "tallyframe_test_buckets", new_table_path(spark, "buckets")
     K.bucketed_load(spark.range(10), name, ["id"], 4, path)
