@@ -122,6 +122,25 @@ def test_each_event_once_in_five_batches(spark, folder):
     assert counts == spark.read.parquet(f"{folder}/events.parquet").count()
 
 
+def test_a_delivery_of_many_files_is_one_batch(spark, folder, monkeypatch):
+    """Batches follow from deliveries, not from the number of files that a larger table has."""
+    logs, append = [], I.append_increments
+    monkeypatch.setattr(I, "append_increments", lambda stream, path, log: (logs.append(log), append(stream, path, log))[1])
+    before = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    spark.conf.set("spark.sql.files.minPartitionNum", "8")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        path = new_table_path(spark, "many_files")
+        spark.read.parquet(f"{folder}/events.parquet").repartition(6).write.parquet(f"{path}/events.parquet")
+        rows = all_queries()["stream_once_each"](spark, path)
+        assert rows.agg(F.sum("n")).first()[0] == spark.read.parquet(f"{folder}/events.parquet").count()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum") if before is None else spark.conf.set("spark.sql.files.minPartitionNum", before)
+    files = os.listdir(f"{logs[0]}/sources/0")
+    assert len(set(logs)) == 1 and len([f for f in files if f.isdigit()]) == 5
+
+
 def plain_ranges(points, ranges, how):
     out = []
     for p in points:
