@@ -1,23 +1,30 @@
-"""Main text of web pages by a template of tokens that are once a page.
+"""Main text of web pages by a template of equivalence classes.
 
 Tokens of a page are its start tags and blocks of text, each with the path of block elements it stands in. Over the pages of
-a host, tags in half of the pages or more that are once in each page that has them frame it. The main slot is the
-deepest frame element that still holds most of the text outside links and page furniture; its texts are the article.
-
-Tokens whose occurrence vectors (how often in which page) are equal make a class. Classes are counted, but do not decide: their
-order is not checked, they are not nested, and no slots are formed between their tokens.
-
-Vectors are compared by fingerprint: the sum, over pages, of count times a hash of the page. Sums are made per task before
-they are shuffled, so a host with a third of all pages costs as many rows as others.
+a host, frequent tokens whose occurrence vectors (how often in which page) are equal make a class. Tokens of a class that stand in
+different elements of another class have different roles there, so the class is parted by them.
+
+* Order: a class is ordered by the mean places of its tokens; every page tells which of them stand in that order. A class that
+  repeats within a page has to repeat as a whole.
+* Nesting: a class stands in a gap of the class around it: in one of its elements, behind one of its tokens. Every page tells which gap.
+  A token that is not in its order and its gap in nearly all of its pages is not of the template, nor is what stands in it.
+* Slots are the gaps that hold text. The main slot is what lies in the deepest element of the template in whose slots, those of
+  nested classes included, most of the text outside links and page furniture is; its texts are the article.
+
+Vectors are compared by fingerprint: the sum, over pages, of count times a hash of the page. Sums and votes are made per task before
+they are shuffled, so a host with a third of all pages costs as many rows as others. Pages are parsed once for the template: orders
+and gaps are read from lists of their tokens.
 """
 
 from __future__ import annotations
 
 import html
+import json
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
@@ -28,6 +35,9 @@ from tallyframe.llm.base import settle
 
 #: Share of a host's pages that a token of the template is in.
 SUPPORT = 0.5
+#: Share of a token's pages that have it in its class's order and in one gap of the class around, at least. Pages that have not are
+#: read by a template of their own.
+AGREE = 0.9
 #: Share of the text that the main slot keeps, at least.
 MAIN = 0.8
 #: A text that is once in so many of a host's pages is the template's, if the host has so many pages at least.
@@ -207,13 +217,13 @@ def fixed_token(element: Element, words: str) -> str:
     return f"{element.path}#{xxhash.xxh64_hexdigest(words)}"
 
 
-def measured(page: str) -> tuple[dict[str, list[int]], dict[str, int], dict[str, list[int]]]:
+def measured(page: str, found: list | None = None) -> tuple[dict[str, list[int]], dict[str, int], dict[str, list[int]]]:
     """Tags: path and name -> [count, place of the first]. Blocks: path and fingerprint -> count. Slots: path -> [characters of
     text, of it in links] outside furniture."""
     tags: dict[str, list[int]] = {}
     texts: dict[str, int] = {}
     slots: dict[str, list[int]] = {}
-    for place, (kind, element, value, linked) in enumerate(parts(page)):
+    for place, (kind, element, value, linked) in enumerate(parts(page) if found is None else found):
         if kind == "open":
             tags.setdefault(value, [0, place])[0] += 1
             continue
@@ -226,11 +236,22 @@ def measured(page: str) -> tuple[dict[str, list[int]], dict[str, int], dict[str,
     return tags, texts, slots
 
 
+def _and_above(path: str) -> Iterator[str]:
+    """A path and those of the elements around."""
+    while path:
+        yield path
+        path = path.rpartition("/")[0]
+
+
 def main_path(frame: list[str], slots: dict[str, list[int]]) -> str:
     """The deepest path of a frame (elements once a page) whose slots hold the share ``MAIN`` of all text outside links."""
-    inside = {p: sum(s[0] - s[1] for q, s in slots.items() if q == p or q.startswith(p + "/")) for p in frame}
+    inside = dict.fromkeys(frame, 0)
+    for path, (chars, linked) in slots.items():
+        for around in _and_above(path):
+            if around in inside:
+                inside[around] += chars - linked
     whole = sum(s[0] - s[1] for s in slots.values())
-    enough = [p for p in frame if whole and inside[p] >= MAIN * whole]
+    enough = [p for p, own in inside.items() if whole and own >= MAIN * whole]
     return max(enough, key=lambda p: (p.count("/"), p), default="")
 
 
@@ -249,12 +270,13 @@ def main_text(page: str | None, main: str | None, constants: frozenset[str] = fr
     """
     if not page:
         return ""
-    tags, _, slots = measured(page)
+    found = parts(page)
+    tags, _, slots = measured(page, found)
     places = [tags[t][1] for t in order or () if t in tags]
     if not main or not any(_within(p, main) for p in slots) or places != sorted(places):
         main, constants = main_path(_frame(t for t, (count, _) in tags.items() if count == 1), slots), frozenset()
     blocks = [
-        (e, value, linked < len(value)) for kind, e, value, linked in parts(page)
+        (e, value, linked < len(value)) for kind, e, value, linked in found
         if kind == "block" and not (constants and fixed_token(e, value) in constants)
     ]
     # The slot is a host's; where this page has text of its own outside, the next element around that holds it too.
@@ -281,67 +303,240 @@ def _is_title(path: str) -> bool:
 
 # ---- the same over hosts ----
 
-SUMS = ("f1", "f2", "pages", "count", "place", "chars", "linked")
+LISTS = "host string, page_id long, tokens array<string>, chars array<int>, linked array<int>"
+SUMS = ("f1", "f2", "pages", "count", "place")
+VOTES = ("pages", "chars", "linked")
+#: The gap of a token that has several in a page, or is not in order.
+ASTRAY = -2
 
 
-def _stat_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _list_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens of each page in page order; with those of blocks the characters of their text outside furniture, and of it in links."""
     for batch in batches:
-        sums: dict[tuple[str, str], np.ndarray] = {}
+        rows = []
         for host, page_id, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if not page:
-                continue
+            if page:
+                found = [
+                    (value, 0, 0) if kind == "open" else (fixed_token(e, value), *((0, 0) if e.furniture else (len(value), linked)))
+                    for kind, e, value, linked in parts(page)
+                ]
+                rows.append((host, page_id, *([x[i] for x in found] for i in range(3))))
+        types = (pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["host", "page_id", "tokens", "chars", "linked"])
+
+
+def _summed(sums: dict[tuple, list[int]], keys: list[tuple[str, pa.DataType]], names: tuple[str, ...]) -> pa.RecordBatch:
+    columns = [pa.array([k[i] for k in sums], t) for i, (_, t) in enumerate(keys)]
+    columns += [pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(len(names))]
+    return pa.RecordBatch.from_arrays(columns, [*(k for k, _ in keys), *names])
+
+
+def _stat_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of each token of a host: of its occurrence vector's fingerprints, its pages, occurrences and first places."""
+    for batch in batches:
+        sums: dict[tuple, list[int]] = {}
+        for host, page_id, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             hashed = xxhash.xxh64_intdigest(f"{page_id}")
             r1, r2 = hashed & 0x3FFFFFFF, hashed >> 34
-            tags, texts, slots = measured(page)
-            rows = [("", 1, 0, 0, 0)]
-            rows += [(t, count, place, 0, 0) for t, (count, place) in tags.items()]
-            rows += [(t, count, 0, 0, 0) for t, count in texts.items()]
-            rows += [(f"{p}|", 1, 0, chars, linked) for p, (chars, linked) in slots.items()]
-            for token, count, place, chars, linked in rows:
-                add = (count * r1, count * r2, 1, count, place, chars, linked)
-                known = sums.get((host, token))
-                sums[host, token] = add if known is None else tuple(map(sum, zip(known, add)))
-        keys = list(sums)
-        values = list(zip(*sums.values())) if keys else [()] * len(SUMS)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[i] for k in keys], pa.string()) for i in (0, 1)] + [pa.array(v, pa.int64()) for v in values], ["host", "token", *SUMS]
-        )
-
-
-def _deduce(frame: pd.DataFrame) -> pd.DataFrame:
-    """Classes and template of one host from its frequent tokens, of which there are at most as many as two pages' worth."""
-    pages = int(frame.loc[frame["token"] == "", "pages"].iloc[0])
-    is_slot = frame["token"].str.endswith("|")
-    slots = {t[:-1]: [int(c), int(k)] for t, c, k in frame.loc[is_slot, ["token", "chars", "linked"]].itertuples(index=False)}
-    tokens = frame[~is_slot & (frame["token"] != "")]
-    tokens = tokens.assign(at=tokens["place"] / tokens["pages"]).sort_values(["at", "token"])
-    classes = [c for _, c in tokens.groupby(["f1", "f2", "pages", "count"], sort=True)]
-    # Tokens that are once in every page that has them frame the page, whatever their class.
-    once = tokens[tokens["pages"] == tokens["count"]]
-    order = [t for t in once["token"] if "#" not in t]
-    fixed = once[(once["pages"] >= FIXED * pages) & (pages >= LEAST_PAGES)]
-    constants = [t for t in fixed["token"] if "#" in t]
+            first: dict[str, int] = {"": 0}
+            for place, token in enumerate(tokens):
+                first.setdefault(token, place)
+            counts = Counter(tokens)
+            counts[""] = 1
+            for token, place in first.items():
+                known = sums.setdefault((host, token), [0] * len(SUMS))
+                n = counts[token]
+                known[0] += n * r1
+                known[1] += n * r2
+                known[2] += 1
+                known[3] += n
+                known[4] += place
+        yield _summed(sums, [("host", pa.string()), ("token", pa.string())], SUMS)
+
+
+def _around(token: str) -> str:
+    """The path of the element a token stands in."""
+    path, mark, name = token.rpartition("#" if "#" in token else "<")
+    own = mark == "<" and path.rpartition("/")[2].split(".")[0] == name
+    return path.rpartition("/")[0] if own else path
+
+
+def _element(path: str) -> str:
+    """The tag token of the element with a path."""
+    return f"{path}<{path.rpartition('/')[2].split('.')[0]}"
+
+
+def classes(frame: pd.DataFrame) -> pd.DataFrame:
+    """Frequent tokens of one host (token and ``SUMS``) in the order of their mean places, with their class and what it stands in.
+
+    A class has equal occurrence vectors and one token around (``up``, of another class; for a class that is once a page, of one that is
+    so, too). ``rank`` is a token's place in its class; it ``bounds`` a gap unless it is once a page in an element that repeats.
+    """
+    tokens = frame[frame["token"] != ""]
+    tokens = tokens.assign(at=tokens["place"] / tokens["pages"]).sort_values(["at", "token"]).reset_index(drop=True)
+    tokens["vector"] = tokens.groupby(["f1", "f2", "pages", "count"]).ngroup()
+    tokens["once"] = tokens["pages"] == tokens["count"]
+    of = {token: (vector, once) for token, vector, once in tokens[["token", "vector", "once"]].itertuples(index=False)}
+    ups, bounds = [], []
+    for token in tokens["token"]:
+        path, (vector, once) = _around(token), of[token]
+        bounds.append(not once or all(of.get(_element(x), (0, True))[1] for x in _and_above(path)))
+        while path and (found := of.get(_element(path), (vector, once))) and (found[0] == vector or once and not found[1]):
+            path = path.rpartition("/")[0]
+        ups.append(_element(path) if path else "")
+    tokens["bounds"], tokens["up"] = bounds, ups
+    tokens["group"] = tokens.groupby(["vector", "up"], sort=False).ngroup()
+    tokens["rank"] = tokens.groupby("group").cumcount()
+    return tokens[["token", "pages", "group", "rank", "once", "bounds", "up"]]
+
+
+def _host_classes(frame: pd.DataFrame) -> pd.DataFrame:
+    pages = frame.loc[frame["token"] == "", "pages"]
+    return pd.DataFrame({"host": [frame["host"].iloc[0]], "n_pages": [int(pages.iloc[0])], "classes": [json.dumps(classes(frame).values.tolist())]})
+
+
+def in_order(ranks: list[int], once: bool) -> set[int]:
+    """Which tokens of a class stand in its order, told by the ranks of its occurrences in a page.
+
+    Of a class that is once a page: those of a longest increasing sequence. Of one that repeats: all, if it repeats as a whole, else none.
+    """
+    if not once:
+        size = max(ranks) + 1
+        return set(ranks) if ranks == list(range(size)) * (len(ranks) // size) else set()
+    if all(a < b for a, b in zip(ranks, ranks[1:])):
+        return set(ranks)
+    ends: list[int] = []
+    before: dict[int, int | None] = {}
+    for r in ranks:
+        k = bisect_left(ends, r)
+        before[r] = ends[k - 1] if k else None
+        ends[k : k + 1] = [r]
+    out, r = set(), ends[-1]
+    while r is not None:
+        out.add(r)
+        r = before[r]
+    return out
+
+
+class Places:
+    """The classes of a host, as a page is held against them."""
+
+    def __init__(self, rows: list[list]) -> None:
+        group = {token: g for token, _, g, *_ in rows}
+        self.known = {token: (g, rank, group.get(up, -1), bounds) for token, _, g, rank, _, bounds, up in rows}
+        self.once = {g: once for _, _, g, _, once, *_ in rows}
+        self.size = Counter(group.values())
+        self.slot: dict[str, tuple[str, int]] = {}
+
+    def slot_of(self, path: str) -> tuple[str, int]:
+        """The innermost element of a class around a text, and its class."""
+        if path not in self.slot:
+            at = next((x for x in _and_above(path) if _element(x) in self.known), "")
+            self.slot[path] = at, self.known[_element(at)][0] if at else -1
+        return self.slot[path]
+
+    def votes(self, tokens: list[str], chars: list[int], linked: list[int]) -> Iterator[tuple[str, int, int, int, int]]:
+        """(token, its gap, 1, 0, 0) for tokens of classes, (path and "|", gap, 0, characters, those in links) for texts. A gap is
+        the rank of the last token, so far, of the class around."""
+        last: dict[int, int] = {}
+        ranks: dict[int, list[int]] = {}
+        gaps: dict[str, int] = {}
+        for token, n, k in zip(tokens, chars, linked, strict=True):
+            if n:
+                path, group = self.slot_of(token.rpartition("#")[0])
+                yield f"{path}|", last.get(group, -1), 0, n, k
+            if token in self.known:
+                group, rank, around, bounds = self.known[token]
+                gap = last.get(around, -1)
+                gaps[token] = gap if gaps.get(token, gap) == gap else ASTRAY
+                if bounds:
+                    last[group] = rank
+                ranks.setdefault(group, []).append(rank)
+        right = {g: in_order(x, self.once[g]) if self.once[g] or len(set(x)) == self.size[g] else set() for g, x in ranks.items()}
+        for token, gap in gaps.items():
+            group, rank, *_ = self.known[token]
+            yield token, gap if rank in right[group] else ASTRAY, 1, 0, 0
+
+
+def _vote_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hosts: dict[str, Places] = {}
+    for batch in batches:
+        sums: dict[tuple, list[int]] = {}
+        for host, tokens, chars, linked, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if host not in hosts:
+                if len(hosts) >= 64:
+                    hosts.clear()
+                hosts[host] = Places(json.loads(packed))
+            for token, gap, *add in hosts[host].votes(tokens, chars, linked):
+                known = sums.setdefault((host, token, gap), [0] * len(VOTES))
+                for i, x in enumerate(add):
+                    known[i] += x
+        yield _summed(sums, [("host", pa.string()), ("token", pa.string()), ("gap", pa.int32())], VOTES)
+
+
+def valid_tokens(rows: list[list], votes: pd.DataFrame) -> dict[str, int]:
+    """Tokens of the template with their gaps: those in order and in one gap in the share ``AGREE`` of their pages, and within others."""
+    best: dict[str, tuple[int, int]] = {}
+    for token, gap, pages in votes.loc[(votes["pages"] > 0) & (votes["gap"] != ASTRAY), ["token", "gap", "pages"]].itertuples(index=False):
+        best[token] = max(best.get(token, (0, 0)), (int(pages), int(gap)))
+    up = {token: around for token, *_, around in rows}
+    agreed = {token for token, pages, *_ in rows if best.get(token, (0, 0))[0] >= AGREE * pages}
+    out: dict[str, int] = {}
+    for token in up:
+        chain = [token]
+        while chain[-1] in agreed and chain[-1] not in out and up[chain[-1]]:
+            chain.append(up[chain[-1]])
+        if chain[-1] in agreed:
+            out.update((t, best[t][1]) for t in chain)
+    return out
+
+
+def _deduce(key: tuple, frame: pd.DataFrame, votes: pd.DataFrame) -> pd.DataFrame:
+    """The template of one host from its classes, of which there are at most as many tokens as in two pages, and its pages' votes."""
+    pages, rows = int(frame["n_pages"].iloc[0]), json.loads(frame["classes"].iloc[0])
+    valid = valid_tokens(rows, votes)
+    sizes = Counter(group for token, _, group, *_ in rows if token in valid)
+    # Slots: gaps with text. What stands in an element that is not of the template is in the gap of the next one around.
+    slots: dict[str, list[int]] = {}
+    gaps = set()
+    for token, gap, chars, linked in votes.loc[votes["chars"] > 0, ["token", "gap", "chars", "linked"]].itertuples(index=False):
+        path = token[:-1]
+        while path and _element(path) not in valid:
+            path, gap = path.rpartition("/")[0], ASTRAY
+        gaps.add((path, gap))
+        slot = slots.setdefault(path, [0, 0])
+        slot[0] += int(chars)
+        slot[1] += int(linked)
+    once = [(token, n) for token, n, _, _, alone, *_ in rows if alone and token in valid]
+    order = [t for t, _ in once if "#" not in t]
+    constants = [t for t, n in once if "#" in t and n >= FIXED * pages and pages >= LEAST_PAGES]
     return pd.DataFrame({
-        "host": [frame["host"].iloc[0]], "n_pages": [pages], "n_classes": [sum(len(c) > 1 for c in classes)],
+        "host": [key[0]], "n_pages": [pages], "n_classes": [sum(n > 1 for n in sizes.values())], "n_slots": [len(gaps)],
         "main": [main_path(_frame(order), slots)], "frame": [order], "constants": [constants],
     })
 
 
-TEMPLATE = "host string, n_pages long, n_classes long, main string, frame array<string>, constants array<string>"
+TEMPLATE = "host string, n_pages long, n_classes long, n_slots long, main string, frame array<string>, constants array<string>"
 
 
 def templates(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """One template per host of ``pages`` (page_id, host, html): the frame's tokens in page order, the main slot, fixed texts.
+    """One template per host of ``pages`` (page_id, host, html): its valid classes and slots, the frame's tokens (tags that are once a
+    page) in page order, the main slot, fixed texts.
 
     Tokens in fewer than ``support`` of a host's pages are left out before a host's tokens meet, so what meets is bounded by
-    the size of pages, not by their number. Text of rare slots counts with the nearest frequent element around them.
+    the size of pages, not by their number. Text of rare elements counts with the nearest frequent element around them.
     """
+    lists = settle(pages.select("host", "page_id", "html").mapInArrow(_list_batches, LISTS), "page_lists")
     types = ", ".join(["host string", "token string", *(f"{c} long" for c in SUMS)])
-    stats = pages.select("host", "page_id", "html").mapInArrow(_stat_batches, types)
+    stats = lists.select("host", "page_id", "tokens").mapInArrow(_stat_batches, types)
     stats = settle(stats.groupBy("host", "token").agg(*(F.sum(c).alias(c) for c in SUMS)), "page_tokens", narrow=True)
     sizes = stats.filter("token = ''").select("host", F.col("pages").alias("all_pages"))
     often = stats.join(sizes, "host").filter(F.col("pages") >= support * F.col("all_pages")).drop("all_pages")
-    return settle(often.groupBy("host").applyInPandas(_deduce, TEMPLATE), "templates")
+    known = settle(often.groupBy("host").applyInPandas(_host_classes, "host string, n_pages long, classes string"), "page_classes")
+    types = ", ".join(["host string", "token string", "gap int", *(f"{c} long" for c in VOTES)])
+    votes = lists.join(known, "host").select("host", "tokens", "chars", "linked", "classes").mapInArrow(_vote_batches, types)
+    votes = votes.groupBy("host", "token", "gap").agg(*(F.sum(c).alias(c) for c in VOTES))
+    return settle(known.groupBy("host").cogroup(votes.groupBy("host")).applyInPandas(_deduce, TEMPLATE), "templates")
 
 
 def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -77,6 +78,52 @@ def test_classes_of_a_host(spark):
     assert any("By the editors" not in c and "#" in c for c in t.constants)
 
 
+@pytest.mark.parametrize(("ranks", "once", "want"), [
+    ([0, 1, 2], True, {0, 1, 2}), ([1, 2, 0, 3], True, {1, 2, 3}), ([2, 0, 1], True, {0, 1}), ([0, 1, 0, 1], False, {0, 1}), ([0, 1, 1, 0], False, set()), ([0, 0, 0], False, {0}),
+])
+def test_order_of_a_class_in_a_page(ranks, once, want):
+    assert pages.in_order(ranks, once) == want
+
+
+def test_template_is_of_ordered_and_nested_classes(spark):
+    """Once-a-page elements whose order or gap differs between pages are of no valid class, so they are not of the template."""
+
+    def page(i):
+        swapped = ["<div class=a>first</div>", "<div class=b>second</div>"][:: 1 if i % 2 else -1]
+        story = f"<article><h1>title {i}</h1><p>{f'words of story {i} ' * 30}</article>"
+        roaming = f"<section class=s><h2>more {i}</h2></section>" if i % 5 < 3 else ""
+        rows = "".join(f"<tr><td>{i} {k}</td><th>{k}</th></tr>" for k in range(2 + i % 3))
+        middle = roaming + story if i % 2 else story + roaming
+        return f"<html><body>{''.join(swapped)}<div id=m>{middle}</div><table>{rows}</table></body></html>"
+
+    frame = spark.createDataFrame([(i, "h", page(i)) for i in range(40)], "page_id long, host string, html string")
+    t = pages.templates(frame).first()
+    assert t.frame == [
+        "/html<html", "/html/body<body", "/html/body/div.a<div", "/html/body/div<div", "/html/body/div/article<article", "/html/body/div/article/h1<h1",
+        "/html/body/div/article/p<p", "/html/body/table<table",
+    ]
+    assert t.main == "/html/body/div/article" and t.n_classes == 2  # the frame, and rows of the table with their cells
+    assert t.n_slots == 7  # div.a; what has no fixed place in body; both cells; heading, paragraph; what has none in the middle
+    one = pages.templates(frame.filter("page_id = 7")).first()
+    assert "/html/body/div/section.s<section" in one.frame and "/html/body/div.b<div" in one.frame
+
+
+def test_classes_are_those_of_equal_vectors():
+    """Against a plain recount of vectors, and of what stands around each token."""
+    made = ["<body><ul>" + "<li><a>x</a></li>" * k + "</ul>" + "<p><i>y</i></p>" * (k % 2) + "</body>" for k in (1, 2, 3, 4)]
+    lists = [[v if kind == "open" else pages.fixed_token(e, v) for kind, e, v, _ in pages.parts(m)] for m in made]
+    batch = pa.RecordBatch.from_pydict({"host": ["h"] * 4, "page_id": [1, 2, 3, 4], "tokens": lists})
+    rows = pages.classes(next(pages._stat_batches(iter([batch]))).to_pandas())
+    vectors = {t: tuple(x.count(t) for x in lists) for x in lists for t in x}
+    assert set(rows["token"]) == set(vectors)
+    for _, own in rows.groupby("group"):
+        assert len({vectors[t] for t in own["token"]}) == 1 == own["up"].nunique()
+    for t, up in zip(rows["token"], rows["up"]):
+        assert not up or vectors[up] != vectors[t] and t.startswith(up.rpartition("<")[0])
+    both = rows.merge(rows, on="up")
+    assert all((vectors[a] == vectors[b]) == (g == k) for a, b, g, k in both[["token_x", "token_y", "group_x", "group_y"]].itertuples(index=False))
+
+
 LIB = SentencePieceProcessor(model_file=MODEL)
 PIECES = bpe.Pieces(bpe.read_model(MODEL))
 PLAIN, DROPPED = bpe.Encoder(PIECES, 0.0), bpe.Encoder(PIECES, 0.2)
