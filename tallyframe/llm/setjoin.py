@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.base import U64, id_filter, lower_ascii, mix, owners, rows_in_filter, settle, text_runs, word_hashes
+from tallyframe.llm.base import U64, id_filter, joined_apart, lower_ascii, mix, owners, rows_in_filter, settle, text_runs, word_hashes
 from tallyframe.llm.components import components
 
 #: Counters of hashed tokens: 2 ** BITS of 4 bytes, whatever the input.
@@ -326,7 +326,7 @@ def linked_classes(docs: DataFrame, sets: DataFrame, width: int, percent: int) -
     grouped = _grouped(classes, shared, percent)
     ways = settle(_routes(grouped, settle(visits(grouped, shared, percent), "visits", narrow=True)), "ways", narrow=True)
     texts = docs.select(F.col("doc_id").alias("rep"), "text")
-    texts = rows_in_filter(texts, id_filter(ways, "rep"), "rep").join(ways, "rep").select("rep", "digest", "ways", "text")
+    texts = joined_apart(rows_in_filter(texts, id_filter(ways, "rep"), "rep"), ways, "rep").select("rep", "digest", "ways", "text")
     seats = texts.mapInArrow(_expand(width), "g long, part long, visitor int, rep long, tokens binary")
     seats = seats.repartition("g", "part").sortWithinPartitions("g", "part", "visitor", "rep")
     return classes, seats.mapInArrow(_meet(percent), "a long, b long")

@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 import corpus_pipeline
-from tallyframe.llm import mixing
+from tallyframe.llm import mixing, setjoin, suffixes
 from tallyframe.llm.base import settle, table
 from tallyframe.llm.catalog import all_queries, all_sql
 from tests.conftest import plan_of
@@ -151,3 +151,32 @@ def test_nothing_else_imports_the_subpackage():
     for path in [*ROOT.glob("tallyframe/**/*.py"), *ROOT.glob("tests/*.py"), ROOT / "bench.py"]:
         if "llm" not in path.parts:
             assert "tallyframe.llm" not in path.read_text()
+
+
+def python_steps_of_a_task(plan):
+    """The most Python steps between two exchanges on any way down a plan's tree."""
+    most, above = 0, []
+    for line in plan.split("\n\n")[0].splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*"))
+        above = [x for x in above if x[0] < depth]
+        steps = 0 if "Exchange" in line else (above[-1][1] if above else 0) + ("InArrow" in line or "InPandas" in line)
+        above.append((depth, steps))
+        most = max(most, steps)
+    return most
+
+
+def test_a_task_has_one_python_worker(spark, folder, monkeypatch):
+    """However small the tables are that decide which texts meet. An executor keeps all workers that it ever had at once."""
+    plans = {}
+
+    def recorded(df, name, narrow=False):
+        plans[name] = plan_of(df)
+        return settle(df, name, narrow)
+
+    for module in (setjoin, suffixes):
+        monkeypatch.setattr(module, "settle", recorded)
+    docs = table(spark, folder, "documents")
+    plans["links"] = plan_of(setjoin.linked_classes(docs, setjoin.signed(docs, 5, 80), 5, 80)[1])
+    plans["repeats_out"] = plan_of(corpus_pipeline.repeats_out(spark, docs, folder))
+    assert {"starts", "links", "repeats_out"} <= set(plans)
+    assert {name: python_steps_of_a_task(x) for name, x in plans.items() if python_steps_of_a_task(x) > 1} == {}
