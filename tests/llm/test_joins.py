@@ -186,6 +186,33 @@ def test_cut_inside_a_character(spark, documents):
         r.text.encode()
 
 
+def test_passages_of_fifty_words(spark, documents, odd_texts):
+    rng = random.Random(6)
+    words = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    passage, long, own = words(51), words(90), [words(60) for _ in range(6)]
+    assert 240 < len(passage) < 400 < len(long)
+    rows = [(21, f"{own[0]} {passage} {own[1]}"), (22, f"{passage} {own[2]}"), (23, own[3]), (24, f"{long} {own[4]} {passage}"), (25, f"{own[5]} é{long}"), (26, "é" + own[3][:230])]
+    got = suffixes.passage_digests(documents(rows + odd_texts).repartition(3)).collect()
+    assert sorted((r.doc_id or 0, *r[1:5]) for r in got) == plain_removal(rows + odd_texts, 400)
+    assert sorted((r.doc_id or 0, r.n_passage_bytes) for r in got) == [(r[0], r[2]) for r in plain_removal(rows + odd_texts, 240)]
+    text = {r.doc_id: r.text for r in got}
+    assert passage not in text[21] + text[22] + text[24] and own[0] in text[21] and own[4] in text[24] and text[23] == own[3] and text[26] == rows[5][1]
+    plain = suffixes.without_repeats(documents(rows + odd_texts), *suffixes.PASSAGE).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in plain) == sorted((r.doc_id or 0, r.text or "") for r in got) and text[2] is None
+    assert suffixes.passage_digests(documents([])).collect() == []
+
+
+def test_contexts_that_cross_buckets(spark, documents, monkeypatch):
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    core, sides = text(37), [(text(9), text(9)) for _ in range(4)]
+    rows = [(i, text(30) + a[i % 7 :] + core + b[: 2 + i % 5] + text(30)) for i, (a, b) in enumerate(rng.choices(sides, k=40))]
+    rows += [rows[3], rows[3], (50, rows[3][1])]
+    for buckets in (3, 250_000):
+        monkeypatch.setattr(suffixes, "BUCKET_ROWS", buckets)
+        assert small(documents(rows).repartition(4), 40, 6, 17) == plain_removal(rows, 40)
+
+
 def test_multikey_quicksort():
     rng = np.random.default_rng(1)
     for n in (0, 1, 3000, 50_000):
