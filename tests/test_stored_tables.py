@@ -186,6 +186,31 @@ def test_pairs_of_points_and_ranges_are_listed_once(spark):
     assert J.BINS_PER_RANGE >= 64
 
 
+def test_the_pairs_of_one_bin_are_shared_by_tasks(spark, no_broadcast, monkeypatch):
+    """A bin of many pairs is cut into cells by its ranges and by its points; the rows are those of all pairs."""
+    monkeypatch.setattr(J, "CELL_SIDE", 20, raising=False)
+    monkeypatch.setattr(J, "RANGES_PER_ARRAY", 8, raising=False)
+    points = [("a", 5, i) for i in range(600)] + [("b", 70, 1), ("b", 70, 1), ("c", 5, 2), (None, 5, 3), ("a", None, 4)]
+    ranges = [("a", 0, 9, i) for i in range(90)] + [("a", 0, 9, 0), ("b", 60, None, -1), ("a", 6, 9, -2), (None, 0, 9, -3)]
+    left, right = spark.createDataFrame(points, "k string, p long, n int"), spark.createDataFrame(ranges, "k string, lo long, hi long, r int")
+    found = J.range_lookup(left, right, "k", "p", "lo", "hi", ["r"], width=10)
+    tasks = found.filter("k = 'a' AND r IS NOT NULL").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in tasks) == 600 * 91 and max(r["count"] for r in tasks) < 600 * 91 / 4
+    assert sorted(map(tuple, found.collect()), key=repr) == plain_ranges(points, ranges, "left")
+
+
+def test_ranges_of_keys_of_another_type(spark, monkeypatch):
+    """A key that equals several keys of the other side has no cells that both sides know."""
+    monkeypatch.setattr(J, "CELL_SIDE", 2, raising=False)
+    left = spark.createDataFrame([(1, 5, i) for i in range(20)] + [(2, 5, 0)], "k int, p long, n int")
+    right = spark.createDataFrame([("1", 0, 9, 1), ("01", 0, 9, 2), ("1", 4, None, 3), ("3", 0, 9, 4)], "k string, lo long, hi long, r int")
+    found = J.range_lookup(left, right, "k", "p", "lo", "hi", ["r"], width=10).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted([(1, 5, i, r) for i in range(20) for r in (1, 2, 3)] + [(2, 5, 0, None)], key=repr)
+    wide = right.filter("k <> '01'").withColumn("k", F.col("k").cast("long"))
+    found = J.range_lookup(left, wide, "k", "p", "lo", "hi", ["r"], width=10).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted([(1, 5, i, r) for i in range(20) for r in (1, 3)] + [(2, 5, 0, None)], key=repr)
+
+
 def test_rejected_lines(spark, rows, tmp_path):
     lines = ["1;2.5;2024-01-01", "", "2;x;2024-01-01", "3;1.0", "4;1.0;2024-13-01", '5;"1.5";2024-01-02', "6;1;2024-01-01;z", "q;1;2024-01-01", ";;", "7;;2024-01-03"]
     (tmp_path / "in").mkdir()
